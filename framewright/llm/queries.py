@@ -31,15 +31,56 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(_table(spark, sf_dir, "documents"), _tokenizer())
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from framewright.llm.mixing import mix_report
+
+    return mix_report(_table(spark, sf_dir, "documents"))
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from framewright.llm.secrets import report
+
+    return report(_table(spark, sf_dir, "documents"))
+
+
 def op7_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
     from framewright.llm.flac import features, to_media
 
     return features(to_media(_table(spark, sf_dir, "documents")))
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from framewright.llm.topk import quantize, search
+
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", quantize(F.col("embedding")).alias("v"))
+    return search(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from framewright.llm.html_text import extract
+
+    return extract(_table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_token_store": op1_token_store, "op2_bpe": op2_bpe, "op7_flac": op7_flac}
+    return {"op1_token_store": op1_token_store, "op2_bpe": op2_bpe, "op4_mixing": op4_mixing, "op6_secrets": op6_secrets, "op7_flac": op7_flac, "op8_topk": op8_topk, "op10_html_text": op10_html_text}
+
+
+TOPK_SQL = """
+WITH q AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND NOT list_bool_or(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x)))
+), pairs AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_dot_product(CAST(a.v AS DOUBLE[]), CAST(b.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM q a JOIN q b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM pairs QUALIFY rank <= 5
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_topk": TOPK_SQL}

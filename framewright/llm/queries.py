@@ -37,6 +37,12 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(_table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from framewright.llm.toxicity import report
+
+    return report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from framewright.llm.secrets import report
 
@@ -65,7 +71,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_token_store": op1_token_store, "op2_bpe": op2_bpe, "op4_mixing": op4_mixing, "op6_secrets": op6_secrets, "op7_flac": op7_flac, "op8_topk": op8_topk, "op10_html_text": op10_html_text}
+    return {"op1_token_store": op1_token_store, "op2_bpe": op2_bpe, "op4_mixing": op4_mixing, "op5_toxicity": op5_toxicity, "op6_secrets": op6_secrets, "op7_flac": op7_flac, "op8_topk": op8_topk, "op10_html_text": op10_html_text}
 
 
 TOPK_SQL = """

@@ -64,6 +64,12 @@ def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(vectors, vectors.where("vec_id % 50 = 0"), k=5)
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from framewright.llm.near_dedup import report
+
+    return report(_table(spark, sf_dir, "documents"))
+
+
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from framewright.llm.html_text import extract
 
@@ -71,7 +77,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_token_store": op1_token_store, "op2_bpe": op2_bpe, "op4_mixing": op4_mixing, "op5_toxicity": op5_toxicity, "op6_secrets": op6_secrets, "op7_flac": op7_flac, "op8_topk": op8_topk, "op10_html_text": op10_html_text}
+    return {"op1_token_store": op1_token_store, "op2_bpe": op2_bpe, "op4_mixing": op4_mixing, "op5_toxicity": op5_toxicity, "op6_secrets": op6_secrets, "op7_flac": op7_flac, "op8_topk": op8_topk, "op9_near_dedup": op9_near_dedup, "op10_html_text": op10_html_text}
 
 
 TOPK_SQL = """

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -33,6 +34,12 @@ def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver forget finished plans, so that their shuffle files go before the next step."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def parts(spark: SparkSession) -> int:
     """The session's shuffle width, for explicit repartitioning."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

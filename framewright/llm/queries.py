@@ -31,6 +31,12 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(_table(spark, sf_dir, "documents"), _tokenizer())
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from framewright.llm.repeats import report
+
+    return report(_table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from framewright.llm.mixing import mix_report
 
@@ -77,7 +83,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_token_store": op1_token_store, "op2_bpe": op2_bpe, "op4_mixing": op4_mixing, "op5_toxicity": op5_toxicity, "op6_secrets": op6_secrets, "op7_flac": op7_flac, "op8_topk": op8_topk, "op9_near_dedup": op9_near_dedup, "op10_html_text": op10_html_text}
+    return {"op1_token_store": op1_token_store, "op2_bpe": op2_bpe, "op3_repeats": op3_repeats, "op4_mixing": op4_mixing, "op5_toxicity": op5_toxicity, "op6_secrets": op6_secrets, "op7_flac": op7_flac, "op8_topk": op8_topk, "op9_near_dedup": op9_near_dedup, "op10_html_text": op10_html_text}
 
 
 TOPK_SQL = """

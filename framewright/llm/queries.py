@@ -13,7 +13,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _tokenizer() -> str:
+def tokenizer() -> str:
     import public_tokenizers
 
     return public_tokenizers.path(TOKENIZER)
@@ -22,13 +22,13 @@ def _tokenizer() -> str:
 def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from framewright.llm.token_store import read_store, write_store
 
-    return read_store(write_store(_table(spark, sf_dir, "documents"), _tokenizer(), end_id=1))
+    return read_store(write_store(_table(spark, sf_dir, "documents"), tokenizer(), end_id=1))
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from framewright.llm.bpe import digests
 
-    return digests(_table(spark, sf_dir, "documents"), _tokenizer())
+    return digests(_table(spark, sf_dir, "documents"), tokenizer())
 
 
 def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

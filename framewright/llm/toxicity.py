@@ -74,36 +74,30 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([*names, *counts], ["stem", "tier", "toxic", "clean"])
 
 
-def _features(vocabulary: list[tuple[str, int]]):
-    """Maps (doc_id, text) to (doc_id, terms) over the vocabulary."""
-    stems = {stem: i for i, stem in enumerate(dict.fromkeys(stem for stem, _ in vocabulary))}
-    table = np.full((len(stems), len(TIERS)), -1, np.int32)
-    for i, (stem, tier) in enumerate(vocabulary):
-        table[stems[stem], TIERS.index(tier)] = i
-    tiers = np.array(TIERS)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, bytes] = {}
-        get = stems.get
-
-        def codes(chunk: str) -> bytes:
-            raw = np.array([i for i in map(get, chunk_stems(chunk)) if i is not None], np.int32).tobytes()
-            if len(chunk) <= 64:
-                known[chunk] = raw
-            return raw
-
-        for batch in batches:
-            terms = []
-            for text in batch.column(1):
-                if len(known) > _CACHE:
-                    known.clear()
-                found = b"".join([known[c] if c in known else codes(c) for c in text.as_py().split()])
-                stem, n = np.unique(np.frombuffer(found, np.int32), return_counts=True)
-                met = table[stem]
-                terms.append(np.sort(met[(n[:, None] >= tiers) & (met >= 0)]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(terms, pa.list_(pa.int32()))], ["doc_id", "terms"])
-
-    return run
+class Features:
+    """Terms of a text over a vocabulary of (stem, tier)."""
+
+    def __init__(self, vocabulary: list[tuple[str, int]]) -> None:
+        self.stems = {stem: i for i, stem in enumerate(dict.fromkeys(stem for stem, _ in vocabulary))}
+        self.table = np.full((len(self.stems), len(TIERS)), -1, np.int32)
+        for i, (stem, tier) in enumerate(vocabulary):
+            self.table[self.stems[stem], TIERS.index(tier)] = i
+        self.known: dict[str, bytes] = {}
+
+    def _codes(self, chunk: str) -> bytes:
+        raw = np.array([i for i in map(self.stems.get, chunk_stems(chunk)) if i is not None], np.int32).tobytes()
+        if len(chunk) <= 64:
+            self.known[chunk] = raw
+        return raw
+
+    def __call__(self, text: str) -> np.ndarray:
+        if len(self.known) > _CACHE:
+            self.known.clear()
+        known, codes = self.known, self._codes
+        found = b"".join([known[c] if c in known else codes(c) for c in text.split()])
+        stem, n = np.unique(np.frombuffer(found, np.int32), return_counts=True)
+        met = self.table[stem]
+        return np.sort(met[(n[:, None] >= np.array(TIERS)) & (met >= 0)])
 
 
 def select_terms(rows: list[tuple[str, int, int, int]]) -> list[tuple[str, int]]:
@@ -144,6 +138,7 @@ class BlockMaxIndex:
         self.cell_max = np.maximum.reduceat(self.post_value, start) if len(key) else np.zeros(0)
         self.term_first = np.searchsorted(self.cell_key, np.arange(n_terms + 1) * max(1, self.n_blocks))
         self.steps: tuple[np.ndarray, np.ndarray] | None = None
+        self.vocabulary: list[tuple[str, int]] = []
 
     def weigh(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         value = self.idf[terms]
@@ -239,10 +234,13 @@ def fit(documents: DataFrame, labels: DataFrame, usable: Column, max_toxic: int
         g = 2 * (part(p, a * rate) + part(n, b * rate) + part(a - p, a * (1 - rate)) + part(b - n, b * (1 - rate)))
         kept = per_term.withColumn("g", g).where(F.col("g") >= MIN_G).orderBy(F.desc("g"), "stem", "tier").limit(MAX_TERMS)
         vocabulary = select_terms([(r["stem"], r["tier"], r["p"], r["n"]) for r in kept.select("stem", "tier", "p", "n").collect()])
-    features = materialize(
-        documents.select("doc_id", "text").mapInArrow(_features(vocabulary), "doc_id long, terms array<int>"),
-        "toxicity-features",
-    )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms_of = Features(vocabulary)
+        for batch in batches:
+            terms = [terms_of(text.as_py()) for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(terms, pa.list_(pa.int32()))], ["doc_id", "terms"])
+
+    features = materialize(documents.select("doc_id", "text").mapInArrow(run, "doc_id long, terms array<int>"), "toxicity-features")
     if not vocabulary:
         return None, features, []
     # Document frequencies over all documents; at most MAX_TERMS rows come back.
@@ -256,40 +254,68 @@ def fit(documents: DataFrame, labels: DataFrame, usable: Column, max_toxic: int
     vectors = [np.array(r["terms"], np.int64) for r in rows]
     index = BlockMaxIndex(vectors, np.array([r["toxic"] for r in rows], float), np.array([r["stands_for"] for r in rows], float), np.log((n_docs + 1) / (df + 1)) + 1)
     index.calibrate()
+    index.vocabulary = vocabulary
     return index, features, [r["doc_id"] for r in rows]
 
 
+class Scorer:
+    """Scores term sets; remembers those it has met, up to a bound."""
+
+    def __init__(self, index: BlockMaxIndex | None) -> None:
+        self.index = index
+        self.met: dict[bytes, tuple[float, np.ndarray, np.ndarray]] = {}
+
+    def __call__(self, terms: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """(score, places of the nearest examples, their cosines)."""
+        none = np.zeros(0, np.int64), np.zeros(0)
+        if self.index is None:
+            return 0.0, *none
+        key = terms.tobytes()
+        if key not in self.met:
+            if len(self.met) > 50_000:
+                self.met.clear()
+            near = self.index.nearest(*self.index.weigh(terms)) if len(terms) else none
+            self.met[key] = self.index.score(self.index.vote(*near)), *near
+        return self.met[key]
+
+
 def score(index: BlockMaxIndex | None, features: DataFrame, example_ids: list[int], evidence: int = 3) -> DataFrame:
     """(doc_id, score, evidence): evidence names the nearest examples as id:label:cosine."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met: dict[bytes, tuple[float, str]] = {}
+        scorer = Scorer(index)
         for batch in batches:
             scores, why = [], []
             for terms in batch.column(1):
-                t = np.array(terms.as_py(), np.int64)
-                key = t.tobytes()
-                if key not in met:
-                    if len(met) > 50_000:
-                        met.clear()
-                    if index is None:
-                        met[key] = 0.0, ""
-                    else:
-                        places, cosines = index.nearest(*index.weigh(t)) if len(t) else (np.zeros(0, np.int64), np.zeros(0))
-                        named = [f"{example_ids[index.origin[i]]}:{int(index.toxic[i])}:{x:.4f}" for i, x in zip(places[:evidence].tolist(), cosines.tolist())]
-                        met[key] = index.score(index.vote(places, cosines)), ",".join(named)
-                s, e = met[key]
+                s, places, cosines = scorer(np.array(terms.as_py(), np.int32))
+                near = zip(places[:evidence].tolist(), cosines.tolist())
                 scores.append(s)
-                why.append(e)
+                why.append(",".join(f"{example_ids[index.origin[i]]}:{int(index.toxic[i])}:{x:.4f}" for i, x in near))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(why, pa.string())], ["doc_id", "score", "evidence"])
 
     return features.mapInArrow(run, "doc_id long, score double, evidence string")
 
 
+def _own(documents: DataFrame) -> DataFrame:
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+
+
 def report(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted, evidence) of every document; held-out rows teach nothing."""
-    own = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    index, features, ids = fit(own, labels.select("doc_id", "toxic"), ~held_out(F.col("doc_id")))
+    index, features, ids = fit(_own(documents), labels.select("doc_id", "toxic"), ~held_out(F.col("doc_id")))
     return score(index, features, ids).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence"
     )
+
+
+def reject(documents: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``documents`` that score under ``threshold``, all columns kept; nothing is shuffled to filter."""
+    index, _, _ = fit(_own(documents), labels.select("doc_id", "toxic"), ~held_out(F.col("doc_id")))
+    at = documents.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer, terms_of = Scorer(index), Features(index.vocabulary if index else [])
+        for batch in batches:
+            yield batch.filter(pa.array([scorer(terms_of(text.as_py() or ""))[0] < threshold for text in batch.column(at)], pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)

@@ -34,9 +34,11 @@ from framewright.llm.common import materialize
 
 MAX_TOXIC = 2000
 MAX_CLEAN = 4000
-MAX_TERMS = 4096
+MAX_TERMS = 1024
 MIN_EXAMPLES = 3
+#: A term's G must pass MIN_G + G_GROWTH * log(examples / 400): larger samples try more chance terms.
 MIN_G = 12.0
+G_GROWTH = 3.0
 #: A stem counts once for each of these numbers of occurrences that it reaches.
 TIERS = (1, 2, 3, 5)
 NEIGHBOURS = 15
@@ -100,10 +102,11 @@ class Features:
         return np.sort(met[(n[:, None] >= np.array(TIERS)) & (met >= 0)])
 
 
-def select_terms(rows: list[tuple[str, int, int, int]]) -> list[tuple[str, int]]:
-    """Of stems that only differ in length and stand in the same numbers of examples, the longest stays."""
+def select_terms(rows: list[tuple[str, int, int, int]], most: int) -> list[tuple[str, int]]:
+    """The first ``most`` of (stem, tier, toxic, clean) rows; of stems that only differ in length and stand in
+    the same numbers of examples, the longest stays."""
     held = {(stem[:-1], tier, p, n) for stem, tier, p, n in rows}
-    return sorted((stem, tier) for stem, tier, p, n in rows if (stem, tier, p, n) not in held)
+    return sorted([(stem, tier) for stem, tier, p, n in rows if (stem, tier, p, n) not in held][:most])
 
 
 class BlockMaxIndex:
@@ -123,23 +126,23 @@ class BlockMaxIndex:
         self.base = float((weight * toxic).sum()) / total if total else 0.0
         heavy = float(weight[blank].sum())
         self.blank = (float((weight[blank] * toxic[blank]).sum()) + self.base) / (heavy + 1.0)
-        n_terms = len(idf)
-        term = np.concatenate([t for t, _ in self.vectors]) if self.vectors else np.zeros(0, np.int64)
-        value = np.concatenate([w for _, w in self.vectors]) if self.vectors else np.zeros(0)
-        where = np.repeat(np.arange(len(self.vectors)), [len(t) for t, _ in self.vectors])
-        by = np.lexsort((where, term))
-        self.post_at, self.post_value = where[by], value[by]
-        self.first = np.searchsorted(term[by], np.arange(n_terms + 1))
         self.n_blocks = -(-len(self.vectors) // BLOCK)
-        key = term[by].astype(np.int64) * max(1, self.n_blocks) + self.post_at // BLOCK
-        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-        self.cell_key = key[start]
-        self.cell_first = np.append(start, len(key))
-        self.cell_max = np.maximum.reduceat(self.post_value, start) if len(key) else np.zeros(0)
-        self.term_first = np.searchsorted(self.cell_key, np.arange(n_terms + 1) * max(1, self.n_blocks))
+        self._dense: tuple[np.ndarray, np.ndarray] | None = None
         self.steps: tuple[np.ndarray, np.ndarray] | None = None
         self.vocabulary: list[tuple[str, int]] = []
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_dense": None}
+
+    def postings(self) -> tuple[np.ndarray, np.ndarray]:
+        """(weights of each term's postings by example, their maxima by block); at most MAX_TERMS rows."""
+        if self._dense is None:
+            weights = np.zeros((len(self.idf), self.n_blocks * BLOCK))
+            for i, (terms, value) in enumerate(self.vectors):
+                weights[terms, i] = value
+            self._dense = weights, weights.reshape(len(self.idf), self.n_blocks, BLOCK).max(axis=2)
+        return self._dense
+
     def weigh(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         value = self.idf[terms]
         norm = float(np.sqrt((value * value).sum()))
@@ -147,31 +150,24 @@ class BlockMaxIndex:
 
     def nearest(self, terms: np.ndarray, value: np.ndarray, skip: int = -1, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
         """(places, cosines) of the k nearest examples that share a term, the nearest first, ties to the earlier."""
-        bound = np.zeros(self.n_blocks)
-        for t, v in zip(terms.tolist(), value.tolist(), strict=True):
-            a, b = self.term_first[t], self.term_first[t + 1]
-            bound[self.cell_key[a:b] - t * self.n_blocks] += v * self.cell_max[a:b]
+        if not self.n_blocks:
+            return np.zeros(0, np.int64), np.zeros(0)
+        weights, maxima = self.postings()
+        bound = value @ maxima[terms]
         order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
+        order = order[: np.count_nonzero(bound > 0)]
         places, cosines = np.zeros(0, np.int64), np.zeros(0)
-        done, step = 0, 4
+        done, step = 0, 2
         while done < len(order):
             if len(cosines) == k and bound[order[done]] < cosines[-1] - 1e-12:
                 break
             picked = order[done : done + step]
             done += step
-            step *= 2
-            score = np.zeros((len(picked), BLOCK))
-            for t, v in zip(terms.tolist(), value.tolist(), strict=True):
-                at = np.searchsorted(self.cell_key, t * self.n_blocks + picked)
-                for row, cell in enumerate(at.tolist()):
-                    if cell < len(self.cell_key) and self.cell_key[cell] == t * self.n_blocks + picked[row]:
-                        a, b = self.cell_first[cell], self.cell_first[cell + 1]
-                        score[row, self.post_at[a:b] - picked[row] * BLOCK] += v * self.post_value[a:b]
+            step *= 4
             at = (picked[:, None] * BLOCK + np.arange(BLOCK)[None, :]).ravel()
-            flat = score.ravel()
-            keep = (flat > 0) & (at != skip)
-            places, cosines = np.concatenate([places, at[keep]]), np.concatenate([cosines, flat[keep]])
+            score = value @ weights[terms[:, None], at[None, :]]
+            keep = np.flatnonzero((score > 0) & (at != skip))
+            places, cosines = np.concatenate([places, at[keep]]), np.concatenate([cosines, score[keep]])
             best = np.lexsort((places, -cosines))[:k]
             places, cosines = places[best], cosines[best]
         return places, cosines
@@ -232,8 +228,8 @@ def fit(documents: DataFrame, labels: DataFrame, usable: Column, max_toxic: int
         part = lambda x, e: F.when(x > 0, x * F.log(x / e)).otherwise(0.0)
         rate = (p + n) / (a + b)
         g = 2 * (part(p, a * rate) + part(n, b * rate) + part(a - p, a * (1 - rate)) + part(b - n, b * (1 - rate)))
-        kept = per_term.withColumn("g", g).where(F.col("g") >= MIN_G).orderBy(F.desc("g"), "stem", "tier").limit(MAX_TERMS)
-        vocabulary = select_terms([(r["stem"], r["tier"], r["p"], r["n"]) for r in kept.select("stem", "tier", "p", "n").collect()])
+        kept = per_term.withColumn("g", g).where(F.col("g") >= MIN_G + G_GROWTH * max(0.0, float(np.log((n_toxic + n_clean) / 400)))).orderBy(F.desc("g"), "stem", "tier").limit(8 * MAX_TERMS)
+        vocabulary = select_terms([(r["stem"], r["tier"], r["p"], r["n"]) for r in kept.collect()], MAX_TERMS)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms_of = Features(vocabulary)
         for batch in batches:

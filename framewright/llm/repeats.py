@@ -38,7 +38,9 @@ from framewright.llm.common import RollingHash, buffers, materialize, mix64, par
 LENGTH = 200
 GRAM = 50
 BOUND = 8192
-SLICE = 8 << 20
+SLICE = 1 << 20
+#: Entries that a task gathers before it deals them out.
+DEAL = 400_000
 _POSITION = np.uint64((1 << 24) - 1)
 _ENTRY = np.dtype([("key", "<u8"), ("hull", "<u8"), ("node", "<i8"), ("pos", "<i4"), ("before", "u1"), ("after", "u1"), ("flag", "u1")])
 _MULTI, _KNOWN, _MARKER = 1, 2, 4
@@ -142,6 +144,18 @@ def _find(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
         return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([entries], pa.binary()), *lists], schema)
 
     nothing = (np.zeros(0, np.int64),) * 3
+
+    def deal(sent: np.ndarray) -> Iterator[pa.RecordBatch]:
+        by = np.where(sent["flag"] & _KNOWN, mix64(sent["key"] ^ sent["hull"]), sent["key"]) % np.uint64(width)
+        order = np.argsort(by, kind="stable")
+        sent, by = sent[order], by[order]
+        cut = np.searchsorted(by, np.arange(width + 1, dtype=np.uint64))
+        for i in range(width):
+            if cut[i] < cut[i + 1]:
+                yield row(i, sent[cut[i] : cut[i + 1]].tobytes(), nothing)
+
+    waiting: list[np.ndarray] = []
+    held = 0
     for batch in batches:
         nodes = batch.column(0).to_numpy(zero_copy_only=False)
         offsets, data = buffers(batch.column(1))
@@ -166,17 +180,16 @@ def _find(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
             sent["flag"] = np.where(repeats[first], _MULTI, 0) | np.where(several, _KNOWN, 0)
             marker = sent[_first_of(sent["key"]) & several].copy()
             marker["flag"] = _MARKER
-            sent = np.concatenate([sent, marker])
-            by = np.where(sent["flag"] & _KNOWN, mix64(sent["key"] ^ sent["hull"]), sent["key"]) % np.uint64(width)
-            order = np.argsort(by, kind="stable")
-            sent, by = sent[order], by[order]
-            cut = np.searchsorted(by, np.arange(width + 1, dtype=np.uint64))
-            for i in range(width):
-                if cut[i] < cut[i + 1]:
-                    yield row(i, sent[cut[i] : cut[i + 1]].tobytes(), nothing)
+            waiting.append(np.concatenate([sent, marker]))
+            held += len(waiting[-1])
+            if held >= DEAL:
+                yield from deal(np.concatenate(waiting))
+                waiting, held = [], 0
             if len(spans[0]):
                 yield row(turn % width, None, spans)
                 turn += 1
+    if waiting:
+        yield from deal(np.concatenate(waiting))
 
 
 def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

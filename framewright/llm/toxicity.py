@@ -1,7 +1,7 @@
 """Operator 5: toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 Learning uses a bounded sample of labelled rows: by default the 2,000 toxic and 4,000 clean examples
-with the smallest hashes (``max_toxic``, ``max_clean``). Terms
+with the smallest hashes (``max_toxic``, ``max_clean``), equal texts being one example. Terms
 are words and their first four to eight letters, so that inflected forms meet, each in tiers of how
 often a text has it; a term is kept when its association with a label passes a G-test in the sample. Document frequencies for the weights come
 from all documents.
@@ -28,7 +28,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from framewright.llm.common import materialize
 
@@ -208,16 +207,21 @@ def sample_labels(labels: DataFrame, documents: DataFrame, usable: Column, max_t
     own = own.where("toxic in (0, 1)").join(documents.select("doc_id").distinct(), "doc_id", "left_semi")
     counts = own.groupBy("toxic").agg(F.count("*").alias("n"))
     limit = F.when(F.col("toxic") == 1, max_toxic).otherwise(max_clean)
-    rank = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    taken = own.withColumn("r", rank).where(F.col("r") <= max(max_toxic, max_clean)).where(F.col("r") <= limit)
+    # The smallest hashes of each label; both lists are bounded, and each task keeps its own best first.
+    order = (F.xxhash64("doc_id"), "doc_id")
+    taken = own.where("toxic = 1").orderBy(*order).limit(max_toxic).unionByName(own.where("toxic = 0").orderBy(*order).limit(max_clean))
     return taken.join(F.broadcast(counts), "toxic").select("doc_id", "toxic", (F.col("n") / F.least(F.col("n"), limit)).alias("stands_for"))
 
 
 def fit(documents: DataFrame, labels: DataFrame, usable: Column, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> tuple[BlockMaxIndex | None, DataFrame, list[int]]:
     """(index, features of all documents, the examples' doc_ids); inputs have (doc_id, text) and (doc_id, toxic)."""
     spark = documents.sparkSession
-    sample = materialize(sample_labels(labels, documents, usable, max_toxic, max_clean), "toxicity-sample")
-    examples = documents.join(F.broadcast(sample), "doc_id")  # the sample is bounded by its two parameters
+    drawn = materialize(sample_labels(labels, documents, usable, max_toxic, max_clean), "toxicity-labels")
+    # Broadcast: both samples are bounded by the two parameters. Equal texts are one example that stands for all.
+    same = documents.join(F.broadcast(drawn), "doc_id").select("doc_id", "toxic", "stands_for", F.xxhash64("text").alias("node"))
+    merged = same.groupBy("node", "toxic").agg(F.min("doc_id").alias("doc_id"), F.sum("stands_for").alias("stands_for"))
+    sample = materialize(merged.select("doc_id", "toxic", "stands_for"), "toxicity-sample")
+    examples = documents.join(F.broadcast(sample), "doc_id")
     counted = examples.select("toxic", "text").mapInArrow(_term_counts, "stem string, tier int, toxic long, clean long")
     per_term = counted.groupBy("stem", "tier").agg(F.sum("toxic").alias("p"), F.sum("clean").alias("n")).where(F.col("p") + F.col("n") >= MIN_EXAMPLES)
     size = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -240,7 +244,14 @@ def fit(documents: DataFrame, labels: DataFrame, usable: Column, max_toxic: int
     if not vocabulary:
         return None, features, []
     # Document frequencies over all documents; at most MAX_TERMS rows come back.
-    seen = features.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("n")).collect()
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(len(vocabulary), np.int64)
+        for batch in batches:
+            n += np.bincount(batch.column(0).flatten().to_numpy(), minlength=len(n))
+        met = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(met.astype(np.int32)), pa.array(n[met])], ["t", "n"])
+
+    seen = features.select("terms").mapInArrow(count, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).collect()
     n_docs = features.count()
     df = np.zeros(len(vocabulary))
     for r in seen:

@@ -5,7 +5,7 @@ Stage 1 drops the documents that the toxicity operator scores 0.5 or more (it le
 that are not held out). Stage 2 keeps, of each class of near-duplicates, the row with the smallest
 doc_id; texts without words all stay. Stage 3 replaces every reported secret by a mark and sets n_chars
 anew. Stage 4 draws documents to meet the sources' targets: a document may come up to twice or not at
-all. Stage 5 encodes and decodes every draw. Null columns, repeated rows, extra columns and empty
+all, and one draw of each source ends where its target is met; n_chars is set anew. Stage 5 encodes and decodes every draw. Null columns, repeated rows, extra columns and empty
 tables behave as the operators' docstrings say.
 """
 
@@ -38,6 +38,7 @@ def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     drawn = mixing.mix(docs).repartitionByRange(parts(spark), "__shard", "__order").sortWithinPartitions("__shard", "__order")
+    drawn = drawn.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else drawn
     return drawn.select(*docs.columns)
 
 

@@ -4,10 +4,10 @@ Targets: sources in code-point order, null last, weigh 5, 2, 1, repeating, and s
 words; a target stops at twice its source's words and the excess is shared anew by weight.
 
 Documents of a source are permuted by a keyed hash; runs of hash values are its blocks. A target is
-met by whole passes over all blocks and one partial pass over the first blocks of the permutation,
-up to the last document that still fits; of the documents left, the one whose size is nearest to
-what is missing is taken too if that brings the source nearer to its target. No document is cut and
-none is drawn more than twice.
+met by whole passes over all blocks and one partial pass over the first blocks of the permutation.
+The document on which the partial pass ends gives as many words as are still missing, so a source
+meets its target to the word, however large its documents are; all other draws are whole. None is
+drawn more than twice.
 
 Blocks go to output shards by a splitting tree: each node halves its shards and draws, from the
 multivariate hypergeometric distribution, how many blocks of each source go left. The leaves are
@@ -125,65 +125,78 @@ def plan(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text
     at_edge = placed.join(F.broadcast(edge), F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")))
     running = F.col("ahead") + F.sum("size").over(Window.partitionBy("source").orderBy("key"))
     walked = at_edge.withColumn("upto", running)
+    over = F.col("upto") > F.col("rest")
     cut = walked.groupBy("source").agg(
-        F.coalesce(F.max(F.when(F.col("upto") <= F.col("rest"), F.col("key"))), F.min("key") - 1).alias("last_key"),
-        F.coalesce(F.max(F.when(F.col("upto") <= F.col("rest"), F.col("upto"))), F.min("ahead")).alias("filled"),
-        F.first("rest").alias("edge_rest"),
+        F.coalesce(F.max(F.when(~over, F.col("key"))), F.min("key") - 1).alias("last_key"),
+        F.coalesce(F.max(F.when(~over, F.col("upto"))), F.min("ahead")).alias("filled"),
+        F.min(F.when(over, F.col("key"))).alias("cut_key"),
+        F.first("rest").alias("limit"),
     )
-    # The document that best fills what is missing: the smallest difference, then the smallest key.
-    cut = cut.select(F.col("source").alias("s"), "last_key", (F.col("edge_rest") - F.col("filled")).alias("missing"))
-    behind = placed.join(F.broadcast(cut), F.col("source").eqNullSafe(F.col("s"))).where(F.col("key") > F.col("last_key"))
-    fill = behind.groupBy("s", "key").agg(F.sum("size").alias("size"), F.first("missing").alias("missing"), F.first("last_key").alias("last_key"))
-    gap = F.abs(F.col("size") - F.col("missing"))
-    best = fill.groupBy("s").agg(
-        F.min(F.when(gap < F.col("missing"), F.struct(gap.alias("gap"), F.col("key").alias("key")))).alias("best"), F.first("last_key").alias("last_key")
-    )
-    decided = {r["s"]: (r["last_key"], r["best"]["key"] if r["best"] else None) for r in best.collect()}
+    # Rows that agree in everything share what is missing.
+    edges = cut.select(F.col("source").alias("c"), "last_key", F.col("cut_key").alias("ck"), (F.col("limit") - F.col("filled")).alias("missing"))
+    same = walked.select("source", "key").join(F.broadcast(edges), F.col("source").eqNullSafe(F.col("c")))
+    shared = same.groupBy("c", "last_key", "ck", "missing").agg(F.count_if(F.col("key") == F.col("ck")).alias("n"))
+    decided = {r["c"]: (r["last_key"], r["ck"], round(r["missing"]) // max(1, r["n"])) for r in shared.collect()}
 
-    # Where no document lies across the boundary, the partial pass is empty or whole.
-    def boundary(r: tuple) -> tuple[int, int | None]:
-        return decided.get(r[0], (-1, None))
+    # A source without words has no edge and no partial pass.
+    def boundary(r: tuple) -> tuple[int, int | None, int]:
+        return decided.get(r[0], (-1, None, 0))
 
     partial = []
     for r in rows:
-        last, extra = boundary(r)
-        reach = max(last, -1 if extra is None else extra)
+        last, extra, words_left = boundary(r)
+        reach = max(last, extra if extra is not None and words_left > 0 else -1)
         partial.append(0 if reach < 0 else int((reach >> (_BITS - 31)) * r[1] / float(1 << 31)) + 1)
     quotas = split_quotas(passes * n_blocks + np.array(partial, np.int64), shards, seed)
     full = [(*r, *boundary(r), np.cumsum(q).tolist()) for r, q in zip(rows, quotas, strict=True)]
-    decisions = spark.createDataFrame(full, schema + ", last_key long, extra_key long, dealt array<bigint>")
+    decisions = spark.createDataFrame(full, schema + ", last_key long, cut_key long, cut_words long, dealt array<bigint>")
     return sized, decisions
 
 
 def draws_column() -> Column:
-    """array<struct<pass, block, shard>> of a document's draws, from key and its source's decision row."""
+    """array<struct<pass, block, shard, words>> of a document's draws, from key, size and its source's decision row."""
     block = _block(F.col("key"), F.col("n_blocks"))
-    partly = (F.col("key") <= F.col("last_key")) | F.coalesce(F.col("key") == F.col("extra_key"), F.lit(False))
-    count = F.col("passes") + partly.cast("int")
+    partly = F.when(F.col("key") <= F.col("last_key"), F.col("size")).when(F.col("key") == F.col("cut_key"), F.least(F.col("cut_words"), F.col("size")))
+    partly = F.coalesce(partly, F.lit(0).cast("long"))
+    drawn_again = (F.col("key") <= F.col("last_key")) | (partly > 0)
+    count = F.col("passes") + drawn_again.cast("int")
     drawn = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
     place = lambda p: p * F.col("n_blocks") + block
     shard = lambda p: F.least(F.size(F.filter("dealt", lambda c: c <= place(p))), F.size("dealt") - 1)
-    return F.transform(drawn, lambda p: F.struct(p.alias("pass"), block.alias("block"), shard(p).alias("shard")))
+    words = lambda p: F.when(p < F.col("passes"), F.col("size")).otherwise(partly)
+    return F.transform(drawn, lambda p: F.struct(p.alias("pass"), block.alias("block"), shard(p).alias("shard"), words(p).alias("words")))
+
+
+def first_words(text: Column, words: Column) -> Column:
+    """The text up to the end of a word, white space as it stands."""
+    return F.array_join(F.slice(F.split(text, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])", -1), F.lit(1), words.cast("int")), "")
 
 
 def mix_report(df: DataFrame, **names: str) -> DataFrame:
     """(doc_id, size, source_size, target, taken) of every document."""
     sized, decisions = plan(df, **names)
     joined = sized.join(F.broadcast(decisions), sized["source"].eqNullSafe(decisions["source"])).withColumn("draws", draws_column())
-    return joined.select("doc_id", "size", F.col("words").alias("source_size"), "target", (F.col("size") * F.size("draws")).alias("taken"))
+    return joined.select("doc_id", "size", F.col("words").alias("source_size"), "target", F.aggregate("draws", F.lit(0).cast("long"), lambda s, d: s + d["words"]).alias("taken"))
 
 
 def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """One row a draw: the columns of ``df``, then __shard and __order (the place within the shard)."""
+    """One row a draw: the columns of ``df``, then __shard, __order (the place within the shard) and __words.
+
+    The text of the one draw of a source that gives only part of its words ends there.
+    """
     _, decisions = plan(df, id_col, source_col, text_col, shards, seed)
-    narrow = decisions.select(F.col("source").alias("__source"), "n_blocks", "passes", "last_key", "extra_key", "dealt")
+    narrow = decisions.select(F.col("source").alias("__source"), "n_blocks", "passes", "last_key", "cut_key", "cut_words", "dealt")
     names = df.columns
     key = permutation_key(F.col(id_col), F.col(source_col), F.col(text_col), seed)
-    row = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"), key.alias("key"), F.col(source_col).alias("__own"))
+    row = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"), key.alias("key"), word_count(F.col(text_col)).alias("size"), F.col(source_col).alias("__own"))
     joined = row.join(F.broadcast(narrow), F.col("__own").eqNullSafe(F.col("__source")))
-    drawn = joined.select("__row", "key", F.explode(draws_column()).alias("__draw"))
+    drawn = joined.select("__row", "key", "size", F.explode(draws_column()).alias("__draw"))
+    words = F.col("__draw.words")
+    whole = F.col("__row").getField(text_col)
+    text = F.when(words < F.col("size"), first_words(whole, words)).otherwise(whole)
     return drawn.select(
-        *[F.col("__row").getField(c).alias(c) for c in names],
+        *[(text if c == text_col else F.col("__row").getField(c)).alias(c) for c in names],
         F.col("__draw.shard").alias("__shard"),
         F.xxhash64(F.lit(seed), F.col("key"), F.col("__draw.pass")).alias("__order"),
+        words.alias("__words"),
     )

@@ -124,6 +124,7 @@ class BlockMaxIndex:
         total = float(weight.sum())
         self.base = float((weight * toxic).sum()) / total if total else 0.0
         heavy = float(weight[blank].sum())
+        self.blank_seen = float((weight[blank] * toxic[blank]).sum()), heavy
         self.blank = (float((weight[blank] * toxic[blank]).sum()) + self.base) / (heavy + 1.0)
         self.n_blocks = -(-len(self.vectors) // BLOCK)
         self._dense: tuple[np.ndarray, np.ndarray] | None = None
@@ -180,13 +181,14 @@ class BlockMaxIndex:
 
     def calibrate(self) -> None:
         """Pool adjacent violators over the examples' votes, each without itself."""
-        if not len(self.vectors):
+        cases = [(self.vote(*self.nearest(t, v, skip=i)), self.weight[i] * self.toxic[i], self.weight[i]) for i, (t, v) in enumerate(self.vectors)]
+        if self.blank_seen[1]:
+            cases.append((self.blank, *self.blank_seen))
+        if not cases:
             return
-        votes = np.array([self.vote(*self.nearest(t, v, skip=i)) for i, (t, v) in enumerate(self.vectors)])
-        order = np.argsort(votes, kind="stable")
         pools: list[list[float]] = []
-        for i in order.tolist():
-            pools.append([votes[i], float(self.weight[i] * self.toxic[i]), float(self.weight[i])])
+        for case in sorted(cases):
+            pools.append([float(x) for x in case])
             while len(pools) > 1 and pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]:
                 _, y, w = pools.pop()
                 pools[-1][1] += y

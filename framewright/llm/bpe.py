@@ -16,7 +16,7 @@ import hashlib
 import json
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import pairwise
 
 import numpy as np
@@ -32,6 +32,7 @@ CACHED_CHARS = 64
 _NOT_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
 #: Chunks of these characters are composed already, and their lower case and pieces are plain to see.
 _COMMON = re.compile("[!-~À-ÖØ-öø-įĲ-ňŊ-ž]+")
+_PROSE = re.compile("[A-Za-zÀ-ÖØ-öø-įĲ-ňŊ-ž., \n]*")
 _PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[!-/:-@\\[-`{-~]+")
 _SPACES = re.compile("[\t-\r \x85\xa0  -     　]+")
 
@@ -75,11 +76,18 @@ class Encoder:
                 for a, b in pairwise(token.removesuffix(self.suffix) if self.suffix else token):
                     inside[self.to_byte[a] << 8 | self.to_byte[b]] = 1
         self.inside = bytes(inside) if cut else b"\1" * (1 << 16)
+        letters = [*range(65, 91), *range(97, 123)]
+        pairs = [bytes((a, b)) for a in letters for b in letters if not self.inside[a << 8 | b]]
+        # One branch for each first letter: the class of seconds that never follow it inside a token.
+        by_first = {p[:1]: b"".join(q[1:] for q in pairs if q[:1] == p[:1]) for p in pairs}
+        self.plain_cut = re.compile(b"|".join(a + b"[" + rest + b"]" for a, rest in by_first.items()) or b"(?!)")
         self._chunks: dict[str, bytes] = {}
         self._pieces: dict[str, bytes] = {}
 
     def fragments(self, piece: bytes) -> list[bytes]:
         """The piece cut wherever no token can reach across."""
+        if piece.isalpha() and self.plain_cut.search(piece) is None:  # isalpha() of bytes: ASCII letters alone
+            return [piece]
         inside = self.inside
         at = [i for i, (a, b) in enumerate(pairwise(piece), 1) if not inside[a << 8 | b]]
         if not at:
@@ -96,42 +104,37 @@ class Encoder:
 
     def _chunk(self, chunk: str) -> bytes:
         """Ids of a text without white space."""
-        out = []
         if _COMMON.fullmatch(chunk):
             pieces = _PIECES.findall(chunk.lower())
         else:
             mapped = self.lib.pre_tokenizer.pre_tokenize_str(self.lib.normalizer.normalize_str(chunk))
             pieces = [bytes(map(self.to_byte.__getitem__, p)).decode() for p, _ in mapped]
-        for piece in pieces:
-            ids = self._pieces.get(piece)
-            if ids is None:
-                ids = self._piece(piece.encode())
-                if len(piece) <= CACHED_CHARS:
-                    if len(self._pieces) >= CACHE_ENTRIES:
-                        self._pieces.clear()
-                    self._pieces[piece] = ids
-            out.append(ids)
-        return b"".join(out)
+        return self._joined(pieces, self._pieces, lambda piece: self._piece(piece.encode()))
+
+    @staticmethod
+    def _joined(parts: list[str], known: dict[str, bytes], make: Callable[[str], bytes]) -> bytes:
+        """Ids of parts end to end, from those known or else made; long parts are not kept."""
+        if len(known) >= CACHE_ENTRIES:
+            known.clear()
+        long = []
+        for part in [p for p in parts if p not in known]:
+            if part not in known:
+                known[part] = make(part)
+                if len(part) > CACHED_CHARS:
+                    long.append(part)
+        raw = b"".join(map(known.__getitem__, parts))
+        for part in long:
+            del known[part]
+        return raw
 
     def _plain(self, text: str) -> bytes:
+        if _PROSE.fullmatch(text) and not any(run in text for run in ("..", ",,", ".,", ",.")):
+            # Letters, single points and single commas: the pieces are plain to see.
+            pieces = text.lower().replace(".", " . ").replace(",", " , ").split()
+            return self._joined(pieces, self._pieces, lambda piece: self._piece(piece.encode()))
         odd = any(c in text for c in _NOT_SPACE)
         chunks = [c for c in _SPACES.split(text) if c] if odd else text.split()
-        known = self._chunks
-        try:
-            return b"".join(map(known.__getitem__, chunks))
-        except KeyError:
-            pass
-        if len(known) >= CACHE_ENTRIES:
-            known.clear()
-        out = []
-        for chunk in chunks:
-            ids = known.get(chunk)
-            if ids is None:
-                ids = self._chunk(chunk)
-                if len(chunk) <= CACHED_CHARS:
-                    known[chunk] = ids
-            out.append(ids)
-        return b"".join(out)
+        return self._joined(chunks, self._chunks, self._chunk)
 
     def encode(self, text: str) -> np.ndarray:
         if "<|" in text and self.special:

@@ -99,6 +99,70 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM pairs QUALIFY rank <= 5
 """
 
+MIXING_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    CAST(concat('0x', substr(md5(concat_ws(':', '20', coalesce(CAST(doc_id AS VARCHAR), '-'), coalesce(source, '-'), coalesce(text, '-'))), 1, 15)) AS BIGINT) AS key
+  FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS words, CAST([5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS w FROM d GROUP BY source
+), r AS (
+  SELECT *, 1.5 * sum(words) OVER () AS total, row_number() OVER (ORDER BY words / w, source) AS n FROM s
+), c AS (
+  SELECT *, bool_and(2.0 * words < w * (total - 2.0 * before) / after) OVER (ORDER BY n) AS capped FROM (
+    SELECT *, coalesce(sum(words) OVER (ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+      sum(w) OVER (ORDER BY n ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS after FROM r)
+), t AS (
+  SELECT source, words, CASE WHEN capped THEN 2.0 * words ELSE
+    w * (total - 2.0 * coalesce(sum(words) FILTER (capped) OVER (), 0)) / sum(w) FILTER (NOT capped) OVER () END AS target FROM c
+), q AS (
+  SELECT source, words, target, CASE WHEN words > 0 THEN floor(target / words) ELSE 0 END AS passes FROM t
+), k AS (
+  SELECT d.*, q.words, q.target, CAST(q.passes AS BIGINT) AS passes, q.target - q.passes * q.words AS rest,
+    sum(size) OVER (PARTITION BY d.source ORDER BY key RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+  FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source
+), e AS (
+  SELECT source, coalesce(max(upto) FILTER (upto <= rest), 0) AS filled, min(key) FILTER (upto > rest) AS cut_key FROM k GROUP BY source
+), m AS (
+  SELECT k.*, e.cut_key, round_even(rest - filled, 0) // count(*) FILTER (key = cut_key) OVER (PARTITION BY k.source) AS cut_words
+  FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source
+)
+SELECT doc_id, size, words AS source_size, target,
+  CAST(passes * size + CASE WHEN upto <= rest THEN size WHEN key = cut_key THEN least(size, cut_words) ELSE 0 END AS BIGINT) AS taken
+FROM m
+"""
+
+
+def _spans_sql(pattern: str, kind: int, keep: str, values: str = "m") -> str:
+    """SQL list of (start, kind, end) structs of a pattern's matches, from the lengths of matches and gaps."""
+    return f"""list_filter(list_transform(range(1, len({values}) + 1), lambda i: struct_pack(
+      start := CAST(coalesce(list_sum(list_transform(g[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT),
+      kind := {kind}, stop := CAST(coalesce(list_sum(list_transform(g[1:i], lambda x: length(x))), 0) + list_sum(list_transform(m[1:i], lambda x: length(x))) AS BIGINT),
+      v := {values}[i])), lambda s: {keep})"""
+
+
+def _secrets_sql() -> str:
+    from framewright.llm import secrets as S
+
+    quote = lambda p: p.replace("'", "''")
+    shaped = "regexp_full_match(s.v, '[A-Za-z0-9+/]{40}') AND regexp_matches(s.v, '[A-Z]') AND regexp_matches(s.v, '[a-z]') AND regexp_matches(s.v, '[0-9]')"
+    kinds = [(S.ASSIGN, "length(s.v) >= 8", 2), (S.ACCESS, "true", 0), (S.HEX, "true", 0), (S.BARE, shaped, 0), (S.IDENT, "true", 0), (S.ENDPOINT, "true", 0)]
+    parts = []
+    for i, (pattern, keep, group) in enumerate(kinds):
+        p = quote(pattern)
+        found = _spans_sql(p, i, keep, "vs" if group else "m")
+        values = f", regexp_extract_all(t, '{p}', {group}) AS vs" if group else ""
+        parts.append(f"s{i} AS (SELECT n, {found} AS s{i} FROM (SELECT n, regexp_extract_all(t, '{p}') AS m, string_split_regex(t, '{p}') AS g{values} FROM d))")
+    near = lambda a, others: f"len(list_filter({others}, lambda b: b.start <= {a}.stop + {S.SCOPE} AND b.stop >= {a}.start - {S.SCOPE} AND (b.stop <= {a}.start OR b.start >= {a}.stop))) > 0"
+    shown = lambda spans: f"array_to_string(list_transform(list_sort({spans}), lambda x: concat([{', '.join(repr(k) for k in S.KINDS)}][x.kind + 1], ':', x.start, ':', x.stop)), ',')"
+    return f"""WITH d AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS t FROM documents), {', '.join(parts)},
+a AS (SELECT * FROM d JOIN s0 USING (n) JOIN s1 USING (n) JOIN s2 USING (n) JOIN s3 USING (n) JOIN s4 USING (n) JOIN s5 USING (n)),
+l AS (SELECT doc_id, s0, s1, s2, list_concat(s0, list_concat(s1, s2)) AS base,
+  list_concat(list_filter(s3, lambda a: {near("a", "list_concat(list_concat(s1, s4), s5)")}),
+    list_concat(list_filter(s4, lambda a: {near("a", "list_concat(list_concat(s0, s2), s3)")}),
+      list_filter(s5, lambda a: {near("a", "list_concat(list_concat(s0, s2), s3)")} AND {near("a", "list_concat(s1, s4)")}))) AS linked FROM a)
+SELECT doc_id, len(s0) AS n_assign, len(s1) AS n_access, len(s2) AS n_hex, sha256({shown("base")}) AS base_sha256, {shown("list_concat(base, linked)")} AS spans FROM l"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_topk": TOPK_SQL}
+    return {"op4_mixing": MIXING_SQL, "op6_secrets": _secrets_sql(), "op8_topk": TOPK_SQL}

@@ -14,8 +14,9 @@ group as an enhanced suffix array: suffixes from the anchor on in order, their c
 stack scan over the common-prefix intervals. Within an interval of depth d, texts are ordered by what
 stands before the anchor; where that is diverse, the longest common left extension with any other
 member makes the maximal repeat of that member, and strings of ``LENGTH`` bytes inside it are marked,
-for all occurrences. Groups above ``BOUND`` members are dealt as pairs of chunks, so that every two
-members still meet.
+for all occurrences. An anchor with more than ``BOUND`` different surroundings never forms a group:
+its members' strings are hashed, settled per slice and dealt by hash instead, so work stays in
+proportion to the bytes and no task holds it all.
 
 Texts are bytes of UTF-8; matches never cross documents. Equal texts are worked on once and removed
 wholly if they have ``LENGTH`` bytes or more. Null and empty texts have no bytes; repeated rows and
@@ -37,7 +38,7 @@ from framewright.llm.common import RollingHash, buffers, materialize, mix64, par
 
 LENGTH = 200
 GRAM = 50
-BOUND = 8192
+BOUND = 4096
 SLICE = 1 << 20
 #: Entries that a task gathers before it deals them out.
 DEAL = 400_000
@@ -175,7 +176,7 @@ def _find(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
             e, repeats, several = _settle(e)
             first = _first_of(e["key"], e["hull"])
             rest = e[~first]
-            spans = merge_spans(rest["node"], rest["pos"].astype(np.int64) - rest["before"], rest["pos"].astype(np.int64) + rest["after"])
+            spans = _settled_spans(rest)
             sent, several = e[first], several[first]
             sent["flag"] = np.where(repeats[first], _MULTI, 0) | np.where(several, _KNOWN, 0)
             marker = sent[_first_of(sent["key"]) & several].copy()
@@ -206,7 +207,7 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     e, repeats, several = _settle(np.concatenate(held))
     real = (e["flag"] & _MARKER) == 0
     ready = e[real & repeats]
-    yield _marks(*merge_spans(ready["node"], ready["pos"].astype(np.int64) - ready["before"], ready["pos"].astype(np.int64) + ready["after"]))
+    yield _marks(*_settled_spans(ready))
     # One entry speaks for each surroundings; a marker stands for one that its own bucket sends.
     e, several = e[real], several[real]
     ask = e[_first_of(e["key"], e["hull"]) & several]
@@ -272,16 +273,93 @@ def repeat_offsets(left: list[bytes], right: list[bytes], length: int = LENGTH,
     return np.cumsum(change, axis=1)[:, : most + 1] > 0
 
 
+def _strings(node: int, text: bytes, places: list[int], length: int = LENGTH, gram: int = GRAM) -> np.ndarray:
+    """Entries of all strings that reach over one of the anchors at ``places``, keyed by their content."""
+    starts = [np.arange(max(0, p - length + gram), min(p, len(text) - length) + 1) for p in places]
+    at = np.unique(np.concatenate(starts))
+    prefix = _rolling.prefix(np.frombuffer(text, np.uint8))
+    e = np.zeros(len(at), _ENTRY)
+    e["key"] = e["hull"] = _rolling.spans(prefix, at, at + length)
+    e["node"], e["pos"], e["after"] = node, at, length
+    return e
+
+
+def _settled_spans(e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return merge_spans(e["node"], e["pos"].astype(np.int64) - e["before"], e["pos"].astype(np.int64) + e["after"])
+
+
+_SENT = "key long, kind int, node long, pos int, left binary, right binary"
+_GROUP, _LOT, _DONE = 0, 1, 2
+
+
+def _surroundings(bound: int, width: int):
+    """(node, asks, b) to what stage 2 compares: surroundings by anchor, or lots of hashed strings."""
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+    names = ["key", "kind", "node", "pos", "left", "right"]
+
+    def rows_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
+
+    def lots(waiting: list[np.ndarray], turn: int) -> pa.RecordBatch:
+        e, repeats, _ = _settle(np.concatenate(waiting))
+        first = _first_of(e["key"])
+        spans = np.stack(_settled_spans(e[~first])).astype(np.int64)
+        sent = e[first]
+        sent["flag"] = np.where(repeats[first], _MULTI, 0)
+        by = (sent["key"] % np.uint64(width)).astype(np.int64)
+        order = np.argsort(by, kind="stable")
+        cut = np.searchsorted(by[order], np.arange(width + 1))
+        out = [(i, _LOT, None, None, sent[order[cut[i] : cut[i + 1]]].tobytes(), None) for i in range(width) if cut[i] < cut[i + 1]]
+        return rows_of([*out, (turn % width, _DONE, None, None, spans.tobytes(), None)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[int] = set()
+        waiting: list[np.ndarray] = []
+        held = turn = 0
+        for batch in batches:
+            for node, asks, text in zip(*batch.columns, strict=True):
+                if (own := node.as_py()) in met:  # equal texts: once a task is enough
+                    continue
+                met.add(own)
+                b, rows, large = text.as_py(), [], []
+                for x in asks.as_py():
+                    p = x["pos"]
+                    if x["n"] > bound:
+                        large.append(p)
+                    else:
+                        rows.append((x["key"], _GROUP, own, p, b[max(0, p - LENGTH + GRAM) : p][::-1], b[p : p + LENGTH]))
+                if rows:
+                    yield rows_of(rows)
+                if large:
+                    waiting.append(_strings(own, b, large))
+                    held += len(waiting[-1])
+                if held >= DEAL:
+                    yield lots(waiting, turn)
+                    waiting, held, turn = [], 0, turn + 1
+        if waiting:
+            yield lots(waiting, turn)
+
+    return run
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stage 2: groups (key, i, j) of (node, pos, left, right) to marked spans."""
+    """Stage 2: groups (kind, key) to marked spans."""
     from framewright.llm.near_dedup import _groups
 
     out: list[tuple[int, int, int]] = []
-    for _, rows in _groups(batches, 3):
+    for (kind, _), rows in _groups(batches, 2):
+        if kind == _DONE:
+            for r in rows:
+                yield _marks(*np.frombuffer(r[2], np.int64).reshape(3, -1))
+            continue
+        if kind == _LOT:
+            e, repeats, _ = _settle(np.concatenate([np.frombuffer(r[2], _ENTRY) for r in rows]))
+            yield _marks(*_settled_spans(e[repeats]))
+            continue
         members = list({(node, pos): (node, pos, left, right) for node, pos, left, right in rows}.values())
         if len(members) > 1:
             marked = repeat_offsets([m[2] for m in members], [m[3] for m in members])
-            # An offset counts only if the string starts and ends inside the document.
+            # A run of offsets is a span of starts.
             edge = np.diff(np.pad(marked, ((0, 0), (1, 1))).astype(np.int8), axis=1)
             for i, o in zip(*np.nonzero(edge == 1), strict=True):
                 stop = o + int(np.argmax(edge[i, o:] == -1))
@@ -308,28 +386,8 @@ def repeated_spans(docs: DataFrame, bound: int = BOUND) -> DataFrame:
     asked = asked.join(large, "key", "left").select("node", F.struct("pos", "key", F.coalesce("n", F.lit(1)).alias("n")).alias("ask"))
     per_text = asked.groupBy("node").agg(F.collect_list("ask").alias("asks"))
 
-    def surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met: set[int] = set()
-        names = ["key", "node", "pos", "n", "left", "right"]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
-        for batch in batches:
-            for node, asks, text in zip(*batch.columns, strict=True):
-                if (own := node.as_py()) in met:  # equal texts: once a task is enough
-                    continue
-                met.add(own)
-                b = text.as_py()
-                rows = [(x["key"], own, p, x["n"], b[max(0, p - LENGTH + GRAM) : p][::-1], b[p : p + LENGTH]) for x in asks.as_py() for p in (x["pos"],)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
-
-    sent = docs.select("node", "b").join(per_text, "node").select("node", "asks", "b").mapInArrow(
-        surroundings, "key long, node long, pos int, n long, left binary, right binary"
-    )
-    chunks = F.ceil(F.col("n") / bound).cast("int")
-    own = F.pmod(F.xxhash64("node", "pos"), chunks).cast("int")
-    pair = lambda x: F.struct(F.least("own", x).alias("i"), F.greatest("own", x).alias("j"))
-    dealt = sent.withColumn("own", own).withColumn("task", F.explode(F.transform(F.sequence(F.lit(0), chunks - 1), pair)))
-    dealt = dealt.select("key", F.col("task.i").alias("i"), F.col("task.j").alias("j"), "node", "pos", "left", "right")
-    dealt = dealt.repartition(parts(spark), "key", "i", "j").sortWithinPartitions("key", "i", "j")
+    sent = docs.select("node", "b").join(per_text, "node").select("node", "asks", "b").mapInArrow(_surroundings(bound, width), _SENT)
+    dealt = sent.select("kind", "key", "node", "pos", "left", "right").repartition(parts(spark), "kind", "key").sortWithinPartitions("kind", "key")
     matched = materialize(dealt.mapInArrow(_compare, _MARKS), "repeat-matches")
     release(spark)
     return marks.where("key is null").unionByName(matched).select("node", "start", "end")

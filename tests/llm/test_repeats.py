@@ -33,7 +33,7 @@ def cases():
     return [*rng_docs, *[(1000 + i, t, "en", "s", 1, "", 1, "") for i, t in enumerate(extra)]]
 
 
-@pytest.mark.parametrize("bound", [8192, 2])
+@pytest.mark.parametrize("bound", [4096, 2])
 def test_removal_matches_counting(spark, bound):
     rows = cases()
     got = Counter(tuple(r) for r in report(frame(spark, rows), bound=bound).collect())

@@ -299,7 +299,8 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound
         label = components(links).select("node", F.col("component").alias("class_node"))
     else:  # every group was one task, whose links already lead to its classes' smallest nodes
         label = links.select(F.col("u").alias("node"), F.col("v").alias("class_node")).unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("class_node"))).distinct()
-    joined = signed.select("doc_id", "node", "blank").join(label, "node", "left")
+    # Written out, so that the join's two sides are plain exchanges and a node with many copies can be split.
+    joined = signed.select("doc_id", "node", "blank").join(materialize(label, "near-labels"), "node", "left")
     return joined.select("doc_id", "node", "blank", F.when(~F.col("blank"), F.coalesce("class_node", "node")).alias("class_node"))
 
 
@@ -312,8 +313,8 @@ def keepers(found: DataFrame) -> DataFrame:
 
 def report(df: DataFrame, **names: str) -> DataFrame:
     """(doc_id, class_id, class_size) of every row; class_id is the smallest doc_id of its class."""
-    found = classes(df, **names)
-    return found.join(keepers(found), "class_node", "left").select(
+    found = materialize(classes(df, **names), "near-classes")
+    return found.join(materialize(keepers(found), "near-keepers"), "class_node", "left").select(
         "doc_id",
         F.when(F.col("blank"), F.col("doc_id")).otherwise(F.col("keep_id")).alias("class_id"),
         F.coalesce("n", F.lit(1)).alias("class_size"),
@@ -322,8 +323,7 @@ def report(df: DataFrame, **names: str) -> DataFrame:
 
 def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that stand for their class; blank texts all stay."""
-    found = classes(df, id_col, text_col)
-    keep = keepers(found).select(F.col("keep_id").alias("__keep_id"), F.col("keep_node").alias("__keep_node"))
+    keep = materialize(keepers(classes(df, id_col, text_col)), "near-keepers").select(F.col("keep_id").alias("__keep_id"), F.col("keep_node").alias("__keep_node"))
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     own = df.withColumn("__node", F.xxhash64(text)).withColumn("__blank", ~text.rlike(r"\S"))
     stays = own.join(keep, (F.col("__node") == F.col("__keep_node")) & F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__keep_id")), "left_semi")

@@ -127,3 +127,25 @@ def fill_boxes(df: DataFrame, boxes: Column, into: str = "m") -> DataFrame:
         (F.col("x") >= F.element_at(d["box"], 1)) & (F.col("x") < F.element_at(d["box"], 3)) & (F.col("y") >= F.element_at(d["box"], 2)) & (F.col("y") < F.element_at(d["box"], 4))
     )
     return df.withColumn(into, F.exists(boxes, inside))
+
+
+def fill_polygons(df: DataFrame, polygons: Column, into: str = "m") -> DataFrame:
+    """Mask of the pixels that lie inside a polygon of the row's list of (x, y) points, by the even-odd rule."""
+
+    def crosses(poly: Column, i: Column) -> Column:
+        a, b = F.element_at(poly, i), F.element_at(poly, F.pmod(i, F.size(poly)) + 1)
+        spans = (a["y"] > F.col("y")) != (b["y"] > F.col("y"))
+        at = a["x"] + (F.col("y") - a["y"]) * F.try_divide(b["x"] - a["x"], b["y"] - a["y"])
+        return spans & (F.col("x") < at)
+
+    def inside(poly: Column) -> Column:
+        return F.size(F.filter(F.sequence(F.lit(1), F.size(poly)), lambda i: crosses(poly, i))) % 2 == 1
+
+    return df.withColumn(into, F.exists(polygons, inside))
+
+
+def right_half(df: DataFrame, splits: DataFrame, frame_keys: list[str], width: int, margin: int = 2) -> DataFrame:
+    """Pixels to the right of each frame's split; a negative split stands for the middle."""
+    at = F.when(F.col("split_x") < 0, F.lit(width // 2)).otherwise(F.col("split_x")) + margin
+    joined = df.join(splits.select(*frame_keys, at.cast("int").alias("__x0")), frame_keys)
+    return joined.where(F.col("x") >= F.col("__x0")).withColumn("x", F.col("x") - F.col("__x0")).drop("__x0")

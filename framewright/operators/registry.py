@@ -85,3 +85,14 @@ def stages(registry: DataFrame, column: str = "video_processor") -> DataFrame:
 def override_stage(registry: DataFrame, name: str, config: str, column: str = "video_processor") -> DataFrame:
     """One stage in place of each item's own list."""
     return registry.withColumn(column, F.array(F.struct(F.lit(name).alias("name"), F.lit(config).alias("config"))))
+
+
+def lookup(registry: DataFrame, source: str, video_id: object, id_col: str = "video_id") -> DataFrame:
+    """One item, or no row if it is unknown."""
+    return registry.where((F.col("source") == source) & (F.col(id_col) == video_id))
+
+
+def neighbours(df: DataFrame, keys: list[str], index: str = "ref_idx") -> DataFrame:
+    """The places that a pager's back and forward buttons lead to; the ends stay where they are."""
+    last = F.count("*").over(Window.partitionBy(*keys)) - 1
+    return df.withColumns({"previous": F.greatest(F.lit(0), F.col(index) - 1), "next": F.least(last, F.col(index) + 1)})

@@ -167,4 +167,26 @@ SELECT p_partkey, w AS best_width, h AS best_height FROM c QUALIFY row_number()
     "prompt_lookup": f"WITH {_WANTED} SELECT doc_id, prompt FROM w",
     "uncovered_prompts": f"""WITH {_WANTED} SELECT doc_id, prompt FROM w
 WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = w.doc_id AND CASE WHEN l.quality = 1 THEN 'a painting' ELSE 'une toile' END = w.prompt)""",
+    "canvas_by_split": f"""WITH {_G}, d AS (SELECT vec_id, x, abs(coalesce(lead(v) OVER w - lag(v) OVER w, 0)) AS c FROM g WINDOW w AS (PARTITION BY vec_id, y ORDER BY x)),
+c AS (SELECT vec_id, x, CASE WHEN x >= 2 AND x < 6 THEN sum(c) ELSE 0 END AS s FROM d GROUP BY vec_id, x),
+p AS (SELECT vec_id, x + 2 AS x0 FROM c QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, x) = 1)
+SELECT vec_id, count(*) AS n, CAST(sum(v * (x - x0 + 1)) AS BIGINT) AS weighted FROM g JOIN p USING (vec_id) WHERE x >= x0 GROUP BY vec_id""",
+    "box_fill": """WITH b AS (SELECT vec_id, list_transform([1, 3], lambda i: [CAST(floor(abs(CAST(embedding[i] AS DOUBLE)) * 40) AS INTEGER), CAST(floor(abs(CAST(embedding[i + 1] AS DOUBLE)) * 40) AS INTEGER)]) AS b FROM embeddings)
+SELECT vec_id, count(*) FILTER (len(list_filter(b, lambda c: x >= c[1] AND x < c[1] + 3 AND y >= c[2] AND y < c[2] + 2)) > 0) AS n
+FROM b, (SELECT unnest(range(8)) AS y), (SELECT unnest(range(8)) AS x) GROUP BY vec_id""",
+    "polygon_fill": """WITH p AS (SELECT vec_id, unnest([1, 2, 3, 4]) AS i, list_transform([1, 3, 5, 7], lambda i: [floor(abs(CAST(embedding[i] AS DOUBLE)) * 100), floor(abs(CAST(embedding[i + 1] AS DOUBLE)) * 100)]) AS p FROM embeddings),
+e AS (SELECT vec_id, p[i][1] AS ax, p[i][2] AS ay, p[i % 4 + 1][1] AS qx, p[i % 4 + 1][2] AS qy FROM p),
+c AS (SELECT vec_id, y, x, count(*) FILTER ((ay > y) <> (qy > y) AND x < ax + (y - ay) * ((qx - ax) / (qy - ay))) AS n
+  FROM e, (SELECT unnest(range(16)) AS y), (SELECT unnest(range(16)) AS x) GROUP BY vec_id, y, x)
+SELECT vec_id, count(*) FILTER (n % 2 = 1) AS n FROM c GROUP BY vec_id""",
+    "resize_geometry": """WITH s AS (SELECT p_partkey, p_size * 7 + 3 AS w, p_partkey % 90 + 11 AS h FROM part),
+f AS (SELECT *, least(64 / CAST(w AS DOUBLE), 48 / CAST(h AS DOUBLE)) AS a, greatest(64 / CAST(w AS DOUBLE), 48 / CAST(h AS DOUBLE)) AS b FROM s),
+g AS (SELECT *, CAST(greatest(1, floor(w * a)) AS INTEGER) AS fw, CAST(greatest(1, floor(h * a)) AS INTEGER) AS fh FROM f)
+SELECT p_partkey, fw AS width, fh AS height, 64 - fw AS "left", 48 - fh AS top, CAST(floor((ceil(w * b) - 64) / 2) AS INTEGER) AS crop_x, CAST(floor((ceil(h * b) - 48) / 2) AS INTEGER) AS crop_y,
+  CAST(ceil(w / 8.0) * 8 AS BIGINT) AS padded FROM g""",
+    "overlay_blend": f"WITH {_G} SELECT vec_id, CAST(sum(floor(0.5 * v + 0.5 * CASE WHEN v > 128 THEN 255 ELSE 0 END)) AS BIGINT) AS total FROM g GROUP BY vec_id",
+    "point_lookup": "SELECT doc_id, source, lang FROM documents WHERE source = 'src3' AND doc_id = 3",
+    "override_stage": "SELECT doc_id, 'tag' AS stage_name FROM documents",
+    "pager": "SELECT conv_id, turn AS ref_idx, greatest(0, turn - 1) AS previous, least(count(*) OVER (PARTITION BY conv_id) - 1, turn + 1) AS next FROM conversations",
+    "clear_tags": "SELECT doc_id, CASE WHEN lang = 'en' THEN 0 ELSE -1 END AS n_tags, lang <> 'en' AS missing FROM documents",
 }

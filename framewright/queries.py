@@ -470,3 +470,68 @@ def prompt_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def uncovered_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, "a painting").otherwise("une toile").alias("prompt"))
     return tags.uncovered(_wanted(spark, sf_dir).select("doc_id", "prompt"), made, ["doc_id"])
+
+
+# Geometry, lookups and the viewer's helpers
+
+
+@query
+def canvas_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pixels = grid(spark, sf_dir)
+    found = masks.split_column(pixels, ["vec_id"], 8, left=0.25, right=0.75)
+    kept = masks.right_half(pixels, found, ["vec_id"], 8)
+    return kept.groupBy("vec_id").agg(F.count("*").alias("n"), F.sum(F.col("v") * (F.col("x") + 1)).alias("weighted"))
+
+
+@query
+def box_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    side = lambda i: F.floor(F.abs(F.element_at("embedding", i).cast("double")) * 40).cast("int")
+    boxes = F.array(*[F.struct(F.array(side(i), side(i + 1), side(i) + 3, side(i + 1) + 2).alias("box")) for i in (1, 3)])
+    own = table(spark, sf_dir, "embeddings").select("vec_id", boxes.alias("boxes"))
+    cells = own.withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(7)))).withColumn("x", F.explode(F.sequence(F.lit(0), F.lit(7))))
+    return masks.fill_boxes(cells, F.col("boxes")).groupBy("vec_id").agg(F.count_if("m").alias("n"))
+
+
+@query
+def polygon_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corner = lambda i: F.floor(F.abs(F.element_at("embedding", i).cast("double")) * 100).cast("double")
+    points = F.array(*[F.struct(corner(i).alias("x"), corner(i + 1).alias("y")) for i in (1, 3, 5, 7)])
+    own = table(spark, sf_dir, "embeddings").select("vec_id", F.array(points).alias("polygons"))
+    cells = own.withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(15)))).withColumn("x", F.explode(F.sequence(F.lit(0), F.lit(15))))
+    return masks.fill_polygons(cells, F.col("polygons")).groupBy("vec_id").agg(F.count_if("m").alias("n"))
+
+
+@query
+def resize_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w, h = F.col("p_size") * 7 + 3, F.pmod(F.col("p_partkey"), F.lit(90)) + 11
+    rows = table(spark, sf_dir, "part").select("p_partkey", P.contain_size(w, h, 64, 48).alias("fit"), P.cover_crop(w, h, 64, 48).alias("crop"), P.ceil_modulo(w, 8).alias("padded"))
+    return rows.select("p_partkey", "fit.*", F.col("crop.x").alias("crop_x"), F.col("crop.y").alias("crop_y"), "padded")
+
+
+@query
+def overlay_blend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pixels = grid(spark, sf_dir).withColumn("o", F.when(F.col("v") > 128, F.lit(255)))
+    return pixels.groupBy("vec_id").agg(F.sum(P.blend(F.col("v"), F.col("o"), 0.5)).alias("total"))
+
+
+@query
+def point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return registry.lookup(table(spark, sf_dir, "documents"), "src3", 3, "doc_id").select("doc_id", "source", "lang")
+
+
+@query
+def override_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "documents").select("doc_id", F.array(F.struct(F.lit("extract").alias("name"), F.lit("{}").alias("config"))).alias("video_processor"))
+    return registry.stages(registry.override_stage(items, "tag", "{}")).select("doc_id", F.col("stage.name").alias("stage_name"))
+
+
+@query
+def pager(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").alias("ref_idx"))
+    return registry.neighbours(turns, ["conv_id"])
+
+
+@query
+def clear_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("lang") == "en", F.array("source")).alias("reference_frame_tags"))
+    return registry.clear_tags(rows).select("doc_id", F.coalesce(F.size("reference_frame_tags"), F.lit(-1)).alias("n_tags"), F.col("reference_frame_tags").isNull().alias("missing"))

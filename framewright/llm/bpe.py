@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Entries that a worker keeps of each cache before it starts afresh.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 300_000
 #: Chunks longer than this are encoded anew each time.
 CACHED_CHARS = 64
 #: Separators that str.split() honours and the tokenizer's white-space class does not.

@@ -42,7 +42,9 @@ BANDS = 30
 SIZE = ROWS * BANDS
 LOOSE = 0.67
 BOUND = 4096
-_CACHE = 400_000
+_CACHE = 200_000
+#: Rows that a task works on at a time.
+_LOT = 512
 _K1, _K2, _K3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -145,7 +147,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shingle = Shingler()
     names = ["doc_id", "node", "blank", "sig", "bands"]
     for batch in batches:
-        for part in (batch.slice(i, 1024) for i in range(0, batch.num_rows, 1024)):
+        for part in (batch.slice(i, _LOT) for i in range(0, batch.num_rows, _LOT)):
             bags = [shingle(text.as_py()) for text in part.column(2)]
             blank = [not len(h) for h, _ in bags]
             signed = iter(signatures([bag for bag in bags if len(bag[0])]))
@@ -160,8 +162,9 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
     """Consecutive rows that agree in their first ``n_keys`` columns."""
     key, rows = None, []
-    for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+    lots = (batch.slice(i, _LOT) for batch in batches for i in range(0, batch.num_rows, _LOT))
+    for lot in lots:
+        for row in zip(*(c.to_pylist() for c in lot.columns), strict=True):
             if row[:n_keys] != key:
                 if rows:
                     yield key, rows
@@ -281,7 +284,7 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound
 
     def multisets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, met = Shingler(), set()
-        for batch in batches:
+        for batch in (b.slice(i, _LOT) for b in batches for i in range(0, b.num_rows, _LOT)):
             rows = []
             for component, node, n, sig, own in zip(*batch.columns, strict=True):
                 if (key := node.as_py()) not in met:  # copies: once a task is enough

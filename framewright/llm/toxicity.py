@@ -45,7 +45,7 @@ DAMPING = 0.3
 BLOCK = 64
 FOLDS = 5
 _WORD = re.compile(r"[^\W_]+")
-_CACHE = 300_000
+_CACHE = 150_000
 
 
 def held_out(id_col: Column, folds: int = FOLDS) -> Column:

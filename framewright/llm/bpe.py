@@ -111,6 +111,11 @@ class Encoder:
             pieces = [bytes(map(self.to_byte.__getitem__, p)).decode() for p, _ in mapped]
         return self._joined(pieces, self._pieces, lambda piece: self._piece(piece.encode()))
 
+    def forget(self) -> None:
+        """Give back the memory of what was met; the worker may go on to other work."""
+        self._chunks.clear()
+        self._pieces.clear()
+
     @staticmethod
     def _joined(parts: list[str], known: dict[str, bytes], make: Callable[[str], bytes]) -> bytes:
         """Ids of parts end to end, from those known or else made; long parts are not kept."""
@@ -195,5 +200,6 @@ def digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
                 [batch.column(0), pa.array(count, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        enc.forget()
 
     return picked.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -70,3 +70,23 @@ def test_chain_and_guard(spark):
     assert not_done(rows, rows.where("k = 1"), ["k"]).count() == 0
     with pytest.raises(ValueError):
         Chain().then("nothing")
+
+
+def test_replacing_needs_a_place_of_its_own(spark):
+    refs = spark.createDataFrame([("v", 0, "a"), ("v", 1, "b")], "v string, ref_idx int, x string")
+    new = spark.createDataFrame([("v", 1, "c"), ("v", 5, "d")], "v string, ref_idx int, x string")
+    got = registry.replace(refs, new, ["v", "ref_idx"])
+    assert sorted((r["ref_idx"], r["x"]) for r in got.collect()) == [(0, "a"), (1, "c")]
+
+
+def test_upsert_keeps_what_is_not_written(spark):
+    old = spark.createDataFrame([(1, "a", 5), (2, "b", 6)], "id int, x string, n int")
+    new = spark.createDataFrame([(2, None, 7), (3, "z", None)], "id int, x string, n int")
+    got = registry.upsert(old, new, ["id"], ["x", "n"])
+    assert sorted(map(tuple, got.collect())) == [(1, "a", 5), (2, "b", 7), (3, "z", None)]
+
+
+def test_pager_stays_within_its_ends(spark):
+    df = spark.createDataFrame([("v", i) for i in range(3)], "v string, ref_idx int")
+    got = registry.neighbours(df, ["v"]).orderBy("ref_idx").collect()
+    assert [(r["previous"], r["next"]) for r in got] == [(0, 1), (0, 2), (1, 2)]

@@ -135,3 +135,23 @@ def test_keyframe_step(spark):
     assert (got["start_idx"], got["end_idx"]) == (0, 32)
     with pytest.raises(ZeroDivisionError):
         series.keyframes(df, ["k"], ["p"], step=0)
+
+
+def test_unread_frames_are_no_hit(spark):
+    df = spark.createDataFrame([(1, 0, None), (1, 1, True), (1, 2, None)], "k long, i long, hit boolean")
+    got = series.first_last_hit(df, ["k"], stride=1).first()
+    assert (got["start_idx"], got["end_idx"]) == (1, 1)
+
+
+def test_strict_keyframes_look_at_the_first_places_only(spark):
+    # 13 frames, step 3: the strict counter stops at frame 4 and so sees two of five.
+    df = spark.range(13).select(F.lit(1).alias("k"), F.col("id").alias("i"), F.lit(0).alias("p"), F.lit(5).cast("long").alias("v"))
+    assert series.keyframes(df, ["k"], ["p"], changes=1, step=3).count() == 1
+    assert series.keyframes(df, ["k"], ["p"], changes=1, step=3, strict=True).count() == 0
+
+
+def test_extraction_names_its_frames(spark):
+    df = spark.range(6).select(F.lit(1).alias("k"), F.col("id").alias("i"))
+    got = series.uniform_extraction(df, 25, 10).orderBy("i").collect()
+    assert [(r["i"], r["file_name"]) for r in got] == [(0, "00000000.png"), (2, "00000002.png"), (4, "00000004.png")]
+    assert series.uniform_extraction(df, 25).count() == 6

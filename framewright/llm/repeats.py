@@ -382,7 +382,8 @@ def repeated_spans(docs: DataFrame, bound: int = BOUND) -> DataFrame:
     marks = materialize(found.repartition(parts(spark), "bucket").mapInArrow(_decide, _MARKS), "repeat-marks")
     release(spark)
     asked = marks.where("key is not null").select("node", F.col("start").alias("pos"), "key").distinct()
-    large = asked.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > bound)
+    # Written out: a few rows as a rule, so the join below need not deal a common anchor's entries to one task.
+    large = materialize(asked.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > bound), "repeat-common")
     asked = asked.join(large, "key", "left").select("node", F.struct("pos", "key", F.coalesce("n", F.lit(1)).alias("n")).alias("ask"))
     per_text = asked.groupBy("node").agg(F.collect_list("ask").alias("asks"))
 

@@ -3,8 +3,9 @@
 Learning uses a bounded sample of labelled rows: by default the 2,000 toxic and 4,000 clean examples
 with the smallest hashes (``max_toxic``, ``max_clean``), equal texts being one example. Terms
 are words and their first four to eight letters, so that inflected forms meet, each in tiers of how
-often a text has it; a term is kept when its association with a label passes a G-test in the sample. Document frequencies for the weights come
-from all documents.
+often a text has it; every term in three examples or more is kept whose association with a label passes
+a G-test in the sample. The sample bounds their number. Other terms are not in the vectors: the cosine
+is exact over the kept terms. Document frequencies for the weights come from all documents.
 
 The examples stand in an inverted index whose postings are cut into blocks of 64 examples. Each
 block keeps its largest weight per term, which bounds the cosine of every example in it: blocks are
@@ -33,11 +34,9 @@ from framewright.llm.common import materialize
 
 MAX_TOXIC = 2000
 MAX_CLEAN = 4000
-MAX_TERMS = 1024
 MIN_EXAMPLES = 3
-#: A term's G must pass MIN_G + G_GROWTH * log(examples / 400): larger samples try more chance terms.
+#: The G that a term must reach, whatever the size of the sample; all terms that reach it are kept.
 MIN_G = 12.0
-G_GROWTH = 3.0
 #: A stem counts once for each of these numbers of occurrences that it reaches.
 TIERS = (1, 2, 3, 5)
 NEIGHBOURS = 15
@@ -108,6 +107,13 @@ def select_terms(rows: list[tuple[str, int, int, int]], most: int) -> list[tuple
     return sorted([(stem, tier) for stem, tier, p, n in rows if (stem, tier, p, n) not in held][:most])
 
 
+def _ranges(first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of its range, member) of all members of the ranges [first, end), one range after the other."""
+    size = end - first
+    own = np.repeat(np.arange(len(size)), size)
+    return own, np.arange(len(own)) + (first - np.cumsum(size) + size)[own]
+
+
 class BlockMaxIndex:
     """Exact nearest examples by cosine, block by block."""
 
@@ -127,22 +133,21 @@ class BlockMaxIndex:
         self.blank_seen = float((weight[blank] * toxic[blank]).sum()), heavy
         self.blank = (float((weight[blank] * toxic[blank]).sum()) + self.base) / (heavy + 1.0)
         self.n_blocks = -(-len(self.vectors) // BLOCK)
-        self._dense: tuple[np.ndarray, np.ndarray] | None = None
+        # Postings by term, then example; a cell is the part of a term's postings that lies in one block.
+        term = np.concatenate([t for t, _ in self.vectors] or [np.zeros(0, np.int64)])
+        value = np.concatenate([w for _, w in self.vectors] or [np.zeros(0)])
+        at = np.repeat(np.arange(len(self.vectors)), [len(t) for t, _ in self.vectors])
+        by = np.lexsort((at, term))
+        self.post_at, self.post_value = at[by].astype(np.int32), value[by]
+        key = term[by] * max(1, self.n_blocks) + self.post_at // BLOCK
+        start = np.flatnonzero(np.diff(key, prepend=-1))
+        self.cell_first = np.append(start, len(key))
+        self.cell_block = (key[start] % max(1, self.n_blocks)).astype(np.int32)
+        self.cell_max = np.maximum.reduceat(self.post_value, start) if len(key) else np.zeros(0)
+        self.term_first = np.searchsorted(key[start], np.arange(len(idf) + 1) * max(1, self.n_blocks))
         self.steps: tuple[np.ndarray, np.ndarray] | None = None
         self.vocabulary: list[tuple[str, int]] = []
 
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"_dense": None}
-
-    def postings(self) -> tuple[np.ndarray, np.ndarray]:
-        """(weights of each term's postings by example, their maxima by block); at most MAX_TERMS rows."""
-        if self._dense is None:
-            weights = np.zeros((len(self.idf), self.n_blocks * BLOCK))
-            for i, (terms, value) in enumerate(self.vectors):
-                weights[terms, i] = value
-            self._dense = weights, weights.reshape(len(self.idf), self.n_blocks, BLOCK).max(axis=2)
-        return self._dense
-
     def weigh(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         value = self.idf[terms]
         norm = float(np.sqrt((value * value).sum()))
@@ -152,8 +157,9 @@ class BlockMaxIndex:
         """(places, cosines) of the k nearest examples that share a term, the nearest first, ties to the earlier."""
         if not self.n_blocks:
             return np.zeros(0, np.int64), np.zeros(0)
-        weights, maxima = self.postings()
-        bound = value @ maxima[terms]
+        own, cells = _ranges(self.term_first[terms], self.term_first[terms + 1])
+        blocks, own = self.cell_block[cells], value[own]
+        bound = np.bincount(blocks, own * self.cell_max[cells], minlength=self.n_blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[: np.count_nonzero(bound > 0)]
         places, cosines = np.zeros(0, np.int64), np.zeros(0)
@@ -165,7 +171,12 @@ class BlockMaxIndex:
             done += step
             step *= 4
             at = (picked[:, None] * BLOCK + np.arange(BLOCK)[None, :]).ravel()
-            score = value @ weights[terms[:, None], at[None, :]]
+            slot = np.full(self.n_blocks, -1)
+            slot[picked] = np.arange(len(picked))
+            met = np.flatnonzero(slot[blocks] >= 0)
+            cell, posts = _ranges(self.cell_first[cells[met]], self.cell_first[cells[met] + 1])
+            place = slot[blocks[met]][cell] * BLOCK + self.post_at[posts] % BLOCK
+            score = np.bincount(place, own[met][cell] * self.post_value[posts], minlength=len(at))
             keep = np.flatnonzero((score > 0) & (at != skip))
             places, cosines = np.concatenate([places, at[keep]]), np.concatenate([cosines, score[keep]])
             best = np.lexsort((places, -cosines))[:k]
@@ -234,8 +245,8 @@ def fit(documents: DataFrame, labels: DataFrame, usable: Column, max_toxic: int
         part = lambda x, e: F.when(x > 0, x * F.log(x / e)).otherwise(0.0)
         rate = (p + n) / (a + b)
         g = 2 * (part(p, a * rate) + part(n, b * rate) + part(a - p, a * (1 - rate)) + part(b - n, b * (1 - rate)))
-        kept = per_term.withColumn("g", g).where(F.col("g") >= MIN_G + G_GROWTH * max(0.0, float(np.log((n_toxic + n_clean) / 400)))).orderBy(F.desc("g"), "stem", "tier").limit(8 * MAX_TERMS)
-        vocabulary = select_terms([(r["stem"], r["tier"], r["p"], r["n"]) for r in kept.collect()], MAX_TERMS)
+        kept = per_term.withColumn("g", g).where(F.col("g") >= MIN_G).orderBy(F.desc("g"), "stem", "tier").collect()
+        vocabulary = select_terms([(r["stem"], r["tier"], r["p"], r["n"]) for r in kept], len(kept))
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms_of = Features(vocabulary)
         for batch in batches:
@@ -245,7 +256,7 @@ def fit(documents: DataFrame, labels: DataFrame, usable: Column, max_toxic: int
     features = materialize(documents.select("doc_id", "text").mapInArrow(run, "doc_id long, terms array<int>"), "toxicity-features")
     if not vocabulary:
         return None, features, []
-    # Document frequencies over all documents; at most MAX_TERMS rows come back.
+    # Document frequencies over all documents; one row for each kept term comes back.
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(len(vocabulary), np.int64)
         for batch in batches:

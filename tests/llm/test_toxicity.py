@@ -92,3 +92,15 @@ def test_words_reach_the_vocabulary():
 def test_crc_matches(spark):
     got = spark.range(50).select("id", toxicity.held_out(F.col("id")).alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % 5 == 0) for r in got)
+
+
+def test_all_terms_that_pass_count_at_any_sample_size(spark):
+    rng = random.Random(5)
+    insults = [f"z{a}{b}{c}" for a in "bcdfghjklmn" for b in "aeiou" for c in "bcdfghjklmnpqrstvwxz"]
+    rows = [(i, " ".join([*sentence(rng, 20).split(), *(rng.sample(insults, 400) if i % 20 == 0 else [])]), "en", "s", 1, "", 1, "") for i in range(1500)]
+    labels = [(i, 1, int(i % 5 == 0)) for i in range(1500)]
+    rare = [i for i in range(5, 1500, 20) if zlib.crc32(str(i).encode()) % 5][:4]
+    rows = [(r[0], r[1] + " grotwurm", *r[2:]) if r[0] in rare else r for r in rows]
+    index, _, _ = toxicity.fit(toxicity._own(frame(spark, rows)), table(spark, labels).drop("quality"), F.lit(True))
+    assert ("grotwurm", 1) in index.vocabulary
+    assert {(x, 1) for x in insults} <= set(index.vocabulary)

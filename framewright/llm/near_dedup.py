@@ -43,6 +43,8 @@ SIZE = ROWS * BANDS
 LOOSE = 0.67
 BOUND = 4096
 _CACHE = 200_000
+#: What str.split() splits at, and so what the words of Shingler never hold. None is beyond the first 65,536 characters.
+_SPACES = "".join(c for c in map(chr, range(0x10000)) if c.isspace())
 #: Rows that a task works on at a time.
 _LOT = 512
 _K1, _K2, _K3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -328,7 +330,7 @@ def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """The rows of ``df`` that stand for their class; blank texts all stay."""
     keep = materialize(keepers(classes(df, id_col, text_col)), "near-keepers").select(F.col("keep_id").alias("__keep_id"), F.col("keep_node").alias("__keep_node"))
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    own = df.withColumn("__node", F.xxhash64(text)).withColumn("__blank", ~text.rlike(r"\S"))
+    own = df.withColumn("__node", F.xxhash64(text)).withColumn("__blank", ~text.rlike(f"[^{_SPACES}]"))
     stays = own.join(keep, (F.col("__node") == F.col("__keep_node")) & F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__keep_id")), "left_semi")
     once = Window.partitionBy("__node", F.col(f"`{id_col}`")).orderBy("__node")
     stays = stays.where(~F.col("__blank")).withColumn("__r", F.row_number().over(once)).where("__r = 1").drop("__r")

@@ -97,3 +97,11 @@ def test_components(spark):
     edges = [(i + 1, i) for i in range(30)] + [(100, 200), (200, 150), (7, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {i: 0 for i in range(31)} | {100: 100, 150: 100, 200: 100}
+
+
+def test_blank_is_one_rule(spark):
+    texts = ["\xa0", "\u3000\u3000", "\u2003 \n", "\x85", "\x1c\x1f", "\u200b", "a\xa0"]
+    rows = [(10 * i + j, t, "en", "s", 1, "", 1, "") for i, t in enumerate(texts) for j in (0, 1)]
+    got = {r["doc_id"] for r in nd.deduplicate(frame(spark, rows)).collect()}
+    assert got == {10 * i + j for i, t in enumerate(texts) for j in (0, 1) if not t.split() or j == 0}
+    assert set(nd._SPACES) == {chr(i) for i in range(0x110000) if not chr(i).split()}

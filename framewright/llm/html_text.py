@@ -43,11 +43,52 @@ _UNLIKELY = re.compile(
     re.I,
 )
 _CONTENT = frozenset("html body article main".split())
+#: Names that tell what a page has or lacks, not what an element is.
+_STATED = re.compile(r"(?<![A-Za-z0-9])(?:no|not|non|without|with|has|have)[_-](?:(?:left|right|top|bottom|sticky|fixed|main|primary)[_-])?[^\s_-]+", re.I)
+_READERS = re.compile(r"(?:^|[\s_-])(?:comments?|comment-?list|disqus|replies|respond)(?:$|[\s_-])", re.I)
+_HEADS = frozenset("h1 main article".split())
+#: More characters than this outside links read like prose.
+_PROSE = 80
+#: End tags by name, searched in the page itself: lower() may change a text's length.
+_ENDS = {name: re.compile(f"</{name}", re.I | re.A) for name in _RAW}
 
 
 def main_text(html: str) -> str:
-    """The main text of one page."""
+    """The main text of one page. Where a container was left out by its name that holds the article, the page is read again with it."""
+    text, wrappers = _read(html, frozenset())
+    return _read(html, wrappers)[0] if wrappers else text
+
+
+def _wrappers(parents: list[int], named: list[int], labels: dict[int, str], amount: dict[int, int], prose: set[int], heads: list[tuple[int, str]]) -> frozenset[int]:
+    """Of the elements left out by name (``labels``), those that hold more than half of the text and, with what
+    lies around them, the page's only heading, main or article, or its only prose. 0 stands for the page in ``amount``
+    and ``prose``, which count what belongs to each such element alone; ``named`` gives each node's innermost one."""
+    inside = dict.fromkeys(labels, 0) | amount
+    for node in sorted(labels, reverse=True):  # children come after their parents
+        inside[up] = inside.get(up := named[parents[node]], 0) + inside[node]
+    total = inside.get(0, 0)
+    chain = [node for node in sorted(labels) if 2 * inside[node] > total]
+    single = sum(tag == "article" for _, tag in heads) == 1
+    owners = [named[node] for node, tag in heads if tag != "article" or single]
+    out = []
+    for i, node in enumerate(chain):
+        around = {0, *chain[:i]}
+        within = {node}
+        within.update(n for n in sorted(labels) if named[parents[n]] in within or n == node)
+        headed = any(o in within for o in owners) and not any(o in around for o in owners)
+        lonely = not around & prose and not any(named[n] in around for n, _ in heads) and not _READERS.search(labels[node])
+        if not (headed or lonely):
+            break
+        out.append(node)
+    return frozenset(out)
+
+
+def _read(html: str, spared: frozenset[int]) -> tuple[str, frozenset[int]]:
+    """(main text, containers to spare); the names of ``spared`` elements do not count."""
     tags, parents, dropped = ["#root"], [-1], [False]
+    # For each node the innermost element left out by name, 0 if none; what belongs to each alone.
+    named, labels, amount, prose, heads = [0], {}, {}, set(), []
+    hard = [False]
     stack = [0]
     blocks: list[tuple[int, str, int]] = []
     run: list[str] = []
@@ -73,6 +114,11 @@ def main_text(html: str) -> str:
 
     def add(text: str) -> None:
         nonlocal linked
+        if text and not spared and not links and not hard[stack[-1]]:
+            own, size = named[stack[-1]], len(text.strip())
+            amount[own] = amount.get(own, 0) + size
+            if size > _PROSE:
+                prose.add(own)
         if text and not dropped[stack[-1]]:
             text = unescape(text)
             run.append(text)
@@ -80,7 +126,6 @@ def main_text(html: str) -> str:
                 linked += len(text.strip())
 
     pos = 0
-    lower = None
     while True:
         found = _TOKEN.search(html, pos)
         if found is None:
@@ -126,28 +171,38 @@ def main_text(html: str) -> str:
                 if tags[stack[i]] in _SCOPE:
                     break
         attributes = found[3]
-        drop = dropped[stack[-1]] or name in _SKIP
-        if attributes and not drop:
-            label = " ".join(a or b or c for _, a, b, c in _NAMES.findall(attributes))
-            drop = name not in _CONTENT and (bool(label and _UNLIKELY.search(label)) or bool(_HIDDEN.search(attributes)))
+        out = hard[stack[-1]] or name in _SKIP
+        label = ""
+        if attributes and not out:
+            label = _STATED.sub(" ", " ".join(a or b or c for _, a, b, c in _NAMES.findall(attributes)))
+            label = label if label and _UNLIKELY.search(label) else ""
+            out = name not in _CONTENT and bool(_HIDDEN.search(attributes))
+        drop = out or dropped[stack[-1]] or bool(label and name not in _CONTENT and len(tags) not in spared)
         if attributes.endswith("/") and name not in _BLOCK:
             continue
         node = len(tags)
         tags.append(name)
         parents.append(stack[-1])
         dropped.append(drop)
+        hard.append(out)
+        named.append(named[parents[node]])
+        if label and not out and name not in _CONTENT:
+            named[node] = node
+            labels[node] = label
+        if name in _HEADS and not label and not out:
+            heads.append((node, name))
         stack.append(node)
         if name == "a":
             links += 1
         if name in _RAW:
-            lower = html.lower() if lower is None else lower
-            end = lower.find(f"</{name}", pos)
-            if end < 0:
+            end = _ENDS[name].search(html, pos)
+            if end is None:
                 break
-            pos = end
+            pos = end.start()
     flush()
+    wrappers = _wrappers(parents, named, labels, amount, prose, heads) if labels and not spared else frozenset()
     if not blocks:
-        return ""
+        return "", wrappers
 
     score = [0.0] * len(tags)
     volume = [0] * len(tags)
@@ -184,7 +239,7 @@ def main_text(html: str) -> str:
     inside = [False] * len(tags)
     for i in range(len(tags)):
         inside[i] = i in kept or (parents[i] >= 0 and inside[parents[i]])
-    return "\n".join(text for at, text, _ in blocks if inside[at])
+    return "\n".join(text for at, text, _ in blocks if inside[at]), wrappers
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -47,3 +47,26 @@ def test_query(spark):
     got = extract(spark.createDataFrame(rows, schema)).collect()
     assert sorted((r["page_id"] or 0, r["url"] or "", r["n_chars"]) for r in got) == [(0, "v", 1), (1, "u", len(main_text(PAGE))), (1, "u", len(main_text(PAGE))), (2, "", 0)]
     assert extract(spark.createDataFrame([], schema)).count() == 0
+
+
+PROSE = "A first sentence of the article, with some commas, and enough words to be read as prose by anyone."
+
+
+@pytest.mark.parametrize("name", ["content no-sidebar", "entry-content with-sidebar", "post has-comments", "layout-has-right-sidebar", "sidebar-left", "layout header-fixed"])
+def test_wrappers_are_not_dropped_by_name(name):
+    html = f"<body><div class='{name}'><h1>Title</h1><p>{PROSE}</p><p>{PROSE}</p><div class='sidebar'><p>x, y, z</p></div></div><div class='footer'>end</div></body>"
+    assert main_text(html) == f"Title\n{PROSE}\n{PROSE}"
+
+
+@pytest.mark.parametrize("name", ["comments", "related", "sidebar", "comments-with-faces", "no-padding-sidebar"])
+def test_long_parts_beside_an_article_stay_out(name):
+    html = f"<body><div><h1>Title</h1><p>{PROSE}</p></div><div class='{name}'>" + f"<p>{PROSE}</p>" * 9 + "</div></body>"
+    assert main_text(html) == f"Title\n{PROSE}"
+
+
+def test_letters_that_grow_in_lower_case():
+    assert main_text(f"<body><p>{'İ' * 40}</p><SCRIPT>var a;</SCRIPT><p>{PROSE}</p></body>") == f"{'İ' * 40}\n{PROSE}"
+
+
+def test_an_advert_never_stands_for_a_short_article():
+    assert main_text(f"<body><div class='ad'>{PROSE}</div><article><h1>Title</h1><p>Short.</p></article></body>") == "Title\nShort."

@@ -5,6 +5,8 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -12,26 +14,61 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a local one only where the session names none."""
+    """The folder that all executors share, from ``spark.checkpoint.dir``.
+
+    Where it is unset, a local session takes a temporary folder; on a cluster that is an error, as
+    executors on other machines could not see such a folder.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        base = current.get() if current.isDefined() else tempfile.mkdtemp(prefix="framewright-")
+        base = current.get() if current.isDefined() else None
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="framewright-")
+        spark.conf.set("spark.checkpoint.dir", base)
     return base
 
 
-def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
+#: Tables written inside ``tidy``, innermost scope last.
+_scopes: list[list[str]] = []
+
+
+def write_table(df: DataFrame, label: str) -> str:
+    """Write ``df`` as a Parquet table in the shared folder; its path."""
+    path = f"{scratch_dir(df.sparkSession).rstrip('/')}/framewright/{label}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return path
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete a table of ``write_table``."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def materialize(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` once as a Parquet table in the shared folder and read it back.
 
-    This cuts the lineage in a way that survives the loss of any executor.
+    This cuts the lineage in a way that survives the loss of any executor. Inside ``tidy`` the table
+    goes at the end of the scope, unless it is to be kept.
     """
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark).rstrip('/')}/framewright/{label}-{uuid.uuid4().hex}"
-    writer = df.write.option("compression", "zstd")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = write_table(df, label)
+    if _scopes and not keep:
+        _scopes[-1].append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Drops the tables that were materialized inside, once what depends on them is written."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            drop_table(spark, path)
 
 
 def release(spark: SparkSession) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewright.llm.common import materialize
+from framewright.llm.common import drop_table, write_table
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,19 +14,23 @@ def components(edges: DataFrame) -> DataFrame:
     Each round halves the stars' depth and writes the edges to the shared folder; it ends when the
     edges no longer change. Neighbour lists are never gathered: a star is a minimum and a join.
     """
-    now = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    spark, names = edges.sparkSession, ["u", "v"]
+    path = write_table(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    kind = edges.schema["u"].dataType.simpleString()
     before = None
     while True:
+        now = spark.read.schema(f"u {kind}, v {kind}").parquet(path)
+        state = tuple(now.agg(F.count("*"), F.bit_xor(F.xxhash64(*names))).first())
+        if state == before or not state[0]:
+            break
+        before = state
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("m", "u").alias("m"))
         large = both.where("v > u").join(low, F.col("u") == F.col("w")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         small_low = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), "m")
         joined = large.join(small_low, F.col("u") == F.col("w"))
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small_low.select(F.col("w").alias("u"), F.col("m").alias("v")))
-        now = materialize(small.where("u <> v").distinct(), "edges")
-        state = tuple(now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
-        if state == before:
-            break
-        before = state
+        last, path = path, write_table(small.where("u <> v").distinct(), "edges")
+        drop_table(spark, last)
     own = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(own)

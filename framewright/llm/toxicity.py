@@ -1,7 +1,8 @@
 """Operator 5: toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 Learning uses a bounded sample of labelled rows: by default the 2,000 toxic and 4,000 clean examples
-with the smallest hashes (``max_toxic``, ``max_clean``), equal texts being one example. Terms
+with the smallest hashes (``max_toxic``, ``max_clean``). Each doc_id counts once however often its row
+is repeated, and equal texts with the same label are one example that stands for all of them. Terms
 are words and their first four to eight letters, so that inflected forms meet, each in tiers of how
 often a text has it; every term in three examples or more is kept whose association with a label passes
 a G-test in the sample. The sample bounds their number. Other terms are not in the vectors: the cosine
@@ -29,8 +30,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.window import Window
 
-from framewright.llm.common import materialize
+from framewright.llm.common import materialize, tidy
 
 MAX_TOXIC = 2000
 MAX_CLEAN = 4000
@@ -226,52 +229,76 @@ def sample_labels(labels: DataFrame, documents: DataFrame, usable: Column, max_t
     return taken.join(F.broadcast(counts), "toxic").select("doc_id", "toxic", (F.col("n") / F.least(F.col("n"), limit)).alias("stands_for"))
 
 
-def fit(documents: DataFrame, labels: DataFrame, usable: Column, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> tuple[BlockMaxIndex | None, DataFrame, list[int]]:
-    """(index, features of all documents, the examples' doc_ids); inputs have (doc_id, text) and (doc_id, toxic)."""
-    spark = documents.sparkSession
-    drawn = materialize(sample_labels(labels, documents, usable, max_toxic, max_clean), "toxicity-labels")
-    # Broadcast: both samples are bounded by the two parameters. Equal texts are one example that stands for all.
-    same = documents.join(F.broadcast(drawn), "doc_id").select("doc_id", "toxic", "stands_for", F.xxhash64("text").alias("node"))
-    merged = same.groupBy("node", "toxic").agg(F.min("doc_id").alias("doc_id"), F.sum("stands_for").alias("stands_for"))
-    sample = materialize(merged.select("doc_id", "toxic", "stands_for"), "toxicity-sample")
-    examples = documents.join(F.broadcast(sample), "doc_id")
-    counted = examples.select("toxic", "text").mapInArrow(_term_counts, "stem string, tier int, toxic long, clean long")
-    per_term = counted.groupBy("stem", "tier").agg(F.sum("toxic").alias("p"), F.sum("clean").alias("n")).where(F.col("p") + F.col("n") >= MIN_EXAMPLES)
-    size = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    n_toxic, n_clean = size.get(1, 0), size.get(0, 0)
-    vocabulary: list[tuple[str, int]] = []
-    if n_toxic and n_clean:
-        p, n, a, b = F.col("p"), F.col("n"), F.lit(float(n_toxic)), F.lit(float(n_clean))
-        part = lambda x, e: F.when(x > 0, x * F.log(x / e)).otherwise(0.0)
-        rate = (p + n) / (a + b)
-        g = 2 * (part(p, a * rate) + part(n, b * rate) + part(a - p, a * (1 - rate)) + part(b - n, b * (1 - rate)))
-        kept = per_term.withColumn("g", g).where(F.col("g") >= MIN_G).orderBy(F.desc("g"), "stem", "tier").collect()
-        vocabulary = select_terms([(r["stem"], r["tier"], r["p"], r["n"]) for r in kept], len(kept))
+def examples_of(documents: DataFrame, drawn: DataFrame, text_col: str = "text") -> DataFrame:
+    """(doc_id, toxic, stands_for, text): one row for each different text and label of the bounded sample ``drawn``.
+
+    Repeated rows of a doc_id are one row before anything is counted; texts are told apart by a 128-bit hash.
+    """
+    # Broadcast: the sample is bounded by the two parameters.
+    labelled = documents.select("doc_id", F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(drawn), "doc_id")
+    once = labelled.withColumn("node", F.md5("text")).groupBy("doc_id", "node", "toxic", "stands_for").agg(F.first("text").alias("text"))
+    # A doc_id whose rows differ in text spreads what it stands for over them.
+    texts = F.count("*").over(Window.partitionBy("doc_id"))
+    once = once.withColumn("stands_for", F.col("stands_for") / texts)
+    return once.groupBy("node", "toxic").agg(F.min("doc_id").alias("doc_id"), F.sum("stands_for").alias("stands_for"), F.first("text").alias("text")).drop("node")
+
+
+def with_terms(documents: DataFrame, text_col: str, vocabulary: list[tuple[str, int]]) -> DataFrame:
+    """``documents`` and the kept terms of each text in a last column, named unlike all others."""
+    at = documents.columns.index(text_col)
+    name = "__terms" + "_" * max((len(c) for c in documents.columns if c.startswith("__terms")), default=0)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms_of = Features(vocabulary)
         for batch in batches:
-            terms = [terms_of(text.as_py()) for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(terms, pa.list_(pa.int32()))], ["doc_id", "terms"])
-
-    features = materialize(documents.select("doc_id", "text").mapInArrow(run, "doc_id long, terms array<int>"), "toxicity-features")
-    if not vocabulary:
-        return None, features, []
-    # Document frequencies over all documents; one row for each kept term comes back.
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(len(vocabulary), np.int64)
-        for batch in batches:
-            n += np.bincount(batch.column(0).flatten().to_numpy(), minlength=len(n))
-        met = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(met.astype(np.int32)), pa.array(n[met])], ["t", "n"])
-
-    seen = features.select("terms").mapInArrow(count, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).collect()
-    n_docs = features.count()
-    df = np.zeros(len(vocabulary))
-    for r in seen:
-        df[r["t"]] = r["n"]
-    rows = features.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "terms", "toxic", "stands_for").toArrow().to_pylist()
-    rows.sort(key=lambda r: r["doc_id"])
-    vectors = [np.array(r["terms"], np.int64) for r in rows]
+            terms = pa.array([terms_of(text.as_py() or "") for text in batch.column(at)], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, terms], [*batch.schema.names, name])
+
+    return documents.mapInArrow(run, StructType([*documents.schema.fields, StructField(name, ArrayType(IntegerType()))]))
+
+
+def learn_terms(examples: DataFrame) -> list[tuple[str, int]]:
+    """The vocabulary: every (stem, tier) in enough examples whose G against the labels is high enough."""
+    counted = examples.select("toxic", "text").mapInArrow(_term_counts, "stem string, tier int, toxic long, clean long")
+    per_term = counted.groupBy("stem", "tier").agg(F.sum("toxic").alias("p"), F.sum("clean").alias("n")).where(F.col("p") + F.col("n") >= MIN_EXAMPLES)
+    size = {r["toxic"]: r["n"] for r in examples.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    n_toxic, n_clean = size.get(1, 0), size.get(0, 0)
+    if not n_toxic or not n_clean:
+        return []
+    p, n, a, b = F.col("p"), F.col("n"), F.lit(float(n_toxic)), F.lit(float(n_clean))
+    part = lambda x, e: F.when(x > 0, x * F.log(x / e)).otherwise(0.0)
+    rate = (p + n) / (a + b)
+    g = 2 * (part(p, a * rate) + part(n, b * rate) + part(a - p, a * (1 - rate)) + part(b - n, b * (1 - rate)))
+    kept = per_term.withColumn("g", g).where(F.col("g") >= MIN_G).orderBy(F.desc("g"), "stem", "tier").collect()
+    return select_terms([(r["stem"], r["tier"], r["p"], r["n"]) for r in kept], len(kept))
+
+
+def fit(documents: DataFrame, labels: DataFrame, usable: Column, text_col: str = "text", max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> tuple[BlockMaxIndex | None, DataFrame, list[int]]:
+    """(index, ``documents`` with the terms of each text, the examples' doc_ids); inputs have (doc_id, text) and (doc_id, toxic)."""
+    ids = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    with tidy(documents.sparkSession):
+        drawn = materialize(sample_labels(labels, ids, usable, max_toxic, max_clean), "toxicity-labels")
+        examples = materialize(examples_of(ids, drawn), "toxicity-examples")
+        vocabulary = learn_terms(examples)
+        features = materialize(with_terms(documents, text_col, vocabulary), "toxicity-features", keep=True)
+        if not vocabulary:
+            return None, features, []
+
+        # Document frequencies over all documents; one row for each kept term comes back.
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            n = np.zeros(len(vocabulary), np.int64)
+            for batch in batches:
+                n += np.bincount(batch.column(0).flatten().to_numpy(), minlength=len(n))
+            met = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(met.astype(np.int32)), pa.array(n[met])], ["t", "n"])
+
+        df = np.zeros(len(vocabulary))
+        for r in features.select(features.columns[-1]).mapInArrow(count, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).collect():
+            df[r["t"]] = r["n"]
+        n_docs = features.count()
+        rows = with_terms(examples, "text", vocabulary).select("doc_id", "__terms", "toxic", "stands_for").toArrow().to_pylist()
+    rows.sort(key=lambda r: (r["doc_id"], r["toxic"], r["__terms"]))
+    vectors = [np.array(r["__terms"], np.int64) for r in rows]
     index = BlockMaxIndex(vectors, np.array([r["toxic"] for r in rows], float), np.array([r["stands_for"] for r in rows], float), np.log((n_docs + 1) / (df + 1)) + 1)
     index.calibrate()
     index.vocabulary = vocabulary
@@ -313,16 +340,13 @@ def score(index: BlockMaxIndex | None, features: DataFrame, example_ids: list[in
                 why.append(",".join(f"{example_ids[index.origin[i]]}:{int(index.toxic[i])}:{x:.4f}" for i, x in near))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(why, pa.string())], ["doc_id", "score", "evidence"])
 
-    return features.mapInArrow(run, "doc_id long, score double, evidence string")
-
-
-def _own(documents: DataFrame) -> DataFrame:
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return features.select("doc_id", features.columns[-1]).mapInArrow(run, "doc_id long, score double, evidence string")
 
 
 def report(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted, evidence) of every document; held-out rows teach nothing."""
-    index, features, ids = fit(_own(documents), labels.select("doc_id", "toxic"), ~held_out(F.col("doc_id")))
+    own = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    index, features, ids = fit(own, labels.select("doc_id", "toxic"), ~held_out(F.col("doc_id")))
     return score(index, features, ids).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence"
     )
@@ -330,12 +354,12 @@ def report(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 def reject(documents: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``documents`` that score under ``threshold``, all columns kept; nothing is shuffled to filter."""
-    index, _, _ = fit(_own(documents), labels.select("doc_id", "toxic"), ~held_out(F.col("doc_id")))
-    at = documents.columns.index("text")
+    index, features, _ = fit(documents, labels.select("doc_id", "toxic"), ~held_out(F.col("doc_id")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer, terms_of = Scorer(index), Features(index.vocabulary if index else [])
+        scorer = Scorer(index)
         for batch in batches:
-            yield batch.filter(pa.array([scorer(terms_of(text.as_py() or ""))[0] < threshold for text in batch.column(at)], pa.bool_()))
+            stays = pa.array([scorer(np.array(terms.as_py(), np.int32))[0] < threshold for terms in batch.column(batch.num_columns - 1)], pa.bool_())
+            yield batch.select(range(batch.num_columns - 1)).filter(stays)
 
-    return documents.mapInArrow(run, documents.schema)
+    return features.mapInArrow(run, documents.schema)

@@ -1,7 +1,9 @@
+import math
 import random
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from framewright.llm import toxicity
@@ -101,6 +103,64 @@ def test_all_terms_that_pass_count_at_any_sample_size(spark):
     labels = [(i, 1, int(i % 5 == 0)) for i in range(1500)]
     rare = [i for i in range(5, 1500, 20) if zlib.crc32(str(i).encode()) % 5][:4]
     rows = [(r[0], r[1] + " grotwurm", *r[2:]) if r[0] in rare else r for r in rows]
-    index, _, _ = toxicity.fit(toxicity._own(frame(spark, rows)), table(spark, labels).drop("quality"), F.lit(True))
+    index, _, _ = toxicity.fit(frame(spark, rows), table(spark, labels).drop("quality"), F.lit(True))
     assert ("grotwurm", 1) in index.vocabulary
     assert {(x, 1) for x in insults} <= set(index.vocabulary)
+
+
+def test_repeated_labelled_rows_count_once(spark):
+    rows, labels = corpus(200)
+    taught = [i for i, _, t in labels if zlib.crc32(str(i).encode()) % 5 and t][:1] + [i for i, _, t in labels if zlib.crc32(str(i).encode()) % 5 and not t][:1]
+    plain, _, _ = toxicity.fit(frame(spark, rows), table(spark, labels), ~toxicity.held_out(F.col("doc_id")))
+    want = {r["doc_id"]: r["predicted"] for r in toxicity.report(frame(spark, rows), table(spark, labels)).collect()}
+    assert plain.vocabulary and 1 in want.values()
+    for own in taught:
+        more = rows + [rows[own]] * 300
+        index, _, _ = toxicity.fit(frame(spark, more), table(spark, labels), ~toxicity.held_out(F.col("doc_id")))
+        assert sorted(index.vocabulary) == sorted(plain.vocabulary)
+        got = toxicity.report(frame(spark, more), table(spark, labels)).collect()
+        assert len(got) == len(more)
+        assert {r["doc_id"]: r["predicted"] for r in got} == want
+
+
+def test_scores_against_a_dense_twin(spark):
+    """Features, votes and calibration once more by plain loops over dense vectors."""
+    rows, labels = corpus(150, seed=8)
+    docs, table_ = frame(spark, rows), table(spark, labels)
+    index, _, _ = toxicity.fit(docs, table_, ~toxicity.held_out(F.col("doc_id")))
+    place = {t: i for i, t in enumerate(index.vocabulary)}
+
+    def terms(text):
+        found = {}
+        for chunk in text.split():
+            for stem in toxicity.chunk_stems(chunk):
+                found[stem] = found.get(stem, 0) + 1
+        return {place[s, t] for s, n in found.items() for t in toxicity.TIERS if n >= t and (s, t) in place}
+
+    sets = {r[0]: terms(r[1]) for r in rows}
+    idf = {t: math.log((len(rows) + 1) / (sum(t in s for s in sets.values()) + 1)) + 1 for t in place.values()}
+    norm = lambda s: math.sqrt(sum(idf[t] ** 2 for t in s))
+    truth = {i: t for i, _, t in labels}
+    taught = [i for i in truth if zlib.crc32(str(i).encode()) % 5]
+    lead = lambda s: (max(s, key=lambda t: (idf[t], -t)), -max(idf[t] / norm(s) for t in s))
+    order = sorted((i for i in taught if sets[i]), key=lambda i: (*lead(sets[i]), i))
+    base = sum(truth[i] for i in taught) / len(taught)
+    blank = [truth[i] for i in taught if not sets[i]]
+
+    def vote(s, skip=None):
+        cos = [(sum(idf[t] ** 2 for t in s & sets[i]) / norm(s) / norm(sets[i]), -n, truth[i]) for n, i in enumerate(order) if i != skip and s & sets[i]] if s else []
+        near = sorted(cos, reverse=True)[: toxicity.NEIGHBOURS]
+        if not near:
+            return (sum(blank) + base) / (len(blank) + 1)
+        w = [c * c for c, _, _ in near]
+        return (sum(x * y for x, (_, _, y) in zip(w, near, strict=True)) + toxicity.DAMPING * base) / (sum(w) + toxicity.DAMPING)
+
+    votes = {i: vote(sets[i]) for i in sets}
+    got = {r["doc_id"]: r["score"] for r in toxicity.report(docs, table_).collect()}
+    for i, s in got.items():
+        assert s == pytest.approx(index.score(votes[i]), abs=1e-6)
+    cases = sorted([(vote(sets[i], i), truth[i]) for i in order] + [(vote(set()), y) for y in blank])
+    for v, y in zip(*index.steps, strict=True):
+        below = [t for x, t in cases if x <= v + 1e-9]
+        assert 0 <= y <= 1 and below
+    assert list(index.steps[1]) == sorted(index.steps[1])

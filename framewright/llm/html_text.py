@@ -1,19 +1,21 @@
 """Operator 10: main text of web pages by tree scoring.
 
 A page becomes a tree of elements. Each paragraph passes points for its length and commas to its
-container, half of them to the next ancestor and a third, a quarter, ... further up; the share of
+container, half of them to the next ancestor, a quarter to the one after it and so on; the share of
 link text discounts them. The best container is kept together with those siblings that score near
 it or read like prose. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
 and reader comments take no part, by element and by class, id or role.
 
 A block's white space becomes one space; blocks are joined by one line feed. Null and empty pages
 give the empty string; broken markup is closed as browsers do; plain text is one block. The text is
-never cut. Rows are independent, so repeated rows and extra columns need no special treatment.
+never cut, and the work grows with the page's length however deep its elements nest. Rows are
+independent, so repeated rows and extra columns need no special treatment.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from html import unescape
 
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>])*+)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _SKIP = frozenset(
@@ -35,6 +37,7 @@ _BLOCK = frozenset(
 _PARAGRAPH = frozenset("p pre blockquote li dd dt td th h1 h2 h3 h4 h5 h6 figcaption caption summary address".split())
 #: An open element (second) ends where one of the first starts.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+_ENDED = frozenset("p li dt dd tr td th option".split())
 _SCOPE = frozenset("ul ol dl table article section div body html".split())
 _UNLIKELY = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adv|sponsor\w*|promo\w*|banner|sidebar|side-?bar|rail|menu|nav\w*|breadcrumbs?|pagination|pager|header|masthead|footer|foot"
@@ -62,24 +65,33 @@ def main_text(html: str) -> str:
 def _wrappers(parents: list[int], named: list[int], labels: dict[int, str], amount: dict[int, int], prose: set[int], heads: list[tuple[int, str]]) -> frozenset[int]:
     """Of the elements left out by name (``labels``), those that hold more than half of the text and, with what
     lies around them, the page's only heading, main or article, or its only prose. 0 stands for the page in ``amount``
-    and ``prose``, which count what belongs to each such element alone; ``named`` gives each node's innermost one."""
+    and ``prose``, which count what belongs to each such element alone; ``named`` gives each node's innermost one.
+    Nodes are numbered in page order, so the parts of a node are the numbers up to its last one."""
     inside = dict.fromkeys(labels, 0) | amount
     for node in sorted(labels, reverse=True):  # children come after their parents
         inside[up] = inside.get(up := named[parents[node]], 0) + inside[node]
+    last = list(range(len(parents)))
+    for node in range(len(parents) - 1, 0, -1):
+        last[parents[node]] = max(last[parents[node]], last[node])
     total = inside.get(0, 0)
-    chain = [node for node in sorted(labels) if 2 * inside[node] > total]
     single = sum(tag == "article" for _, tag in heads) == 1
-    owners = [named[node] for node, tag in heads if tag != "article" or single]
+    owners = sorted(named[node] for node, tag in heads if tag != "article" or single)
+    headers = {named[node] for node, _ in heads}
+    owning = set(owners)
     out = []
-    for i, node in enumerate(chain):
-        around = {0, *chain[:i]}
-        within = {node}
-        within.update(n for n in sorted(labels) if named[parents[n]] in within or n == node)
-        headed = any(o in within for o in owners) and not any(o in around for o in owners)
-        lonely = not around & prose and not any(named[n] in around for n, _ in heads) and not _READERS.search(labels[node])
-        if not (headed or lonely):
+    outside, around = False, 0  # is a heading's owner, and what else, around the node at hand?
+    bare = True
+    for node in sorted(labels):
+        if 2 * inside[node] <= total:
+            continue
+        outside |= around in owning
+        bare &= around not in prose and around not in headers
+        at = bisect_left(owners, node)
+        headed = not outside and at < len(owners) and owners[at] <= last[node]
+        if not (headed or (bare and not _READERS.search(labels[node]))):
             break
         out.append(node)
+        around = node
     return frozenset(out)
 
 
@@ -90,6 +102,9 @@ def _read(html: str, spared: frozenset[int]) -> tuple[str, frozenset[int]]:
     named, labels, amount, prose, heads = [0], {}, {}, set(), []
     hard = [False]
     stack = [0]
+    # For each place of the stack: the innermost block, and the innermost open element of each name that a start tag may end.
+    held, ends = [0], [{}]
+    open_at: dict[str, list[int]] = {}
     blocks: list[tuple[int, str, int]] = []
     run: list[str] = []
     linked = 0
@@ -100,16 +115,18 @@ def _read(html: str, spared: frozenset[int]) -> tuple[str, frozenset[int]]:
         if run:
             text = " ".join("".join(run).split())
             if text:
-                at = next(i for i in reversed(stack) if tags[i] in _BLOCK or i == 0)
-                blocks.append((at, text, linked))
+                blocks.append((stack[held[-1]], text, linked))
             run.clear()
         linked = 0
 
     def close(upto: int) -> None:
         nonlocal links
         while len(stack) > upto:
-            node = stack.pop()
-            if tags[node] == "a":
+            name = tags[stack.pop()]
+            held.pop()
+            ends.pop()
+            open_at[name].pop()
+            if name == "a":
                 links -= 1
 
     def add(text: str) -> None:
@@ -140,12 +157,9 @@ def _read(html: str, spared: frozenset[int]) -> tuple[str, frozenset[int]]:
         if found[1]:
             if name in _BLOCK:
                 flush()
-            for i in range(len(stack) - 1, 0, -1):
-                if tags[stack[i]] == name:
-                    close(i)
-                    break
-                if name not in _BLOCK and tags[stack[i]] in _BLOCK:
-                    break
+            # An end tag counts where such an element is open and, for inline ones, no block stands in between.
+            if (places := open_at.get(name)) and (name in _BLOCK or places[-1] > held[-1]):
+                close(places[-1])
             continue
         if name == "br":
             add(" ")
@@ -156,20 +170,11 @@ def _read(html: str, spared: frozenset[int]) -> tuple[str, frozenset[int]]:
             continue
         if name in _BLOCK:
             flush()
-            if name != "p" or any(tags[i] == "p" for i in stack):
-                for i in range(len(stack) - 1, 0, -1):
-                    if tags[stack[i]] == "p":
-                        close(i)
-                        break
-                    if tags[stack[i]] in _SCOPE:
-                        break
+            if p := ends[-1].get("p"):
+                close(p)
         if name in _CLOSES:
-            for i in range(len(stack) - 1, 0, -1):
-                if tags[stack[i]] in _CLOSES[name]:
-                    close(i)
-                    break
-                if tags[stack[i]] in _SCOPE:
-                    break
+            if at := max((ends[-1].get(n, 0) for n in _CLOSES[name]), default=0):
+                close(at)
         attributes = found[3]
         out = hard[stack[-1]] or name in _SKIP
         label = ""
@@ -191,6 +196,9 @@ def _read(html: str, spared: frozenset[int]) -> tuple[str, frozenset[int]]:
             labels[node] = label
         if name in _HEADS and not label and not out:
             heads.append((node, name))
+        open_at.setdefault(name, []).append(len(stack))
+        held.append(len(stack) if name in _BLOCK else held[-1])
+        ends.append({} if name in _SCOPE else ends[-1] | {name: len(stack)} if name in _ENDED else ends[-1])
         stack.append(node)
         if name == "a":
             links += 1
@@ -204,21 +212,20 @@ def _read(html: str, spared: frozenset[int]) -> tuple[str, frozenset[int]]:
     if not blocks:
         return "", wrappers
 
+    # What a node passes to its container, and what lies in it, from the leaves up.
     score = [0.0] * len(tags)
     volume = [0] * len(tags)
     link_volume = [0] * len(tags)
     for at, text, in_links in blocks:
-        node = at
-        while node >= 0:
-            volume[node] += len(text)
-            link_volume[node] += in_links
-            node = parents[node]
+        volume[at] += len(text)
+        link_volume[at] += in_links
         points = 1 + text.count(",") + text.count("，") + min(len(text) / 100, 3)
-        points *= 1 - min(1.0, in_links / len(text))
-        node, level = (parents[at] if tags[at] in _PARAGRAPH else at), 1
-        while node >= 0:
-            score[node] += points / level
-            node, level = parents[node], level + 1
+        score[parents[at] if tags[at] in _PARAGRAPH else at] += points * (1 - min(1.0, in_links / len(text)))
+    for node in range(len(tags) - 1, 0, -1):
+        up = parents[node]
+        score[up] += score[node] / 2
+        volume[up] += volume[node]
+        link_volume[up] += link_volume[node]
     density = [link_volume[i] / volume[i] if volume[i] else 0.0 for i in range(len(tags))]
     final = [s * (1 - d) for s, d in zip(score, density, strict=True)]
     best = max(range(len(tags)), key=lambda i: (final[i], i))

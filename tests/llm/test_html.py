@@ -1,5 +1,6 @@
 import pytest
 
+from framewright.llm import html_text
 from framewright.llm.html_text import extract, main_text
 
 PAGE = """<!DOCTYPE html><html lang="en"><head><meta charset="utf-8"><title>T &amp; U</title><style>p{margin:0}</style>
@@ -70,3 +71,96 @@ def test_letters_that_grow_in_lower_case():
 
 def test_an_advert_never_stands_for_a_short_article():
     assert main_text(f"<body><div class='ad'>{PROSE}</div><article><h1>Title</h1><p>Short.</p></article></body>") == "Title\nShort."
+
+
+def grow(rng, depth):
+    """A random element: (tag, class, children), texts among the children."""
+    if depth == 0 or rng.random() < 0.3:
+        words = " ".join(rng.choice(["plain", "words,", "here", "and", "there."]) for _ in range(rng.choice([1, 4, 12, 60])))
+        return ("p", "", [("a", "", [words]) if rng.random() < 0.2 else words])
+    tag, name = rng.choice(["div", "section", "div", "blockquote", "nav", "footer"]), rng.choice(["", "", "body-text", "sidebar", "wide"])
+    return (tag, name, [grow(rng, depth - 1) for _ in range(rng.randint(1, 4))])
+
+
+def markup(node):
+    if isinstance(node, str):
+        return node
+    tag, name, children = node
+    return f'<{tag}{f" class={name!r}" if name else ""}>{"".join(map(markup, children))}</{tag}>'
+
+
+def plain_main_text(root):
+    """The scoring by its definition: every block looks at each of its ancestors, every ancestor at each of its blocks."""
+    nodes, blocks = [], []
+
+    def walk(node, path, linked):
+        if isinstance(node, str):
+            blocks.append((path, node, linked))
+            return
+        tag, name, children = node
+        if tag in ("nav", "footer") or name == "sidebar":
+            return
+        nodes.append([*path, len(nodes)])
+        own = nodes[-1]
+        tags.append(tag)
+        for child in children:
+            if tag == "a":
+                walk(child, path, True)
+            else:
+                walk(child, own, linked)
+
+    tags = []
+    walk(root, [], False)
+    size = {}
+    for own in nodes:
+        inside = [b for b in blocks if b[0][: len(own)] == own]
+        volume = sum(len(t) for _, t, _ in inside)
+        links = sum(len(t) for _, t, is_link in inside if is_link)
+        points = 0
+        for path, text, is_link in inside:
+            level = len(path) - len(own) - (tags[path[-1]] in ("p", "blockquote"))
+            points += 0 if is_link or level < 0 else (1 + text.count(",") + min(len(text) / 100, 3)) / 2**level
+        size[own[-1]] = (points * (1 - links / volume) if volume else 0.0, volume, links / volume if volume else 0.0)
+    best = max(nodes, key=lambda own: (size[own[-1]][0], own[-1]))
+    kept = [best]
+    if size[best[-1]][0] <= 0:
+        return "\n".join(t for _, t, _ in blocks)
+    for own in nodes:
+        points, volume, density = size[own[-1]]
+        if own[:-1] == best[:-1] and own != best and volume and best[:-1]:
+            if points >= max(10.0, 0.2 * size[best[-1]][0]) or (tags[own[-1]] == "p" and volume > 80 and density < 0.25):
+                kept.append(own)
+    return "\n".join(t for path, t, _ in blocks if any(path[: len(k)] == k for k in kept))
+
+
+def test_against_a_plain_twin():
+    import random
+
+    rng = random.Random(6)
+    found = 0
+    for _ in range(400):
+        page = ("div", "", [grow(rng, 4) for _ in range(4)])
+        html = markup(page)
+        # Where a container is spared, the page is read by another rule.
+        if html_text._read(html, frozenset())[1]:
+            continue
+        found += 1
+        assert html_text.main_text(html) == plain_main_text(page)
+    assert found > 200
+
+
+def test_wrappers_that_tell_what_a_page_has():
+    text = "Plain words, here and there. " * 20
+    for name in ("content has-sidebar", "main-content no-sidebar", "post share-enabled", "entry with-comments", "page nav-open", "layout-header-fixed", "article-body related-off"):
+        page = f'<html><body><div class="{name}"><h1>Title</h1><p>{text}</p></div></body></html>'
+        assert html_text.main_text(page) == f"Title\n{text.strip()}"
+
+
+def test_work_grows_with_the_page():
+    import time
+
+    for n in (8000, 32_000):
+        for page in ("<b>" * n + "<p>x</p>" * n, "<div>" * n + "<p>some text, here</p>" * n, '<div class="sidebar">' * n + "<p>" + "text " * n, '<b>' * n + "</i>" * n + "<p>x", '<a "' * n + ">t"):
+            began = time.time()
+            html_text.main_text(page)
+            assert time.time() - began < n / 8000

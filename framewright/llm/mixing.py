@@ -3,20 +3,23 @@
 Targets: sources in code-point order, null last, weigh 5, 2, 1, repeating, and share 150 % of all
 words; a target stops at twice its source's words and the excess is shared anew by weight.
 
-Documents of a source are permuted by a keyed hash; runs of hash values are its blocks. A target is
-met by whole passes over all blocks and one partial pass over the first blocks of the permutation.
-The document on which the partial pass ends gives as many words as are still missing, so a source
-meets its target to the word, however large its documents are; all other draws are whole. None is
-drawn more than twice.
-
-Blocks go to output shards by a splitting tree: each node halves its shards and draws, from the
-multivariate hypergeometric distribution, how many blocks of each source go left. The leaves are
-exact quotas, and a source's permuted blocks are dealt by them without overlap. Within a shard,
-draws are ordered by another keyed hash.
-
-Everything about a source fits in one row (passes, hash boundary, quotas), so documents are decided
-where they are read: no document is shuffled, and a source with a third of all rows is summed per
-block first. The number of sources must fit in the driver; documents need not.
+Documents of a source are permuted by a keyed hash; runs of hash values are its blocks. A source's
+block quota is what meets its target: whole passes over all its blocks, then the first blocks of the
+permutation. Of the last block only documents that still fit are drawn, the largest first, so a source
+ends within less than one of that block's documents of its target. Documents are always drawn whole,
+and none more than twice.
+
+The quotas go to output shards by a splitting tree: each node halves its shards and draws, from the
+multivariate hypergeometric distribution, how many of the blocks of each source go left. Its leaves
+are exact quotas [source, shard], and each shard draws the next run of a source's permuted blocks that
+its quota names: the runs are disjoint, a block beyond all quotas is drawn by nobody, and what a source
+gives is the sum over the shards. Within a shard, draws are ordered by another keyed hash.
+
+Sources are rows of tables throughout: they are ranked by range partitions, their targets are found by
+aggregates, and the tree works on lots of ``LOT`` sources in tasks, below a tree over the lots. One row
+a lot comes to the driver. A source with a third of all rows is summed per block first. Documents are
+joined with one decision row a source, which Spark broadcasts if it is small. A tree draws from up to
+10^9 blocks of about ``BLOCK_DOCS`` documents.
 
 Null and empty texts have size 0; a source without words has target 0. Rows that agree in id, source
 and text share one fate. An empty table gives no rows. Reruns agree.
@@ -25,11 +28,12 @@ and text share one fate. An empty table gives no rows. Reruns agree.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from framewright.llm.common import materialize
+from framewright.llm.common import materialize, parts, tidy
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -37,8 +41,12 @@ SHARE = 1.5
 CAP = 2.0
 SEED = 20
 BLOCK_DOCS = 256
+#: A source has this many blocks at least, or as many as it has documents.
+MIN_BLOCKS = 64
 RUN_BLOCKS = 4096
 SHARDS = 16
+#: Sources that one task splits.
+LOT = 4096
 _BITS = 60
 
 
@@ -53,150 +61,156 @@ def permutation_key(id_col: Column, source: Column, text: Column, seed: int) ->
     return F.conv(F.substring(digest, 1, _BITS // 4), 16, 10).cast("long")
 
 
-def water_fill(sizes: np.ndarray, share: float = SHARE, cap: float = CAP, weights: tuple[int, ...] = WEIGHTS) -> np.ndarray:
-    """Targets of sources in order: shares of ``share`` times all words, none above ``cap`` times its own."""
-    w = np.array([weights[i % len(weights)] for i in range(len(sizes))], np.float64)
-    total = share * float(sizes.sum())
-    capped = np.zeros(len(sizes), bool)
+def ranked_sources(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+    """(source, words, docs, place, w): the sources in code-point order, null last, counted from 0 across range partitions."""
+    totals = sized.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("docs"))
+    ranged = totals.withColumn("none", F.col("source").isNull()).repartitionByRange(parts(sized.sparkSession), "none", "source")
+    ranged = materialize(ranged.withColumn("part", F.spark_partition_id()), "mix-sources")
+    # One row a partition, however many sources there are.
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"))
+    inside = F.row_number().over(Window.partitionBy("part").orderBy("none", "source")) - 1
+    placed = ranged.withColumn("inside", inside).join(starts, "part").withColumn("place", F.col("ahead") + F.col("inside"))
+    w = F.element_at(F.array(*map(F.lit, weights)), (F.col("place") % len(weights)).cast("int") + 1).cast("double")
+    return placed.select("source", "words", "docs", "place", w.alias("w"))
+
+
+def water_fill(sources: DataFrame, share: float = SHARE, cap: float = CAP) -> DataFrame:
+    """``sources`` (words, w, ...) with ``target``: shares by weight of ``share`` times all words, none above ``cap`` times its own.
+
+    Each round is one aggregate that finds who stands above the cap at the present level; the level only rises.
+    """
+    total = share * float(sources.agg(F.sum("words")).first()[0] or 0)
+    left, over, capped = total, 0.0, -1
+    above = F.lit(False)
     while True:
-        free = ~capped
-        if not free.any():
-            return cap * sizes.astype(np.float64)
-        left, over = total - cap * float(sizes[capped].sum()), float(w[free].sum())
-        target = np.where(capped, cap * sizes, w * left / over)
-        above = free & (target > cap * sizes)
-        if not above.any():
-            return target
-        capped |= above
-
-
-def split_quotas(blocks: np.ndarray, shards: int, seed: int) -> np.ndarray:
-    """Exact block quotas [source, shard] from a splitting tree over the shards."""
+        r = sources.agg(F.sum(F.when(above, F.col("words"))), F.sum(F.when(~above, F.col("w"))), F.count_if(above)).first()
+        if r[2] == capped:
+            break
+        left, over, capped = total - cap * float(r[0] or 0), float(r[1] or 0), r[2]
+        if not over:
+            return sources.withColumn("target", cap * F.col("words"))
+        above = F.col("w") * F.lit(left) / F.lit(over) > cap * F.col("words")
+    return sources.withColumn("target", F.when(above, cap * F.col("words")).otherwise(F.col("w") * F.lit(left) / F.lit(over)))
+
+
+def split_quotas(blocks: np.ndarray, room: np.ndarray, seed: int | list[int]) -> np.ndarray:
+    """Exact quotas [source, shard] of ``blocks`` blocks a source over shards that take ``room`` blocks each, by the splitting tree."""
     rng = np.random.Generator(np.random.PCG64(seed))
-    out = np.zeros((len(blocks), shards), np.int64)
-    todo = [(0, shards, blocks.astype(np.int64))]
+    out = np.zeros((len(blocks), len(room)), np.int64)
+    todo = [(0, len(room), blocks.astype(np.int64))]
     while todo:
         a, b, held = todo.pop()
         if b - a == 1 or held.sum() == 0:
             out[:, a] = held
             continue
         mid = (a + b) // 2
-        take = int(held.sum()) * (mid - a) // (b - a)
-        left = rng.multivariate_hypergeometric(held, take, method="marginals")
+        left = rng.multivariate_hypergeometric(held, int(room[a:mid].sum()), method="marginals")
         todo += [(a, mid, left), (mid, b, held - left)]
     return out
 
 
+def deal(units: DataFrame, shards: int, seed: int) -> DataFrame:
+    """(source, dealt): how many of a source's blocks the shards up to each one take; ``units`` has (source, place, n)."""
+    lots = units.withColumn("lot", F.floor(F.col("place") / LOT))
+    totals = lots.groupBy("lot").agg(F.sum("n").alias("n")).orderBy("lot").collect()  # one row for LOT sources
+    whole = np.array([r["n"] for r in totals], np.int64)
+    edges = int(whole.sum()) * np.arange(shards + 1) // shards
+    rooms = split_quotas(whole, np.diff(edges), seed)
+    room = units.sparkSession.createDataFrame([(r["lot"], q.tolist()) for r, q in zip(totals, rooms, strict=True)], "lot long, room array<bigint>")
+
+    def split(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("place")
+        quotas = split_quotas(rows["n"].to_numpy(), np.array(rows["room"].iloc[0]), [seed, int(rows["lot"].iloc[0])])
+        return pd.DataFrame({"source": rows["source"], "dealt": np.cumsum(quotas, axis=1).tolist()})
+
+    return lots.join(room, "lot").groupBy("lot").applyInPandas(split, "source string, dealt array<bigint>")
+
+
 def _block(key: Column, n_blocks: Column) -> Column:
-    return F.floor(F.shiftright(key, _BITS - 31) * n_blocks / F.lit(float(1 << 31))).cast("long")
+    return F.shiftright(F.shiftright(key, _BITS - 31) * n_blocks, 31)
+
+
+def _same(a: Column, b: Column) -> Column:
+    return a.eqNullSafe(b)
 
 
 def plan(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", shards: int = SHARDS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """(sized documents, one decision row a source)."""
-    spark = df.sparkSession
     key = permutation_key(F.col(id_col), F.col(source_col), F.col(text_col), seed)
-    sized = materialize(
-        df.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), key.alias("key")), "mix-sizes"
-    )
-    totals = sized.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("docs")).collect()
-    totals.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode("utf-8")))
-    words = np.array([r["words"] for r in totals], np.int64)
-    target = water_fill(words)
-    passes = np.array([int(t // s) if s else 0 for t, s in zip(target.tolist(), words.tolist(), strict=True)], np.int64)
-    rest = np.array([t - p * s for t, p, s in zip(target.tolist(), passes.tolist(), words.tolist(), strict=True)])
-    n_blocks = np.array([-(-r["docs"] // BLOCK_DOCS) for r in totals], np.int64)
-    schema = "source string, n_blocks long, words long, target double, passes int, rest double"
-    rows = [(r["source"], int(n), int(w), float(t), int(p), float(x)) for r, n, w, t, p, x in zip(totals, n_blocks, words, target, passes, rest, strict=True)]
-    sources = spark.createDataFrame(rows, schema)
-
-    # Words before each block, by runs of blocks and then within a run: no window holds a whole source.
-    placed = sized.join(F.broadcast(sources), sized["source"].eqNullSafe(sources["source"])).select(
-        sources["source"], "size", "key", "rest", _block(F.col("key"), F.col("n_blocks")).alias("block")
-    )
-    per_block = placed.groupBy("source", "block", "rest").agg(F.sum("size").alias("w")).withColumn("run", F.floor(F.col("block") / RUN_BLOCKS))
-    before = lambda *by: Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
-    per_run = per_block.groupBy("source", "run").agg(F.sum("w").alias("w"))
-    per_run = per_run.select(F.col("source").alias("s"), F.col("run").alias("r"), F.coalesce(F.sum("w").over(before("source", "run")), F.lit(0)).alias("ahead"))
-    inside = per_block.withColumn("within", F.coalesce(F.sum("w").over(before("source", "run", "block")), F.lit(0)))
-    offsets = inside.join(per_run, F.col("source").eqNullSafe(F.col("s")) & (F.col("run") == F.col("r"))).select(
-        F.col("source").alias("s"), F.col("block").alias("b"), (F.col("ahead") + F.col("within")).alias("ahead"), "w", F.col("rest").alias("limit")
-    )
-    edge = offsets.where((F.col("ahead") <= F.col("limit")) & (F.col("ahead") + F.col("w") > F.col("limit")))
-    at_edge = placed.join(F.broadcast(edge), F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")))
-    running = F.col("ahead") + F.sum("size").over(Window.partitionBy("source").orderBy("key"))
-    walked = at_edge.withColumn("upto", running)
-    over = F.col("upto") > F.col("rest")
-    cut = walked.groupBy("source").agg(
-        F.coalesce(F.max(F.when(~over, F.col("key"))), F.min("key") - 1).alias("last_key"),
-        F.coalesce(F.max(F.when(~over, F.col("upto"))), F.min("ahead")).alias("filled"),
-        F.min(F.when(over, F.col("key"))).alias("cut_key"),
-        F.first("rest").alias("limit"),
-    )
-    # Rows that agree in everything share what is missing.
-    edges = cut.select(F.col("source").alias("c"), "last_key", F.col("cut_key").alias("ck"), (F.col("limit") - F.col("filled")).alias("missing"))
-    same = walked.select("source", "key").join(F.broadcast(edges), F.col("source").eqNullSafe(F.col("c")))
-    shared = same.groupBy("c", "last_key", "ck", "missing").agg(F.count_if(F.col("key") == F.col("ck")).alias("n"))
-    decided = {r["c"]: (r["last_key"], r["ck"], round(r["missing"]) // max(1, r["n"])) for r in shared.collect()}
-
-    # A source without words has no edge and no partial pass.
-    def boundary(r: tuple) -> tuple[int, int | None, int]:
-        return decided.get(r[0], (-1, None, 0))
-
-    partial = []
-    for r in rows:
-        last, extra, words_left = boundary(r)
-        reach = max(last, extra if extra is not None and words_left > 0 else -1)
-        partial.append(0 if reach < 0 else int((reach >> (_BITS - 31)) * r[1] / float(1 << 31)) + 1)
-    quotas = split_quotas(passes * n_blocks + np.array(partial, np.int64), shards, seed)
-    full = [(*r, *boundary(r), np.cumsum(q).tolist()) for r, q in zip(rows, quotas, strict=True)]
-    decisions = spark.createDataFrame(full, schema + ", last_key long, cut_key long, cut_words long, dealt array<bigint>")
-    return sized, decisions
+    picked = df.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"), key.alias("key"))
+    sized = materialize(picked, "mix-sizes", keep=True)
+    with tidy(df.sparkSession):
+        filled = water_fill(materialize(ranked_sources(sized), "mix-ranked"))
+        n_blocks = F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.least("docs", F.lit(MIN_BLOCKS))).cast("long")
+        passes = F.when(F.col("words") > 0, F.floor(F.col("target") / F.col("words"))).otherwise(0).cast("int")
+        sources = filled.select("source", "place", "words", "target", n_blocks.alias("n_blocks"), passes.alias("passes"))
+        sources = materialize(sources.withColumn("rest", F.col("target") - F.col("passes") * F.col("words")), "mix-targets")
+
+        # Words before each block, by runs of blocks and then within a run: no window holds a whole source.
+        own = sources.select(F.col("source").alias("o"), "n_blocks", "rest")
+        placed = sized.join(own, _same(sized["source"], F.col("o"))).select("source", "size", "key", "rest", _block(F.col("key"), F.col("n_blocks")).alias("block"))
+        per_block = placed.groupBy("source", "block", "rest").agg(F.sum("size").alias("w")).withColumn("run", F.floor(F.col("block") / RUN_BLOCKS))
+        per_block = materialize(per_block, "mix-blocks")
+        before = lambda *by: Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+        per_run = per_block.groupBy("source", "run").agg(F.sum("w").alias("w"))
+        per_run = per_run.select(F.col("source").alias("s"), F.col("run").alias("r"), F.coalesce(F.sum("w").over(before("source", "run")), F.lit(0)).alias("ahead"))
+        inside = per_block.withColumn("within", F.coalesce(F.sum("w").over(before("source", "run", "block")), F.lit(0)))
+        offsets = inside.join(per_run, _same(F.col("source"), F.col("s")) & (F.col("run") == F.col("r"))).withColumn("ahead", F.col("ahead") + F.col("within"))
+        edge = offsets.where((F.col("ahead") <= F.col("rest")) & (F.col("ahead") + F.col("w") > F.col("rest")))
+        missing = F.floor(F.col("rest") - F.col("ahead") + 0.5).cast("long")
+        edge = materialize(edge.select(F.col("source").alias("s"), F.col("block").alias("b"), missing.alias("missing")), "mix-edges")
+
+        # Of the last block, the documents that still fit; equal rows are one entry, so a block has a bounded number of them.
+        at_edge = placed.where("size > 0").join(edge, _same(F.col("source"), F.col("s")) & (F.col("block") == F.col("b")))
+        entries = at_edge.groupBy("source", "missing", "key").agg(F.sum("size").alias("words"))
+        listed = entries.groupBy("source", "missing").agg(F.array_sort(F.collect_list(F.struct((-F.col("words")).alias("less"), "key"))).alias("entries"))
+        start = F.struct(F.col("missing").alias("left"), F.array().cast("array<bigint>").alias("keys"))
+        fits = lambda acc, x: acc["left"] >= -x["less"]
+        took = lambda acc, x: F.struct((acc["left"] + x["less"]).alias("left"), F.concat(acc["keys"], F.array(x["key"])).alias("keys"))
+        chosen = listed.select(F.col("source").alias("c"), F.aggregate("entries", start, lambda acc, x: F.when(fits(acc, x), took(acc, x)).otherwise(acc), lambda acc: acc["keys"]).alias("keys"))
+        both = sources.join(edge, _same(F.col("source"), F.col("s")), "left").join(chosen, _same(F.col("source"), F.col("c")), "left")
+        # A source without words has no edge and no partial pass.
+        edge_block, keys = F.coalesce("b", F.lit(0)), F.coalesce("keys", F.array().cast("array<bigint>"))
+        units = F.col("passes") * F.col("n_blocks") + edge_block + (F.size(keys) > 0).cast("long")
+        full = materialize(both.select("source", "place", "words", "target", "n_blocks", "passes", edge_block.alias("edge_block"), keys.alias("edge_keys"), units.alias("n")), "mix-units")
+        dealt = deal(full.select("source", "place", "n"), shards, seed).withColumnRenamed("source", "d")
+        decided = full.join(dealt, _same(F.col("source"), F.col("d"))).select("source", "words", "target", "n_blocks", "passes", "edge_block", "edge_keys", "dealt")
+        return sized, materialize(decided, "mix-decisions", keep=True)
 
 
 def draws_column() -> Column:
-    """array<struct<pass, block, shard, words>> of a document's draws, from key, size and its source's decision row."""
+    """array<struct<pass, block, shard>> of a document's draws, from its key and its source's decision row."""
     block = _block(F.col("key"), F.col("n_blocks"))
-    partly = F.when(F.col("key") <= F.col("last_key"), F.col("size")).when(F.col("key") == F.col("cut_key"), F.least(F.col("cut_words"), F.col("size")))
-    partly = F.coalesce(partly, F.lit(0).cast("long"))
-    drawn_again = (F.col("key") <= F.col("last_key")) | (partly > 0)
-    count = F.col("passes") + drawn_again.cast("int")
-    drawn = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+    # The partial pass takes the blocks before the last one, and of that the documents chosen.
+    partly = (block < F.col("edge_block")) | ((block == F.col("edge_block")) & F.array_contains("edge_keys", F.col("key")))
+    count = F.col("passes") + partly.cast("int")
+    passes = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
     place = lambda p: p * F.col("n_blocks") + block
-    shard = lambda p: F.least(F.size(F.filter("dealt", lambda c: c <= place(p))), F.size("dealt") - 1)
-    words = lambda p: F.when(p < F.col("passes"), F.col("size")).otherwise(partly)
-    return F.transform(drawn, lambda p: F.struct(p.alias("pass"), block.alias("block"), shard(p).alias("shard"), words(p).alias("words")))
-
-
-def first_words(text: Column, words: Column) -> Column:
-    """The text up to the end of a word, white space as it stands."""
-    return F.array_join(F.slice(F.split(text, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])", -1), F.lit(1), words.cast("int")), "")
+    shard = lambda p: F.size(F.filter("dealt", lambda upto: upto <= place(p)))
+    found = F.transform(passes, lambda p: F.struct(p.alias("pass"), block.alias("block"), shard(p).alias("shard")))
+    # A place beyond the shards' quotas is drawn by none of them.
+    return F.filter(found, lambda d: d["shard"] < F.size("dealt"))
 
 
-def mix_report(df: DataFrame, **names: str) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of every document."""
+def mix_report(df: DataFrame, **names) -> DataFrame:
+    """(doc_id, size, source_size, target, taken) of every document; taken is the sum over the shards' draws."""
     sized, decisions = plan(df, **names)
-    joined = sized.join(F.broadcast(decisions), sized["source"].eqNullSafe(decisions["source"])).withColumn("draws", draws_column())
-    return joined.select("doc_id", "size", F.col("words").alias("source_size"), "target", F.aggregate("draws", F.lit(0).cast("long"), lambda s, d: s + d["words"]).alias("taken"))
+    own = decisions.withColumnRenamed("source", "own")
+    joined = sized.join(own, _same(F.col("source"), F.col("own"))).withColumn("draws", draws_column())
+    return joined.select("doc_id", "size", F.col("words").alias("source_size"), "target", (F.size("draws") * F.col("size")).cast("long").alias("taken"))
 
 
 def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """One row a draw: the columns of ``df``, then __shard, __order (the place within the shard) and __words.
-
-    The text of the one draw of a source that gives only part of its words ends there.
-    """
+    """One row a draw: the columns of ``df``, then __shard and __order (the place within the shard)."""
     _, decisions = plan(df, id_col, source_col, text_col, shards, seed)
-    narrow = decisions.select(F.col("source").alias("__source"), "n_blocks", "passes", "last_key", "cut_key", "cut_words", "dealt")
+    narrow = decisions.withColumnRenamed("source", "__source").drop("words", "target")
     names = df.columns
     key = permutation_key(F.col(id_col), F.col(source_col), F.col(text_col), seed)
-    row = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"), key.alias("key"), word_count(F.col(text_col)).alias("size"), F.col(source_col).alias("__own"))
-    joined = row.join(F.broadcast(narrow), F.col("__own").eqNullSafe(F.col("__source")))
-    drawn = joined.select("__row", "key", "size", F.explode(draws_column()).alias("__draw"))
-    words = F.col("__draw.words")
-    whole = F.col("__row").getField(text_col)
-    text = F.when(words < F.col("size"), first_words(whole, words)).otherwise(whole)
+    row = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"), key.alias("key"), F.col(source_col).cast("string").alias("__own"))
+    drawn = row.join(narrow, _same(F.col("__own"), F.col("__source"))).select("__row", "key", F.explode(draws_column()).alias("__draw"))
     return drawn.select(
-        *[(text if c == text_col else F.col("__row").getField(c)).alias(c) for c in names],
+        *[F.col("__row").getField(c).alias(c) for c in names],
         F.col("__draw.shard").alias("__shard"),
         F.xxhash64(F.lit(seed), F.col("key"), F.col("__draw.pass")).alias("__order"),
-        words.alias("__words"),
     )

@@ -100,7 +100,7 @@ FROM pairs QUALIFY rank <= 5
 """
 
 MIXING_SQL = r"""
-WITH d AS (
+WITH RECURSIVE d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
     CAST(concat('0x', substr(md5(concat_ws(':', '20', coalesce(CAST(doc_id AS VARCHAR), '-'), coalesce(source, '-'), coalesce(text, '-'))), 1, 15)) AS BIGINT) AS key
   FROM documents
@@ -116,20 +116,27 @@ WITH d AS (
   SELECT source, words, CASE WHEN capped THEN 2.0 * words ELSE
     w * (total - 2.0 * coalesce(sum(words) FILTER (capped) OVER (), 0)) / sum(w) FILTER (NOT capped) OVER () END AS target FROM c
 ), q AS (
-  SELECT source, words, target, CASE WHEN words > 0 THEN floor(target / words) ELSE 0 END AS passes FROM t
+  SELECT t.source, words, target, CASE WHEN words > 0 THEN CAST(floor(target / words) AS BIGINT) ELSE 0 END AS passes,
+    greatest((docs + 255) // 256, least(docs, 64)) AS n_blocks FROM t JOIN (SELECT source, count(*) AS docs FROM d GROUP BY source) n ON t.source IS NOT DISTINCT FROM n.source
 ), k AS (
-  SELECT d.*, q.words, q.target, CAST(q.passes AS BIGINT) AS passes, q.target - q.passes * q.words AS rest,
-    sum(size) OVER (PARTITION BY d.source ORDER BY key RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+  SELECT d.*, q.words, q.target, q.passes, q.target - q.passes * q.words AS rest, ((key >> 29) * n_blocks) >> 31 AS block
   FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source
+), b AS (
+  SELECT source, block, rest, w, sum(w) OVER (PARTITION BY source ORDER BY block) - w AS ahead FROM (SELECT source, block, rest, sum(size) AS w FROM k GROUP BY source, block, rest)
 ), e AS (
-  SELECT source, coalesce(max(upto) FILTER (upto <= rest), 0) AS filled, min(key) FILTER (upto > rest) AS cut_key FROM k GROUP BY source
-), m AS (
-  SELECT k.*, e.cut_key, round_even(rest - filled, 0) // count(*) FILTER (key = cut_key) OVER (PARTITION BY k.source) AS cut_words
-  FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source
+  SELECT source, block, CAST(floor(rest - ahead + 0.5) AS BIGINT) AS missing FROM b WHERE ahead <= rest AND ahead + w > rest
+), x AS (
+  SELECT source, key, words, row_number() OVER (PARTITION BY source ORDER BY words DESC, key) AS n FROM (
+    SELECT k.source, k.key, sum(k.size) AS words FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source AND k.block = e.block WHERE k.size > 0 GROUP BY k.source, k.key)
+), g AS (
+  SELECT source, CAST(0 AS BIGINT) AS n, missing AS room, CAST(NULL AS BIGINT) AS key FROM e
+  UNION ALL
+  SELECT g.source, x.n, CASE WHEN x.words <= room THEN CAST(room - x.words AS BIGINT) ELSE room END, CASE WHEN x.words <= room THEN x.key END
+  FROM g JOIN x ON g.source IS NOT DISTINCT FROM x.source AND x.n = g.n + 1
 )
-SELECT doc_id, size, words AS source_size, target,
-  CAST(passes * size + CASE WHEN upto <= rest THEN size WHEN key = cut_key THEN least(size, cut_words) ELSE 0 END AS BIGINT) AS taken
-FROM m
+SELECT k.doc_id, k.size, k.words AS source_size, k.target,
+  CAST(k.passes * k.size + CASE WHEN k.block < e.block OR k.key IN (SELECT key FROM g WHERE key IS NOT NULL) THEN k.size ELSE 0 END AS BIGINT) AS taken
+FROM k LEFT JOIN e ON k.source IS NOT DISTINCT FROM e.source
 """
 
 

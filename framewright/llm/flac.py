@@ -3,9 +3,14 @@
 The encoder writes native FLAC: one channel of 8-bit samples in blocks of 576, each block coded by
 the cheapest of a constant, a verbatim, a fixed-predictor or a linear-predictor subframe with
 Rice-coded residuals in four partitions. The seek table names every frame, so the decoder can take
-all frames of many streams side by side: it checks each header's CRC-8 and each frame's CRC-16,
+the frames of many streams side by side: it checks each header's CRC-8 and each frame's CRC-16,
 decodes the Rice residuals one sample of all frames at a time, runs the predictors, and compares the
-stream's MD5. ``pcm_blocks`` writes the samples as rows with their sample offsets.
+stream's MD5. ``pcm_blocks`` gives the samples as rows with their sample offsets, in order;
+``read_samples`` decodes the frames around an offset and no others.
+
+Frames do not depend on each other, so both ways go by lots of ``LOT`` frames whatever a text's length:
+beside the payload and its stream, memory holds one lot. The decoder reads what the encoder writes (one
+channel of 8 bits, blocks of 576, every frame in the seek table); other FLAC raises ValueError.
 
 Null and empty texts are one padded block. Rows are independent: repeated rows, null ids and extra
 columns need no special treatment. A stream that fails a checksum raises ValueError.
@@ -27,6 +32,8 @@ from framewright.llm.common import buffers, slices
 
 BLOCK = 576
 SLICE = 2 << 20
+#: Frames that are coded or decoded side by side.
+LOT = 2048
 _PART_ORDER = 2
 _LPC_ORDER = 2
 _PRECISION = 12
@@ -204,11 +211,11 @@ def encode_frames(samples: np.ndarray, number: np.ndarray) -> tuple[np.ndarray,
     return data, frame_len
 
 
-def stream(pcm: bytes, frames: bytes, lengths: np.ndarray) -> bytes:
+def stream(md5: bytes, frames: bytes, lengths: np.ndarray) -> bytes:
     """A FLAC file: stream info, a seek table that names every frame, frames."""
     n = len(lengths)
     info = struct.pack(">HH", BLOCK, BLOCK) + int(lengths.min()).to_bytes(3, "big") + int(lengths.max()).to_bytes(3, "big")
-    info += ((44100 << 44) | (0 << 41) | (7 << 36) | (n * BLOCK)).to_bytes(8, "big") + hashlib.md5(pcm).digest()
+    info += ((44100 << 44) | (0 << 41) | (7 << 36) | (n * BLOCK)).to_bytes(8, "big") + md5
     seek = np.zeros(n, np.dtype([("sample", ">u8"), ("offset", ">u8"), ("count", ">u2")]))
     seek["sample"] = np.arange(n) * BLOCK
     seek["offset"] = np.concatenate([[0], np.cumsum(lengths)[:-1]])
@@ -221,14 +228,24 @@ def encode_many(offsets: np.ndarray, data: np.ndarray) -> list[bytes]:
     """Streams of padded payloads data[offsets[i] : offsets[i + 1]]; each length is a multiple of 576."""
     count = np.diff(offsets) // BLOCK
     number = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-    signed = (data.astype(np.int16) - 128).astype(np.int8)
-    out, lengths = encode_frames(signed.astype(np.int32).reshape(-1, BLOCK), number)
+    coded, sizes = [], []
+    for i in range(0, len(number), LOT):
+        lot = data[i * BLOCK : (i + LOT) * BLOCK].astype(np.int32).reshape(-1, BLOCK) - 128
+        out, size = encode_frames(lot, number[i : i + LOT])
+        coded.append(out.tobytes())
+        sizes.append(size)
+    frames = memoryview(b"".join(coded))
+    coded.clear()
+    lengths = np.concatenate([np.zeros(0, np.int64), *sizes])
     at = np.concatenate([[0], np.cumsum(lengths)])
     first = np.concatenate([[0], np.cumsum(count)])
-    return [
-        stream(signed[a:b].tobytes(), out[at[i] : at[j]].tobytes(), lengths[i:j])
-        for a, b, i, j in zip(offsets[:-1], offsets[1:], first[:-1], first[1:], strict=True)
-    ]
+    streams = []
+    for a, b, i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), first[:-1], first[1:], strict=True):
+        md5 = hashlib.md5()
+        for x in range(a, b, LOT * BLOCK):
+            md5.update(data[x : min(b, x + LOT * BLOCK)] ^ 128)
+        streams.append(stream(md5.digest(), frames[at[i] : at[j]], lengths[i:j]))
+    return streams
 
 
 class _Bits:
@@ -364,34 +381,65 @@ def decode_frames(data: np.ndarray, start: np.ndarray, length: np.ndarray, numbe
     return out.astype(np.int16)
 
 
-def decode_many(streams: list[bytes]) -> list[bytes]:
-    """The stored samples of each stream as unsigned bytes."""
-    starts, lengths, numbers, spans, sums = [], [], [], [], []
-    base = total = 0
-    for s in streams:
-        if s[:4] != b"fLaC" or s[4] != 0 or s[42] != 0x83:
-            raise ValueError("not a FLAC stream with stream info and seek table")
-        sums.append(s[26:42])
-        size = int.from_bytes(s[43:46], "big")
-        offset = np.frombuffer(s, np.dtype([("sample", ">u8"), ("offset", ">u8"), ("count", ">u2")]), size // 18, 46)["offset"].astype(np.int64)
-        body = 46 + size
+_SEEK = np.dtype([("sample", ">u8"), ("offset", ">u8"), ("count", ">u2")])
+
+
+def _layout(s: bytes) -> tuple[int, np.ndarray, bytes]:
+    """(place of the first frame, frame offsets from there, MD5) of a stream."""
+    if len(s) < 46 or s[:4] != b"fLaC" or s[4] != 0 or s[42] != 0x83:
+        raise ValueError("not a FLAC stream with stream info and seek table")
+    size = int.from_bytes(s[43:46], "big")
+    return 46 + size, np.frombuffer(s, _SEEK, size // 18, 46)["offset"].astype(np.int64), bytes(s[26:42])
+
+
+def decode_runs(streams: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
+    """(stream, sample offset, samples as unsigned bytes) of all streams in order, in runs of ``LOT`` frames at most."""
+    starts, lengths, numbers, owners, sums = [], [], [], [], []
+    base = 0
+    for i, s in enumerate(streams):
+        body, offset, md5 = _layout(s)
+        sums.append((hashlib.md5(), md5))
         starts.append(base + body + offset)
         lengths.append(np.diff(np.append(offset, len(s) - body)))
         numbers.append(np.arange(len(offset)))
-        spans.append((total, total + len(offset)))
-        total += len(offset)
+        owners.append(np.full(len(offset), i))
         base += len(s)
     if not streams:
-        return []
-    data = np.frombuffer(b"".join(streams), np.uint8)
-    x = decode_frames(data, np.concatenate(starts), np.concatenate(lengths), np.concatenate(numbers))
-    signed, plain = x.astype(np.int8), (x + 128).astype(np.uint8)
-    out = []
-    for (a, b), md5 in zip(spans, sums, strict=True):
-        if hashlib.md5(signed[a:b].tobytes()).digest() != md5:
-            raise ValueError("FLAC stream's MD5 is wrong")
-        out.append(plain[a:b].tobytes())
-    return out
+        return
+    data = np.frombuffer(streams[0] if len(streams) == 1 else b"".join(streams), np.uint8)
+    start, length, number, owner = (np.concatenate(x) for x in (starts, lengths, numbers, owners))
+    for a in range(0, len(start), LOT):
+        b = min(len(start), a + LOT)
+        low = int(start[a])
+        x = decode_frames(data[low : int(start[b - 1] + length[b - 1])], start[a:b] - low, length[a:b], number[a:b])
+        plain = (x + 128).astype(np.uint8)
+        cut = np.concatenate([np.flatnonzero(np.diff(owner[a:b], prepend=-1)), [b - a]])
+        for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            own = int(owner[a + i])
+            sums[own][0].update(plain[i:j] ^ 128)
+            if (a + j == len(start) or owner[a + j] != own) and sums[own][0].digest() != sums[own][1]:
+                raise ValueError("FLAC stream's MD5 is wrong")
+            yield own, int(number[a + i]) * BLOCK, plain[i:j].tobytes()
+
+
+def decode_many(streams: list[bytes]) -> list[bytes]:
+    """The stored samples of each stream as unsigned bytes."""
+    out: list[list[bytes]] = [[] for _ in streams]
+    for i, _, pcm in decode_runs(streams):
+        out[i].append(pcm)
+    return [b"".join(x) for x in out]
+
+
+def read_samples(media: bytes, first: int, count: int) -> bytes:
+    """Samples [first, first + count) of a stream: only the frames that hold them are decoded."""
+    body, offset, _ = _layout(media)
+    a, b = first // BLOCK, min(len(offset), -(-(first + count) // BLOCK))
+    if first < 0 or count <= 0 or a >= b:
+        return b""
+    ends = np.append(offset, len(media) - body)
+    data = np.frombuffer(media, np.uint8, int(ends[b] - ends[a]), int(body + ends[a]))
+    x = decode_frames(data, ends[a:b] - ends[a], np.diff(ends[a : b + 1]), np.arange(a, b))
+    return (x + 128).astype(np.uint8).tobytes()[first - a * BLOCK :][:count]
 
 
 def to_media(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -416,55 +464,69 @@ def to_media(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return picked.mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
-def _decoded(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[bytes], list[bytes]]]:
-    for batch in batches:
-        offsets, _ = buffers(batch.column(column))
-        for a, b in slices(offsets, SLICE):
-            part = batch.slice(a, b - a)
-            media = part.column(column).to_pylist()
-            yield part, media, decode_many(media)
+_BLOCKS = "doc_id long, n_bytes long, media_bytes long, media_sha256 string, n_samples long, sample_offset long, pcm binary"
 
 
-def features(media: DataFrame) -> DataFrame:
-    """Digests and a feature string (blocks, sum, zero crossings) of what each stream decodes to."""
+def pcm_blocks(media: DataFrame, frames: int = 1) -> DataFrame:
+    """The decoded samples of each stream as rows of ``frames`` frames at most, in order, each with its sample offset.
+
+    (doc_id, n_bytes, media_bytes, media_sha256, n_samples, sample_offset, pcm); ``frames`` goes up to ``LOT``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, stored, plain in _decoded(batches, 2):
-            feature = []
-            for p in plain:
-                x = np.frombuffer(p, np.uint8)
-                feature.append(f"blocks={len(x) // BLOCK} sum={int(x.sum(dtype=np.int64))} crossings={int(np.count_nonzero((x[1:] < 128) != (x[:-1] < 128)))}")
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column(0),
-                    part.column(1),
-                    pa.array([len(p) for p in plain], pa.int64()),
-                    pa.array([hashlib.sha256(p).hexdigest() for p in plain], pa.string()),
-                    pa.array([zlib.crc32(p[-32:]) for p in plain], pa.int64()),
-                    pa.array([len(m) for m in stored], pa.int64()),
-                    pa.array([hashlib.sha256(m).hexdigest() for m in stored], pa.string()),
-                    pa.array(feature, pa.string()),
-                ],
-                ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"],
-            )
-
-    return media.mapInArrow(
-        run,
-        "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string",
-    )
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary()]
+
+        def rows_of(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], [c.split()[0] for c in _BLOCKS.split(", ")])
+
+        for batch in batches:
+            offsets, _ = buffers(batch.column(2))
+            for a, b in slices(offsets, SLICE):
+                keys, sizes = (batch.column(i).slice(a, b - a).to_pylist() for i in (0, 1))
+                stored = [memoryview(x.as_buffer()).cast("B") for x in batch.column(2).slice(a, b - a)]
+                heads = [(k, n, len(m), hashlib.sha256(m).hexdigest(), BLOCK * len(_layout(m)[1])) for k, n, m in zip(keys, sizes, stored, strict=True)]
+                rows, held = [], 0
+                for i, first, pcm in decode_runs(stored):
+                    for x in range(0, len(pcm), frames * BLOCK):
+                        rows.append((*heads[i], first + x, pcm[x : x + frames * BLOCK]))
+                    held += len(pcm)
+                    if held >= SLICE:
+                        yield rows_of(rows)
+                        rows, held = [], 0
+                if rows:
+                    yield rows_of(rows)
+
+    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, _BLOCKS)
+
 
+def features(media: DataFrame) -> DataFrame:
+    """Digests and a feature string (blocks, sum, zero crossings) of what each stream decodes to, from its PCM blocks.
 
-def pcm_blocks(media: DataFrame) -> DataFrame:
-    """(doc_id, sample_offset, pcm): the decoded samples as rows of one block each."""
+    The blocks of a stream follow each other within a partition, so they are folded as they come.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, _, plain in _decoded(batches, 2):
-            count = [len(p) // BLOCK for p in plain]
-            rows = np.repeat(np.arange(len(plain)), count)
-            offset = np.concatenate([np.arange(c) * BLOCK for c in count]) if count else np.zeros(0, np.int64)
-            cut = [p[i : i + BLOCK] for p in plain for i in range(0, len(p), BLOCK)]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(pa.array(rows)), pa.array(offset, pa.int64()), pa.array(cut, pa.binary())], ["doc_id", "sample_offset", "pcm"]
-            )
-
-    return media.mapInArrow(run, "doc_id long, sample_offset long, pcm binary")
+        sha, total, crossings, last = hashlib.sha256(), 0, 0, None
+        for batch in batches:
+            rows = []
+            for *head, n, first, pcm in zip(*(c.to_pylist() for c in batch.columns[:-1]), batch.column(6), strict=True):
+                raw = pcm.as_buffer()
+                x = np.frombuffer(raw, np.uint8)
+                if first == 0:
+                    sha, total, crossings, last = hashlib.sha256(), 0, 0, None
+                sha.update(raw)
+                total += int(x.sum(dtype=np.int64))
+                low = x < 128
+                crossings += int(np.count_nonzero(low[1:] != low[:-1])) + (last is not None and bool(low[0]) != last)
+                last = bool(low[-1])
+                if first + len(x) == n:
+                    feature = f"blocks={n // BLOCK} sum={total} crossings={crossings}"
+                    rows.append((head[0], head[1], n, sha.hexdigest(), zlib.crc32(x[-32:]), head[2], head[3], feature))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+            names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
+
+    return pcm_blocks(media, LOT).mapInArrow(
+        run,
+        "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string",
+    )

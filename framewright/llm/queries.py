@@ -56,9 +56,10 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from framewright.llm.common import materialize
     from framewright.llm.flac import features, to_media
 
-    return features(to_media(_table(spark, sf_dir, "documents")))
+    return features(materialize(to_media(_table(spark, sf_dir, "documents")), "flac-media"))
 
 
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,3 +74,52 @@ def test_blocks_are_seekable(spark):
         own = [b for b in blocks if b["doc_id"] == r[0]]
         assert [b["sample_offset"] for b in own] == list(range(0, len(padded(r[1])), 576))
         assert b"".join(bytes(b["pcm"]) for b in own) == padded(r[1])
+
+
+def test_runs_and_seeks():
+    rng = np.random.default_rng(5)
+    raw = [bytes(rng.integers(60, 70, 576 * n, dtype=np.uint8)) for n in (1, flac.LOT - 3, 5, 2 * flac.LOT + 7, 2)]
+    at = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    media = flac.encode_many(at, np.frombuffer(b"".join(raw), np.uint8))
+    assert flac.decode_many(media) == raw
+    assert media[3] == flac.encode_many(np.array([0, len(raw[3])]), np.frombuffer(raw[3], np.uint8))[0]
+    assert all(len(pcm) <= flac.LOT * 576 for _, _, pcm in flac.decode_runs(media))
+    damaged = bytearray(media[3])
+    damaged[-5] ^= 1
+    for first, count in ((0, 1), (575, 2), (576 * flac.LOT - 1, 1200), (1_000_000, 3000), (len(raw[3]) - 10, 50), (len(raw[3]), 5), (7, 0)):
+        assert flac.read_samples(media[3], first, count) == raw[3][first : first + count]
+    # A damaged end does not hinder a read in the middle: only the frames asked for are decoded.
+    assert flac.read_samples(bytes(damaged), 1_000_000, 3000) == raw[3][1_000_000:1_003_000]
+    with pytest.raises(ValueError, match="FLAC"):
+        flac.read_samples(bytes(damaged), len(raw[3]) - 10, 5)
+
+
+def test_features_of_long_texts(spark):
+    text = "plain text, quite like any other. " * 60_000
+    rows = [(i, t, "en", "s", 1, "", 1, "") for i, t in enumerate([text, "short", text + "!"])]
+    got = {r["doc_id"]: r for r in flac.features(flac.to_media(frame(spark, rows))).collect()}
+    for r in rows:
+        x = np.frombuffer(padded(r[1]), np.uint8)
+        want = f"blocks={len(x) // 576} sum={int(x.sum(dtype=np.int64))} crossings={int(np.count_nonzero((x[1:] < 128) != (x[:-1] < 128)))}"
+        assert got[r[0]]["feature"] == want
+        assert got[r[0]]["payload_sha256"] == hashlib.sha256(padded(r[1])).hexdigest()
+
+
+def test_memory_stays_in_step_with_one_copy():
+    import subprocess
+    import sys
+
+    code = """
+import resource, numpy as np
+from framewright.llm import flac
+x = np.frombuffer(b"plain text, quite like any other one. " * (576 * 4600), np.uint8)
+x = x[: len(x) // 576 * 576]
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+media = flac.encode_many(np.array([0, len(x)]), x)
+n = sum(len(pcm) for _, _, pcm in flac.decode_runs(media))
+print(n == len(x), len(x), (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) * 1024)
+"""
+    done, size, grown = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split()
+    assert done == "True"
+    assert int(size) > 100_000_000
+    assert int(grown) < 600_000_000

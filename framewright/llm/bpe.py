@@ -6,6 +6,8 @@ fall apart into chunks, chunks into the pre-tokenizer's pieces, and pieces into
 pairs found in the vocabulary. Each fragment is encoded on its own and the ids are concatenated.
 Chunks and pieces repeat, so each worker keeps the ids of those it has met (bounded in number).
 
+Files with another normaliser, pre-tokenizer or decoder raise ValueError.
+
 Null and empty texts have no ids and decode to the empty string. Rows are independent of each
 other: repeated rows, null ids and extra columns need no special treatment.
 """
@@ -36,6 +38,20 @@ _PROSE = re.compile("[A-Za-zÀ-ÖØ-öø-įĲ-ňŊ-ž., \n]*")
 _PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ž]+|[0-9]|[!-/:-@\\[-`{-~]+")
 _SPACES = re.compile("[\t-\r \x85\xa0  -     　]+")
 
+#: The normaliser, pre-tokenizer, decoder and model of the files that ``Encoder`` handles.
+_HANDLED = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    None,
+    "BPE",
+)
+
 
 def _byte_chars() -> dict[str, int]:
     """Byte-level BPE writes each byte as a printable character; this maps them back."""
@@ -50,8 +66,11 @@ class Encoder:
     def __init__(self, path: str, cut: bool = True) -> None:
         from tokenizers import Tokenizer, models
 
-        spec = json.load(open(path, encoding="utf-8"))
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
         model = spec["model"]
+        if (spec["normalizer"], spec["pre_tokenizer"], spec["decoder"], model["type"]) != _HANDLED:
+            raise ValueError(f"{path}: only byte-level BPE with NFC, one space, lower case, word pieces and no decoder is handled")
         self.lib = Tokenizer.from_file(path)
         self.lib.no_truncation()
         self.lib.no_padding()
@@ -119,6 +138,10 @@ class Encoder:
     @staticmethod
     def _joined(parts: list[str], known: dict[str, bytes], make: Callable[[str], bytes]) -> bytes:
         """Ids of parts end to end, from those known or else made; long parts are not kept."""
+        try:
+            return b"".join(map(known.__getitem__, parts))
+        except KeyError:
+            pass
         if len(known) >= CACHE_ENTRIES:
             known.clear()
         long = []

@@ -4,9 +4,10 @@ Documents are ordered by id over the range partitions of a Spark sort. Each task
 ids of its documents into blocks: one binary id array (16 or 32 bits an id, little endian) and one
 Elias-Fano record of the document ends, which takes about 2 + log2(ids a document) bits a document
 instead of 64. Every 64th set bit of the upper part is sampled, so ``select(i)`` returns an offset
-after reading at most a few bytes. The blocks are rows of a Parquet table in the shared folder, so
+after reading at most a few bytes, and ``lot(j)`` the 64 offsets behind sample j from the bytes between
+two samples. Reading goes by these alone: no table of a block's offsets is ever made. The blocks are rows of a Parquet table in the shared folder, so
 any store that Spark writes will do and a lost executor loses nothing. Starts across tasks need
-only one total per task.
+only one total per task. ``lookup`` fetches the ids of single documents.
 
 Null and empty texts hold the end id alone. Documents with a null id come first; equal ids follow
 the order of their texts. An empty table gives an empty store.
@@ -85,14 +86,26 @@ class Bounds:
             value |= int(sum(int(x) << j for j, x in enumerate(bits[first % 8 : first % 8 + self.low])))
         return value
 
-    def all(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(self._upper, bitorder="little"))[: self.n]
-        values = (ones - np.arange(self.n)).astype(np.int64) << self.low
-        if self.low and self.n:
-            bits = np.unpackbits(self._lower, bitorder="little")[: self.n * self.low].reshape(self.n, self.low)
+    def lot(self, j: int) -> np.ndarray:
+        """The values from sample ``j`` up to the next one, 64 at most."""
+        first = j * _SAMPLE
+        if not 0 <= first < self.n:
+            raise IndexError(first)
+        n = min(_SAMPLE, self.n - first)
+        at = int(self._samples[j])
+        end = int(self._samples[j + 1]) if j + 1 < len(self._samples) else 8 * len(self._upper)
+        ones = 8 * (at >> 3) + np.flatnonzero(np.unpackbits(self._upper[at >> 3 : (end + 7) >> 3], bitorder="little"))
+        ones = ones[np.searchsorted(ones, at) :][:n]
+        values = (ones - np.arange(first, first + n)) << self.low
+        if self.low:
+            a, b = first * self.low, (first + n) * self.low
+            bits = np.unpackbits(self._lower[a >> 3 : (b + 7) >> 3], bitorder="little")[a & 7 :][: b - a].reshape(n, self.low)
             values |= (bits.astype(np.int64) << np.arange(self.low)).sum(axis=1)
         return values
 
+    def lots(self) -> Iterator[np.ndarray]:
+        yield from map(self.lot, range(len(self._samples)))
+
 
 def write_store(df: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", block_ids: int = BLOCK_IDS) -> DataFrame:
     """Encode every whole text, append ``end_id``, and store the blocks in ascending id order."""
@@ -135,27 +148,55 @@ def write_store(df: DataFrame, path: str, end_id: int, id_col: str = "doc_id", t
     return materialize(ordered.mapInArrow(run, _BLOCK), "token-store")
 
 
-def read_store(store: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of each stored document, from the stored bytes."""
+def _placed(store: DataFrame) -> DataFrame:
+    """The blocks of a store with the number of ids before each."""
     totals = store.groupBy("part").agg(F.sum("n_ids").alias("n"))
     # One row a write task: as many as the writer had partitions, however large the table is.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_base"))
-    blocks = store.join(F.broadcast(starts), "part").select(
-        (F.col("part_base") + F.col("base")).alias("start"), "width", "doc_ids", "bounds", "ids"
-    )
+    return store.join(F.broadcast(starts), "part").select((F.col("part_base") + F.col("base")).alias("start"), "width", "doc_ids", "bounds", "ids")
+
+
+def _ids(raw: pa.Scalar, width: int, a: int, b: int) -> np.ndarray:
+    return np.frombuffer(raw.as_buffer(), np.uint16 if width == 2 else np.uint32, b - a, a * width).astype("<u4")
+
+
+def read_store(store: DataFrame) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of each stored document, from the stored bytes, 64 documents at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, width, keys, bounds, raw in zip(*batch.columns, strict=True):
-                ids = np.frombuffer(raw.as_buffer(), np.uint16 if width.as_py() == 2 else np.uint32).astype("<u4")
-                ends = Bounds(bounds.as_py()).all()
-                begins = np.concatenate([[0], ends[:-1]])
-                view = memoryview(ids).cast("B")
-                crc = [zlib.crc32(view[4 * a : 4 * b]) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
+                begins, sizes, sums, last = [], [], [], 0
+                for ends in Bounds(bounds.as_py()).lots():
+                    first = last
+                    view = memoryview(_ids(raw, width.as_py(), first, int(ends[-1]))).cast("B")
+                    for end in ends.tolist():
+                        begins.append(last)
+                        sizes.append(end - last)
+                        sums.append(zlib.crc32(view[4 * (last - first) : 4 * (end - first)]))
+                        last = end
+                begins = np.array(begins, np.int64) + start.as_py()
                 yield pa.RecordBatch.from_arrays(
-                    [keys.values, pa.array(begins + start.as_py(), pa.int64()), pa.array(ends - begins, pa.int64()), pa.array(crc, pa.int64())],
-                    ["doc_id", "start", "n_tokens", "ids_crc32"],
+                    [keys.values, pa.array(begins), pa.array(sizes, pa.int64()), pa.array(sums, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"]
                 )
 
-    return blocks.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return _placed(store).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+
+
+def lookup(store: DataFrame, doc_ids: list[int]) -> DataFrame:
+    """(doc_id, start, ids) of the documents named: two selects each, and no other ids are read from a block."""
+    wanted = sorted(set(doc_ids))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for start, width, keys, bounds, raw in zip(*batch.columns, strict=True):
+                record = Bounds(bounds.as_py())
+                for i in np.flatnonzero(np.isin(keys.values.to_numpy(zero_copy_only=False), wanted)).tolist():
+                    a, b = record.select(i - 1) if i else 0, record.select(i)
+                    rows.append((keys.values[i].as_py(), start.as_py() + a, _ids(raw, width.as_py(), a, b).tolist()))
+            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["doc_id", "start", "ids"])
+
+    return _placed(store).where(F.arrays_overlap("doc_ids", F.array(*map(F.lit, wanted)))).mapInArrow(run, "doc_id long, start long, ids array<bigint>")

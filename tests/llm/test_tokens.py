@@ -9,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from framewright.llm import bpe
-from framewright.llm.token_store import Bounds, pack_bounds, read_store, write_store
+from framewright.llm.token_store import Bounds, lookup, pack_bounds, read_store, write_store
 
 from .helpers import documents, frame
 
@@ -67,7 +67,7 @@ def test_elias_fano_round_trip():
     for ends in ([1], [0, 0, 0], [5, 5, 9], np.cumsum(rng.integers(0, 700, 3000)), np.cumsum(rng.integers(0, 2, 500)), np.array([], np.int64)):
         ends = np.array(ends, np.int64)
         bounds = Bounds(pack_bounds(ends))
-        assert bounds.all().tolist() == ends.tolist()
+        assert [x for lot in bounds.lots() for x in lot.tolist()] == ends.tolist()
         assert [bounds.select(i) for i in range(len(ends))] == ends.tolist()
     assert len(pack_bounds(np.cumsum(rng.integers(0, 700, 3000)))) < 3000 * 2
 
@@ -85,3 +85,27 @@ def test_store(spark, library, block_ids):
 
 def test_empty_store(spark):
     assert read_store(write_store(frame(spark, []), PATH, 1)).count() == 0
+
+
+def test_lookup(spark, library):
+    store = write_store(frame(spark), PATH, 1, block_ids=500)
+    start = {r["doc_id"]: r["start"] for r in read_store(store).collect()}
+    got = lookup(store, [0, 7, 44, 48, 999_999]).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter([0, 7, 44, 48])
+    for r in got:
+        assert (r["start"], r["ids"]) == (start[r["doc_id"]], [*reference(library, documents()[r["doc_id"]][1])[0], 1])
+
+
+def test_reading_selects_offsets_and_makes_no_table(spark, monkeypatch):
+    sizes = []
+    own = Bounds.lot
+    monkeypatch.setattr(Bounds, "lot", lambda self, j: sizes.append(len(found := own(self, j))) or found)
+    record = Bounds(pack_bounds(np.cumsum(np.full(1000, 3))))
+    assert sum(len(x) for x in record.lots()) == 1000
+    assert max(sizes) == 64
+    assert not hasattr(Bounds, "all")
+
+
+def test_other_files_are_refused():
+    with pytest.raises(ValueError, match="only byte-level BPE"):
+        bpe.Encoder(public_tokenizers.path("byte_bpe_50k.json"))

@@ -11,6 +11,7 @@ from contextlib import contextmanager
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -82,6 +83,21 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spread_join(rows: DataFrame, table: DataFrame, key: str, n_rows: int, how: str = "left") -> DataFrame:
+    """``rows`` joined with ``table`` (one row a key) on ``key``, no key's rows going to one task alone.
+
+    Keys that hold more than one in ``parts`` of all ``n_rows`` rows are dealt over all tasks, their
+    row of ``table`` being copied to each; of such keys there are fewer than ``parts``, which bounds the broadcast.
+    """
+    width = parts(rows.sparkSession)
+    hot = rows.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") > n_rows / width).select(F.col(key).alias("__hot"))
+    salt = F.when(F.col("__hot").isNotNull(), (F.monotonically_increasing_id() % width).cast("int")).otherwise(0)
+    left = rows.join(F.broadcast(hot), F.col(key) == F.col("__hot"), "left").withColumn("__salt", salt).drop("__hot")
+    salts = F.when(F.col("__hot").isNotNull(), F.sequence(F.lit(0), F.lit(width - 1))).otherwise(F.array(F.lit(0)))
+    right = table.join(F.broadcast(hot), F.col(key) == F.col("__hot"), "left").withColumn("__salt", F.explode(salts)).drop("__hot")
+    return left.join(right, [key, "__salt"], how).drop("__salt")
+
+
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(offsets, bytes) of an Arrow binary or string column without nulls, the offsets rebased to 0."""
     if isinstance(column, pa.ChunkedArray):

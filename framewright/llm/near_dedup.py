@@ -12,13 +12,16 @@ more (four standard errors below 0.8) form loose groups, and in each group every
 not yet connected is verified by the exact overlap of its multisets: sum of minima over sum of
 maxima at least 0.8. Classes are the connected components of verified links.
 
-Equal texts are one node. Bands and groups above ``BOUND`` nodes are split into chunks whose pairs
-are separate tasks, so no task holds an unbounded group, and only spanning links are ever emitted.
-Texts are nodes by a 64-bit hash.
-
-Null, empty and blank texts have no runs and are classes of their own. Repeated rows are copies.
-Rows without an id take part; a class's id is its smallest id, null if it has none. Extra columns are
-ignored. An empty table gives no rows.
+Equal texts are one node, named by 128 bits of their content. Bands and groups above ``BOUND`` nodes are
+split into chunks, each together with the group's smallest node. What that node reaches in its chunk is
+linked already; only the nodes that it does not reach meet the other chunks. So a large group of copies
+of one text takes work in proportion to its size, no task holds an unbounded group, no link between
+different texts is lost, and only spanning links are ever emitted. What has very many rows (a text's
+copies, a class's members) is dealt over the tasks wherever it is joined.
+
+Null, empty and blank texts have no runs and are classes of their own; blank is what ``str.split()``
+makes nothing of. Repeated rows are copies. Rows without an id take part; a class's id is its smallest
+id, null if it has none. Extra columns are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,11 +31,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from framewright.llm.common import materialize, mix64
+from framewright.llm.common import materialize, mix64, spread_join, tidy
 from framewright.llm.graph import components
 
 WORDS = 5
@@ -145,19 +148,27 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return total.view(np.int64)
 
 
+def node_of(text: Column) -> Column:
+    """The name of a text: 128 bits of its content."""
+    return F.unhex(F.md5(text))
+
+
+def is_blank(text: Column) -> Column:
+    return ~text.rlike(f"[^{_SPACES}]")
+
+
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, node, blank, text) to (doc_id, node, blank, sig, bands)."""
     shingle = Shingler()
-    names = ["doc_id", "node", "blank", "sig", "bands"]
     for batch in batches:
         for part in (batch.slice(i, _LOT) for i in range(0, batch.num_rows, _LOT)):
-            bags = [shingle(text.as_py()) for text in part.column(2)]
-            blank = [not len(h) for h, _ in bags]
-            signed = iter(signatures([bag for bag in bags if len(bag[0])]))
+            blank = part.column(2).to_pylist()
+            signed = iter(signatures([shingle(text.as_py()) for text, b in zip(part.column(3), blank, strict=True) if not b]))
             own = [None if b else next(signed) for b in blank]
             sigs = [None if s is None else s.astype(np.uint8).tobytes() for s in own]
             bands = [None if s is None else band_keys(s) for s in own]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(blank), pa.array(sigs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names
+                [*part.columns[:3], pa.array(sigs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "node", "blank", "sig", "bands"]
             )
 
 
@@ -176,9 +187,30 @@ def _groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tu
         yield key, rows
 
 
-def _star_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
-    a = np.array(edges, np.int64).reshape(-1, 2)
-    return pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], ["u", "v"])
+_LINKS = "u binary, v binary, key binary"
+
+
+def _links(groups: Iterator[tuple[tuple, list[bytes], list[list[int]]]]) -> Iterator[pa.RecordBatch]:
+    """Links (u, v) of clusters (key, names, rows), and rows (u, null, key) for what the smallest name does not reach in a split group."""
+    u, v, k = [], [], []
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in (u, v, k)], ["u", "v", "key"])
+
+    for (key, chunks, *_), names, clusters in groups:
+        for cluster in clusters:
+            low = min(cluster)
+            u += [names[x] for x in cluster if x != low]
+            v += [names[low]] * (len(cluster) - 1)
+            k += [None] * (len(cluster) - 1)
+            if chunks > 1 and low > 0:
+                u += [names[x] for x in cluster]
+                v += [None] * len(cluster)
+                k += [key] * len(cluster)
+        if len(u) > 50_000:
+            yield batch()
+            u, v, k = [], [], []
+    yield batch()
 
 
 def _spread(sigs: np.ndarray, test) -> list[list[int]]:
@@ -202,19 +234,17 @@ def _spread(sigs: np.ndarray, test) -> list[list[int]]:
     return out
 
 
-def _loose_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    edges: list[tuple[int, int]] = []
-    for _, rows in _groups(batches, 3):
-        nodes = {node: sig for node, sig in rows}
-        names = sorted(nodes)
-        sigs = np.frombuffer(b"".join(nodes[x] for x in names), np.uint8).reshape(len(names), SIZE)
-        for cluster in _spread(sigs, None):
-            low = min(cluster)
-            edges += [(names[x], names[low]) for x in cluster if x != low]
-        if len(edges) > 50_000:
-            yield _star_batch(edges)
-            edges = []
-    yield _star_batch(edges)
+def _loose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Groups (key, chunks, i, j) of (node, sig) to links between signatures that agree enough."""
+
+    def clusters() -> Iterator[tuple[tuple, list[bytes], list[list[int]]]]:
+        for key, rows in _groups(batches, 4):
+            nodes = dict(rows)
+            names = sorted(nodes)
+            sigs = np.frombuffer(b"".join(nodes[x] for x in names), np.uint8).reshape(len(names), SIZE)
+            yield key, names, _spread(sigs, None)
+
+    yield from _links(clusters())
 
 
 def overlap(h: np.ndarray, c: np.ndarray, others_h: np.ndarray, others_c: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
@@ -224,89 +254,98 @@ def overlap(h: np.ndarray, c: np.ndarray, others_h: np.ndarray, others_c: np.nda
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    edges: list[tuple[int, int]] = []
-    for _, rows in _groups(batches, 3):
-        nodes = {r[0]: r[1:] for r in rows}
-        names = sorted(nodes)
-        sigs = np.frombuffer(b"".join(nodes[x][0] for x in names), np.uint8).reshape(len(names), SIZE)
-        h = [np.frombuffer(nodes[x][1], np.uint64) for x in names]
-        c = [np.frombuffer(nodes[x][2], np.uint32).astype(np.int64) for x in names]
-        total = np.array([x.sum() for x in c])
-
-        def test(seed: int, others: np.ndarray, h=h, c=c, total=total) -> np.ndarray:
-            pick = others.tolist()
-            owner = np.repeat(np.arange(len(pick)), [len(h[x]) for x in pick])
-            both = overlap(h[seed], c[seed], np.concatenate([h[x] for x in pick]), np.concatenate([c[x] for x in pick]), owner, len(pick))
-            return both >= SIMILARITY * (total[seed] + total[others] - both) - 1e-9
-
-        for cluster in _spread(sigs, test):
-            low = min(cluster)
-            edges += [(names[x], names[low]) for x in cluster if x != low]
-        if len(edges) > 50_000:
-            yield _star_batch(edges)
-            edges = []
-    yield _star_batch(edges)
+    """Groups (key, chunks, i, j) of (node, sig, h, c) to links between multisets that overlap enough."""
+
+    def clusters() -> Iterator[tuple[tuple, list[bytes], list[list[int]]]]:
+        for key, rows in _groups(batches, 4):
+            nodes = {r[0]: r[1:] for r in rows}
+            names = sorted(nodes)
+            sigs = np.frombuffer(b"".join(nodes[x][0] for x in names), np.uint8).reshape(len(names), SIZE)
+            h = [np.frombuffer(nodes[x][1], np.uint64) for x in names]
+            c = [np.frombuffer(nodes[x][2], np.uint32).astype(np.int64) for x in names]
+            total = np.array([x.sum() for x in c])
+
+            def test(seed: int, others: np.ndarray, h=h, c=c, total=total) -> np.ndarray:
+                pick = others.tolist()
+                owner = np.repeat(np.arange(len(pick)), [len(h[x]) for x in pick])
+                both = overlap(h[seed], c[seed], np.concatenate([h[x] for x in pick]), np.concatenate([c[x] for x in pick]), owner, len(pick))
+                return both >= SIMILARITY * (total[seed] + total[others] - both) - 1e-9
+
+            yield key, names, _spread(sigs, test)
+
+    yield from _links(clusters())
+
 
+def _chunk(node: str, n: Column) -> Column:
+    return F.pmod(F.xxhash64(node), n).cast("int")
 
-def _in_tasks(df: DataFrame, key: str, bound: int) -> DataFrame:
-    """Rows (key, node, n, ...) dealt to tasks (key, i, j): one for a small group, pairs of chunks for a large one."""
-    chunks = F.ceil(F.col("n") / bound).cast("int")
-    own = F.pmod(F.xxhash64("node"), chunks).cast("int")
-    task = lambda x: F.struct(F.least("__own", x).alias("i"), F.greatest("__own", x).alias("j"))
-    dealt = df.withColumn("__own", own).withColumn("__task", F.explode(F.transform(F.sequence(F.lit(0), chunks - 1), task)))
-    rest = [c for c in df.columns if c not in (key, "n")]
-    dealt = dealt.select(F.col(key), F.col("__task.i").alias("i"), F.col("__task.j").alias("j"), *rest)
-    return dealt.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "node")
+
+def _dealt(df: DataFrame, rest: list[str]) -> DataFrame:
+    tasks = ["key", "chunks", "i", "j"]
+    return df.select(*tasks, *rest).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
+
+
+def _linked(members: DataFrame, run, bound: int, label: str) -> DataFrame:
+    """(u, v): spanning links within the groups of ``members`` (key, node, low, n, ...), ``low`` being a group's smallest node.
+
+    First each chunk of a group with its smallest node, then the nodes which that did not reach with all chunks.
+    """
+    rest = [c for c in members.columns if c not in ("key", "low", "n")]
+    sized = members.withColumn("chunks", F.ceil(F.col("n") / bound).cast("int"))
+    everywhere = F.when(F.col("node") == F.col("low"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(_chunk("node", F.col("chunks"))))
+    first = _dealt(sized.withColumn("i", F.explode(everywhere)).withColumn("j", F.col("i")), rest).mapInArrow(run, _LINKS)
+    first = materialize(first, f"{label}-first")
+    left = first.where("v is null").select("key", F.col("u").alias("node")).distinct()
+    counts = materialize(left.groupBy("key").agg(F.count("*").alias("n_left")), f"{label}-left")
+    own = sized.join(counts, "key").withColumn("of", F.ceil(F.col("n_left") / bound).cast("int"))
+    # A node that was not reached meets every chunk of its group; every node meets each lot of those.
+    asks = own.join(left, ["key", "node"], "left_semi").withColumn("i", _chunk("node", F.col("of"))).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    meets = own.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("of") - 1))).withColumn("j", _chunk("node", F.col("chunks")))
+    second = _dealt(asks.unionByName(meets).withColumn("chunks", F.lit(1)), rest).mapInArrow(run, _LINKS)
+    return first.where("v is not null").select("u", "v").unionByName(second.select("u", "v"))
 
 
 def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = BOUND) -> DataFrame:
     """(doc_id, node, blank, class_node) of every row; class_node is null for blank texts."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("node"), text.alias("text"))
-    signed = materialize(keyed.mapInArrow(_signatures, "doc_id long, node long, blank boolean, sig binary, bands array<bigint>"), "near-signatures")
-
-    # Bands by their members: only those with two texts or more, and one band for each set of members.
-    banded = signed.where("not blank").select(F.explode("bands").alias("band"), "node")
-    mark = F.xxhash64("node")
-    members = banded.groupBy("band").agg(
-        F.min("node").alias("lo"),
-        F.max("node").alias("hi"),
-        F.sum(F.shiftrightunsigned(mark, 32)).alias("s1"),
-        F.sum(mark.bitwiseAND(F.lit(0xFFFFFFFF))).alias("s2"),
-        F.count("*").alias("n"),
-    )
-    chosen = members.where("lo <> hi").groupBy("s1", "s2", "n").agg(F.min("band").alias("band")).select("band", "n")
-    crowd = materialize(banded.join(chosen, "band").dropDuplicates(["band", "node"]), "near-bands")
-    sigs = signed.where("not blank").select("node", "sig").join(crowd.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-    loose = _in_tasks(crowd.join(sigs, "node").select("band", "node", "n", "sig"), "band", bound).mapInArrow(_loose_links, "u long, v long")
-    groups = materialize(components(loose), "near-groups")
-
-    sized = groups.groupBy("component").agg(F.count("*").alias("n"))
-    member = materialize(groups.join(sized, "component").select(F.col("node"), "component", "n").join(sigs, "node"), "near-members")
-
-    def multisets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle, met = Shingler(), set()
-        for batch in (b.slice(i, _LOT) for b in batches for i in range(0, b.num_rows, _LOT)):
-            rows = []
-            for component, node, n, sig, own in zip(*batch.columns, strict=True):
-                if (key := node.as_py()) not in met:  # copies: once a task is enough
-                    met.add(key)
-                    h, c = shingle(own.as_py())
-                    rows.append((component.as_py(), key, n.as_py(), sig.as_py(), h.tobytes(), c.astype(np.uint32).tobytes()))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-            columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays(columns, ["component", "node", "n", "sig", "h", "c"])
-
-    with_text = member.join(keyed.select("node", "text"), "node").select("component", "node", "n", "sig", "text")
-    bags = with_text.mapInArrow(multisets, "component long, node long, n long, sig binary, h binary, c binary")
-    links = materialize(_in_tasks(bags, "component", bound).mapInArrow(_verified, "u long, v long"), "near-links")
-    if sized.where(F.col("n") > bound).limit(1).count():
-        label = components(links).select("node", F.col("component").alias("class_node"))
-    else:  # every group was one task, whose links already lead to its classes' smallest nodes
-        label = links.select(F.col("u").alias("node"), F.col("v").alias("class_node")).unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("class_node"))).distinct()
-    # Written out, so that the join's two sides are plain exchanges and a node with many copies can be split.
-    joined = signed.select("doc_id", "node", "blank").join(materialize(label, "near-labels"), "node", "left")
-    return joined.select("doc_id", "node", "blank", F.when(~F.col("blank"), F.coalesce("class_node", "node")).alias("class_node"))
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    keyed = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), node_of(text).alias("node"), is_blank(text).alias("blank"), text.alias("text"))
+    signed = materialize(keyed.mapInArrow(_signatures, "doc_id long, node binary, blank boolean, sig binary, bands array<bigint>"), "near-signatures", keep=True)
+    with tidy(df.sparkSession):
+        # One row a text: copies go before anything is dealt by band or group.
+        nodes = materialize(signed.where("not blank").groupBy("node").agg(F.first("sig").alias("sig"), F.first("bands").alias("bands")), "near-nodes")
+
+        # Bands by their members: only those with two texts or more, and one band for each set of members.
+        banded = nodes.select(F.explode("bands").alias("band"), "node")
+        mark = F.xxhash64("node")
+        members = banded.groupBy("band").agg(
+            F.min("node").alias("low"),
+            F.sum(F.shiftrightunsigned(mark, 32)).alias("s1"),
+            F.sum(mark.bitwiseAND(F.lit(0xFFFFFFFF))).alias("s2"),
+            F.count("*").alias("n"),
+        )
+        chosen = members.where("n > 1").groupBy("low", "s1", "s2", "n").agg(F.min("band").alias("band")).select("band", "low", "n")
+        crowd = materialize(banded.join(chosen, "band").select(F.col("band").cast("string").cast("binary").alias("key"), "node", "low", "n"), "near-bands")
+        groups = materialize(components(_linked(crowd.join(nodes.select("node", "sig"), "node"), _loose, bound, "near-loose")), "near-groups")
+
+        sized = groups.groupBy("component").agg(F.count("*").alias("n"))
+        member = groups.join(sized, "component").select(F.col("component").alias("key"), "node", F.col("component").alias("low"), "n").join(nodes.select("node", "sig"), "node")
+        member = materialize(member, "near-members")
+
+        def multisets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            shingle = Shingler()
+            for batch in (b.slice(i, _LOT) for b in batches for i in range(0, b.num_rows, _LOT)):
+                bags = [shingle(text.as_py()) for text in batch.column(5)]
+                own = [pa.array([h.tobytes() for h, _ in bags], pa.binary()), pa.array([c.astype(np.uint32).tobytes() for _, c in bags], pa.binary())]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:5], *own], ["key", "node", "low", "n", "sig", "h", "c"])
+
+        # Copies go before the exchange: each task sends a text once.
+        texts = keyed.select("node", "text").dropDuplicates(["node"])
+        with_text = member.join(texts, "node").select("key", "node", "low", "n", "sig", "text")
+        bags = materialize(with_text.mapInArrow(multisets, "key binary, node binary, low binary, n long, sig binary, h binary, c binary"), "near-bags")
+        label = components(_linked(bags, _verified, bound, "near-links")).withColumnRenamed("component", "class_node")
+        label = materialize(label, "near-labels", keep=True)
+    found = spread_join(signed.select("doc_id", "node", "blank"), label, "node", signed.count())
+    return found.select("doc_id", "node", "blank", F.when(~F.col("blank"), F.coalesce("class_node", "node")).alias("class_node"))
 
 
 def keepers(found: DataFrame) -> DataFrame:
@@ -319,7 +358,7 @@ def keepers(found: DataFrame) -> DataFrame:
 def report(df: DataFrame, **names: str) -> DataFrame:
     """(doc_id, class_id, class_size) of every row; class_id is the smallest doc_id of its class."""
     found = materialize(classes(df, **names), "near-classes")
-    return found.join(materialize(keepers(found), "near-keepers"), "class_node", "left").select(
+    return spread_join(found, materialize(keepers(found), "near-keepers"), "class_node", found.count()).select(
         "doc_id",
         F.when(F.col("blank"), F.col("doc_id")).otherwise(F.col("keep_id")).alias("class_id"),
         F.coalesce("n", F.lit(1)).alias("class_size"),
@@ -327,11 +366,15 @@ def report(df: DataFrame, **names: str) -> DataFrame:
 
 
 def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that stand for their class; blank texts all stay."""
-    keep = materialize(keepers(classes(df, id_col, text_col)), "near-keepers").select(F.col("keep_id").alias("__keep_id"), F.col("keep_node").alias("__keep_node"))
+    """The rows of ``df`` that stand for their class, a repeated row once; blank texts all stay."""
+    keep = materialize(keepers(classes(df, id_col, text_col)), "near-keepers")
+    own_id = lambda c: [c.isNull(), F.coalesce(c, F.lit(0).cast("long"))]
+    keep = keep.select(F.col("keep_node").alias("__node"), *(c.alias(n) for c, n in zip(own_id(F.col("keep_id")), ("__no", "__id"), strict=True)))
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    own = df.withColumn("__node", F.xxhash64(text)).withColumn("__blank", ~text.rlike(f"[^{_SPACES}]"))
-    stays = own.join(keep, (F.col("__node") == F.col("__keep_node")) & F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__keep_id")), "left_semi")
-    once = Window.partitionBy("__node", F.col(f"`{id_col}`")).orderBy("__node")
-    stays = stays.where(~F.col("__blank")).withColumn("__r", F.row_number().over(once)).where("__r = 1").drop("__r")
-    return stays.unionByName(own.where(F.col("__blank"))).drop("__node", "__blank")
+    marks = zip((node_of(text), *own_id(F.col(f"`{id_col}`").cast("long")), is_blank(text)), ("__node", "__no", "__id", "__blank"), strict=True)
+    own = df.select(*(F.col(f"`{c}`") for c in df.columns), *(c.alias(n) for c, n in marks))
+    # Repeated rows go before the exchange, which the join then shares.
+    once = Window.partitionBy("__node", "__no", "__id").orderBy("__node")
+    single = own.where(~F.col("__blank")).withColumn("__r", F.row_number().over(once)).where("__r = 1").drop("__r")
+    stays = single.join(keep, ["__node", "__no", "__id"], "left_semi").select(*own.columns)
+    return stays.unionByName(own.where(F.col("__blank"))).drop("__node", "__no", "__id", "__blank")

@@ -69,7 +69,7 @@ def cases():
     return rows + [(3000, "Five  words are enough here", "en", "s", 1, "", 1, ""), (3001, "five words\nare enough here", "en", "s", 1, "", 1, "")]
 
 
-@pytest.mark.parametrize("bound", [4096, 4])
+@pytest.mark.parametrize("bound", [4096, 4, 2])
 def test_classes_match_all_pairs(spark, bound):
     rows = cases()
     got = Counter((r["doc_id"], r["class_id"], r["class_size"]) for r in nd.report(frame(spark, rows), bound=bound).collect())
@@ -105,3 +105,54 @@ def test_blank_is_one_rule(spark):
     got = {r["doc_id"] for r in nd.deduplicate(frame(spark, rows)).collect()}
     assert got == {10 * i + j for i, t in enumerate(texts) for j in (0, 1) if not t.split() or j == 0}
     assert set(nd._SPACES) == {chr(i) for i in range(0x110000) if not chr(i).split()}
+
+
+def test_copies_of_one_text_in_many_rows(spark):
+    rows = cases()
+    rows += [rows[3]] * 500 + [(9000 + i, rows[-1][1], "en", "s", 1, "", 1, "") for i in range(500)]
+    got = Counter((r["doc_id"], r["class_id"], r["class_size"]) for r in nd.report(frame(spark, rows)).collect())
+    assert got == brute(rows)
+    kept = Counter(r["doc_id"] for r in nd.deduplicate(frame(spark, rows)).collect())
+    assert kept == Counter(c for i, c, _ in set(got) if i == c)
+
+
+def test_large_groups_take_work_in_step_with_their_size(spark, monkeypatch):
+    """Chunks of near copies meet their group's smallest node, not each other."""
+    import random
+
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(300)]
+    texts = []
+    for i in range(200):
+        own = list(words)
+        own[rng.randrange(300)] = f"e{i}"
+        texts.append((i, " ".join(own), "en", "s", 1, "", 1, ""))
+    tasks = []
+    own_dealt = nd._dealt
+    monkeypatch.setattr(nd, "_dealt", lambda df, rest: tasks.append(df.count()) or own_dealt(df, rest))
+    got = nd.report(frame(spark, texts), bound=20).collect()
+    assert {r["class_id"] for r in got} == {0}
+    assert all(r["class_size"] == 200 for r in got)
+    # Verification: ten chunks, each with the smallest node, and nothing left for a second round.
+    assert tasks[2] == 200 + 9
+    assert tasks[3] == 0
+
+
+@pytest.mark.parametrize("k", [0, 1, 2, 3, 4, 6])
+def test_recall_by_similarity(k):
+    """Texts with k of 200 words changed: what the bands and the signature test pass, of pairs at 0.8 or more."""
+    rng = np.random.default_rng(k)
+    shingle = nd.Shingler()
+    hit = total = 0
+    for n in range(150):
+        words = [f"w{n}x{i}" for i in range(200)]
+        other = list(words)
+        for i in rng.choice(200, k, replace=False):
+            other[i] = "changed"
+        a, b = shingle(" ".join(words)), shingle(" ".join(other))
+        both = len(set(a[0].tolist()) & set(b[0].tolist()))
+        if both / (len(a[0]) + len(b[0]) - both) >= 0.8:
+            s = nd.signatures([a, b])
+            total += 1
+            hit += bool((nd.band_keys(s[0]) == nd.band_keys(s[1])).any() and (s[0] == s[1]).mean() >= nd.LOOSE)
+    assert total == 0 or hit / total >= 0.99

@@ -11,17 +11,20 @@ bytes before, 200 from its start on) occur twice are settled there: every string
 
 Stage 2 gathers the remaining surroundings by anchor, one for each different one, and treats each
 group as an enhanced suffix array: suffixes from the anchor on in order, their common prefixes, and a
-stack scan over the common-prefix intervals. Within an interval of depth d, texts are ordered by what
-stands before the anchor; where that is diverse, the longest common left extension with any other
-member makes the maximal repeat of that member, and strings of ``LENGTH`` bytes inside it are marked,
-for all occurrences. An anchor with more than ``BOUND`` different surroundings never forms a group:
-its members' strings are hashed, settled per slice and dealt by hash instead, so work stays in
-proportion to the bytes and no task holds it all.
-
-Texts are bytes of UTF-8; matches never cross documents. Equal texts are worked on once and removed
-wholly if they have ``LENGTH`` bytes or more. Null and empty texts have no bytes; repeated rows and
-rows without ids are documents like others. An empty table gives no rows. Extra columns are ignored.
-Hashes of 64 bits name anchors, surroundings and texts.
+stack scan over the tree of common-prefix intervals. Within an interval, members are ordered by what
+stands before the anchor; where their left extensions differ, an interval of that order ends, and its
+members share a maximal repeat. Strings of ``LENGTH`` bytes inside it are marked for all its members.
+``repeat_groups`` gives the maximal repeats themselves with every member, ``report`` the bytes they cover.
+
+A group of more than ``BOUND`` surroundings is split by its next bytes: the strings over an anchor start
+0 to 150 bytes before it; those of the nearer half share the bytes right of the anchor that all of them
+reach, those of the farther half the bytes left of it, so each half is grouped by its shared bytes, and
+so on down to single strings. No group above the bound is ever gathered, and none is left out.
+
+Texts are bytes of UTF-8; matches never cross documents. Equal texts are worked on once, removed wholly
+if they have ``LENGTH`` bytes or more, and their digest is handed to all their rows. Null and empty texts
+have no bytes; repeated rows and rows without ids are documents like others. An empty table gives no
+rows. Extra columns are ignored. Hashes of 64 bits name anchors, surroundings and texts.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewright.llm.common import RollingHash, buffers, materialize, mix64, parts, release, slices
+from framewright.llm.common import RollingHash, buffers, materialize, mix64, parts, release, slices, spread_join
 
 LENGTH = 200
 GRAM = 50
@@ -227,144 +230,137 @@ def _common(rows: list[bytes], order: list[int], width: int) -> np.ndarray:
     return out
 
 
-def repeat_offsets(left: list[bytes], right: list[bytes], length: int = LENGTH, gram: int = GRAM) -> np.ndarray:
-    """For each member, which offsets o make the string that starts o bytes before the anchor a repeat: bool[n, length - gram + 1].
+def prefix_intervals(lcp: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(depth, first, last) of the tree of common-prefix intervals, children before parents, by one scan with a stack.
 
-    ``left`` holds the bytes before the anchor backwards, ``right`` those from the anchor on.
+    ``lcp[i]`` is the common prefix of entries i - 1 and i of an ordered list.
     """
-    n, most = len(left), length - gram
-    change = np.zeros((n, most + 2), np.int32)
-    suffix = sorted(range(n), key=right.__getitem__)
-    lcp = _common(right, suffix, length)
-    by_left = sorted(range(n), key=left.__getitem__)
-    lcs = _common(left, by_left, most)
-    rank = np.empty(n, np.int64)
-    left_order = np.array(by_left)
-    rank[left_order] = np.arange(n)
-    rank_at = rank[suffix]
-
-    def visit(depth: int, lo: int, hi: int) -> None:
-        """One common-prefix interval [lo, hi] of the suffix order."""
-        least = max(0, length - depth)
-        r = np.sort(rank_at[lo : hi + 1])
-        if len(r) == 2:
-            between = lcs[r[0] + 1 : r[1] + 1].min()
-        else:
-            between = np.minimum.reduceat(lcs[: r[-1] + 1], r[:-1] + 1)
-        reach = np.zeros(len(r), np.int64)
-        reach[:-1] = between
-        reach[1:] = np.maximum(reach[1:], between)
-        hit = np.flatnonzero(reach >= least)
-        if len(hit):
-            member = left_order[r[hit]]
-            change[member, least] += 1
-            change[member, reach[hit] + 1] -= 1
-
     stack: list[tuple[int, int]] = [(0, 0)]
-    for i in range(1, n + 1):
-        depth = int(lcp[i]) if i < n else 0
+    for i, depth in enumerate([*lcp[1:].tolist(), 0], 1):
         lo = i - 1
         while stack[-1][0] > depth:
             high, lo = stack.pop()
-            if high >= gram:
-                visit(high, lo, i - 1)
+            yield high, lo, i - 1
         if depth > stack[-1][0]:
             stack.append((depth, lo))
-    return np.cumsum(change, axis=1)[:, : most + 1] > 0
 
 
-def _strings(node: int, text: bytes, places: list[int], length: int = LENGTH, gram: int = GRAM) -> np.ndarray:
-    """Entries of all strings that reach over one of the anchors at ``places``, keyed by their content."""
-    starts = [np.arange(max(0, p - length + gram), min(p, len(text) - length) + 1) for p in places]
-    at = np.unique(np.concatenate(starts))
-    prefix = _rolling.prefix(np.frombuffer(text, np.uint8))
-    e = np.zeros(len(at), _ENTRY)
-    e["key"] = e["hull"] = _rolling.spans(prefix, at, at + length)
-    e["node"], e["pos"], e["after"] = node, at, length
-    return e
+class Surroundings:
+    """An enhanced suffix array over the texts around one anchor.
 
+    ``left`` holds the bytes before the anchor backwards, ``right`` those from the anchor on.
+    """
 
-def _settled_spans(e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return merge_spans(e["node"], e["pos"].astype(np.int64) - e["before"], e["pos"].astype(np.int64) + e["after"])
+    def __init__(self, left: list[bytes], right: list[bytes], length: int = LENGTH, gram: int = GRAM) -> None:
+        n = len(left)
+        self.n, self.length, self.gram = n, length, gram
+        self.suffix = np.array(sorted(range(n), key=right.__getitem__))
+        self.lcp = _common(right, self.suffix.tolist(), length)
+        self.left_order = np.array(sorted(range(n), key=left.__getitem__))
+        self.lcs = _common(left, self.left_order.tolist(), length - gram)
+        rank = np.empty(n, np.int64)
+        rank[self.left_order] = np.arange(n)
+        self.rank_at = rank[self.suffix]
+        self.place = np.empty(n, np.int64)
+        self.place[self.suffix] = np.arange(n)
+
+    def _by_left(self, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+        """An interval's members in the order of their left sides (as ranks), and what neighbours there share."""
+        r = np.sort(self.rank_at[lo : hi + 1])
+        if len(r) == 2:
+            return r, np.array([self.lcs[r[0] + 1 : r[1] + 1].min()])
+        return r, np.minimum.reduceat(self.lcs[: r[-1] + 1], r[:-1] + 1)
+
+    def offsets(self) -> np.ndarray:
+        """Which offsets o make the string that starts o bytes before the anchor a repeat: bool[n, length - gram + 1].
+
+        A member's longest shared left side ends where the left extensions of its innermost interval begin to differ.
+        """
+        most = self.length - self.gram
+        change = np.zeros((self.n, most + 2), np.int32)
+        for depth, lo, hi in prefix_intervals(self.lcp):
+            if depth < self.gram:
+                continue
+            least = max(0, self.length - depth)
+            r, between = self._by_left(lo, hi)
+            reach = np.zeros(len(r), np.int64)
+            reach[:-1] = between
+            reach[1:] = np.maximum(reach[1:], between)
+            hit = np.flatnonzero(reach >= least)
+            if len(hit):
+                member = self.left_order[r[hit]]
+                change[member, least] += 1
+                change[member, reach[hit] + 1] -= 1
+        return np.cumsum(change, axis=1)[:, : most + 1] > 0
+
+    def groups(self) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(bytes before the anchor, bytes from it on, members) of every maximal repeat of ``length`` bytes or more.
+
+        Of a common-prefix interval, the intervals of the left order are the sets whose left extensions differ
+        at once behind what they share; one is maximal if its right extensions differ, too, and not only those of
+        the whole interval.
+        """
+        for depth, lo, hi in prefix_intervals(self.lcp):
+            if depth < self.gram:
+                continue
+            r, between = self._by_left(lo, hi)
+            least = max(0, self.length - depth)
+            found = [(0, 0, len(r) - 1)] if between.min() == 0 else []
+            for before, a, b in [*prefix_intervals(np.concatenate([[0], between])), *found]:
+                members = self.left_order[r[a : b + 1]]
+                at = self.place[members]
+                if before >= least and self.lcp[at.min() + 1 : at.max() + 1].min() == depth:
+                    yield before, depth, members
 
 
-_SENT = "key long, kind int, node long, pos int, left binary, right binary"
-_GROUP, _LOT, _DONE = 0, 1, 2
+def repeat_offsets(left: list[bytes], right: list[bytes], length: int = LENGTH, gram: int = GRAM) -> np.ndarray:
+    return Surroundings(left, right, length, gram).offsets()
 
 
-def _surroundings(bound: int, width: int):
-    """(node, asks, b) to what stage 2 compares: surroundings by anchor, or lots of hashed strings."""
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-    names = ["key", "kind", "node", "pos", "left", "right"]
+def _settled_spans(e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return merge_spans(e["node"], e["pos"].astype(np.int64) - e["before"], e["pos"].astype(np.int64) + e["after"])
 
-    def rows_of(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
 
-    def lots(waiting: list[np.ndarray], turn: int) -> pa.RecordBatch:
-        e, repeats, _ = _settle(np.concatenate(waiting))
-        first = _first_of(e["key"])
-        spans = np.stack(_settled_spans(e[~first])).astype(np.int64)
-        sent = e[first]
-        sent["flag"] = np.where(repeats[first], _MULTI, 0)
-        by = (sent["key"] % np.uint64(width)).astype(np.int64)
-        order = np.argsort(by, kind="stable")
-        cut = np.searchsorted(by[order], np.arange(width + 1))
-        out = [(i, _LOT, None, None, sent[order[cut[i] : cut[i + 1]]].tobytes(), None) for i in range(width) if cut[i] < cut[i + 1]]
-        return rows_of([*out, (turn % width, _DONE, None, None, spans.tobytes(), None)])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met: set[int] = set()
-        waiting: list[np.ndarray] = []
-        held = turn = 0
-        for batch in batches:
-            for node, asks, text in zip(*batch.columns, strict=True):
-                if (own := node.as_py()) in met:  # equal texts: once a task is enough
-                    continue
-                met.add(own)
-                b, rows, large = text.as_py(), [], []
-                for x in asks.as_py():
-                    p = x["pos"]
-                    if x["n"] > bound:
-                        large.append(p)
-                    else:
-                        rows.append((x["key"], _GROUP, own, p, b[max(0, p - LENGTH + GRAM) : p][::-1], b[p : p + LENGTH]))
-                if rows:
-                    yield rows_of(rows)
-                if large:
-                    waiting.append(_strings(own, b, large))
-                    held += len(waiting[-1])
-                if held >= DEAL:
-                    yield lots(waiting, turn)
-                    waiting, held, turn = [], 0, turn + 1
-        if waiting:
-            yield lots(waiting, turn)
-
-    return run
+_MEMBER = "key binary, n long, a int, b int, node long, pos int, left binary, right binary"
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stage 2: groups (kind, key) to marked spans."""
+def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, asks, b) to the members of groups: offsets from a to b of the strings over one anchor."""
+    kinds = [pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+    names = [c.split()[0] for c in _MEMBER.split(", ")]
+    for batch in batches:
+        for node, asks, text in zip(*batch.columns, strict=True):
+            own, b = node.as_py(), text.as_py()
+            rows = []
+            for x in asks.as_py():
+                p = x["pos"]
+                rows.append((x["key"].to_bytes(8, "little", signed=True), x["n"], 0, LENGTH - GRAM, own, p, b[max(0, p - LENGTH + GRAM) : p][::-1], b[p : p + LENGTH]))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
+
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, int, int, list[tuple]]]:
+    """(key, a, b, different members) of each group of two or more."""
     from framewright.llm.near_dedup import _groups
 
-    out: list[tuple[int, int, int]] = []
-    for (kind, _), rows in _groups(batches, 2):
-        if kind == _DONE:
-            for r in rows:
-                yield _marks(*np.frombuffer(r[2], np.int64).reshape(3, -1))
-            continue
-        if kind == _LOT:
-            e, repeats, _ = _settle(np.concatenate([np.frombuffer(r[2], _ENTRY) for r in rows]))
-            yield _marks(*_settled_spans(e[repeats]))
-            continue
+    for (key, a, b), rows in _groups(batches, 3):
         members = list({(node, pos): (node, pos, left, right) for node, pos, left, right in rows}.values())
         if len(members) > 1:
-            marked = repeat_offsets([m[2] for m in members], [m[3] for m in members])
-            # A run of offsets is a span of starts.
-            edge = np.diff(np.pad(marked, ((0, 0), (1, 1))).astype(np.int8), axis=1)
-            for i, o in zip(*np.nonzero(edge == 1), strict=True):
-                stop = o + int(np.argmax(edge[i, o:] == -1))
-                node, pos = members[i][:2]
-                out.append((node, pos - stop + 1, pos - int(o) + LENGTH))
+            yield key, a, b, members
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stage 2: groups to marked spans."""
+    out: list[tuple[int, int, int]] = []
+    for _, a, b, members in _members(batches):
+        marked = repeat_offsets([m[2] for m in members], [m[3] for m in members])
+        marked[:, :a] = False
+        marked[:, b + 1 :] = False
+        # A run of offsets is a span of starts.
+        edge = np.diff(np.pad(marked, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+        for i, o in zip(*np.nonzero(edge == 1), strict=True):
+            stop = o + int(np.argmax(edge[i, o:] == -1))
+            node, pos = members[i][:2]
+            out.append((node, pos - stop + 1, pos - int(o) + LENGTH))
         if len(out) > 50_000:
             yield _marks(*merge_spans(*np.array(out, np.int64).T))
             out = []
@@ -372,8 +368,63 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _marks(*merge_spans(*np.array(out, np.int64).T))
 
 
-def repeated_spans(docs: DataFrame, bound: int = BOUND) -> DataFrame:
-    """(node, start, end): spans of repeated bytes of each different text; ``docs`` has (node, b binary)."""
+_GROUPS = "key binary, member int, length int, node long, start int"
+
+
+def _list_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Groups to one row for each member of each maximal repeat."""
+    kinds = [pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
+    for key, a, b, members in _members(batches):
+        rows = []
+        for n, (before, after, own) in enumerate(Surroundings([m[2] for m in members], [m[3] for m in members]).groups()):
+            # The part of a repeat that belongs to this range of offsets.
+            reach, least = min(before, b), max(a, LENGTH - after)
+            if reach >= least:
+                rows += [(key, n, reach + after, members[i][0], members[i][1] - reach) for i in own.tolist()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], [c.split()[0] for c in _GROUPS.split(", ")])
+
+
+def _split(large: DataFrame) -> DataFrame:
+    """The members of groups above the bound as members of two groups each, by the bytes that each half shares."""
+    middle = F.floor((F.col("a") + F.col("b")) / 2).cast("int")
+    halves = F.array(F.struct(F.col("a").alias("a"), middle.alias("b")), F.struct((middle + 1).alias("a"), F.col("b").alias("b")))
+    rest = ["node", "pos", "left", "right"]
+    part = large.select("key", F.explode(halves).alias("h"), *rest).select("key", F.col("h.a").alias("a"), F.col("h.b").alias("b"), *rest)
+    # A member too near its text's edge has no string in the range.
+    part = part.where((F.octet_length("left") >= F.col("a")) & (F.octet_length("right") >= LENGTH - F.col("b")))
+    shared = F.concat(F.col("left").substr(F.lit(1), F.col("a")), F.col("right").substr(F.lit(1), LENGTH - F.col("b")))
+    return part.withColumn("key", F.concat(F.substring("key", 1, 8), F.unhex(F.md5(shared)), F.encode(F.concat_ws(":", "a", "b"), "utf-8")))
+
+
+def repeat_members(docs: DataFrame, marks: DataFrame, bound: int) -> tuple[DataFrame, DataFrame]:
+    """(members of groups of ``bound`` at most, members of single strings that repeat more often); ``docs`` has (node, b)."""
+    asked = marks.where("key is not null").select("node", F.col("start").alias("pos"), "key").distinct()
+    counts = materialize(asked.groupBy("key").agg(F.count("*").alias("n")), "repeat-counts")
+    asked = spread_join(asked, counts, "key", asked.count()).where("n > 1")
+    per_text = asked.groupBy("node").agg(F.collect_list(F.struct("pos", "key", "n")).alias("asks"))
+    # Copies go before the exchange: each task sends a text once.
+    texts = docs.select("node", "b").dropDuplicates(["node"])
+    sent = materialize(texts.join(per_text, "node").select("node", "asks", "b").mapInArrow(_surroundings, _MEMBER), "repeat-members")
+    small, single = sent.where(F.col("n") <= bound), None
+    large = sent.where(F.col("n") > bound)
+    while n := large.count():
+        halves = _split(large)
+        sized = halves.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+        found = materialize(spread_join(halves, materialize(sized, "repeat-counts"), "key", 2 * n, "inner").select(*sent.columns), "repeat-halves")
+        small = small.unionByName(found.where((F.col("n") <= bound) & (F.col("a") < F.col("b"))))
+        ends = found.where(F.col("a") == F.col("b"))
+        single = ends if single is None else single.unionByName(ends)
+        large = found.where((F.col("n") > bound) & (F.col("a") < F.col("b")))
+    return small, sent.where("false") if single is None else single
+
+
+def _together(small: DataFrame, width: int) -> DataFrame:
+    rows = small.select("key", "a", "b", "node", "pos", "left", "right")
+    return rows.repartition(width, "key").sortWithinPartitions("key")
+
+
+def _found(docs: DataFrame) -> DataFrame:
+    """Stage 1: settled spans, and requests for surroundings to compare."""
     spark = docs.sparkSession
     width = 2 * parts(spark)
     found = docs.select("node", "b").mapInArrow(
@@ -381,28 +432,42 @@ def repeated_spans(docs: DataFrame, bound: int = BOUND) -> DataFrame:
     )
     marks = materialize(found.repartition(parts(spark), "bucket").mapInArrow(_decide, _MARKS), "repeat-marks")
     release(spark)
-    asked = marks.where("key is not null").select("node", F.col("start").alias("pos"), "key").distinct()
-    # Written out: a few rows as a rule, so the join below need not deal a common anchor's entries to one task.
-    large = materialize(asked.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > bound), "repeat-common")
-    asked = asked.join(large, "key", "left").select("node", F.struct("pos", "key", F.coalesce("n", F.lit(1)).alias("n")).alias("ask"))
-    per_text = asked.groupBy("node").agg(F.collect_list("ask").alias("asks"))
-
-    sent = docs.select("node", "b").join(per_text, "node").select("node", "asks", "b").mapInArrow(_surroundings(bound, width), _SENT)
-    dealt = sent.select("kind", "key", "node", "pos", "left", "right").repartition(parts(spark), "kind", "key").sortWithinPartitions("kind", "key")
-    matched = materialize(dealt.mapInArrow(_compare, _MARKS), "repeat-matches")
+    return marks
+
+
+def repeated_spans(docs: DataFrame, bound: int = BOUND) -> DataFrame:
+    """(node, start, end): spans of repeated bytes of each different text; ``docs`` has (node, b binary)."""
+    spark = docs.sparkSession
+    marks = _found(docs)
+    small, single = repeat_members(docs, marks, bound)
+    matched = materialize(_together(small, parts(spark)).mapInArrow(_compare, _MARKS), "repeat-matches")
     release(spark)
-    return marks.where("key is null").unionByName(matched).select("node", "start", "end")
+    start = (F.col("pos") - F.col("a")).alias("start")
+    alike = single.select("node", start, (start + LENGTH).alias("end"))
+    return marks.where("key is null").unionByName(matched).select("node", "start", "end").unionByName(alike)
+
+
+def repeat_groups(df: DataFrame, text_col: str = "text", bound: int = BOUND) -> DataFrame:
+    """(key, member, length, node, start): the maximal repeats that different surroundings of an anchor share, each with all
+    its members; ``node`` is xxhash64 of the text. Of equal surroundings one stands for all. A repeat reaches up to 150
+    bytes before its anchor and 200 from it on, so a longer one is listed at each of its anchors."""
+    b = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
+    docs = df.select(F.xxhash64(b).alias("node"), b.alias("b"))
+    small, single = repeat_members(docs, _found(docs), bound)
+    listed = _together(small, parts(df.sparkSession)).mapInArrow(_list_groups, _GROUPS)
+    return listed.unionByName(single.select("key", F.lit(0).alias("member"), F.lit(LENGTH).alias("length"), "node", (F.col("pos") - F.col("a")).alias("start")))
 
 
 def report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = BOUND) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every whole text."""
-    b = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(b).alias("node"), b.alias("b"))
+    b = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
+    docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(b).alias("node"), b.alias("b"))
     spans = repeated_spans(docs, bound)
-    size = F.octet_length("b")
-    copies = docs.groupBy("node").agg(F.count("*").alias("n"), F.max(size).alias("end")).where(F.col("n") > 1).where(F.col("end") >= LENGTH)
+    counted = docs.groupBy("node").agg(F.count("*").alias("n"), F.max(F.octet_length("b")).alias("end"))
+    copies = counted.where(F.col("n") > 1).where(F.col("end") >= LENGTH)
     spans = spans.unionByName(copies.select("node", F.lit(0).alias("start"), F.col("end").cast("int").alias("end")))
-    per_text = spans.groupBy("node").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    # Written out: the join below is then one of two tables with one row a text.
+    per_text = materialize(spans.groupBy("node").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "repeat-spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -425,7 +490,9 @@ def report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound:
                 count.append(n)
                 digest.append(sha.hexdigest())
             numbers = [pa.array(x, pa.int64()) for x in (sizes, removed, count)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *numbers, pa.array(digest, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *numbers, pa.array(digest, pa.string())], ["node", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    joined = docs.join(per_text, "node", "left").select("doc_id", "spans", "b")
-    return joined.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    texts = docs.select("node", "b").dropDuplicates(["node"])
+    cuts = texts.join(per_text, "node", "left").select("node", "spans", "b").mapInArrow(cut, "node long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    cuts = materialize(cuts, "repeat-cuts")
+    return spread_join(docs.select("doc_id", "node"), cuts, "node", docs.count()).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")

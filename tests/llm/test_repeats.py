@@ -3,7 +3,7 @@ from collections import Counter
 
 import pytest
 
-from framewright.llm.repeats import anchors, merge_spans, repeat_offsets, report
+from framewright.llm.repeats import Surroundings, anchors, merge_spans, repeat_groups, repeat_offsets, report
 
 from .helpers import documents, frame
 
@@ -81,3 +81,51 @@ def test_spans_merge():
 
     node, start, end = merge_spans(np.array([2, 1, 1, 1]), np.array([0, 5, 0, 9]), np.array([3, 9, 4, 12]))
     assert list(zip(node.tolist(), start.tolist(), end.tolist(), strict=True)) == [(1, 0, 4), (1, 5, 12), (2, 0, 3)]
+
+
+def test_maximal_groups_against_all_strings():
+    import random
+
+    rng = random.Random(7)
+    for _ in range(150):
+        n = rng.randint(2, 9)
+        left = [bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 3))) for _ in range(n)]
+        right = [b"key" + bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 3))) for _ in range(n)]
+        got = {(before, after, tuple(sorted(own.tolist()))) for before, after, own in Surroundings(left, right, length=6, gram=3).groups()}
+        want = set()
+        for before in range(4):
+            for after in range(3, 7):
+                strings = {}
+                for i in range(n):
+                    if before <= len(left[i]) and after <= len(right[i]) and before + after >= 6:
+                        strings.setdefault((left[i][:before], right[i][:after]), []).append(i)
+                for own in strings.values():
+                    more = lambda side, at: {side[i][at] if at < len(side[i]) else -i - 1 for i in own}  # noqa: B023, E731
+                    # Maximal: neither side goes on alike for all; what the surroundings hold ends at 3 and 6 bytes.
+                    if len(own) > 1 and (before == 3 or len(more(left, before)) > 1) and (after == 6 or len(more(right, after)) > 1):
+                        want.add((before, after, tuple(own)))
+        assert got == want
+
+
+@pytest.mark.parametrize("bound", [4096, 2])
+def test_groups_hold_equal_strings(spark, bound):
+    from pyspark.sql import functions as F
+
+    rows = cases()
+    df = frame(spark, rows)
+    text_of = {r["node"]: (r["text"] or "").encode() for r in df.select(F.xxhash64(F.coalesce("text", F.lit("")).cast("binary")).alias("node"), "text").collect()}
+    groups = {}
+    for r in repeat_groups(df, bound=bound).collect():
+        groups.setdefault((bytes(r["key"]), r["member"]), set()).add((r["node"], r["start"], r["length"]))
+    assert groups
+    for own in groups.values():
+        assert len(own) > 1
+        assert len({text_of[node][start : start + length] for node, start, length in own}) == 1
+        assert all(length >= 200 and start + length <= len(text_of[node]) for node, start, length in own)
+
+
+def test_copies_of_one_text_in_many_rows(spark):
+    rows = cases()
+    rows += [rows[3]] * 300 + [(5000 + i, rows[-1][1], "en", "s", 1, "", 1, "") for i in range(300)]
+    got = Counter(tuple(r) for r in report(frame(spark, rows)).collect())
+    assert got == Counter((row[0], *b) for row, b in zip(rows, brute([r[1] for r in rows]), strict=True))

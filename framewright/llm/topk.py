@@ -1,16 +1,20 @@
 """Operator 8: exact top-k inner products by a three-phase uniform threshold.
 
-Vectors are cut into two dimension slices, each a list of local scores whose sum is the score.
-Phase 1 gathers, for every query, the best entries of each list of each candidate block; the k-th
-best of their full scores is a safe cutoff. Phase 2 sends the cutoff t back to all blocks: a vector
-that reaches t must reach t/2 in one of its two lists, so only such entries are collected, and those
-whose best possible sum stays under t go. Phase 3 resolves the remaining scores exactly.
-
-Equal vectors are one entry that keeps its k + 1 smallest ids, as many as any query can report.
-Queries and candidates meet block by block; no pair of rows is ever a row of a join. Rows with a
-null id, a null vector, or a null or non-finite component take no part; vectors of different length
-are never compared; a query's own id is no candidate; repeated (id, vector) rows count once. Ties go
-to the smaller id. An empty table gives no rows.
+A score is the sum of two partial scores: that over the half of the components with the most energy in
+the table (the head), and that over the rest (the tail). Queries meet candidates block by block.
+
+Phase 1 gathers local lists: of each candidate block the k best heads of every query, with their whole
+scores, merged to k a query within a task. The k-th best of all lists is a safe cutoff. Phase 2 sends
+the cutoff back to all blocks. There a block is passed over if the lengths of its longest vector and
+the queries cannot reach it, and a pair goes on only if its head and the largest tail that the lengths
+of both tails allow reach it. Phase 3 resolves the tails of the remaining pairs, and no others, exactly.
+
+Equal vectors are one entry that keeps its k + 1 smallest ids, as many as any query can report. Blocks
+hold ``BLOCK`` entries and there are as many parts as blocks, up to the session's shuffle width; query
+blocks are copied to every part, which all queries against all rows cannot do without, and no pair of
+rows is ever a row of a join. Rows with a null id, a null vector, or a null or non-finite component take
+no part; vectors of different length are never compared; a query's own id is no candidate; repeated (id,
+vector) rows count once. Ties go to the smaller id. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,7 +32,10 @@ from framewright.llm.common import materialize, parts
 
 QUERY_BLOCK = 1024
 BLOCK = 4096
-SLICES = 2
+#: Query blocks whose lists a task merges at a time.
+HELD = 64
+#: Tails are resolved pair by pair while under one pair in this many remains, and column by column above.
+SPARSE = 16
 _PACKED = "part int, dim int, first array<bigint>, ids array<bigint>, matrix binary"
 
 
@@ -39,8 +46,8 @@ def quantize(vector: Column, scale: int = 256) -> Column:
     return F.when(vector.isNotNull() & ~bad, F.transform(as_double, lambda x: F.floor(x * scale)))
 
 
-def _pack(most: int):
-    """Rows (ids, v) as blocks of one dimension; entry i of a block has ids[first[i] : first[i + 1]]."""
+def _pack(most: int, order: dict[int, list[int]]):
+    """Rows (ids, v) as blocks of one dimension, components in ``order``; entry i of a block has ids[first[i] : first[i + 1]]."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -48,7 +55,7 @@ def _pack(most: int):
         def block(dim: int, rows: list) -> pa.RecordBatch:
             first = np.cumsum([0, *(len(r[0]) for r in rows)])
             ids = [i for r in rows for i in r[0]]
-            matrix = np.array([r[1] for r in rows], np.int64).reshape(len(rows), dim)
+            matrix = np.array([r[1] for r in rows], np.int64).reshape(len(rows), dim)[:, order.get(dim, range(dim))]
             values = [[part], [dim], [first], [ids], [matrix.tobytes()]]
             kinds = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], ["part", "dim", "first", "ids", "matrix"])
@@ -79,9 +86,59 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return exact.astype(np.int64) if a.shape[1] else np.zeros((len(a), len(b)), np.int64)
 
 
-def _partial(q: np.ndarray, c: np.ndarray) -> list[np.ndarray]:
-    cut = np.linspace(0, q.shape[1], SLICES + 1).astype(int)
-    return [_product(q[:, a:b], c[:, a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+def _pairs(a: np.ndarray, b: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Exact products of a[rows[i]] with b[cols[i]], a lot at a time."""
+    safe = int(np.abs(a).max(initial=0)) * int(np.abs(b).max(initial=0)) * max(1, a.shape[1]) < 1 << 63
+    out = np.zeros(len(rows), np.int64)
+    for i in range(0, len(rows), 1 << 16):
+        x, y = a[rows[i : i + (1 << 16)]], b[cols[i : i + (1 << 16)]]
+        out[i : i + len(x)] = np.einsum("ij,ij->i", x, y) if safe else (x.astype(object) * y.astype(object)).sum(axis=1).astype(np.int64)
+    return out
+
+
+def _halves(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return x[:, : (x.shape[1] + 1) // 2], x[:, (x.shape[1] + 1) // 2 :]
+
+
+def _length(x: np.ndarray) -> np.ndarray:
+    """Euclidean lengths of rows, never too small."""
+    return np.sqrt((x.astype(np.float64) ** 2).sum(axis=1)) * (1 + 1e-9) + 1e-6
+
+
+def best_heads(q: np.ndarray, c: np.ndarray, ok: np.ndarray, k: int) -> np.ndarray:
+    """Phase 1: whole scores int64[queries, up to k] of each query's k best heads; the lowest number where there are fewer."""
+    (q_head, q_tail), (c_head, c_tail) = _halves(q), _halves(c)
+    head = _product(q_head, c_head)
+    lowest = np.iinfo(np.int64).min
+    best = min(k, len(c))
+    cols = np.argpartition(-np.where(ok, head, lowest // 2), best - 1, axis=1)[:, :best]
+    rows = np.repeat(np.arange(len(q)), best)
+    score = head[rows, cols.ravel()] + _pairs(q_tail, c_tail, rows, cols.ravel())
+    return np.where(ok[rows, cols.ravel()], score, lowest).reshape(len(q), best)
+
+
+def above(q: np.ndarray, c: np.ndarray, cutoff: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Phases 2 and 3: (rows, cols, scores) of all pairs that reach their query's cutoff, and how many tails were resolved."""
+    none = np.zeros(0, np.int64)
+    # What rounding may add to a score, generously.
+    slack = 1.0 + 1e-9 * float(_length(q).max(initial=0)) * float(_length(c).max(initial=0))
+    limit = cutoff.astype(np.float64) - slack
+    open_rows = np.flatnonzero(_length(q) * _length(c).max(initial=0) >= limit)
+    if not len(open_rows):
+        return none, none, none, 0
+    (q_head, q_tail), (c_head, c_tail) = _halves(q[open_rows]), _halves(c)
+    head = _product(q_head, c_head)
+    rows, cols = np.nonzero(head + _length(q_tail)[:, None] * _length(c_tail)[None, :] >= limit[open_rows, None])
+    if SPARSE * len(rows) < head.size:
+        score, resolved = head[rows, cols] + _pairs(q_tail, c_tail, rows, cols), len(rows)
+    else:
+        met = np.unique(cols)
+        at = np.zeros(len(c), np.int64)
+        at[met] = np.arange(len(met))
+        tail = _product(q_tail, c_tail[met])
+        score, resolved = head[rows, cols] + tail[rows, at[cols]], tail.size
+    keep = score >= cutoff[open_rows[rows]]
+    return open_rows[rows[keep]], cols[keep], score[keep], resolved
 
 
 def _allowed(query_ids: np.ndarray, first: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -97,43 +154,41 @@ def _allowed(query_ids: np.ndarray, first: np.ndarray, ids: np.ndarray) -> np.nd
 
 def _local_lists(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lowest = np.iinfo(np.int64).min
+        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+        def lists(key: int) -> pa.RecordBatch:
+            qid, best = held.pop(key)
+            rows, cols = np.nonzero(best > lowest)
+            return pa.RecordBatch.from_arrays([pa.array(qid[rows]), pa.array(best[rows, cols])], ["query_id", "score"])
+
         for batch in batches:
             for row in batch.to_pylist():
                 qid = np.array(row["q_ids"], np.int64)
                 first, ids = np.array(row["first"]), np.array(row["ids"], np.int64)
-                lists = _partial(_matrix(row["q_matrix"], len(qid), row["dim"]), _matrix(row["matrix"], len(first) - 1, row["dim"]))
-                ok = _allowed(qid, first, ids)
-                total = sum(lists)
-                floor = np.iinfo(np.int64).min
-                best = min(k, len(first) - 1)
-                picked = [np.argpartition(-np.where(ok, s, floor // 2), best - 1, axis=1)[:, :best] for s in lists]
-                rows = np.repeat(np.arange(len(qid)), best * SLICES)
-                cols = np.concatenate(picked, axis=1).ravel()
-                pair = np.unique(rows * len(first) + cols)
-                rows, cols = pair // len(first), pair % len(first)
-                keep = ok[rows, cols]
-                rows, cols = rows[keep], cols[keep]
-                yield pa.RecordBatch.from_arrays([pa.array(qid[rows]), pa.array(total[rows, cols])], ["query_id", "score"])
+                q, c = _matrix(row["q_matrix"], len(qid), row["dim"]), _matrix(row["matrix"], len(first) - 1, row["dim"])
+                best = best_heads(q, c, _allowed(qid, first, ids), k)
+                if row["block"] in held:
+                    best = np.concatenate([held.pop(row["block"])[1], best], axis=1)
+                    best = -np.sort(-best, axis=1)[:, :k] if best.shape[1] > k else best
+                elif len(held) == HELD:
+                    yield lists(next(iter(held)))
+                held[row["block"]] = qid, best
+        for key in list(held):
+            yield lists(key)
 
     return run
 
 
-def _above(k: int):
+def _above():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lowest = np.iinfo(np.int64).min
         for batch in batches:
             for row in batch.to_pylist():
                 qid = np.array(row["q_ids"], np.int64)
-                cutoff = np.array([lowest if t is None else t for t in row["cutoffs"]], np.int64)[:, None]
+                cutoff = np.array([lowest if t is None else t for t in row["cutoffs"]], np.int64)
                 first, ids = np.array(row["first"]), np.array(row["ids"], np.int64)
-                lists = _partial(_matrix(row["q_matrix"], len(qid), row["dim"]), _matrix(row["matrix"], len(first) - 1, row["dim"]))
-                share = -((-cutoff) // SLICES) if SLICES > 1 else cutoff
-                sent = [s >= share for s in lists]
-                known = sum(np.where(m, s, share - 1) for m, s in zip(sent, lists, strict=True))
-                rows, cols = np.nonzero(np.any(sent, axis=0) & (known >= cutoff) | (cutoff == lowest))
-                score = sum(s[rows, cols] for s in lists)
-                keep = score >= cutoff[rows, 0]
-                rows, cols, score = rows[keep], cols[keep], score[keep]
+                rows, cols, score, _ = above(_matrix(row["q_matrix"], len(qid), row["dim"]), _matrix(row["matrix"], len(first) - 1, row["dim"]), cutoff)
                 count = np.diff(first)[cols]
                 at = np.repeat(first[cols] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
                 query, found = np.repeat(qid[rows], count), ids[at]
@@ -145,40 +200,52 @@ def _above(k: int):
     return run
 
 
+def by_energy(entries: DataFrame) -> dict[int, list[int]]:
+    """For each vector length, its components by falling sum of squares: one row a component comes to the driver."""
+    each = entries.select(F.size("v").alias("dim"), F.posexplode("v").alias("at", "x"))
+    sums = each.groupBy("dim", "at").agg(F.sum(F.col("x").cast("double") * F.col("x")).alias("e")).collect()
+    order: dict[int, list[int]] = {}
+    for r in sorted(sums, key=lambda r: (r["dim"], -r["e"], r["at"])):
+        order.setdefault(r["dim"], []).append(r["at"])
+    return order
+
+
 def search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """(query_id, rank, vec_id, score) of each query's k best; both inputs have (vec_id, v array<bigint>)."""
     spark = vectors.sparkSession
-    width = parts(spark)
     clean = vectors.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull()).select("vec_id", "v").dropDuplicates(["vec_id", "v"])
     # Spark keeps the k + 1 first rows of each group before the exchange, so a very common vector moves little.
     rank = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
     entries = clean.withColumn("r", rank).where(F.col("r") <= k + 1).groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    blocks = materialize(entries.select("ids", "v").repartition(width).mapInArrow(_pack(BLOCK), _PACKED), "topk-blocks")
+    entries = materialize(entries, "topk-entries")
+    width = max(1, min(parts(spark), -(-entries.count() // BLOCK)))
+    order = by_energy(entries)
+    blocks = materialize(entries.select("ids", "v").repartition(width).mapInArrow(_pack(BLOCK, order), _PACKED), "topk-blocks")
     asked = queries.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull()).select("vec_id", "v").dropDuplicates(["vec_id", "v"])
     asked = materialize(asked, "topk-queries")
     n_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    packed = asked.select(F.array("vec_id").alias("ids"), "v").repartition(n_blocks).mapInArrow(_pack(QUERY_BLOCK), _PACKED)
-    packed = materialize(packed.select(F.col("dim").alias("q_dim"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix")), "topk-query-blocks")
+    packed = asked.select(F.array("vec_id").alias("ids"), "v").repartition(n_blocks).mapInArrow(_pack(QUERY_BLOCK, order), _PACKED)
+    packed = packed.select(F.col("dim").alias("q_dim"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"), F.xxhash64("ids", "matrix").alias("block"))
+    packed = materialize(packed, "topk-query-blocks")
 
     def meet(query_blocks: DataFrame) -> DataFrame:
         everywhere = query_blocks.withColumn("q_part", F.explode(F.sequence(F.lit(0), F.lit(width - 1))))
         return everywhere.hint("shuffle_hash").join(blocks, (F.col("q_part") == F.col("part")) & (F.col("q_dim") == F.col("dim")))
 
-    lists = meet(packed).select("dim", "q_ids", "q_matrix", "first", "ids", "matrix").mapInArrow(_local_lists(k), "query_id long, score long")
+    lists = meet(packed).select("block", "dim", "q_ids", "q_matrix", "first", "ids", "matrix").mapInArrow(_local_lists(k), "query_id long, score long")
     top = lists.withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score")))).where(F.col("r") <= k)
     cutoff = top.groupBy("query_id").agg(F.when(F.count("*") == k, F.min("score")).alias("cutoff"))
     # Cutoffs ride with their query block, in the order of its ids.
-    keyed = packed.select(F.xxhash64("q_ids").alias("block"), F.posexplode("q_ids").alias("i", "query_id"))
+    keyed = packed.select("block", F.posexplode("q_ids").alias("i", "query_id"))
     carried = (
         keyed.join(cutoff, "query_id", "left")
         .groupBy("block")
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "cutoff"))), lambda x: x["cutoff"]).alias("cutoffs"))
     )
-    with_cutoff = packed.withColumn("block", F.xxhash64("q_ids")).join(carried, "block")
     found = (
-        meet(with_cutoff)
+        meet(packed.join(carried, "block"))
         .select("dim", "q_ids", "q_matrix", "cutoffs", "first", "ids", "matrix")
-        .mapInArrow(_above(k), "query_id long, vec_id long, score long")
+        .mapInArrow(_above(), "query_id long, vec_id long, score long")
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

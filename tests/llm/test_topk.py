@@ -1,8 +1,10 @@
 import math
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from framewright.llm import topk
 from framewright.llm.topk import quantize, search
 
 
@@ -45,3 +47,40 @@ def test_few_and_none(spark):
 
 def test_large_components(spark):
     run(spark, [(i, [float(2**20 + i), -float(2**19 * i), 1.5], "", "") for i in range(12)])
+
+
+def test_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(topk, "HELD", 2)
+    rng = random.Random(4)
+    run(spark, [(i, [rng.randrange(-64, 65) / 64 for _ in range(6)], "", "") for i in range(400)])
+
+
+def test_cutoffs_spare_tails_and_blocks():
+    rng = np.random.default_rng(1)
+    energy = np.array([400] * 8 + [3] * 8)
+    q, c = (rng.integers(-256, 257, (n, 16)) * energy // 256 for n in (50, 2000))
+    full = q @ c.T
+    cutoff = np.sort(full, axis=1)[:, -5]
+    rows, cols, score, resolved = topk.above(q, c, cutoff)
+    assert len(rows) == 250
+    assert (score == full[rows, cols]).all()
+    assert resolved < full.size / 20
+    # A block of short vectors is passed over, one without cutoffs is resolved wholly.
+    assert topk.above(q, c // 50, cutoff)[3] == 0
+    rows, cols, score, resolved = topk.above(q, c, np.full(50, np.iinfo(np.int64).min))
+    assert resolved == len(rows) == full.size
+    for few in (1, 3):
+        rows, cols, score, _ = topk.above(q, c[:few], np.full(50, -(10**12)))
+        assert sorted(zip(rows.tolist(), cols.tolist(), score.tolist(), strict=True)) == [(i, j, int(full[i, j])) for i in range(50) for j in range(few)]
+
+
+def test_local_lists_give_a_safe_cutoff():
+    rng = np.random.default_rng(2)
+    q, c = rng.integers(-300, 300, (20, 9)), rng.integers(-300, 300, (500, 9))
+    ok = rng.random((20, 500)) < 0.9
+    best = topk.best_heads(q, c, ok, 5)
+    full = np.where(ok, q @ c.T, np.iinfo(np.int64).min)
+    assert (best.min(axis=1) <= np.sort(full, axis=1)[:, -5]).all()
+    assert all(x in full[i] for i, row in enumerate(best) for x in row)

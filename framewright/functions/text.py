@@ -43,6 +43,30 @@ def zero_padded(number: Column, width: int = 8) -> Column:
     return F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))
 
 
+def strip_suffix(text: Column, suffix: str) -> Column:
+    """The text without ``suffix`` at its end."""
+    return F.when(text.endswith(suffix), F.left(text, F.length(text) - len(suffix))).otherwise(text)
+
+
+def json_number(value: Column, place: str) -> Column:
+    """A whole number at a place of a JSON text; null where the text or the place is not valid."""
+    return F.try_variant_get(F.try_parse_json(value), place, "bigint")
+
+
+def frame_meta(**fields: Column) -> Column:
+    """A frame's metadata as JSON text, in the order given."""
+    return F.to_json(F.struct(*(c.alias(n) for n, c in fields.items())))
+
+
+def url_host(url: Column) -> Column:
+    return F.regexp_extract(url, r"^[a-z]+://([^/]+)", 1)
+
+
+def url_parts(url: Column) -> Column:
+    """What follows the host, cut at slashes, queries and fragments."""
+    return F.filter(F.split(F.regexp_replace(url, r"^[a-z]+://[^/]+", ""), "[/?#&]"), lambda p: p != "")
+
+
 def path(*parts: Column) -> Column:
     return F.concat_ws("/", *parts)
 

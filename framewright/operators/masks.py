@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from framewright.functions.pixels import box_area, rounded_box
+from framewright.functions.pixels import box_area, color_distance, rounded_box, threshold_mask
 
 
 def mask_or(df: DataFrame, frame_keys: list[str], mask: str = "m") -> DataFrame:
@@ -66,14 +68,17 @@ def minmax_mask(df: DataFrame, frame_keys: list[str], value: str = "v", threshol
     return df.withColumn(into, F.coalesce(scaled > threshold, F.lit(False)))
 
 
-def split_column(df: DataFrame, frame_keys: list[str], width: int, value: str = "v", left: float = 0.0, right: float = 1.0) -> DataFrame:
+def split_column(df: DataFrame, frame_keys: list[str], width: int, value: str = "v", left: float = 0.0, right: float = 1.0, channel: str | None = None) -> DataFrame:
     """Column with the strongest horizontal change of each frame, the first of equals, within the borders.
 
+    Where pixels have a row for each ``channel``, a pixel changes as much as the channel that changes most.
     Outside columns count as 0, as do frames without any change; edge columns mirror their neighbour.
     """
-    w = Window.partitionBy(*frame_keys, "y").orderBy("x")
+    w = Window.partitionBy(*frame_keys, "y", *([channel] if channel else [])).orderBy("x")
     before, after = F.lag(value).over(w), F.lead(value).over(w)
     change = df.withColumn("__g", F.abs(F.coalesce(after - before, F.lit(0))))
+    if channel:
+        change = change.groupBy(*frame_keys, "y", "x").agg(F.max("__g").alias("__g"))
     inside = (F.col("x") >= int(left * width)) & (F.col("x") < int(right * width))
     sums = change.groupBy(*frame_keys, "x").agg(F.sum("__g").alias("s")).withColumn("s", F.when(inside, F.col("s")).otherwise(0))
     return sums.groupBy(*frame_keys).agg(F.max_by("x", F.struct(F.col("s"), (-F.col("x")).alias("nx"))).alias("split_x"))
@@ -94,29 +99,53 @@ def canvas_box(box: Column, width: Column, height: Column, erode: int = 2) -> Co
     )
 
 
-def morphology(df: DataFrame, frame_keys: list[str], kernel: int, mode: str, mask: str = "m") -> DataFrame:
-    """Dilation or erosion by a square kernel; an even kernel reaches one further to the left and top.
+def morphology(df: DataFrame, frame_keys: list[str], kernel: int, mode: str, mask: str = "m", times: int = 1) -> DataFrame:
+    """Dilation or erosion by a square kernel, ``times`` over; an even kernel reaches one further to the left and top.
+
+    A square kernel is one window along the rows and one along the columns, so a pixel's cost does not
+    grow with the kernel's area. Pixels outside the frame, and pixels that are missing, do not count.
+    """
+    pick = F.max if mode == "dilate" else F.min
+    lo, hi = -(kernel // 2), kernel - kernel // 2 - 1
+    out = df.select(*frame_keys, "x", "y", mask)
+    for _ in range(times):
+        for along, across in (("x", "y"), ("y", "x")):
+            out = out.withColumn(mask, pick(mask).over(Window.partitionBy(*frame_keys, across).orderBy(along).rangeBetween(lo, hi)))
+    return out
+
+
+def opened(df: DataFrame, frame_keys: list[str], kernel: int, mask: str = "m", erode: int = 1, dilate: int = 1) -> DataFrame:
+    """Erosion, then dilation, each as often as asked."""
+    return morphology(morphology(df, frame_keys, kernel, "erode", mask, erode), frame_keys, kernel, "dilate", mask, dilate)
+
 
-    Every pixel votes for the pixels whose kernel covers it, so the cost is kernel**2 a pixel and
-    the combine runs before the exchange. Pixels outside the frame do not vote.
+def dilate_prompts(df: DataFrame, frame_keys: list[str], kernels: dict[str, int], whole: int = 5, prompt: str = "prompt", mask: str = "m") -> DataFrame:
+    """One mask a frame from a mask a prompt: each grown by its prompt's kernel, joined, then grown by ``whole``.
+
+    Prompts without a kernel are joined as they are.
     """
-    reach = range(-(kernel // 2), kernel - kernel // 2)
-    shifts = F.array(*[F.struct(F.lit(-dx).alias("dx"), F.lit(-dy).alias("dy")) for dy in reach for dx in reach])
-    votes = df.select(*frame_keys, "x", "y", mask, F.explode(shifts).alias("s"))
-    votes = votes.select(*frame_keys, (F.col("x") + F.col("s.dx")).alias("x"), (F.col("y") + F.col("s.dy")).alias("y"), F.col(mask).alias("v"), ((F.col("s.dx") == 0) & (F.col("s.dy") == 0)).alias("own"))
-    joined = F.bool_or("v") if mode == "dilate" else F.bool_and("v")
-    return votes.groupBy(*frame_keys, "x", "y").agg(joined.alias(mask), F.bool_or("own").alias("own")).where("own").drop("own")
+    rest = df.where(~F.col(prompt).isin(*kernels)).select(*frame_keys, "x", "y", mask)
+    grown = [morphology(df.where(F.col(prompt) == p), frame_keys, k, "dilate", mask) for p, k in kernels.items()]
+    every = reduce(DataFrame.unionByName, grown, rest)
+    return morphology(every.groupBy(*frame_keys, "x", "y").agg(F.coalesce(F.bool_or(mask), F.lit(False)).alias(mask)), frame_keys, whole, "dilate", mask)
+
 
+def difference_mask(df: DataFrame, keys: list[str], pixel_keys: list[str], value: str, threshold: float, above: bool = True, kernel: int = 0) -> DataFrame:
+    """Mask ``m`` of the pixels that differ from the frame before by more than the threshold (or not more), opened by a kernel.
 
-def opened(df: DataFrame, frame_keys: list[str], kernel: int, mask: str = "m") -> DataFrame:
-    """Erosion, then dilation."""
-    return morphology(morphology(df, frame_keys, kernel, "erode", mask), frame_keys, kernel, "dilate", mask)
+    ``value`` is an array of channels, ``pixel_keys`` are x and y. The first frame of a series has no mask.
+    """
+    before = F.lag(value).over(Window.partitionBy(*keys, *pixel_keys).orderBy("i"))
+    moved = df.withColumn("__before", before).where(F.col("__before").isNotNull())
+    found = moved.select(*keys, "i", *pixel_keys, threshold_mask(color_distance(F.col(value), F.col("__before")), threshold, above).alias("m"))
+    return opened(found, [*keys, "i"], kernel) if kernel else found
 
 
-def valid_boxes(dets: Column, width: Column, height: Column, max_area: float = 0.25) -> Column:
-    """Detections with a label whose clamped box is not empty and covers at most ``max_area`` of the image."""
+def valid_boxes(dets: Column, width: Column, height: Column, max_area: float = 0.25, least: float | None = None) -> Column:
+    """Detections with a label, and a score of ``least`` or more, whose clamped box is not empty and covers at most ``max_area`` of the image."""
+    named = lambda d: d["label"] != "" if least is None else (d["label"] != "") & (d["score"] >= least)
     boxed = F.transform(
-        F.filter(dets, lambda d: d["label"] != ""), lambda d: F.struct(d["label"].alias("label"), d["score"].alias("score"), rounded_box(d["box"], width, height).alias("box"))
+        F.filter(dets, named), lambda d: F.struct(d["label"].alias("label"), d["score"].alias("score"), rounded_box(d["box"], width, height).alias("box"))
     )
     return F.filter(boxed, lambda d: (box_area(d["box"]) > 0) & (box_area(d["box"]) <= F.lit(max_area) * width * height))
 
@@ -144,6 +173,59 @@ def fill_polygons(df: DataFrame, polygons: Column, into: str = "m") -> DataFrame
     return df.withColumn(into, F.exists(polygons, inside))
 
 
+def logo_boxes(pixels: DataFrame, detections: DataFrame, frame_keys: list[str], width: int, height: int, least: float = 0.4, max_area: float = 0.25, into: str = "m") -> DataFrame:
+    """``pixels`` with a mask of the valid detections of their frame; frames meet their detections by key, so one without any is empty."""
+    kept = detections.select(*frame_keys, valid_boxes(F.col("detections"), F.lit(width), F.lit(height), max_area, least).alias("__boxes"))
+    joined = pixels.join(kept, frame_keys, "left")
+    none = F.array().cast(kept.schema["__boxes"].dataType)
+    return fill_boxes(joined.withColumn("__boxes", F.coalesce("__boxes", none)), F.col("__boxes"), into).drop("__boxes")
+
+
+def needs_logo_removal(df: DataFrame) -> DataFrame:
+    """Rows whose flag is missing or false."""
+    return df.where(~F.coalesce(F.col("logo_removed"), F.lit(False)))
+
+
+def remove_logos(pixels: DataFrame, masks: DataFrame, keys: list[str], value: str = "v") -> DataFrame:
+    """``pixels`` (keys, i, y, x, value, logo_removed) with masked values filled and the flag set.
+
+    Only frames that need it take part. Their masks, one a prompt, are joined by frame and pixel, so a
+    frame whose detection failed has none; each frame's own mask is joined with the majority of its series,
+    and what is masked takes the last clean value of its pixel, or the next one where there was none before.
+    """
+    todo = needs_logo_removal(pixels)
+    place = [*keys, "i", "y", "x"]
+    own = todo.join(mask_or(masks, place), place, "left").withColumn("any_m", F.coalesce("any_m", F.lit(False)))
+    marked = own_or_majority(own, [*keys, "y", "x"], "any_m", "__m")
+    clean = F.when(~F.col("__m"), F.col(value))
+    order = Window.partitionBy(*keys, "y", "x").orderBy("i")
+    before = F.last(clean, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    after = F.first(clean, ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
+    filled = marked.withColumns({"__f": before, "__b": after}).withColumn(value, F.coalesce("__f", "__b", value)).withColumn("logo_removed", F.lit(True))
+    return filled.select(*pixels.columns).unionByName(pixels.where(F.coalesce(F.col("logo_removed"), F.lit(False))))
+
+
+def first_box(boxes: Column) -> Column:
+    """The first detection's box, null without any."""
+    return F.try_element_at(boxes, F.lit(1))["box"]
+
+
+def detect_canvas(meta: DataFrame, boxes: DataFrame, keys: list[str], erode: int = 2, strict: bool = False) -> DataFrame:
+    """``meta`` (start_frame_idx, canvas_detected, canvas_coordinates, width, height) with the canvas of its start frame.
+
+    ``boxes`` has the keys, i and detections. Items whose canvas is known stay as they are, and so do those
+    without a box. ``strict`` looks at the frame behind the start, as the original's loop does.
+    """
+    at = F.greatest(F.coalesce("start_frame_idx", F.lit(0)), F.lit(0)) + (1 if strict else 0)
+    found = boxes.select(*keys, F.col("i").cast("long").alias("__at"), first_box(F.col("detections")).alias("__box"))
+    joined = meta.withColumn("__at", at.cast("long")).join(found, [*keys, "__at"], "left")
+    fresh = ~F.coalesce("canvas_detected", F.lit(False)) & F.col("__box").isNotNull()
+    box = canvas_box(F.col("__box"), F.col("width"), F.col("height"), erode)
+    return joined.withColumns(
+        {"canvas_coordinates": F.when(fresh, box).otherwise(F.col("canvas_coordinates")), "canvas_detected": F.coalesce("canvas_detected", F.lit(False)) | fresh}
+    ).select(*meta.columns)
+
+
 def right_half(df: DataFrame, splits: DataFrame, frame_keys: list[str], width: int, margin: int = 2) -> DataFrame:
     """Pixels to the right of each frame's split; a negative split stands for the middle."""
     at = F.when(F.col("split_x") < 0, F.lit(width // 2)).otherwise(F.col("split_x")) + margin

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -12,14 +14,55 @@ def register(items: DataFrame, catalog: DataFrame, registry: DataFrame | None =
 
     An id that is empty, then one that is registered, then one of a foreign channel is skipped.
     """
-    expanded = items.where(F.col("source") == "youtube").join(catalog, "url")
+    expanded = expand(items.where(F.col("source") == "youtube"), catalog)
     ids = expanded.where(F.col("id") != "")
     if registry is not None:
         ids = ids.join(registry.select(F.col("source"), F.col("video_id").alias("id")), ["source", "id"], "left_anti")
     allowed = ids.where(~F.coalesce(F.col("only_channel_vid"), F.lit(False)) | F.array_contains("channel_ids", F.col("channel_id")))
     rank = F.row_number().over(Window.partitionBy("source", "id").orderBy(*(order or ["url"])))
     first = allowed.withColumn("__r", rank).where("__r = 1").drop("__r")
-    return first.withColumnRenamed("id", "video_id").withColumn("url", F.col("video_id")).withColumns({"processed": F.lit(False), "exclude_video": F.lit(False)})
+    return enriched(first.withColumnRenamed("id", "video_id").withColumn("url", F.col("video_id")))
+
+
+def expand(items: DataFrame, catalog: DataFrame) -> DataFrame:
+    """A row for each entry of an item's url: one for a video, none or many for a playlist or channel."""
+    return items.join(catalog, "url")
+
+
+def enriched(df: DataFrame) -> DataFrame:
+    """New rows with their flags."""
+    return df.withColumns({"processed": F.lit(False), "exclude_video": F.lit(False)})
+
+
+def with_key(df: DataFrame, source: Column, id_col: str, art: list[str]) -> DataFrame:
+    """``df`` with its key across sources and its art fields in one text."""
+    return df.withColumns({"video_key": F.concat_ws(":", source, F.col(id_col)), "art": F.array_join(F.array(*art), "; ")})
+
+
+def source_counts(df: DataFrame) -> DataFrame:
+    return df.groupBy("source").agg(F.count("*").alias("n_videos"))
+
+
+def union_pipelines(pipelines: dict[str, DataFrame], id_cols: dict[str, str]) -> DataFrame:
+    """(pipeline, video_id) of several registries, one after the other."""
+    tables = [df.select(F.lit(name).alias("pipeline"), F.col(id_cols[name]).alias("video_id")) for name, df in pipelines.items()]
+    return reduce(DataFrame.unionByName, tables)
+
+
+def to_fetch(registry: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
+    """Items whose recording is not stored yet; once it is fetched anew, its canvas is unknown."""
+    return registry.join(stored.select(*keys).distinct(), keys, "left_anti").withColumn("canvas_detected", F.lit(False))
+
+
+def to_delete(registry: DataFrame, remove_after: Column) -> DataFrame:
+    """Items that are processed and whose recordings need not be kept."""
+    return registry.where(F.coalesce(F.col("processed"), F.lit(False)) & F.coalesce(remove_after, F.lit(False)))
+
+
+def set_excluded(registry: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
+    """The exclude flag of ``changes`` (keys, exclude_video) in place of the old one."""
+    new = changes.select(*keys, F.col("exclude_video").alias("__x"))
+    return registry.join(new, keys, "left").withColumn("exclude_video", F.coalesce("__x", "exclude_video", F.lit(False))).drop("__x")
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -48,6 +91,13 @@ def remove_reference(df: DataFrame, keys: list[str], which: Column, index: str =
     return kept.withColumn(index, (F.row_number().over(Window.partitionBy(*keys).orderBy(index)) - 1).cast("int"))
 
 
+def remove_reference_at(df: DataFrame, keys: list[str], place: int, index: str = "ref_idx") -> DataFrame:
+    """Without each key's row at a place; IndexError where no row has it."""
+    if df.where(F.col(index) == place).limit(1).count() == 0:
+        raise IndexError(place)
+    return remove_reference(df, keys, F.col(index) == place, index)
+
+
 def drop_variations(df: DataFrame, index: str = "ref_idx") -> DataFrame:
     """The original reference alone."""
     return df.where(F.col(index) == 0)
@@ -68,6 +118,11 @@ def found_range(df: DataFrame) -> DataFrame:
     return df.where((F.coalesce("start_frame_idx", F.lit(-1)) >= 0) & (F.coalesce("end_frame_idx", F.lit(-1)) >= 0))
 
 
+def shown(df: DataFrame, frames: DataFrame, keys: list[str]) -> DataFrame:
+    """Items with a range that have frames."""
+    return found_range(df).join(frames.select(*keys), keys, "left_semi")
+
+
 def unprocessed(df: DataFrame) -> DataFrame:
     return df.where(~F.coalesce(F.col("processed"), F.lit(False)))
 

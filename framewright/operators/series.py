@@ -48,20 +48,31 @@ def last_clean_fill(df: DataFrame, keys: list[str], value: str = "v", masked: st
     return df.withColumn(into, F.coalesce(last, F.lit(0) if seed is None else seed))
 
 
-def even_sample(df: DataFrame, keys: list[str], most: int, into: str = "sample_no") -> DataFrame:
-    """``most`` evenly spread rows of each series (all places if it is shorter, some then twice)."""
-    spans = df.groupBy(*keys).agg(F.max("i").alias("__last"), F.count("*").alias("__n"))
-    count = F.least(F.col("__n"), F.lit(most))
-    spans = spans.withColumn("__count", count).withColumn(into, F.explode(F.sequence(F.lit(0).cast("long"), F.col("__count") - 1)))
-    step = F.try_divide(F.col("__last").cast("double"), (F.col("__count") - 1).cast("double"))
-    place = F.when(F.col(into) == F.col("__count") - 1, F.col("__last")).otherwise(F.ceil(F.col(into) * F.coalesce(step, F.lit(0.0))))
-    place = F.when(F.col("__count") == 1, F.lit(0).cast("long")).otherwise(place)
-    picked = spans.select(*keys, into, F.greatest(place, F.lit(0)).alias("i"))
+def even_sample(df: DataFrame, keys: list[str], most: int = 1000, ranges: DataFrame | None = None, into: str = "sample_no") -> DataFrame:
+    """``most`` evenly spread rows of each series, or as many as it has rows, over all of it or over ``ranges``.
+
+    ``ranges`` has the keys, start_idx and end_idx; series without a range are left out. Places between
+    two rows go to the later one, so a short range gives some rows twice; places before the first row
+    give the first. A sample of one row is the start.
+    """
+    spans = df.groupBy(*keys).agg(F.max("i").alias("__end"), F.count("*").alias("__n")).withColumn("__start", F.lit(0).cast("long"))
+    if ranges is not None:
+        own = ranges.select(*keys, F.col("start_idx").cast("long").alias("__start"), F.col("end_idx").cast("long").alias("__end"))
+        spans = spans.select(*keys, "__n").join(own, keys)
+    spans = spans.withColumn("__count", F.least(F.col("__n"), F.lit(most))).withColumn(into, F.explode(F.sequence(F.lit(0).cast("long"), F.col("__count") - 1)))
+    step = F.try_divide((F.col("__end") - F.col("__start")).cast("double"), (F.col("__count") - 1).cast("double"))
+    place = F.when(F.col(into) == F.col("__count") - 1, F.col("__end")).otherwise(F.ceil(F.col("__start") + F.col(into) * F.coalesce(step, F.lit(0.0))))
+    place = F.when(F.col("__count") == 1, F.col("__start")).otherwise(place)
+    picked = spans.select(*keys, into, F.greatest(place, F.lit(0)).cast("long").alias("i"))
     return picked.join(df, [*keys, "i"])
 
 
-def progress(df: DataFrame, keys: list[str], into: str = "progress") -> DataFrame:
-    """Place between the first (0) and the last (1); null where a series has one row."""
+def progress(df: DataFrame, keys: list[str], ranges: DataFrame | None = None, into: str = "progress") -> DataFrame:
+    """Place between the first (0) and the last row (1), or between start_idx and end_idx of ``ranges``; null where both are one."""
+    if ranges is not None:
+        own = ranges.select(*keys, F.col("start_idx").alias("__start"), F.col("end_idx").alias("__end"))
+        placed = df.join(own, keys)
+        return placed.withColumn(into, F.try_divide((F.col("i") - F.col("__start")).cast("double"), (F.col("__end") - F.col("__start")).cast("double"))).drop("__start", "__end")
     lo, hi = F.min("i").over(_by(keys)), F.max("i").over(_by(keys))
     return df.withColumn(into, F.try_divide((F.col("i") - lo).cast("double"), (hi - lo).cast("double")))
 
@@ -131,14 +142,16 @@ def still_runs_timelapse(df: DataFrame, keys: list[str], sign: str = "sign") ->
 
 
 def keyframes(
-    df: DataFrame, keys: list[str], pixel_keys: list[str], value: str = "v", diff: float = 10, changes: int = 50, step: int = 1, still: int = 3, strict: bool = False
+    df: DataFrame, keys: list[str], pixel_keys: list[str], value: str = "v", diff: float = 10, changes: int = 50, step: int = 1, still: int = 3, strict: bool = False, channels: bool = False
 ) -> DataFrame:
     """Still runs of pixel series: a frame changes when ``changes`` pixels or more differ by more than ``diff``.
 
+    With ``channels`` the value is an array, such as a pixel in Lab, and the distance that of all channels.
+
     ``step`` looks at every step-th frame and scales the runs back; ``strict`` then visits only the
     first (n - 1) // step + 1 places, as the original counter does.
     """
-    from framewright.functions.pixels import scalar_distance
+    from framewright.functions.pixels import color_distance, scalar_distance
 
     if step == 0:
         raise ZeroDivisionError("step must not be 0")
@@ -147,7 +160,8 @@ def keyframes(
     seen = sized.where(F.col("i") % step == 0).withColumn("i", (F.col("i") / step).cast("long"))
     if strict and step > 1:
         seen = seen.where(F.col("i") * step < F.col("__visits"))
-    moved = seen.withColumn("__d", scalar_distance(F.col(value), F.lag(value).over(Window.partitionBy(*keys, *pixel_keys).orderBy("i"))) > diff)
+    distance = color_distance if channels else scalar_distance
+    moved = seen.withColumn("__d", distance(F.col(value), F.lag(value).over(Window.partitionBy(*keys, *pixel_keys).orderBy("i"))) > diff)
     signs = moved.groupBy(*keys, "i").agg((F.count_if("__d") >= changes).cast("int").alias("sign"))
     runs = still_runs(signs, keys, "sign", still)
     return runs.select(*keys, (F.col("start_idx") * step).alias("start_idx"), (F.col("end_idx") * step).alias("end_idx"))
@@ -216,6 +230,21 @@ def frame_at(df: DataFrame, keys: list[str], place: int) -> DataFrame:
     return df.withColumn("__back", F.count("*").over(_by(keys)) - F.col("i")).where(F.col("__back") == -place).drop("__back")
 
 
+def seek(series: DataFrame, df: DataFrame, keys: list[str], start: str, found: str, into: str) -> DataFrame:
+    """``series`` with the place behind ``df``'s ``found`` value at its start row: the value + 1, or -1 where there is no such row.
+
+    A start before the first row, or none, stands for the first.
+    """
+    at = series.withColumn("__at", F.greatest(F.coalesce(F.col(start), F.lit(0)), F.lit(0)).cast("long"))
+    values = df.select(*keys, F.col("i").alias("__at"), F.col(found).alias("__found"))
+    return at.join(values, [*keys, "__at"], "left").withColumn(into, F.coalesce(F.col("__found") + 1, F.lit(-1)).cast("int")).drop("__at", "__found")
+
+
+def success_counts(df: DataFrame, keys: list[str], ok: str) -> DataFrame:
+    """How many rows of each key went well, and how many there are; a missing answer is a failure."""
+    return df.groupBy(*keys).agg(F.count_if(F.coalesce(F.col(ok), F.lit(False))).alias("n_ok"), F.count("*").alias("n"))
+
+
 def stride_limit(df: DataFrame, stride: int, most: int) -> DataFrame:
     """Every stride-th row of each series, at most ``most`` of them."""
     return df.where((F.col("i") % stride == 0) & (F.col("i") / stride < most))

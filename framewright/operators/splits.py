@@ -41,8 +41,8 @@ def fold_sets(df: DataFrame, n: int = 5) -> DataFrame:
     return copies.withColumn("part", F.when(F.col("chunk") == F.col("fold"), "test").otherwise("train"))
 
 
-def export_split(df: DataFrame, path: str) -> None:
-    df.write.mode("errorifexists").partitionBy("split", "source").parquet(path)
+def export_split(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    df.write.mode(mode).partitionBy("split", "source").parquet(path)
 
 
 def export_folds(df: DataFrame, path: str) -> None:

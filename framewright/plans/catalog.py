@@ -1,4 +1,4 @@
-"""Jobs over a registry folder: register, export, clean up. Each is one plan and one write per table."""
+"""Jobs over a registry folder: register, process, clean up, export. Each is one plan and one write per table."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framewright.operators import registry, splits
+from framewright.plans import stages
 from framewright.sources import readers, writers
 
 log = logging.getLogger(__name__)
@@ -22,20 +23,26 @@ COLUMNS = [c.strip().split()[0] for c in REGISTRY.split(", ")]
 
 
 def register_files(spark: SparkSession, base: str, files: list[str], catalog: DataFrame) -> DataFrame:
-    """Add the items of JSON-lines files to the registry under ``base``; other files are skipped with a warning."""
+    """Add the items of JSON-lines files to the registry under ``base``.
+
+    Of equal ids the first stays, by the order of the files given and of their lines. Files that do not
+    exist are reported and left out, and so are those with another suffix.
+    """
     usable = []
     for f in files:
-        if PurePosixPath(f).suffix == ".jsonl":
-            usable.append(f)
-        else:
+        if not readers.exists(spark, f):
+            log.error("%s does not exist", f)
+        elif PurePosixPath(f).suffix != ".jsonl":
             log.warning("%s is not a .jsonl file", f)
+        else:
+            usable.append(f)
     known = readers.read_registry(spark, f"{base}/registry", REGISTRY)
     if not usable:
         return known
     items = readers.read_items(spark, usable[0])
-    for f in usable[1:]:
-        items = items.unionByName(readers.read_items(spark, f))
-    added = registry.register(items, catalog, known, order=["catalog_file", "url"]).select(*COLUMNS)
+    for n, f in enumerate(usable[1:], 1):
+        items = items.unionByName(readers.read_items(spark, f, n))
+    added = registry.register(items, catalog, known, order=["catalog_file", "line", "id"]).select(*COLUMNS)
     writers.save_registry(known.unionByName(added), f"{base}/registry")
     return readers.read_registry(spark, f"{base}/registry", REGISTRY)
 
@@ -43,18 +50,53 @@ def register_files(spark: SparkSession, base: str, files: list[str], catalog: Da
 def mark_processed(spark: SparkSession, base: str, done: DataFrame) -> None:
     """Items that a run has finished; a rerun leaves them alone."""
     known = readers.read_registry(spark, f"{base}/registry", REGISTRY)
-    flags = done.select("source", "video_id").distinct().withColumn("processed", F.lit(True))
-    rest = known.drop("processed").join(flags, ["source", "video_id"], "left")
-    writers.save_registry(rest.withColumn("processed", F.coalesce("processed", F.lit(False))).select(*COLUMNS), f"{base}/registry")
+    flags = done.select("source", "video_id").distinct().withColumn("__done", F.lit(True))
+    rest = known.join(flags, ["source", "video_id"], "left")
+    writers.save_registry(rest.withColumn("processed", F.coalesce("processed", F.lit(False)) | F.coalesce("__done", F.lit(False))).select(*COLUMNS), f"{base}/registry")
+
 
+def process_registry(spark: SparkSession, base: str, only: tuple[str, str] | None = None, override: tuple[str, str] | None = None) -> DataFrame:
+    """Run the unprocessed items of a registry through their own stages, add the results to ``processed``, and mark the items.
 
-def export_split(spark: SparkSession, base: str, out: str, split_file: str | None = None, train: float = 0.8, evaluate: float = 0.1, seed: int = 42, only_listed: bool = False) -> None:
+    ``only`` names one (source, video_id), which may be processed already; ``override`` is a stage's
+    (name, config) in place of every item's list, for all items. Series are keyed by ``k``, source:video_id.
+    """
+    known = readers.read_registry(spark, f"{base}/registry", REGISTRY)
+    items = known.withColumn("k", F.concat_ws(":", "source", "video_id"))
+    if only is not None:
+        items = registry.lookup(items, *only)
+    if override is not None:
+        items = registry.override_stage(items, *override)
+    if only is not None or override is not None:
+        items = items.withColumn("processed", F.lit(False))
+    frames = spark.read.parquet(f"{base}/frames").withColumn("k", F.concat_ws(":", "source", "video_id")).select("k", "i", "v", "m")
+    done = stages.process(items, frames, ["k"])
+    done.select("k", "i", "v").write.mode("append").parquet(f"{base}/processed")
+    mark_processed(spark, base, registry.unprocessed(items))
+    return spark.read.parquet(f"{base}/processed")
+
+
+def clean_up(spark: SparkSession, base: str, variations: bool = False, tags: bool = False) -> None:
+    """Take the variations of reference frames, their tags, or both out of the stored tables."""
+    if variations:
+        writers.save_registry(registry.drop_variations(spark.read.parquet(f"{base}/reference_frames")), f"{base}/reference_frames")
+    if tags:
+        writers.save_registry(registry.clear_tags(spark.read.parquet(f"{base}/video_meta")), f"{base}/video_meta")
+
+
+def export_pipelines(spark: SparkSession, bases: list[str], out: str, **options) -> None:
+    """Several pipelines in one dataset, by split."""
+    for n, base in enumerate(bases):
+        export_split(spark, base, out, mode="append" if n else "errorifexists", **options)
+
+
+def export_split(spark: SparkSession, base: str, out: str, split_file: str | None = None, train: float = 0.8, evaluate: float = 0.1, seed: int = 42, only_listed: bool = False, mode: str = "errorifexists") -> None:
     """Eligible items with their frames, by split."""
     frames = spark.read.parquet(f"{base}/frames")
     kept = registry.eligible(readers.read_registry(spark, f"{base}/registry", REGISTRY), frames, ["source", "video_id"]).select("source", "video_id")
     listed = readers.read_split_file(spark, split_file) if split_file else None
     assigned = splits.assign_split(kept, listed, ["source", "video_id"], "video_id", train, evaluate, seed, only_listed)
-    splits.export_split(frames.join(assigned, ["source", "video_id"]), out)
+    splits.export_split(frames.join(assigned, ["source", "video_id"]), out, mode)
 
 
 def export_folds(spark: SparkSession, base: str, out: str, n: int = 5, seed: int = 42) -> None:
@@ -67,10 +109,15 @@ def export_folds(spark: SparkSession, base: str, out: str, n: int = 5, seed: int
 
 def main(args: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Registry jobs")
-    parser.add_argument("job", choices=["register", "export-split", "export-folds"])
+    parser.add_argument("job", choices=["register", "process", "clean-up", "export-split", "export-folds"])
     parser.add_argument("--base", required=True)
     parser.add_argument("--files", nargs="*", default=[])
     parser.add_argument("--catalog", help="Parquet table of url, id, title, license, channel, channel_id")
+    parser.add_argument("--only", nargs=2, metavar=("SOURCE", "ID"), help="process this item alone")
+    parser.add_argument("--override", nargs=2, metavar=("STAGE", "CONFIG"), help="one stage for every item")
+    parser.add_argument("--variations", action="store_true", help="clean up the variations of reference frames")
+    parser.add_argument("--tags", action="store_true", help="clean up the tags of reference frames")
+    parser.add_argument("--more", nargs="*", default=[], help="further pipelines for the same dataset")
     parser.add_argument("--out")
     parser.add_argument("--split-file")
     parser.add_argument("--folds", type=int, default=5)
@@ -79,8 +126,12 @@ def main(args: list[str] | None = None) -> None:
     spark = SparkSession.builder.getOrCreate()
     if o.job == "register":
         register_files(spark, o.base, o.files, spark.read.parquet(o.catalog))
+    elif o.job == "process":
+        process_registry(spark, o.base, tuple(o.only) if o.only else None, tuple(o.override) if o.override else None)
+    elif o.job == "clean-up":
+        clean_up(spark, o.base, o.variations, o.tags)
     elif o.job == "export-split":
-        export_split(spark, o.base, o.out, o.split_file, seed=o.seed)
+        export_pipelines(spark, [o.base, *o.more], o.out, split_file=o.split_file, seed=o.seed)
     else:
         export_folds(spark, o.base, o.out, o.folds, o.seed)
 

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from framewright.operators import registry
 
 Stage = Callable[[DataFrame, dict], DataFrame]
 STAGES: dict[str, tuple[Stage, dict]] = {}
@@ -39,6 +44,27 @@ class Chain:
         return df
 
 
+def process(items: DataFrame, frames: DataFrame, keys: list[str], column: str = "video_processor", most: int = 1000) -> DataFrame:
+    """Frames of the unprocessed items, each put through its own item's list of stages.
+
+    A stage's config is a JSON object of parameters. Items with equal lists are one plan, so there are
+    as many plans as different lists, which must be ``most`` or fewer; the items themselves stay in
+    tables. A list with an unknown stage raises ValueError.
+    """
+    todo = registry.unprocessed(items).select(*keys, F.to_json(column).alias("__list"))
+    lists = [r[0] for r in todo.select("__list").distinct().orderBy("__list").limit(most + 1).collect()]
+    if len(lists) > most:
+        raise ValueError(f"more than {most} different lists of stages")
+    done = []
+    for steps in lists:
+        chain = Chain()
+        for step in json.loads(steps or "[]"):
+            chain = chain.then(step["name"], **json.loads(step.get("config") or "{}"))
+        own = todo.where(F.col("__list").eqNullSafe(F.lit(steps))).select(*keys)
+        done.append(chain.run(frames.join(own, keys, "left_semi")))
+    return reduce(DataFrame.unionByName, done) if done else frames.limit(0)
+
+
 def not_done(df: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     """Items that a stage's output does not hold yet."""
     return df.join(done.select(*keys).distinct(), keys, "left_anti")
@@ -53,8 +79,6 @@ def _median(df: DataFrame, p: dict) -> DataFrame:
 
 @stage("clean", fill=0)
 def _clean(df: DataFrame, p: dict) -> DataFrame:
-    from pyspark.sql import functions as F
-
     from framewright.operators.series import last_clean_fill
 
     return last_clean_fill(df, ["k"], seed=F.lit(p["fill"]), into="v2").drop("v").withColumnRenamed("v2", "v")
@@ -65,3 +89,12 @@ def _reference(df: DataFrame, p: dict) -> DataFrame:
     from framewright.operators.series import reference_frame
 
     return reference_frame(df, ["k"])
+
+
+@stage("extract", most=1000)
+def _extract(df: DataFrame, p: dict) -> DataFrame:
+    """Evenly sampled frames in their order."""
+    from framewright.operators.series import even_sample, indexed
+
+    sampled = even_sample(df, ["k"], p["most"]).drop("i")
+    return indexed(sampled, ["k"], ["sample_no"]).select(*df.columns)

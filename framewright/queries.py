@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framewright.functions import pixels as P
 from framewright.functions import text as X
 from framewright.operators import masks, registry, series, splits, tags
+from framewright.plans import stages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -68,12 +69,7 @@ def scan_project(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def url_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    return pages.select(
-        "page_id",
-        F.regexp_extract("url", r"^[a-z]+://([^/]+)", 1).alias("host"),
-        F.explode(F.filter(F.split(F.regexp_replace("url", r"^[a-z]+://[^/]+", ""), "[/?#&]"), lambda p: p != "")).alias("part"),
-        F.contains("url", F.lit("?")).alias("has_query"),
-    )
+    return pages.select("page_id", X.url_host(F.col("url")).alias("host"), F.explode(X.url_parts(F.col("url"))).alias("part"), F.contains("url", F.lit("?")).alias("has_query"))
 
 
 @query
@@ -90,14 +86,8 @@ def register_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def enrich_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return docs.select(
-        "doc_id",
-        F.concat_ws(":", F.lit("youtube"), F.col("doc_id")).alias("video_key"),
-        F.array_join(F.array("lang", "source"), "; ").alias("art"),
-        F.lit(False).alias("processed"),
-        F.lit(False).alias("exclude_video"),
-    )
+    docs = registry.enriched(registry.with_key(table(spark, sf_dir, "documents"), F.lit("youtube"), "doc_id", ["lang", "source"]))
+    return docs.select("doc_id", "video_key", "art", "processed", "exclude_video")
 
 
 @query
@@ -131,7 +121,7 @@ def frame_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("n_videos"))
+    return registry.source_counts(table(spark, sf_dir, "documents"))
 
 
 @query
@@ -160,9 +150,8 @@ def path_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def union_pipelines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(F.lit("documents").alias("pipeline"), F.col("doc_id").alias("video_id"))
-    pages = table(spark, sf_dir, "pages").select(F.lit("pages").alias("pipeline"), F.col("page_id").alias("video_id"))
-    return docs.unionByName(pages)
+    names = {"documents": "doc_id", "pages": "page_id"}
+    return registry.union_pipelines({n: table(spark, sf_dir, n) for n in names}, names)
 
 
 @query
@@ -174,9 +163,8 @@ def meta_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def json_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = F.try_parse_json("props")
     return table(spark, sf_dir, "events").select(
-        "event_id", F.try_variant_get(parsed, "$.k", "bigint").alias("k_value"), F.to_json(F.struct(F.col("event_id").alias("frame_index"), F.col("event_type").alias("processor"))).alias("meta")
+        "event_id", X.json_number(F.col("props"), "$.k").alias("k_value"), X.frame_meta(frame_index=F.col("event_id"), processor=F.col("event_type")).alias("meta")
     )
 
 
@@ -221,7 +209,7 @@ def last_clean_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def even_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return series.even_sample(recordings(spark, sf_dir).select("k", "i", "v"), ["k"], 40)
+    return series.even_sample(recordings(spark, sf_dir).select("k", "i", "v"), ["k"])
 
 
 @query
@@ -349,7 +337,7 @@ def never_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def median_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return masks.sampled_median(grid(spark, sf_dir), ["k"], ["y", "x"], samples=20)
+    return masks.sampled_median(grid(spark, sf_dir), ["k"], ["y", "x"])
 
 
 @query
@@ -394,18 +382,26 @@ def lab_diff_wrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = frames(spark, sf_dir).select("k", "i", "vec_id", F.transform("embedding", byte).alias("a"))
     before = rows.withColumn("b", F.lag("a").over(Window.partitionBy("k").orderBy("i"))).where(F.col("b").isNotNull())
     pixel = lambda c, p: F.slice(c, p * 3 + 1, 3)
-    distances = F.transform(F.sequence(F.lit(0), F.lit(20)), lambda p: P.color_distance(pixel(F.col("a"), p), pixel(F.col("b"), p)))
+    distances = F.transform(F.sequence(F.lit(0), F.lit(21)), lambda p: P.color_distance(pixel(F.col("a"), p), pixel(F.col("b"), p)))
     return before.withColumn("d", distances).select(
         "vec_id", F.size(F.filter("d", lambda d: P.threshold_mask(d, 10))).alias("n_changed"), F.round(F.array_max("d"), 6).alias("max_distance")
     )
 
 
+def _detections(scale: float, shift: float) -> Column:
+    """A detection for each four elements of an embedding: its corners, and its first element as the score."""
+    side = lambda i: F.element_at("embedding", i).cast("double") * scale + shift
+    label = lambda n: F.element_at(F.array(*map(F.lit, ("logo", "", "text", "hand"))), n % 4 + 1)
+    starts = F.transform(F.sequence(F.lit(0), F.floor(F.size("embedding") / 4).cast("int") - 1), lambda n: n)
+    return F.transform(
+        starts,
+        lambda n: F.struct(label(n).alias("label"), F.element_at("embedding", 4 * n + 1).alias("score"), F.array(*(side(4 * n + j) for j in (1, 2, 3, 4))).alias("box")),
+    )
+
+
 @query
 def box_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    side = lambda i: F.element_at("embedding", i).cast("double") * 40 + 10
-    det = lambda i, n: F.struct(F.lit(n).alias("label"), F.element_at("embedding", i).alias("score"), F.array(side(i), side(i + 1), side(i + 2), side(i + 3)).alias("box"))
-    dets = F.array(det(1, "logo"), det(5, ""), det(9, "text"), det(13, "hand"))
-    rows = table(spark, sf_dir, "embeddings").select("vec_id", masks.valid_boxes(dets, F.lit(20), F.lit(20)).alias("d"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", masks.valid_boxes(_detections(40, 10), F.lit(20), F.lit(20)).alias("d"))
     return rows.select("vec_id", F.explode("d").alias("d")).select("vec_id", F.col("d.label").alias("label"), P.box_area(F.col("d.box")).alias("area"))
 
 
@@ -422,8 +418,8 @@ def udf_mask_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(vec_id, name, category, p): the first elements of an embedding as tag probabilities."""
-    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode(F.slice("embedding", 1, 24)).alias("pos", "e"))
+    """(vec_id, name, category, p): the elements of an embedding as tag probabilities."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode("embedding").alias("pos", "e"))
     return rows.select("vec_id", F.concat(F.lit("tag_"), "pos", F.lit("(a)")).alias("name"), F.when(F.col("pos") % 4 == 3, 4).when(F.col("pos") % 12 == 0, 9).otherwise(0).alias("category"), F.abs(F.col("e").cast("double")).alias("p"))
 
 
@@ -435,7 +431,7 @@ def mcut_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def select_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = tags.selected_tags(_scores(spark, sf_dir), ["vec_id"], general=0.1, character=0.15)
-    return found.select("vec_id", "caption", F.array_join("characters", "|").alias("characters"), X.extended_prompt(F.lit("paint"), F.col("caption")).alias("prompt"))
+    return found.select("vec_id", "rating", "caption", F.array_join("characters", "|").alias("characters"), X.extended_prompt(F.lit("paint"), F.col("caption")).alias("prompt"))
 
 
 @query
@@ -486,7 +482,7 @@ def canvas_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def box_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     side = lambda i: F.floor(F.abs(F.element_at("embedding", i).cast("double")) * 40).cast("int")
-    boxes = F.array(*[F.struct(F.array(side(i), side(i + 1), side(i) + 3, side(i + 1) + 2).alias("box")) for i in (1, 3)])
+    boxes = F.transform(F.sequence(F.lit(1), F.size("embedding") - 1, F.lit(2)), lambda i: F.struct(F.array(side(i), side(i + 1), side(i) + 3, side(i + 1) + 2).alias("box")))
     own = table(spark, sf_dir, "embeddings").select("vec_id", boxes.alias("boxes"))
     cells = own.withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(7)))).withColumn("x", F.explode(F.sequence(F.lit(0), F.lit(7))))
     return masks.fill_boxes(cells, F.col("boxes")).groupBy("vec_id").agg(F.count_if("m").alias("n"))
@@ -495,8 +491,9 @@ def box_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def polygon_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     corner = lambda i: F.floor(F.abs(F.element_at("embedding", i).cast("double")) * 100).cast("double")
-    points = F.array(*[F.struct(corner(i).alias("x"), corner(i + 1).alias("y")) for i in (1, 3, 5, 7)])
-    own = table(spark, sf_dir, "embeddings").select("vec_id", F.array(points).alias("polygons"))
+    point = lambda i: F.struct(corner(i).alias("x"), corner(i + 1).alias("y"))
+    polygons = F.transform(F.sequence(F.lit(1), F.size("embedding") - 7, F.lit(8)), lambda i: F.array(*(point(i + j) for j in (0, 2, 4, 6))))
+    own = table(spark, sf_dir, "embeddings").select("vec_id", polygons.alias("polygons"))
     cells = own.withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(15)))).withColumn("x", F.explode(F.sequence(F.lit(0), F.lit(15))))
     return masks.fill_polygons(cells, F.col("polygons")).groupBy("vec_id").agg(F.count_if("m").alias("n"))
 
@@ -535,3 +532,221 @@ def pager(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clear_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("lang") == "en", F.array("source")).alias("reference_frame_tags"))
     return registry.clear_tags(rows).select("doc_id", F.coalesce(F.size("reference_frame_tags"), F.lit(-1)).alias("n_tags"), F.col("reference_frame_tags").isNull().alias("missing"))
+
+
+# Pixels with channels
+
+
+def colors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(k, i, vec_id, y, x, bgr): frames as 2 x 11 pixels of three channels; what the last pixel lacks is 0."""
+    byte = lambda e: F.pmod(F.floor(F.coalesce(e.cast("double"), F.lit(0.0)) * 256), F.lit(256)).cast("long")
+    pixel = lambda p: F.array(*(byte(F.try_element_at("embedding", 3 * p + j)) for j in (1, 2, 3)))
+    cells = F.transform(F.sequence(F.lit(0), F.lit(21)), pixel)
+    rows = frames(spark, sf_dir).select("k", "i", "vec_id", F.posexplode(cells).alias("p", "bgr"))
+    return rows.select("k", "i", "vec_id", F.floor(F.col("p") / 11).cast("int").alias("y"), (F.col("p") % 11).alias("x"), "bgr")
+
+
+def labs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return colors(spark, sf_dir).withColumn("lab", P.bgr_to_lab(F.col("bgr"))).drop("bgr")
+
+
+@query
+def lab_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = lambda i: F.sum(F.element_at("lab", i))
+    return labs(spark, sf_dir).groupBy("vec_id").agg(at(1).alias("l"), at(2).alias("a"), at(3).alias("b"))
+
+
+@query
+def keyframes_lab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return series.keyframes(labs(spark, sf_dir), ["k"], ["y", "x"], "lab", diff=10, changes=13, channels=True)
+
+
+@query
+def difference_opened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = masks.difference_mask(labs(spark, sf_dir), ["k"], ["y", "x"], "lab", 8, kernel=2)
+    return found.groupBy("k", "i").agg(F.count_if("m").alias("n"), F.sum(F.when(F.col("m"), F.col("x") + 11 * F.col("y")).otherwise(0)).alias("places"))
+
+
+@query
+def split_column_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = colors(spark, sf_dir).select("vec_id", "y", "x", F.posexplode("bgr").alias("c", "v"))
+    return masks.split_column(rows, ["vec_id"], 11, left=0.25, right=0.75, channel="c")
+
+
+@query
+def swap_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    red = F.element_at(P.swap_channels(F.col("bgr")), 1)
+    return colors(spark, sf_dir).groupBy("vec_id").agg(F.sum(red * (F.col("x") + 1)).alias("weighted"))
+
+
+@query
+def opened_thrice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = masks.opened(grid(spark, sf_dir).withColumn("m", F.col("v") > 60), ["vec_id"], 2, erode=1, dilate=3)
+    return kept.groupBy("vec_id").agg(F.count_if("m").alias("n"), F.sum(F.when(F.col("m"), F.col("x") + 8 * F.col("y")).otherwise(0)).alias("places"))
+
+
+@query
+def prompt_kernels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = F.array(F.lit("hand"), F.lit("pen"), F.lit("cup"))
+    rows = grid(spark, sf_dir).withColumn("prompt", F.explode(named))
+    least = F.when(F.col("prompt") == "hand", 250).when(F.col("prompt") == "pen", 252).otherwise(254)
+    grown = masks.dilate_prompts(rows.withColumn("m", F.col("v") > least), ["vec_id"], {"hand": 4, "pen": 1}, whole=2)
+    return grown.groupBy("vec_id").agg(F.count_if("m").alias("n"), F.sum(F.when(F.col("m"), F.col("x") + 8 * F.col("y")).otherwise(0)).alias("places"))
+
+
+# Ranges, canvases and logos
+
+
+@query
+def sampled_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extraction stage: even samples of the detected range, each with its progress."""
+    rows = recordings(spark, sf_dir).select("k", "i", "hit", "v")
+    found = series.first_last_hit(rows, ["k"], stride=3)
+    ranges = found.where("start_idx >= 0 and end_idx >= 0")
+    sampled = series.even_sample(rows.select("k", "i", "v"), ["k"], ranges=ranges)
+    return series.progress(sampled, ["k"], ranges).select("k", "sample_no", "i", "v", F.round("progress", 9).alias("progress"))
+
+
+def _starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(k, start_frame_idx): one start for each series of frames, missing, before the first or behind the last one for some."""
+    start = F.when(F.col("k") % 5 == 0, F.lit(None).cast("long")).when(F.col("k") % 5 == 1, F.lit(-1).cast("long")).when(F.col("k") % 5 == 2, F.lit(10_000_000).cast("long"))
+    return frames(spark, sf_dir).select("k").distinct().withColumn("start_frame_idx", start.otherwise(F.col("k")))
+
+
+@query
+def split_at_start(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pixels = grid(spark, sf_dir)
+    columns = masks.split_column(pixels, ["k", "i"], 8, left=0.25, right=0.75)
+    found = series.seek(_starts(spark, sf_dir), columns, ["k"], "start_frame_idx", "split_x", "split_x")
+    kept = masks.right_half(pixels, found, ["k"], 8)
+    return kept.groupBy("k").agg(F.count("*").alias("n"), F.sum(F.col("v") * (F.col("x") + 1)).alias("weighted"))
+
+
+@query
+def canvas_from_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = frames(spark, sf_dir)
+    meta = _starts(spark, sf_dir).select("k", "start_frame_idx", (F.col("k") == 3).alias("canvas_detected"), F.array(F.lit(1), F.lit(2), F.lit(3), F.lit(4)).alias("canvas_coordinates"), F.lit(20).alias("width"), F.lit(16).alias("height"))
+    boxes = rows.where("k <> 4").select("k", "i", _detections(40, 10).alias("detections"))
+    found = masks.detect_canvas(meta, boxes, ["k"])
+    return found.select("k", "canvas_detected", F.array_join("canvas_coordinates", ",").alias("box"))
+
+
+@query
+def logo_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = frames(spark, sf_dir).where("vec_id % 7 <> 3").select("vec_id", _detections(20, 2).alias("detections"))
+    marked = masks.logo_boxes(grid(spark, sf_dir), found, ["vec_id"], 8, 8, least=0.05)
+    return marked.groupBy("vec_id").agg(F.count_if("m").alias("n"), F.sum(F.when(F.col("m"), F.col("v")).otherwise(0)).alias("total"))
+
+
+@query
+def logo_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The logo stage: frames whose flag is not set, the masks of two prompts without those of failed frames, fill and flag."""
+    flag = F.when(F.col("vec_id") % 5 == 0, True).when(F.col("vec_id") % 5 == 1, False)
+    pixels = grid(spark, sf_dir).select("k", "i", "y", "x", "v", flag.alias("logo_removed"))
+    prompts = F.explode(F.array(F.struct(F.lit("logo").alias("prompt"), (F.col("v") > 240).alias("m")), F.struct(F.lit("text").alias("prompt"), (F.col("v") < 12).alias("m"))))
+    found = pixels.where("i % 7 <> 3").select("k", "i", "y", "x", prompts.alias("p")).select("k", "i", "y", "x", "p.*")
+    done = masks.remove_logos(pixels, found, ["k"])
+    return done.groupBy("k", "i").agg(F.sum(F.col("v") * (F.col("x") + 8 * F.col("y") + 1)).alias("weighted"), F.bool_and("logo_removed").alias("done"))
+
+
+@query
+def success_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") == 1).alias("ok")), "doc_id", "left")
+    return series.success_counts(rows, ["source"], "ok")
+
+
+@query
+def resize_more(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w, h = F.col("p_size") * 7 + 3, F.pmod(F.col("p_partkey"), F.lit(90)) + 11
+    rows = table(spark, sf_dir, "part").select(
+        "p_partkey", P.short_side_crop(w, h, 64).alias("s"), P.stretch_size(64, 48).alias("t"), P.uncontain(w, h, 64, 48).alias("u")
+    )
+    return rows.select(
+        "p_partkey", F.col("s.width").alias("short_w"), F.col("s.height").alias("short_h"), F.col("s.x").alias("crop_x"), F.col("s.y").alias("crop_y"), F.col("t.width").alias("stretch_w"),
+        F.col("u.x").alias("box_x"), F.col("u.y").alias("box_y"), F.col("u.width").alias("box_w"), F.round("u.scale_x", 6).alias("scale_x"),
+    )
+
+
+# More of the registry, tags and stages
+
+
+@query
+def playlist_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each source is a playlist of its documents, each language a channel of its own; one url is unknown."""
+    docs = table(spark, sf_dir, "documents")
+    urls = docs.select(F.explode(F.array("source", "lang")).alias("url")).distinct().unionByName(docs.limit(1).select(F.lit("nowhere").alias("url")))
+    catalog = docs.select(F.col("source").alias("url"), F.col("doc_id").alias("id")).unionByName(docs.select(F.col("lang").alias("url"), F.col("doc_id").alias("id")))
+    return registry.expand(urls.withColumn("is_playlist", F.lit(True)), catalog).select("url", "id")
+
+
+def _flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") == 1).alias("processed"), (F.col("toxic") == 1).alias("exclude_video"))
+    return table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars").join(labels, "doc_id", "left")
+
+
+@query
+def fetch_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"))
+    meta = _flags(spark, sf_dir).withColumn("canvas_detected", F.col("lang") == "en")
+    return registry.to_fetch(meta, stored, ["doc_id"]).select("doc_id", "canvas_detected")
+
+
+@query
+def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return registry.to_delete(_flags(spark, sf_dir), F.col("lang") == "en").select("doc_id", "source")
+
+
+@query
+def toggle_exclude(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changes = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), (F.col("conv_id") % 2 == 0).alias("exclude_video")).distinct()
+    return registry.set_excluded(_flags(spark, sf_dir), changes, ["doc_id"]).select("doc_id", "exclude_video")
+
+
+@query
+def processed_with_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shown = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("k"))
+    return registry.shown(_ranges(spark, sf_dir), shown, ["k"])
+
+
+@query
+def needs_logo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _flags(spark, sf_dir).withColumnRenamed("processed", "logo_removed")
+    return masks.needs_logo_removal(rows).groupBy("source").agg(F.count("*").alias("n"))
+
+
+@query
+def attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored attributes, decoded: the events' JSON and their types, which are none."""
+    return table(spark, sf_dir, "events").select("event_id", X.decoded_attribute(F.col("props")).alias("props"), X.decoded_attribute(F.col("event_type")).alias("kind"), X.decoded_attribute(F.concat(F.lit("["), "event_type")).alias("broken"))
+
+
+@query
+def file_stems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.when(F.col("doc_id") % 2 == 0, F.concat("source", F.lit(".mp4"))).otherwise(F.concat("source", F.lit(".mp4.log")))
+    return table(spark, sf_dir, "documents").select("doc_id", X.strip_suffix(name, ".mp4").alias("stem"))
+
+
+@query
+def select_tags_mcut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = tags.selected_tags(_scores(spark, sf_dir), ["vec_id"], mcut=True)
+    return found.select("vec_id", "rating", "caption", F.array_join("characters", "|").alias("characters"))
+
+
+@query
+def tag_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tagging stage: media to prompts, rows of this tagger left out, one caption a prompt."""
+    entry = lambda who, prompt, what: F.struct(prompt.alias("prompt"), F.lit(who).alias("image_tagger"), F.lit("t").alias("processor"), what.alias("tag"))
+    own = F.when(F.col("doc_id") % 3 == 0, F.array(entry("wd", F.lit("p"), F.lit("old")))).when(F.col("doc_id") % 3 == 1, F.array(entry("other", F.lit("p"), F.lit("old"))))
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.array("lang").alias("art_media"), F.array("source").alias("art_style"), own.alias("reference_frame_tags"))
+    done = tags.tag_references(rows, PROMPTS, "wd", entry("wd", F.col("prompt"), F.concat(F.lit("seen: "), F.col("prompt"))))
+    return done.select("doc_id", "prompt", F.array_join(F.transform("reference_frame_tags", lambda t: t["tag"]), "|").alias("captions"))
+
+
+@query
+def process_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main path: every unprocessed recording through its own list of stages."""
+    step = lambda name, config: F.struct(F.lit(name).alias("name"), F.lit(config).alias("config"))
+    rows = recordings(spark, sf_dir).select("k", "i", "v", "m")
+    chain = F.when(F.col("k") % 3 == 0, F.array(step("temporal_median", '{"window": 11}'))).when(F.col("k") % 3 == 1, F.array(step("clean", '{"fill": 7}'), step("temporal_median", None)))
+    items = rows.select("k").distinct().select("k", (F.col("k") % 4 == 0).alias("processed"), chain.otherwise(F.array(step("reference", ""))).alias("video_processor"))
+    return stages.process(items, rows, ["k"]).select("k", "i", "v")

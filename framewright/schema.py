@@ -19,53 +19,3 @@ ITEM = T.StructType(
         T.StructField("only_channel_vid", T.BooleanType()),
     ]
 )
-
-CATALOG = T.StructType([T.StructField(c, T.StringType()) for c in ("url", "id", "title", "license", "channel", "channel_id")])
-
-TAG = T.StructType([T.StructField(c, T.StringType()) for c in ("prompt", "image_tagger", "processor", "tag")])
-
-VIDEO_META = T.StructType(
-    [
-        T.StructField("source", T.StringType()),
-        T.StructField("video_id", T.StringType()),
-        T.StructField("start_frame_idx", T.IntegerType()),
-        T.StructField("end_frame_idx", T.IntegerType()),
-        T.StructField("exclude_video", T.BooleanType()),
-        T.StructField("processed", T.BooleanType()),
-        T.StructField("canvas_detected", T.BooleanType()),
-        T.StructField("canvas_coordinates", T.ArrayType(T.IntegerType())),
-        T.StructField("reference_frame_tags", T.ArrayType(TAG)),
-        T.StructField("extra", T.MapType(T.StringType(), T.StringType())),
-    ]
-)
-
-FRAMES = T.StructType(
-    [
-        T.StructField("source", T.StringType()),
-        T.StructField("video_id", T.StringType()),
-        T.StructField("frame_no", T.IntegerType()),
-        T.StructField("frame_index", T.IntegerType()),
-        T.StructField("frame_progress", T.DoubleType()),
-        T.StructField("processor", T.StringType()),
-        T.StructField("logo_removed", T.BooleanType()),
-        T.StructField("height", T.IntegerType()),
-        T.StructField("width", T.IntegerType()),
-        T.StructField("data", T.BinaryType()),
-    ]
-)
-
-REFERENCE_FRAMES = T.StructType(
-    [
-        T.StructField("source", T.StringType()),
-        T.StructField("video_id", T.StringType()),
-        T.StructField("ref_idx", T.IntegerType()),
-        T.StructField("data", T.BinaryType()),
-        T.StructField("meta", T.StringType()),
-    ]
-)
-
-DETECTION = T.ArrayType(
-    T.StructType([T.StructField("label", T.StringType()), T.StructField("score", T.FloatType()), T.StructField("box", T.ArrayType(T.FloatType()))])
-)
-INTERVAL = T.StructType([T.StructField("start_idx", T.IntegerType()), T.StructField("end_idx", T.IntegerType()), T.StructField("desc", T.StringType())])
-SPLIT = T.StructType([T.StructField(c, T.StringType()) for c in ("source", "video_id", "split")])

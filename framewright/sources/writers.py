@@ -8,17 +8,34 @@ from pyspark.sql import DataFrame
 
 
 def save_registry(df: DataFrame, path: str) -> None:
-    """Replace a registry by way of a staged copy, so a failed write leaves the old one whole."""
+    """Replace a registry by way of a staged copy.
+
+    A failed write leaves the old one in place and nothing else. The old one is moved aside before the
+    new one takes its name and is deleted last, so at every moment one of them is whole.
+    """
     spark = df.sparkSession
-    staged = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
-    df.write.parquet(staged)
+    mark = uuid.uuid4().hex
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    new, old = jvm.org.apache.hadoop.fs.Path(staged), jvm.org.apache.hadoop.fs.Path(path)
+    new, old, aside = (jvm.org.apache.hadoop.fs.Path(p) for p in (f"{path.rstrip('/')}.{mark}.new", path, f"{path.rstrip('/')}.{mark}.old"))
     fs = old.getFileSystem(conf)
-    if fs.exists(old):
-        fs.delete(old, True)
+    try:
+        df.write.parquet(new.toString())
+    except Exception:
+        fs.delete(new, True)
+        raise
+    had = fs.exists(old)
+    if had and not fs.rename(old, aside):
+        raise OSError(f"cannot move {path} aside")
     if not fs.rename(new, old):
-        raise OSError(f"cannot move {staged} to {path}")
+        if had:
+            fs.rename(aside, old)
+        raise OSError(f"cannot move {new.toString()} to {path}")
+    fs.delete(aside, True)
+
+
+def write_items(df: DataFrame, path: str) -> None:
+    """Rows as JSON lines, missing values left out."""
+    df.write.json(path)
 
 
 def write_frames(df: DataFrame, path: str) -> None:

@@ -24,3 +24,89 @@ def test_register_export_and_rerun(spark, tmp_path):
     folds = spark.read.parquet(out + "-folds")
     assert folds.count() == 2 * 10
     assert folds.where("part = 'test'").select("video_id").distinct().count() == 5
+
+
+def lines_of(path, ids, source="youtube"):
+    path.write_text("".join(json.dumps({"source": source, "url": u, "video_processor": [], "channel_ids": []}) + "\n" for u in ids))
+
+
+def test_the_first_line_of_the_first_file_wins(spark, tmp_path, caplog):
+    lines_of(tmp_path / "z.jsonl", ["u9", "u1"])
+    lines_of(tmp_path / "a.jsonl", ["u0"])
+    known = spark.createDataFrame([(u, "same", u, "l", "c", "k") for u in ("u0", "u1", "u9")], CATALOG)
+    got = catalog.register_files(spark, str(tmp_path / "base"), [str(tmp_path / f) for f in ("missing.jsonl", "z.jsonl", "a.jsonl")], known)
+    assert [r["title"] for r in got.collect()] == ["u9"]
+    assert "missing.jsonl does not exist" in caplog.text
+
+
+def test_a_failed_save_leaves_the_old_registry(spark, tmp_path):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from framewright.sources import writers
+
+    path = str(tmp_path / "r")
+    writers.save_registry(spark.range(3), path)
+    with pytest.raises(Exception):  # noqa: B017, PT011
+        writers.save_registry(spark.range(3).select(F.raise_error(F.lit("no")).alias("id")), path)
+    assert spark.read.parquet(path).count() == 3
+    assert [p.name for p in tmp_path.iterdir()] == ["r"]
+    writers.save_registry(spark.range(5), path)
+    assert spark.read.parquet(path).count() == 5
+    assert [p.name for p in tmp_path.iterdir()] == ["r"]
+
+
+def test_jobs_from_the_command_line(spark, tmp_path):
+    base = str(tmp_path / "base")
+    lines_of(tmp_path / "a.jsonl", ["u0", "u1"])
+    rows = [(f"u{i}", f"v{i}", "t", "l", "c", "k") for i in range(2)]
+    spark.createDataFrame(rows, CATALOG).write.parquet(str(tmp_path / "known"))
+    catalog.main(["register", "--base", base, "--files", str(tmp_path / "a.jsonl"), "--catalog", str(tmp_path / "known")])
+    frames = [("youtube", f"v{i}", n, 10 * n, n == 1) for i in range(2) for n in range(3)]
+    spark.createDataFrame(frames, "source string, video_id string, i long, v long, m boolean").write.parquet(f"{base}/frames")
+    catalog.main(["process", "--base", base, "--override", "clean", "{}"])
+    got = spark.read.parquet(f"{base}/processed")
+    assert sorted(r["v"] for r in got.where("k = 'youtube:v0'").collect()) == [0, 0, 20]
+    catalog.main(["process", "--base", base])
+    assert spark.read.parquet(f"{base}/processed").count() == 6
+    catalog.main(["process", "--base", base, "--only", "youtube", "v1"])
+    assert spark.read.parquet(f"{base}/processed").count() == 9  # without stages the frames pass as they are
+
+
+def test_unknown_stages_are_refused(spark):
+    import pytest
+
+    from framewright.plans import stages
+
+    items = spark.createDataFrame([(1, [("nothing", "{}")], False)], "k long, video_processor array<struct<name:string,config:string>>, processed boolean")
+    with pytest.raises(ValueError, match="unknown stage"):
+        stages.process(items, spark.createDataFrame([], "k long, i long, v long, m boolean"), ["k"])
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    import pytest
+
+    from framewright.sources.scratch import scratch_dir
+
+    class Away:
+        master = "spark://host:7077"
+
+        class _jsc:
+            class sc:
+                class getCheckpointDir:
+                    @staticmethod
+                    def isDefined():
+                        return False
+
+    class Session:
+        sparkContext = Away
+
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return None
+
+    Away._jsc.sc = staticmethod(lambda: type("S", (), {"getCheckpointDir": staticmethod(lambda: Away._jsc_checkpoint)}))
+    Away._jsc_checkpoint = type("O", (), {"isDefined": staticmethod(lambda: False)})
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Session)

@@ -85,3 +85,32 @@ def test_best_aspect_first_of_equals(spark):
     df = spark.createDataFrame([(100, 100)], "width int, height int")
     assert tuple(tags.best_aspect(df, [(512, 512), (256, 256)]).first()["best_size"]) == (512, 512)
     assert tags.best_aspect(df, []).first()["best_size"] is None
+
+
+def test_erosion_and_dilation_repeat(spark):
+    a = np.zeros((1, 9, 9), bool)
+    a[0, 4, 4] = True
+    assert masks.morphology(grid_of(spark, a), ["f"], 3, "dilate", times=3).where("m").count() == 49
+    assert masks.opened(grid_of(spark, a), ["f"], 3).where("m").count() == 0
+
+
+def test_lab_of_plain_colours(spark):
+    df = spark.createDataFrame([([0, 0, 0],), ([255, 255, 255],), ([0, 0, 255],), ([255, 0, 0],), ([128, 128, 128],)], "p array<long>")
+    got = [tuple(r[0]) for r in df.select(P.bgr_to_lab(F.col("p"))).collect()]
+    assert got == [(0, 128, 128), (255, 128, 128), (136, 208, 195), (82, 207, 20), (137, 128, 128)]
+
+
+def test_sizes_must_be_positive(spark):
+    assert spark.range(1).select(P.uncontain(F.lit(100), F.lit(50), 64, 48).alias("u")).first()["u"]["y"] == 8
+    with pytest.raises(Exception, match="sizes must be positive"):
+        spark.range(1).select(P.uncontain(F.col("id"), F.lit(5), 64, 48).alias("u")).collect()
+
+
+def test_failed_frames_do_not_shift_masks(spark):
+    """Frame 1 has no masks: frame 2 keeps its own, and the flag spares frame 3."""
+    pixels = [(1, i, 0, x, 10 * i + x, i == 3) for i in range(4) for x in range(2)]
+    found = [(1, i, 0, x, "p", i == 2 and x == 0) for i in (0, 2) for x in range(2)]
+    df = spark.createDataFrame(pixels, "k int, i int, y int, x int, v int, logo_removed boolean")
+    done = masks.remove_logos(df, spark.createDataFrame(found, "k int, i int, y int, x int, prompt string, m boolean"), ["k"])
+    got = {(r["i"], r["x"]): (r["v"], r["logo_removed"]) for r in done.collect()}
+    assert got == {(i, x): (10 if (i, x) == (2, 0) else 10 * i + x, True) for i in range(4) for x in range(2)}

@@ -5,6 +5,7 @@ import os
 import duckdb
 import pytest
 
+from framewright import file_queries  # noqa: F401 - registers its queries
 from framewright.oracle import SQL
 from framewright.queries import QUERIES
 

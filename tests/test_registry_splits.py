@@ -90,3 +90,14 @@ def test_pager_stays_within_its_ends(spark):
     df = spark.createDataFrame([("v", i) for i in range(3)], "v string, ref_idx int")
     got = registry.neighbours(df, ["v"]).orderBy("ref_idx").collect()
     assert [(r["previous"], r["next"]) for r in got] == [(0, 1), (0, 2), (1, 2)]
+
+
+def test_removing_a_missing_reference_fails(spark):
+    import pytest
+
+    from framewright.operators import registry
+
+    df = spark.createDataFrame([(1, 0), (1, 1), (1, 2)], "k int, ref_idx int")
+    assert sorted(r["ref_idx"] for r in registry.remove_reference_at(df, ["k"], 1).collect()) == [0, 1]
+    with pytest.raises(IndexError):
+        registry.remove_reference_at(df, ["k"], 3)

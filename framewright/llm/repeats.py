@@ -19,7 +19,9 @@ members share a maximal repeat. Strings of ``LENGTH`` bytes inside it are marked
 A group of more than ``BOUND`` surroundings is split by its next bytes: the strings over an anchor start
 0 to 150 bytes before it; those of the nearer half share the bytes right of the anchor that all of them
 reach, those of the farther half the bytes left of it, so each half is grouped by its shared bytes, and
-so on down to single strings. No group above the bound is ever gathered, and none is left out.
+so on down to single strings. Members that agree in all that a half's strings cover are settled there,
+and one of them goes on for the others, so that a common passage leaves only the half its edge lies in.
+No group above the bound is ever gathered, and none is left out.
 
 Texts are bytes of UTF-8; matches never cross documents. Equal texts are worked on once, removed wholly
 if they have ``LENGTH`` bytes or more, and their digest is handed to all their rows. Null and empty texts
@@ -392,12 +394,15 @@ def _split(large: DataFrame) -> DataFrame:
     part = large.select("key", F.explode(halves).alias("h"), *rest).select("key", F.col("h.a").alias("a"), F.col("h.b").alias("b"), *rest)
     # A member too near its text's edge has no string in the range.
     part = part.where((F.octet_length("left") >= F.col("a")) & (F.octet_length("right") >= LENGTH - F.col("b")))
-    shared = F.concat(F.col("left").substr(F.lit(1), F.col("a")), F.col("right").substr(F.lit(1), LENGTH - F.col("b")))
-    return part.withColumn("key", F.concat(F.substring("key", 1, 8), F.unhex(F.md5(shared)), F.encode(F.concat_ws(":", "a", "b"), "utf-8")))
+    bytes_of = lambda before, after: F.unhex(F.md5(F.concat(F.col("left").substr(F.lit(1), before), F.col("right").substr(F.lit(1), after))))
+    key = F.concat(F.substring("key", 1, 8), bytes_of(F.col("a"), LENGTH - F.col("b")), F.encode(F.concat_ws(":", "a", "b"), "utf-8"))
+    # Sides end where a text does, so their lengths belong to what is covered.
+    sides = F.encode(F.concat_ws(":", F.least(F.octet_length("left"), F.col("b")), F.least(F.octet_length("right"), LENGTH - F.col("a"))), "utf-8")
+    return part.withColumn("key", key).withColumn("hull", F.concat("key", bytes_of(F.col("b"), LENGTH - F.col("a")), sides))
 
 
 def repeat_members(docs: DataFrame, marks: DataFrame, bound: int) -> tuple[DataFrame, DataFrame]:
-    """(members of groups of ``bound`` at most, members of single strings that repeat more often); ``docs`` has (node, b)."""
+    """(members of groups of ``bound`` at most, members that agree in all the strings from a to b, by hull); ``docs`` has (node, b)."""
     asked = marks.where("key is not null").select("node", F.col("start").alias("pos"), "key").distinct()
     counts = materialize(asked.groupBy("key").agg(F.count("*").alias("n")), "repeat-counts")
     asked = spread_join(asked, counts, "key", asked.count()).where("n > 1")
@@ -405,17 +410,20 @@ def repeat_members(docs: DataFrame, marks: DataFrame, bound: int) -> tuple[DataF
     # Copies go before the exchange: each task sends a text once.
     texts = docs.select("node", "b").dropDuplicates(["node"])
     sent = materialize(texts.join(per_text, "node").select("node", "asks", "b").mapInArrow(_surroundings, _MEMBER), "repeat-members")
-    small, single = sent.where(F.col("n") <= bound), None
+    small, alike = sent.where(F.col("n") <= bound), sent.where("false").withColumn("hull", F.col("key"))
     large = sent.where(F.col("n") > bound)
     while n := large.count():
-        halves = _split(large)
-        sized = halves.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-        found = materialize(spread_join(halves, materialize(sized, "repeat-counts"), "key", 2 * n, "inner").select(*sent.columns), "repeat-halves")
-        small = small.unionByName(found.where((F.col("n") <= bound) & (F.col("a") < F.col("b"))))
-        ends = found.where(F.col("a") == F.col("b"))
-        single = ends if single is None else single.unionByName(ends)
-        large = found.where((F.col("n") > bound) & (F.col("a") < F.col("b")))
-    return small, sent.where("false") if single is None else single
+        halves = materialize(_split(large), "repeat-halves")
+        one = F.min(F.struct("node", "pos", "left", "right")).alias("m")
+        hulls = materialize(halves.groupBy("hull", "key", "a", "b").agg(one, F.count("*").alias("same")), "repeat-hulls")
+        settled = spread_join(halves, hulls.where("same > 1").select("hull"), "hull", 2 * n, "inner")
+        alike = alike.unionByName(settled.withColumn("n", F.lit(0).cast("long")).select("hull", *sent.columns))
+        sized = materialize(hulls.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "repeat-counts")
+        found = spread_join(hulls.select("key", "a", "b", "m.*"), sized, "key", 2 * n, "inner").select(*sent.columns)
+        found = materialize(found, "repeat-parts")
+        small = small.unionByName(found.where(F.col("n") <= bound))
+        large = found.where(F.col("n") > bound)
+    return small, alike
 
 
 def _together(small: DataFrame, width: int) -> DataFrame:
@@ -439,12 +447,14 @@ def repeated_spans(docs: DataFrame, bound: int = BOUND) -> DataFrame:
     """(node, start, end): spans of repeated bytes of each different text; ``docs`` has (node, b binary)."""
     spark = docs.sparkSession
     marks = _found(docs)
-    small, single = repeat_members(docs, marks, bound)
+    small, alike = repeat_members(docs, marks, bound)
     matched = materialize(_together(small, parts(spark)).mapInArrow(_compare, _MARKS), "repeat-matches")
     release(spark)
-    start = (F.col("pos") - F.col("a")).alias("start")
-    alike = single.select("node", start, (start + LENGTH).alias("end"))
-    return marks.where("key is null").unionByName(matched).select("node", "start", "end").unionByName(alike)
+    # All strings that start b to a bytes before the anchor and are not cut off by the text's own ends.
+    start = F.col("pos") - F.least(F.col("b"), F.octet_length("left"))
+    end = F.col("pos") + F.least(LENGTH - F.col("a"), F.octet_length("right"))
+    settled = alike.select("node", start.alias("start"), end.alias("end"))
+    return marks.where("key is null").unionByName(matched).select("node", "start", "end").unionByName(settled)
 
 
 def repeat_groups(df: DataFrame, text_col: str = "text", bound: int = BOUND) -> DataFrame:
@@ -453,9 +463,11 @@ def repeat_groups(df: DataFrame, text_col: str = "text", bound: int = BOUND) ->
     bytes before its anchor and 200 from it on, so a longer one is listed at each of its anchors."""
     b = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
     docs = df.select(F.xxhash64(b).alias("node"), b.alias("b"))
-    small, single = repeat_members(docs, _found(docs), bound)
+    small, alike = repeat_members(docs, _found(docs), bound)
     listed = _together(small, parts(df.sparkSession)).mapInArrow(_list_groups, _GROUPS)
-    return listed.unionByName(single.select("key", F.lit(0).alias("member"), F.lit(LENGTH).alias("length"), "node", (F.col("pos") - F.col("a")).alias("start")))
+    before, after = F.least(F.col("b"), F.octet_length("left")), F.least(LENGTH - F.col("a"), F.octet_length("right"))
+    settled = alike.select("hull", F.lit(0).alias("member"), (before + after).cast("int").alias("length"), "node", (F.col("pos") - before).cast("int").alias("start"))
+    return listed.unionByName(settled.withColumnRenamed("hull", "key"))
 
 
 def report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = BOUND) -> DataFrame:

@@ -5,9 +5,10 @@ words; a target stops at twice its source's words and the excess is shared anew
 
 Documents of a source are permuted by a keyed hash; runs of hash values are its blocks. A source's
 block quota is what meets its target: whole passes over all its blocks, then the first blocks of the
-permutation. Of the last block only documents that still fit are drawn, the largest first, so a source
-ends within less than one of that block's documents of its target. Documents are always drawn whole,
-and none more than twice.
+permutation. What then is missing, less than a block, comes from the documents of the blocks that follow,
+about ``BLOCK_DOCS`` of them: those that still fit are drawn, the largest first, and at last the smallest
+that does not fit where this comes nearer. So a source misses its target by half of that document at
+most. Documents are always drawn whole, and none more than twice.
 
 The quotas go to output shards by a splitting tree: each node halves its shards and draws, from the
 multivariate hypergeometric distribution, how many of the blocks of each source go left. Its leaves
@@ -139,17 +140,19 @@ def plan(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text
     """(sized documents, one decision row a source)."""
     key = permutation_key(F.col(id_col), F.col(source_col), F.col(text_col), seed)
     picked = df.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"), key.alias("key"))
-    sized = materialize(picked, "mix-sizes", keep=True)
+    sized = materialize(picked, "mix-sizes")
     with tidy(df.sparkSession):
         filled = water_fill(materialize(ranked_sources(sized), "mix-ranked"))
         n_blocks = F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.least("docs", F.lit(MIN_BLOCKS))).cast("long")
         passes = F.when(F.col("words") > 0, F.floor(F.col("target") / F.col("words"))).otherwise(0).cast("int")
-        sources = filled.select("source", "place", "words", "target", n_blocks.alias("n_blocks"), passes.alias("passes"))
+        sources = filled.select("source", "place", "words", "docs", "target", n_blocks.alias("n_blocks"), passes.alias("passes"))
         sources = materialize(sources.withColumn("rest", F.col("target") - F.col("passes") * F.col("words")), "mix-targets")
 
         # Words before each block, by runs of blocks and then within a run: no window holds a whole source.
-        own = sources.select(F.col("source").alias("o"), "n_blocks", "rest")
-        placed = sized.join(own, _same(sized["source"], F.col("o"))).select("source", "size", "key", "rest", _block(F.col("key"), F.col("n_blocks")).alias("block"))
+        # About BLOCK_DOCS documents lie in so many blocks.
+        zone = F.ceil(F.lit(float(BLOCK_DOCS)) * F.col("n_blocks") / F.col("docs")).alias("zone")
+        own = sources.select(F.col("source").alias("o"), "n_blocks", "rest", zone)
+        placed = sized.join(own, _same(sized["source"], F.col("o"))).select("source", "size", "key", "rest", "zone", _block(F.col("key"), F.col("n_blocks")).alias("block"))
         per_block = placed.groupBy("source", "block", "rest").agg(F.sum("size").alias("w")).withColumn("run", F.floor(F.col("block") / RUN_BLOCKS))
         per_block = materialize(per_block, "mix-blocks")
         before = lambda *by: Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
@@ -161,18 +164,24 @@ def plan(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text
         missing = F.floor(F.col("rest") - F.col("ahead") + 0.5).cast("long")
         edge = materialize(edge.select(F.col("source").alias("s"), F.col("block").alias("b"), missing.alias("missing")), "mix-edges")
 
-        # Of the last block, the documents that still fit; equal rows are one entry, so a block has a bounded number of them.
-        at_edge = placed.where("size > 0").join(edge, _same(F.col("source"), F.col("s")) & (F.col("block") == F.col("b")))
+        # Of the blocks from the edge on, the documents that still fit; equal rows are one entry, which bounds their number.
+        beyond = (F.col("block") >= F.col("b")) & (F.col("block") < F.col("b") + F.col("zone"))
+        at_edge = placed.where("size > 0").join(edge, _same(F.col("source"), F.col("s"))).where(beyond)
         entries = at_edge.groupBy("source", "missing", "key").agg(F.sum("size").alias("words"))
         listed = entries.groupBy("source", "missing").agg(F.array_sort(F.collect_list(F.struct((-F.col("words")).alias("less"), "key"))).alias("entries"))
-        start = F.struct(F.col("missing").alias("left"), F.array().cast("array<bigint>").alias("keys"))
-        fits = lambda acc, x: acc["left"] >= -x["less"]
-        took = lambda acc, x: F.struct((acc["left"] + x["less"]).alias("left"), F.concat(acc["keys"], F.array(x["key"])).alias("keys"))
-        chosen = listed.select(F.col("source").alias("c"), F.aggregate("entries", start, lambda acc, x: F.when(fits(acc, x), took(acc, x)).otherwise(acc), lambda acc: acc["keys"]).alias("keys"))
+        none = F.lit(None).cast("bigint")
+        state = lambda left, keys, less, key: F.struct(left.alias("left"), keys.alias("keys"), less.alias("less"), key.alias("key"))
+        took = lambda acc, x: state(acc["left"] + x["less"], F.concat(acc["keys"], F.array(x["key"])), acc["less"], acc["key"])
+        passed = lambda acc, x: state(acc["left"], acc["keys"], x["less"], x["key"])
+        step = lambda acc, x: F.when(acc["left"] >= -x["less"], took(acc, x)).otherwise(passed(acc, x))
+        nearer = lambda acc: F.when(-acc["less"] < 2 * acc["left"], F.concat(acc["keys"], F.array(acc["key"]))).otherwise(acc["keys"])
+        start = state(F.col("missing"), F.array().cast("array<bigint>"), none, none)
+        chosen = listed.select(F.col("source").alias("c"), F.aggregate("entries", start, step, nearer).alias("keys"))
         both = sources.join(edge, _same(F.col("source"), F.col("s")), "left").join(chosen, _same(F.col("source"), F.col("c")), "left")
         # A source without words has no edge and no partial pass.
         edge_block, keys = F.coalesce("b", F.lit(0)), F.coalesce("keys", F.array().cast("array<bigint>"))
-        units = F.col("passes") * F.col("n_blocks") + edge_block + (F.size(keys) > 0).cast("long")
+        last = F.array_max(F.transform(keys, lambda k: _block(k, F.col("n_blocks")))) + 1
+        units = F.col("passes") * F.col("n_blocks") + F.coalesce(last, edge_block)
         full = materialize(both.select("source", "place", "words", "target", "n_blocks", "passes", edge_block.alias("edge_block"), keys.alias("edge_keys"), units.alias("n")), "mix-units")
         dealt = deal(full.select("source", "place", "n"), shards, seed).withColumnRenamed("source", "d")
         decided = full.join(dealt, _same(F.col("source"), F.col("d"))).select("source", "words", "target", "n_blocks", "passes", "edge_block", "edge_keys", "dealt")
@@ -182,8 +191,8 @@ def plan(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text
 def draws_column() -> Column:
     """array<struct<pass, block, shard>> of a document's draws, from its key and its source's decision row."""
     block = _block(F.col("key"), F.col("n_blocks"))
-    # The partial pass takes the blocks before the last one, and of that the documents chosen.
-    partly = (block < F.col("edge_block")) | ((block == F.col("edge_block")) & F.array_contains("edge_keys", F.col("key")))
+    # The partial pass takes the blocks before the edge, and from there on the documents chosen.
+    partly = (block < F.col("edge_block")) | F.array_contains("edge_keys", F.col("key"))
     count = F.col("passes") + partly.cast("int")
     passes = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
     place = lambda p: p * F.col("n_blocks") + block

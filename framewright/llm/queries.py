@@ -118,9 +118,9 @@ WITH RECURSIVE d AS (
     w * (total - 2.0 * coalesce(sum(words) FILTER (capped) OVER (), 0)) / sum(w) FILTER (NOT capped) OVER () END AS target FROM c
 ), q AS (
   SELECT t.source, words, target, CASE WHEN words > 0 THEN CAST(floor(target / words) AS BIGINT) ELSE 0 END AS passes,
-    greatest((docs + 255) // 256, least(docs, 64)) AS n_blocks FROM t JOIN (SELECT source, count(*) AS docs FROM d GROUP BY source) n ON t.source IS NOT DISTINCT FROM n.source
+    greatest((docs + 255) // 256, least(docs, 64)) AS n_blocks, docs FROM t JOIN (SELECT source, count(*) AS docs FROM d GROUP BY source) n ON t.source IS NOT DISTINCT FROM n.source
 ), k AS (
-  SELECT d.*, q.words, q.target, q.passes, q.target - q.passes * q.words AS rest, ((key >> 29) * n_blocks) >> 31 AS block
+  SELECT d.*, q.words, q.target, q.passes, q.target - q.passes * q.words AS rest, ((key >> 29) * n_blocks) >> 31 AS block, CAST(ceil(CAST(256 AS DOUBLE) * n_blocks / docs) AS BIGINT) AS zone
   FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source
 ), b AS (
   SELECT source, block, rest, w, sum(w) OVER (PARTITION BY source ORDER BY block) - w AS ahead FROM (SELECT source, block, rest, sum(size) AS w FROM k GROUP BY source, block, rest)
@@ -128,15 +128,20 @@ WITH RECURSIVE d AS (
   SELECT source, block, CAST(floor(rest - ahead + 0.5) AS BIGINT) AS missing FROM b WHERE ahead <= rest AND ahead + w > rest
 ), x AS (
   SELECT source, key, words, row_number() OVER (PARTITION BY source ORDER BY words DESC, key) AS n FROM (
-    SELECT k.source, k.key, sum(k.size) AS words FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source AND k.block = e.block WHERE k.size > 0 GROUP BY k.source, k.key)
+    SELECT k.source, k.key, sum(k.size) AS words FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source AND k.block >= e.block AND k.block < e.block + k.zone WHERE k.size > 0 GROUP BY k.source, k.key)
 ), g AS (
-  SELECT source, CAST(0 AS BIGINT) AS n, missing AS room, CAST(NULL AS BIGINT) AS key FROM e
+  SELECT source, CAST(0 AS BIGINT) AS n, missing AS room, CAST(NULL AS BIGINT) AS key, CAST(NULL AS BIGINT) AS over, CAST(NULL AS BIGINT) AS over_key FROM e
   UNION ALL
-  SELECT g.source, x.n, CASE WHEN x.words <= room THEN CAST(room - x.words AS BIGINT) ELSE room END, CASE WHEN x.words <= room THEN x.key END
+  SELECT g.source, x.n, CASE WHEN x.words <= room THEN CAST(room - x.words AS BIGINT) ELSE room END, CASE WHEN x.words <= room THEN x.key END,
+    CASE WHEN x.words <= room THEN over ELSE CAST(x.words AS BIGINT) END, CASE WHEN x.words <= room THEN over_key ELSE x.key END
   FROM g JOIN x ON g.source IS NOT DISTINCT FROM x.source AND x.n = g.n + 1
+), y AS (
+  SELECT key FROM g WHERE key IS NOT NULL
+  UNION ALL
+  SELECT over_key FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC) AS back FROM g) WHERE back = 1 AND over < 2 * room
 )
 SELECT k.doc_id, k.size, k.words AS source_size, k.target,
-  CAST(k.passes * k.size + CASE WHEN k.block < e.block OR k.key IN (SELECT key FROM g WHERE key IS NOT NULL) THEN k.size ELSE 0 END AS BIGINT) AS taken
+  CAST(k.passes * k.size + CASE WHEN k.block < e.block OR k.key IN (SELECT key FROM y) THEN k.size ELSE 0 END AS BIGINT) AS taken
 FROM k LEFT JOIN e ON k.source IS NOT DISTINCT FROM e.source
 """
 

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import gc
-import tempfile
-import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -13,33 +11,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def scratch_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, from ``spark.checkpoint.dir``.
-
-    Where it is unset, a local session takes a temporary folder; on a cluster that is an error, as
-    executors on other machines could not see such a folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        base = current.get() if current.isDefined() else None
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = tempfile.mkdtemp(prefix="framewright-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base
-
+from framewright.sources.scratch import scratch_path
 
 #: Tables written inside ``tidy``, innermost scope last.
 _scopes: list[list[str]] = []
 
 
-def write_table(df: DataFrame, label: str) -> str:
+def write_table(df: DataFrame, label: str, **options: str) -> str:
     """Write ``df`` as a Parquet table in the shared folder; its path."""
-    path = f"{scratch_dir(df.sparkSession).rstrip('/')}/framewright/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    path = scratch_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").options(**options).parquet(path)
     return path
 
 
@@ -49,15 +30,21 @@ def drop_table(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def materialize(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+def in_scope(path: str, keep: bool = False) -> None:
+    """Let a table go at the end of the scope it was written in, or of the one around it."""
+    scope = len(_scopes) - 1 - keep
+    if scope >= 0:
+        _scopes[scope].append(path)
+
+
+def materialize(df: DataFrame, label: str, keep: bool = False, **options: str) -> DataFrame:
     """Write ``df`` once as a Parquet table in the shared folder and read it back.
 
     This cuts the lineage in a way that survives the loss of any executor. Inside ``tidy`` the table
-    goes at the end of the scope, unless it is to be kept.
+    goes at the end of the scope, or with ``keep`` at the end of the one around it. ``options`` go to the Parquet writer.
     """
-    path = write_table(df, label)
-    if _scopes and not keep:
-        _scopes[-1].append(path)
+    path = write_table(df, label, **options)
+    in_scope(path, keep)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewright.llm.common import drop_table, spread_join, write_table
+from framewright.llm.common import drop_table, in_scope, spread_join, write_table
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -33,5 +33,6 @@ edges of a node with very many of them are dealt over the tasks.
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small_low.select("u", F.col("m").alias("v")))
         last, path = path, write_table(small.where("u <> v").distinct(), "edges")
         drop_table(spark, last)
+    in_scope(path)
     own = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(own)

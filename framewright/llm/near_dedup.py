@@ -309,7 +309,7 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound
     """(doc_id, node, blank, class_node) of every row; class_node is null for blank texts."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     keyed = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), node_of(text).alias("node"), is_blank(text).alias("blank"), text.alias("text"))
-    signed = materialize(keyed.mapInArrow(_signatures, "doc_id long, node binary, blank boolean, sig binary, bands array<bigint>"), "near-signatures", keep=True)
+    signed = materialize(keyed.mapInArrow(_signatures, "doc_id long, node binary, blank boolean, sig binary, bands array<bigint>"), "near-signatures")
     with tidy(df.sparkSession):
         # One row a text: copies go before anything is dealt by band or group.
         nodes = materialize(signed.where("not blank").groupBy("node").agg(F.first("sig").alias("sig"), F.first("bands").alias("bands")), "near-nodes")

@@ -59,7 +59,9 @@ def op7_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
     from framewright.llm.common import materialize
     from framewright.llm.flac import features, to_media
 
-    return features(materialize(to_media(_table(spark, sf_dir, "documents")), "flac-media"))
+    # Large pages and a higher level let the writer see copies of a stream.
+    stored = {"parquet.compression.codec.zstd.level": "9", "parquet.page.size": str(8 << 20)}
+    return features(materialize(to_media(_table(spark, sf_dir, "documents")), "flac-media", **stored))
 
 
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,6 +60,22 @@ def _byte_chars() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Known(dict):
+    """Ids of parts of texts: what is not known is made, and kept unless it is long."""
+
+    def __init__(self, make: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, part: str) -> bytes:
+        raw = self.make(part)
+        if len(part) <= CACHED_CHARS:
+            if len(self) >= CACHE_ENTRIES:
+                self.clear()
+            self[part] = raw
+        return raw
+
+
 class Encoder:
     """Encodes and decodes with one tokenizer file of the `tokenizers` library."""
 
@@ -100,8 +116,8 @@ class Encoder:
         # One branch for each first letter: the class of seconds that never follow it inside a token.
         by_first = {p[:1]: b"".join(q[1:] for q in pairs if q[:1] == p[:1]) for p in pairs}
         self.plain_cut = re.compile(b"|".join(a + b"[" + rest + b"]" for a, rest in by_first.items()) or b"(?!)")
-        self._chunks: dict[str, bytes] = {}
-        self._pieces: dict[str, bytes] = {}
+        self._chunks = Known(self._chunk)
+        self._pieces = Known(lambda piece: self._piece(piece.encode()))
 
     def fragments(self, piece: bytes) -> list[bytes]:
         """The piece cut wherever no token can reach across."""
@@ -128,41 +144,21 @@ class Encoder:
         else:
             mapped = self.lib.pre_tokenizer.pre_tokenize_str(self.lib.normalizer.normalize_str(chunk))
             pieces = [bytes(map(self.to_byte.__getitem__, p)).decode() for p, _ in mapped]
-        return self._joined(pieces, self._pieces, lambda piece: self._piece(piece.encode()))
+        return b"".join(map(self._pieces.__getitem__, pieces))
 
     def forget(self) -> None:
         """Give back the memory of what was met; the worker may go on to other work."""
         self._chunks.clear()
         self._pieces.clear()
 
-    @staticmethod
-    def _joined(parts: list[str], known: dict[str, bytes], make: Callable[[str], bytes]) -> bytes:
-        """Ids of parts end to end, from those known or else made; long parts are not kept."""
-        try:
-            return b"".join(map(known.__getitem__, parts))
-        except KeyError:
-            pass
-        if len(known) >= CACHE_ENTRIES:
-            known.clear()
-        long = []
-        for part in [p for p in parts if p not in known]:
-            if part not in known:
-                known[part] = make(part)
-                if len(part) > CACHED_CHARS:
-                    long.append(part)
-        raw = b"".join(map(known.__getitem__, parts))
-        for part in long:
-            del known[part]
-        return raw
-
     def _plain(self, text: str) -> bytes:
         if _PROSE.fullmatch(text) and not any(run in text for run in ("..", ",,", ".,", ",.")):
             # Letters, single points and single commas: the pieces are plain to see.
             pieces = text.lower().replace(".", " . ").replace(",", " , ").split()
-            return self._joined(pieces, self._pieces, lambda piece: self._piece(piece.encode()))
+            return b"".join(map(self._pieces.__getitem__, pieces))
         odd = any(c in text for c in _NOT_SPACE)
         chunks = [c for c in _SPACES.split(text) if c] if odd else text.split()
-        return self._joined(chunks, self._chunks, self._chunk)
+        return b"".join(map(self._chunks.__getitem__, chunks))
 
     def encode(self, text: str) -> np.ndarray:
         if "<|" in text and self.special:

@@ -44,7 +44,7 @@ ROWS = 5
 BANDS = 30
 SIZE = ROWS * BANDS
 LOOSE = 0.67
-BOUND = 4096
+BOUND = 512
 _CACHE = 200_000
 #: What str.split() splits at, and so what the words of Shingler never hold. None is beyond the first 65,536 characters.
 _SPACES = "".join(c for c in map(chr, range(0x10000)) if c.isspace())

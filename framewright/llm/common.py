@@ -70,15 +70,17 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def spread_join(rows: DataFrame, table: DataFrame, key: str, n_rows: int, how: str = "left") -> DataFrame:
+def spread_join(rows: DataFrame, table: DataFrame, key: str, n_rows: int, how: str = "left", hot: DataFrame | None = None) -> DataFrame:
     """``rows`` joined with ``table`` (one row a key) on ``key``, no key's rows going to one task alone.
 
     Keys that hold more than one in ``parts`` of all ``n_rows`` rows are dealt over all tasks, their
     row of ``table`` being copied to each; of such keys there are fewer than ``parts``, which bounds the
-    broadcast. Rows without a key, which meet nothing, are dealt as well.
+    broadcast. Rows without a key, which meet nothing, are dealt as well. ``hot`` (__hot) gives those keys
+    where the caller has counted them.
     """
     width = parts(rows.sparkSession)
-    hot = rows.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") > n_rows / width).select(F.col(key).alias("__hot"))
+    if hot is None:
+        hot = rows.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") > n_rows / width).select(F.col(key).alias("__hot"))
     salt = F.when(F.col("__hot").isNotNull() | F.col(key).isNull(), (F.monotonically_increasing_id() % width).cast("int")).otherwise(0)
     left = rows.join(F.broadcast(hot), F.col(key) == F.col("__hot"), "left").withColumn("__salt", salt).drop("__hot")
     salts = F.when(F.col("__hot").isNotNull(), F.sequence(F.lit(0), F.lit(width - 1))).otherwise(F.array(F.lit(0)))

@@ -85,8 +85,14 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(_table(spark, sf_dir, "pages"))
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from framewright.llm.warc import report
+
+    return report(_table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_token_store": op1_token_store, "op2_bpe": op2_bpe, "op3_repeats": op3_repeats, "op4_mixing": op4_mixing, "op5_toxicity": op5_toxicity, "op6_secrets": op6_secrets, "op7_flac": op7_flac, "op8_topk": op8_topk, "op9_near_dedup": op9_near_dedup, "op10_html_text": op10_html_text}
+    return {"op1_token_store": op1_token_store, "op2_bpe": op2_bpe, "op3_repeats": op3_repeats, "op4_mixing": op4_mixing, "op5_toxicity": op5_toxicity, "op6_secrets": op6_secrets, "op7_flac": op7_flac, "op8_topk": op8_topk, "op9_near_dedup": op9_near_dedup, "op10_html_text": op10_html_text, "op13_warc": op13_warc}
 
 
 TOPK_SQL = """
@@ -179,5 +185,15 @@ l AS (SELECT doc_id, s0, s1, s2, list_concat(s0, list_concat(s1, s2)) AS base,
 SELECT doc_id, len(s0) AS n_assign, len(s1) AS n_access, len(s2) AS n_hex, sha256({shown("base")}) AS base_sha256, {shown("list_concat(base, linked)")} AS spans FROM l"""
 
 
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+g AS (SELECT *, CASE WHEN strlen(t) >= 1000 THEN max(page_id) OVER (PARTITION BY t) END AS keeper FROM p)
+SELECT page_id, CAST(strlen(t) AS BIGINT) AS payload_bytes, sha1(t) AS payload_digest,
+  CASE WHEN keeper IS NULL OR page_id IS NOT DISTINCT FROM keeper THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN keeper IS NOT NULL AND page_id IS DISTINCT FROM keeper THEN keeper END AS refers_to
+FROM g
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing": MIXING_SQL, "op6_secrets": _secrets_sql(), "op8_topk": TOPK_SQL}
+    return {"op13_warc": WARC_SQL, "op4_mixing": MIXING_SQL, "op6_secrets": _secrets_sql(), "op8_topk": TOPK_SQL}

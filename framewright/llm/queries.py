@@ -85,6 +85,12 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(_table(spark, sf_dir, "pages"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from framewright.llm.prefix_trie import report
+
+    return report(_table(spark, sf_dir, "conversations"))
+
+
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from framewright.llm.warc import report
 
@@ -92,7 +98,7 @@ def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_token_store": op1_token_store, "op2_bpe": op2_bpe, "op3_repeats": op3_repeats, "op4_mixing": op4_mixing, "op5_toxicity": op5_toxicity, "op6_secrets": op6_secrets, "op7_flac": op7_flac, "op8_topk": op8_topk, "op9_near_dedup": op9_near_dedup, "op10_html_text": op10_html_text, "op13_warc": op13_warc}
+    return {"op1_token_store": op1_token_store, "op2_bpe": op2_bpe, "op3_repeats": op3_repeats, "op4_mixing": op4_mixing, "op5_toxicity": op5_toxicity, "op6_secrets": op6_secrets, "op7_flac": op7_flac, "op8_topk": op8_topk, "op9_near_dedup": op9_near_dedup, "op10_html_text": op10_html_text, "op12_prefix_trie": op12_prefix_trie, "op13_warc": op13_warc}
 
 
 TOPK_SQL = """
@@ -195,5 +201,36 @@ FROM g
 """
 
 
+#: The crc step of one byte, bit by bit.
+TRIE_SQL = """
+WITH t AS (
+  SELECT conv_id, turn, md5(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS size
+  FROM conversations WHERE conv_id IS NOT NULL
+), o AS (
+  SELECT conv_id, list(id ORDER BY turn NULLS FIRST, id) AS ids, list(size ORDER BY turn NULLS FIRST, id) AS sizes FROM t GROUP BY conv_id
+), c AS (
+  SELECT *, CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])), lambda r, z: xor(r >> 1, 3988292384 * (r & 1)))), 4294967295) % 9 AS BIGINT) AS h FROM o
+), r AS (
+  SELECT c.conv_id, list_concat(coalesce(b.ids[1:h], CAST([] AS VARCHAR[])), c.ids[h + 1:]) AS ids, list_concat(coalesce(b.sizes[1:h], CAST([] AS BIGINT[])), c.sizes[h + 1:]) AS sizes
+  FROM c LEFT JOIN o b ON b.conv_id = c.conv_id - c.conv_id % 5
+), m AS (
+  SELECT conv_id, d AS depth, md5(array_to_string(ids[1:d], '')) AS key, md5(array_to_string(ids[1:d - 1], '')) AS up, CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS size, len(ids) = d AS ends
+  FROM (SELECT *, unnest(range(len(ids) + 1)) AS d FROM r)
+), n AS (
+  SELECT depth, key, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM m GROUP BY depth, key
+), k AS (
+  SELECT n.*, coalesce(x.kids, 0) AS n_children FROM n LEFT JOIN (SELECT depth - 1 AS depth, up AS key, count(*) AS kids FROM n WHERE depth > 0 GROUP BY depth, up) x USING (depth, key)
+), s AS (
+  SELECT a.depth, a.key, sum(CASE WHEN k.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((k.n_convs - 1) * k.size) AS saved_tokens
+  FROM k JOIN m a ON a.conv_id = k.conv_id AND a.depth <= k.depth GROUP BY a.depth, a.key
+)
+SELECT k.conv_id, CAST(k.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(k.n_convs AS BIGINT) AS n_convs, CAST(k.n_children AS BIGINT) AS n_children,
+  CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, k.ends_sha256
+FROM k JOIN s USING (depth, key) LEFT JOIN n p ON p.depth = k.depth - 1 AND p.key = k.up AND k.depth > 0
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op13_warc": WARC_SQL, "op4_mixing": MIXING_SQL, "op6_secrets": _secrets_sql(), "op8_topk": TOPK_SQL}
+    return {"op12_prefix_trie": TRIE_SQL, "op13_warc": WARC_SQL, "op4_mixing": MIXING_SQL, "op6_secrets": _secrets_sql(), "op8_topk": TOPK_SQL}

@@ -85,6 +85,12 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(_table(spark, sf_dir, "pages"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from framewright.llm.whitening import report
+
+    return report(_table(spark, sf_dir, "embeddings"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     from framewright.llm.prefix_trie import report
 
@@ -98,7 +104,7 @@ def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_token_store": op1_token_store, "op2_bpe": op2_bpe, "op3_repeats": op3_repeats, "op4_mixing": op4_mixing, "op5_toxicity": op5_toxicity, "op6_secrets": op6_secrets, "op7_flac": op7_flac, "op8_topk": op8_topk, "op9_near_dedup": op9_near_dedup, "op10_html_text": op10_html_text, "op12_prefix_trie": op12_prefix_trie, "op13_warc": op13_warc}
+    return {"op1_token_store": op1_token_store, "op2_bpe": op2_bpe, "op3_repeats": op3_repeats, "op4_mixing": op4_mixing, "op5_toxicity": op5_toxicity, "op6_secrets": op6_secrets, "op7_flac": op7_flac, "op8_topk": op8_topk, "op9_near_dedup": op9_near_dedup, "op10_html_text": op10_html_text, "op11_whitening": op11_whitening, "op12_prefix_trie": op12_prefix_trie, "op13_warc": op13_warc}
 
 
 TOPK_SQL = """

@@ -15,7 +15,7 @@ wrong is an error with ``strict``, else a row with ``problem``.
 
 A null payload is empty; a null url stands as the record's own id. Of equal payloads a null id counts as the
 smallest, and rows that repeat the largest id are responses all. An empty table gives no archives and no rows.
-The dictionary is trained on at most ``SAMPLE`` payloads of up to ``SAMPLE_BYTES`` bytes each; where that is
+The dictionary is trained on a random sample of some ``SAMPLE`` payloads of up to ``SAMPLE_BYTES`` bytes each; where that is
 too little to train on, archives have none.
 """
 
@@ -105,12 +105,12 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", uri_col: str = "ur
     payload = F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(uri_col).cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("key", F.unhex(F.sha2("payload", 256)))
-    sample = rows.where(F.octet_length("payload") > 0).select(F.xxhash64("page_id").alias("h"), F.substring("payload", 1, SAMPLE_BYTES).alias("s"))
-    dictionary = train([bytes(r.s) for r in sample.orderBy("h").limit(SAMPLE).collect()])
+    n_rows = pages.count()
+    sample = rows.sample(min(1.0, SAMPLE / max(n_rows, 1)), seed=13).where(F.octet_length("payload") > 0).select(F.substring("payload", 1, SAMPLE_BYTES).alias("s"))
+    dictionary = train([bytes(r.s) for r in sample.collect()])
 
     grouped = rows.where(F.octet_length("payload") >= least).groupBy("key").agg(F.max("page_id").alias("keeper"), F.count("*").alias("copies"))
     copied = materialize(grouped.where("copies > 1"), "warc-copies")
-    n_rows = pages.count()
     hot = copied.where(F.col("copies") > n_rows / parts(spark)).select(F.col("key").alias("__hot"))
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

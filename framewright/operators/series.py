@@ -1,7 +1,10 @@
 """Operators on ordered series: rows with keys, an index and a value.
 
-All windows are partitioned by the keys; a series is as long as one recording, so a window holds one
-recording at most. ``indexed`` gives rows their place; the other operators expect it in ``i``.
+``indexed`` gives rows their place; the other operators expect it in ``i``, from 0 and without gaps. Windows of
+bounded length run over buckets of consecutive places, to which rows near a border are copied from the
+neighbours, and scans from a series' start carry each bucket's last state on to the next: so a recording of
+any length is the work of as many tasks as it has buckets. Rows go to their bucket once; only states, one a
+bucket, meet by recording.
 """
 
 from __future__ import annotations
@@ -11,6 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 
+#: Places in a bucket. A window's memory follows it, copies at borders are its inverse.
+BUCKET = 1 << 16
+
+
 def _by(keys: list[str]) -> WindowSpec:
     return Window.partitionBy(*keys)
 
@@ -19,33 +26,80 @@ def _ordered(keys: list[str]) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy("i")
 
 
-def indexed(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Place ``i`` (from 0) of every row within its keys; ``order`` must be total."""
-    return df.withColumn("i", (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1).cast("long"))
+def indexed(df: DataFrame, keys: list[str], order: list[str], lot: Column | None = None) -> DataFrame:
+    """Place ``i`` (from 0) of every row within its keys; ``order`` must be total.
+
+    ``lot`` never falls along ``order``, such as a timestamp's hour. Series with more rows than a task's share
+    are then counted by lots, and a row's place is that in its lot behind all earlier lots. Of such series
+    there are fewer than tasks, which bounds the broadcast.
+    """
+    if lot is None:
+        return df.withColumn("i", (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1).cast("long"))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    long = df.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > max(df.count() // tasks, 1)).select(*keys, F.lit(True).alias("__long"))
+    lots = df.join(F.broadcast(long), keys, "left").withColumn("__lot", F.when(F.col("__long"), lot)).drop("__long")
+    sizes = lots.where(F.col("__lot").isNotNull()).groupBy(*keys, "__lot").agg(F.count("*").alias("__size"))
+    earlier = Window.partitionBy(*keys).orderBy("__lot").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select(*keys, "__lot", F.sum("__size").over(earlier).alias("__before")).where(F.col("__before").isNotNull())
+    own = lots.withColumn("i", (F.row_number().over(Window.partitionBy(*keys, "__lot").orderBy(*order)) - 1).cast("long"))
+    return own.join(before, [*keys, "__lot"], "left").withColumn("i", F.col("i") + F.coalesce("__before", F.lit(0))).select(*df.columns, "i")
+
+
+def bucketed(df: DataFrame, keys: list[str], past: int, future: int, bucket: int = BUCKET) -> tuple[DataFrame, WindowSpec]:
+    """Rows by buckets (``__b``), and the window over a bucket in order; ``__own`` tells rows from their copies.
+
+    A copy goes to the next bucket for ``past`` places, to the one before for ``future`` places.
+    """
+    size = max(bucket, past, future, 1)
+    b, at = F.floor(F.col("i") / size), F.col("i") % size
+    to = [F.struct(b.alias("__b"), F.lit(True).alias("__own"))]
+    to += [F.when(at >= size - past, F.struct((b + 1).alias("__b"), F.lit(False).alias("__own")))] if past else []
+    to += [F.when((at < future) & (b > 0), F.struct((b - 1).alias("__b"), F.lit(False).alias("__own")))] if future else []
+    copies = df.select("*", F.inline(F.array_compact(F.array(*to)))) if len(to) > 1 else df.withColumns({"__b": b, "__own": F.lit(True)})
+    return copies, Window.partitionBy(*keys, "__b").orderBy("i")
+
+
+def carried(df: DataFrame, keys: list[str], states: dict[str, Column], bucket: int = BUCKET) -> DataFrame:
+    """(keys, __b, states): what the aggregates ``states`` make of each bucket's rows, to be carried on to its neighbours."""
+    return df.withColumn("__b", F.floor(F.col("i") / bucket)).groupBy(*keys, "__b").agg(*[c.alias(n) for n, c in states.items()])
+
+
+def _earlier(keys: list[str]) -> WindowSpec:
+    return Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
 
 
-def temporal_median(df: DataFrame, keys: list[str], value: str = "v", window: int = 11, into: str = "median_v") -> DataFrame:
+def _later(keys: list[str]) -> WindowSpec:
+    return Window.partitionBy(*keys).orderBy(F.desc("__b")).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def temporal_median(df: DataFrame, keys: list[str], value: str = "v", window: int = 11, into: str = "median_v", own_window: Column | None = None, bucket: int = BUCKET) -> DataFrame:
     """Median over a window that shrinks evenly towards both ends, so the first and last value stay.
 
-    Series no longer than the window stay as they are. The window must be odd.
+    Series no longer than the window stay as they are. The window must be odd. ``own_window`` gives rows of a series
+    their own window, of ``window`` at most.
     """
     if window % 2 == 0:
         raise ValueError("the window must be odd")
-    half = window // 2
-    n = F.count("*").over(_by(keys))
-    radius = F.least(F.col("i"), n - 1 - F.col("i"), F.lit(half))
-    around = F.collect_list(value).over(_ordered(keys).rowsBetween(-half, half))
-    skipped = F.least(F.col("i"), F.lit(half)) - radius
-    middle = F.element_at(F.array_sort(F.slice(F.col("__around"), F.col("__skip") + 1, 2 * F.col("__r") + 1)), F.col("__r") + 1)
-    staged = df.select("*", around.alias("__around"), skipped.cast("int").alias("__skip"), radius.cast("int").alias("__r"), n.alias("__n"))
-    out = staged.withColumn(into, F.when(F.col("__n") <= window, F.col(value)).otherwise(middle))
-    return out.drop("__around", "__skip", "__r", "__n")
-
-
-def last_clean_fill(df: DataFrame, keys: list[str], value: str = "v", masked: str = "m", seed: Column | None = None, into: str = "clean_v") -> DataFrame:
+    half, size = window // 2, F.lit(window) if own_window is None else own_window
+    spread, order = bucketed(df, keys, half, window, bucket)
+    behind = F.count("*").over(order.rowsBetween(1, window))
+    staged = spread.select("*", F.collect_list(value).over(order.rowsBetween(-half, half)).alias("__around"), behind.alias("__behind")).where("__own")
+    radius = F.least(F.col("i"), F.col("__behind"), F.floor(size / 2)).cast("int")
+    skipped = (F.least(F.col("i"), F.lit(half)) - F.col("__r")).cast("int")
+    middle = F.element_at(F.array_sort(F.slice(F.col("__around"), skipped + 1, 2 * F.col("__r") + 1)), F.col("__r") + 1)
+    whole = F.col("i") + 1 + F.col("__behind") <= size
+    return staged.withColumn("__r", radius).withColumn(into, F.when(whole, F.col(value)).otherwise(middle)).drop("__around", "__behind", "__r", "__b", "__own")
+
+
+def last_clean_fill(df: DataFrame, keys: list[str], value: str = "v", masked: str = "m", seed: Column | None = None, into: str = "clean_v", bucket: int = BUCKET) -> DataFrame:
     """Masked values become the last clean one; ``seed`` stands in while there was none."""
-    last = F.last(F.when(~F.col(masked), F.col(value)), ignorenulls=True).over(_ordered(keys).rowsBetween(Window.unboundedPreceding, 0))
-    return df.withColumn(into, F.coalesce(last, F.lit(0) if seed is None else seed))
+    clean = F.when(~F.col(masked), F.col(value))
+    ends = carried(df, keys, {"__end": F.max_by(clean, F.when(clean.isNotNull(), F.col("i")))}, bucket)
+    before = ends.select(*keys, "__b", F.last("__end", ignorenulls=True).over(_earlier(keys)).alias("__before")).where(F.col("__before").isNotNull())
+    rows, order = bucketed(df, keys, 0, 0, bucket)
+    last = F.last(clean, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    filled = rows.withColumn("__last", last).join(before, [*keys, "__b"], "left")
+    return filled.withColumn(into, F.coalesce("__last", "__before", F.lit(0) if seed is None else seed)).select(*df.columns, into)
 
 
 def even_sample(df: DataFrame, keys: list[str], most: int = 1000, ranges: DataFrame | None = None, into: str = "sample_no") -> DataFrame:
@@ -109,13 +163,26 @@ def previous(column: str, keys: list[str]) -> Column:
     return F.lag(column).over(_ordered(keys))
 
 
-def still_runs(df: DataFrame, keys: list[str], sign: str = "sign", least: int = 3) -> DataFrame:
+def with_previous(df: DataFrame, keys: list[str], column: str, into: str, bucket: int = BUCKET) -> DataFrame:
+    """The value of the row before; null for the first."""
+    rows, order = bucketed(df, keys, 1, 0, bucket)
+    return rows.withColumn(into, F.lag(column).over(order)).where("__own").drop("__b", "__own")
+
+
+def still_runs(df: DataFrame, keys: list[str], sign: str = "sign", least: int = 3, bucket: int = BUCKET) -> DataFrame:
     """(start_idx, end_idx) of each maximal run of zeros [a, b] of ``least`` rows or more: [a, b - least + 2].
 
     Series shorter than ``least`` + 2 have none.
     """
-    marked = df.withColumn("__island", F.sum(sign).over(_ordered(keys).rowsBetween(Window.unboundedPreceding, 0))).withColumn("__n", F.count("*").over(_by(keys)))
-    runs = marked.where(F.col(sign) == 0).groupBy(*keys, "__island").agg(F.min("i").alias("a"), F.max("i").alias("b"), F.first("__n").alias("n"))
+    bucket = max(bucket, least + 1)
+    ends = carried(df, keys, {"__sum": F.sum(sign)}, bucket)
+    before = ends.select(*keys, "__b", F.sum("__sum").over(_earlier(keys)).alias("__before")).where(F.col("__before").isNotNull())
+    rows, order = bucketed(df, keys, 0, least + 1, bucket)
+    marked = rows.withColumns({
+        "__within": F.sum(sign).over(order.rowsBetween(Window.unboundedPreceding, 0)), "__n": F.col("i") + 1 + F.count("*").over(order.rowsBetween(1, least + 1)),
+    }).where(F.col("__own") & (F.col(sign) == 0))
+    whole = marked.join(before, [*keys, "__b"], "left").withColumn("__island", F.col("__within") + F.coalesce("__before", F.lit(0)))
+    runs = whole.groupBy(*keys, "__island").agg(F.min("i").alias("a"), F.max("i").alias("b"), F.max("__n").alias("n"))
     kept = runs.where((F.col("b") - F.col("a") + 1 >= least) & (F.col("n") >= least + 2))
     return kept.select(*keys, F.col("a").alias("start_idx"), (F.col("b") - least + 2).alias("end_idx"))
 
@@ -167,39 +234,46 @@ def keyframes(
     return runs.select(*keys, (F.col("start_idx") * step).alias("start_idx"), (F.col("end_idx") * step).alias("end_idx"))
 
 
-def window_max(df: DataFrame, keys: list[str], value: str, past: int = 30, future: int = 2, into: str = "window_max") -> DataFrame:
+def window_max(df: DataFrame, keys: list[str], value: str, past: int = 30, future: int = 2, into: str = "window_max", bucket: int = BUCKET) -> DataFrame:
     """Maximum over [i - past, i + future), the row itself included."""
-    return df.withColumn(into, F.max(value).over(_ordered(keys).rowsBetween(-past, future - 1)))
+    rows, order = bucketed(df, keys, past, future - 1, bucket)
+    return rows.withColumn(into, F.max(value).over(order.rowsBetween(-past, future - 1))).where("__own").drop("__b", "__own")
 
 
-def band_difference(df: DataFrame, keys: list[str], value: str = "v", threshold: float = 8, past: int = 30, future: int = 2, into: str = "moved") -> DataFrame:
+def band_difference(df: DataFrame, keys: list[str], value: str = "v", threshold: float = 8, past: int = 30, future: int = 2, into: str = "moved", bucket: int = BUCKET) -> DataFrame:
     """Does the value differ from any other in [i - past, i + future) by more than the threshold?
 
     The band is a window, at most ``past`` + ``future`` values a row, not a self join.
     """
     from framewright.functions.pixels import scalar_distance
 
-    band = F.collect_list(value).over(_ordered(keys).rowsBetween(-past, future - 1))
-    staged = df.withColumn("__band", band)
-    return staged.withColumn(into, F.exists("__band", lambda x: scalar_distance(F.col(value), x) > threshold)).drop("__band")
+    rows, order = bucketed(df, keys, past, future - 1, bucket)
+    staged = rows.withColumn("__band", F.collect_list(value).over(order.rowsBetween(-past, future - 1))).where("__own")
+    return staged.withColumn(into, F.exists("__band", lambda x: scalar_distance(F.col(value), x) > threshold)).drop("__band", "__b", "__own")
 
 
-def clean_neighbours(df: DataFrame, keys: list[str], value: str = "v", masked: str = "m", fill: int = 255) -> DataFrame:
+def clean_neighbours(df: DataFrame, keys: list[str], value: str = "v", masked: str = "m", fill: int = 255, bucket: int = BUCKET) -> DataFrame:
     """forward_v, forward_i: last clean value up to here; backward_v, backward_i: next clean one from here on.
 
     Without one the fill stands at the first or last place.
     """
     clean = F.when(~F.col(masked), F.struct(F.col(value).alias("v"), F.col("i").alias("i")))
-    ahead = F.last(clean, ignorenulls=True).over(_ordered(keys).rowsBetween(Window.unboundedPreceding, 0))
-    behind = F.first(clean, ignorenulls=True).over(_ordered(keys).rowsBetween(0, Window.unboundedFollowing))
-    n = F.count("*").over(_by(keys))
-    staged = df.select("*", ahead.alias("__f"), behind.alias("__b"), n.alias("__n"))
+    at = F.when(~F.col(masked), F.col("i"))
+    ends = carried(df, keys, {"__last": F.max_by(clean, at), "__first": F.min_by(clean, at), "__top": F.max("i")}, bucket)
+    around = ends.select(
+        *keys, "__b", F.last("__last", ignorenulls=True).over(_earlier(keys)).alias("__before"), F.last("__first", ignorenulls=True).over(_later(keys)).alias("__after"),
+        F.max("__top").over(_by(keys)).alias("__end"),
+    )
+    rows, order = bucketed(df, keys, 0, 0, bucket)
+    ahead = F.last(clean, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    behind = F.first(clean, ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
+    staged = rows.select("*", ahead.alias("__f"), behind.alias("__n")).join(around, [*keys, "__b"])
     return staged.select(
         *df.columns,
-        F.coalesce("__f.v", F.lit(fill)).cast("long").alias("forward_v"),
-        F.coalesce("__f.i", F.lit(0)).cast("long").alias("forward_i"),
-        F.coalesce("__b.v", F.lit(fill)).cast("long").alias("backward_v"),
-        F.coalesce("__b.i", F.col("__n") - 1).cast("long").alias("backward_i"),
+        F.coalesce("__f.v", "__before.v", F.lit(fill)).cast("long").alias("forward_v"),
+        F.coalesce("__f.i", "__before.i", F.lit(0)).cast("long").alias("forward_i"),
+        F.coalesce("__n.v", "__after.v", F.lit(fill)).cast("long").alias("backward_v"),
+        F.coalesce("__n.i", "__after.i", F.col("__end")).cast("long").alias("backward_i"),
     )
 
 

@@ -34,7 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(k, i, event_id, v, m, hit, props)."""
     events = table(spark, sf_dir, "events").withColumnRenamed("user_id", "k")
-    placed = series.indexed(events, ["k"], ["ts", "event_id"])
+    placed = series.indexed(events, ["k"], ["ts", "event_id"], lot=F.date_trunc("hour", "ts"))
     return placed.select(
         "k", "i", "event_id", F.floor("value").cast("long").alias("v"), (F.col("event_type") == "error").alias("m"), (F.col("event_type") == "purchase").alias("hit"), "props", "value"
     )
@@ -234,7 +234,8 @@ def first_last_hit_library(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _signs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = recordings(spark, sf_dir).select("k", "i", "v")
-    return series.change_sign(rows, ["k"], F.abs(F.col("v") - series.previous("v", ["k"])), 60)
+    before = series.with_previous(rows, ["k"], "v", "before")
+    return series.change_sign(before, ["k"], F.abs(F.col("v") - F.col("before")), 60)
 
 
 @query

@@ -132,19 +132,22 @@ def registry_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def process_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The processing job over a stored registry: all open items, then one anew, then a stage of its own for all; a rerun finds nothing to do."""
+    """The processing job over a stored registry: all open items, then one anew, then a stage of its own for all that are not excluded; each item is stored once."""
     base = scratch_path(spark, "job")
     rows = recordings(spark, sf_dir).select(F.lit("youtube").alias("source"), F.col("k").cast("string").alias("video_id"), "i", "v", "m")
     rows.write.parquet(f"{base}/frames")
     steps = F.array(F.struct(F.lit("clean").alias("name"), F.lit('{"fill": 3}').alias("config")))
-    none = [F.lit(None).cast(t).alias(n) for n, t in (c.split(" ", 1) for c in catalog.REGISTRY.split(", ")) if n not in ("source", "video_id", "video_processor", "processed")]
-    known = rows.select("source", "video_id").distinct().select("source", "video_id", steps.alias("video_processor"), (F.col("video_id").cast("long") % 2 == 0).alias("processed"), *none)
+    none = [F.lit(None).cast(t).alias(n) for n, t in (c.split(" ", 1) for c in catalog.REGISTRY.split(", ")) if n not in ("source", "video_id", "video_processor", "processed", "exclude_video")]
+    number = F.col("video_id").cast("long")
+    known = rows.select("source", "video_id").distinct().select("source", "video_id", steps.alias("video_processor"), (number % 2 == 0).alias("processed"), (number % 3 == 0).alias("exclude_video"), *none)
     writers.save_registry(known.select(*catalog.COLUMNS), f"{base}/registry")
     catalog.process_registry(spark, base)
     catalog.process_registry(spark, base)
     catalog.process_registry(spark, base, only=("youtube", "1"))
     catalog.process_registry(spark, base, override=("reference", "{}"))
-    return spark.read.parquet(f"{base}/processed").groupBy("k").agg(F.count("*").alias("n"), F.sum("v").alias("total"))
+    stored = catalog.read_processed(spark, base).groupBy("k").agg(F.count("*").alias("n"), F.sum("v").alias("total"))
+    flags = readers.read_registry(spark, f"{base}/registry", catalog.REGISTRY).select(F.concat_ws(":", "source", "video_id").alias("k"), "processed")
+    return flags.join(stored, "k", "left")
 
 
 @query

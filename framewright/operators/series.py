@@ -91,9 +91,15 @@ def temporal_median(df: DataFrame, keys: list[str], value: str = "v", window: in
     return staged.withColumn("__r", radius).withColumn(into, F.when(whole, F.col(value)).otherwise(middle)).drop("__around", "__behind", "__r", "__b", "__own")
 
 
-def last_clean_fill(df: DataFrame, keys: list[str], value: str = "v", masked: str = "m", seed: Column | None = None, into: str = "clean_v", bucket: int = BUCKET) -> DataFrame:
-    """Masked values become the last clean one; ``seed`` stands in while there was none."""
+def last_clean_fill(df: DataFrame, keys: list[str], value: str = "v", masked: str = "m", seed: Column | None = None, into: str = "clean_v", bucket: int | None = BUCKET) -> DataFrame:
+    """Masked values become the last clean one; ``seed`` stands in while there was none.
+
+    Without a ``bucket`` a recording is one task's work, and ``df`` is evaluated once instead of twice.
+    """
     clean = F.when(~F.col(masked), F.col(value))
+    if bucket is None:
+        last = F.last(clean, ignorenulls=True).over(_ordered(keys).rowsBetween(Window.unboundedPreceding, 0))
+        return df.withColumn(into, F.coalesce(last, F.lit(0) if seed is None else seed))
     ends = carried(df, keys, {"__end": F.max_by(clean, F.when(clean.isNotNull(), F.col("i")))}, bucket)
     before = ends.select(*keys, "__b", F.last("__end", ignorenulls=True).over(_earlier(keys)).alias("__before")).where(F.col("__before").isNotNull())
     rows, order = bucketed(df, keys, 0, 0, bucket)

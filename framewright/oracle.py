@@ -302,10 +302,22 @@ SELECT CAST(fold AS INTEGER) AS fold, CASE WHEN chunk = fold THEN 'test' ELSE 't
     "folder_scan": "SELECT DISTINCT source, lang AS video_id FROM documents",
     "registry_json": """SELECT source, lang AS video_id, concat('{"n":', count(*), '}') AS item FROM documents GROUP BY source, lang""",
     "process_job": f"""WITH {_S}, c AS (SELECT k, i, n, v, coalesce(last_value(CASE WHEN NOT m THEN v END IGNORE NULLS) OVER (PARTITION BY k ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 3) AS w FROM s),
-a AS (SELECT k, w AS v FROM c WHERE k % 2 <> 0 UNION ALL SELECT k, w FROM c WHERE k = 1 UNION ALL SELECT k, v FROM c WHERE i = n - 1)
-SELECT concat('youtube:', k) AS k, count(*) AS n, CAST(sum(v) AS BIGINT) AS total FROM a GROUP BY k""",
+a AS (SELECT k, w AS v FROM c WHERE k % 2 <> 0 AND k % 3 = 0 UNION ALL SELECT k, v FROM c WHERE k % 3 <> 0 AND i = n - 1)
+SELECT concat('youtube:', u.k) AS k, true AS processed, n, total FROM (SELECT DISTINCT k FROM s) u LEFT JOIN (SELECT k, count(*) AS n, CAST(sum(v) AS BIGINT) AS total FROM a GROUP BY k) t ON t.k = u.k""",
     "reference_clean_up": """SELECT 'frames' AS kind, conv_id AS id, CAST(turn AS INTEGER) AS n FROM conversations WHERE turn = 0
 UNION ALL SELECT 'tags', doc_id, CASE WHEN lang = 'en' THEN 0 ELSE -1 END FROM documents""",
     "pipelines_export": f"""SELECT source, CAST(doc_id AS VARCHAR) AS video_id, CASE WHEN u <= 0.8 THEN 'train' WHEN u <= 0.8 + 0.1 THEN 'eval' ELSE 'test' END AS split, n_chars
 FROM (SELECT *, {_UNIFORM.format(id="doc_id")} AS u FROM documents) WHERE lang <> 'en' AND doc_id % 3 <> 0""",
+    "process_pixels": f"""WITH {_G}, h AS (SELECT k, i, y, x, v, v > 250 AS m, max(i) OVER (PARTITION BY k) + 1 AS n FROM g WHERE k <> 7),
+c AS (SELECT k, i, y - 1 AS y, x - 1 AS x, v, m, n FROM h WHERE k % 3 = 0 AND n > 2 AND x >= 1 AND x < 7 AND y >= 1 AND y < 5 UNION ALL SELECT k, i, y, x, v, m, n FROM h WHERE k % 3 = 0 AND n <= 2),
+cm AS (SELECT k, i, y, x, m, CASE WHEN n <= 3 OR i = 0 OR i = n - 1 THEN v ELSE list_sort(list(v) OVER w)[2] END AS v FROM c WINDOW w AS (PARTITION BY k, y, x ORDER BY i ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING)),
+l AS (SELECT *, i % 5 <> 0 AS free FROM h WHERE k % 3 = 1),
+lm AS (SELECT *, free AND (v > 200 OR count(*) FILTER (free AND v > 200) OVER p >= (count(*) FILTER (free) OVER p + 1) // 2) AS hit FROM l WINDOW p AS (PARTITION BY k, y, x)),
+lf AS (SELECT k, i, y, x, m, n, CASE WHEN NOT free THEN v ELSE coalesce(last_value(CASE WHEN free AND NOT hit THEN v END IGNORE NULLS) OVER (PARTITION BY k, y, x ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  first_value(CASE WHEN free AND NOT hit THEN v END IGNORE NULLS) OVER (PARTITION BY k, y, x ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), v) END AS v FROM lm),
+j AS (SELECT k, n, least(n, 7) AS c, unnest(range(least(n, 7))) AS j FROM (SELECT DISTINCT k, n FROM lf)),
+e AS (SELECT j.k, j.j AS i, y, x, m, v FROM j JOIN lf ON j.k = lf.k AND lf.i = CASE WHEN c = 1 THEN 0 WHEN j = c - 1 THEN j.n - 1 ELSE CAST(ceil(j * (CAST(j.n - 1 AS DOUBLE) / (c - 1))) AS BIGINT) END),
+d AS (SELECT a.k, a.i, a.y, a.x, any_value(a.v) AS v, bool_or(b.m) AS m FROM h a JOIN h b ON a.k = b.k AND a.i = b.i AND abs(a.x - b.x) <= 1 AND abs(a.y - b.y) <= 1 WHERE a.k % 3 = 2 GROUP BY a.k, a.i, a.y, a.x),
+z AS (SELECT k, i, y, x, v, m FROM cm UNION ALL SELECT k, i, y, x, v, m FROM e UNION ALL SELECT k, i, y, x, v, m FROM d)
+SELECT k, i, count(*) AS n, CAST(sum(v * (x + 8 * y + 1)) AS BIGINT) AS weighted, count(*) FILTER (m) AS n_masked FROM z GROUP BY k, i""",
 }

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import argparse
 import logging
+import time
+import uuid
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,31 +51,114 @@ def register_files(spark: SparkSession, base: str, files: list[str], catalog: Da
 
 def mark_processed(spark: SparkSession, base: str, done: DataFrame) -> None:
     """Items that a run has finished; a rerun leaves them alone."""
-    known = readers.read_registry(spark, f"{base}/registry", REGISTRY)
     flags = done.select("source", "video_id").distinct().withColumn("__done", F.lit(True))
-    rest = known.join(flags, ["source", "video_id"], "left")
-    writers.save_registry(rest.withColumn("processed", F.coalesce("processed", F.lit(False)) | F.coalesce("__done", F.lit(False))).select(*COLUMNS), f"{base}/registry")
+
+    def marked(known: DataFrame) -> DataFrame:
+        rest = known.join(flags, ["source", "video_id"], "left")
+        return rest.withColumn("processed", F.coalesce("processed", F.lit(False)) | F.coalesce("__done", F.lit(False))).select(*COLUMNS)
+
+    writers.save_registry(marked(readers.read_registry(spark, f"{base}/registry", REGISTRY)), f"{base}/registry")
+
+
+COMMIT = "source string, video_id string, run string, marks boolean, n_rows long, " + ", ".join(f"{c} {t}" for c, t in stages.STATE.items())
+#: Places of a recording that one file holds, and hours after which a run that was never committed goes.
+FILE_FRAMES, ORPHAN_HOURS = 1 << 16, 24
+
+
+def read_commits(spark: SparkSession, base: str) -> DataFrame:
+    """The last commit of each item: its run, how many rows it stored, and what is known of the item since; ``ever`` if one of its commits marks it."""
+    rows = readers.read_registry(spark, f"{base}/commits", COMMIT)
+    columns = [c.split()[0] for c in COMMIT.split(", ")][2:]
+    return rows.groupBy("source", "video_id").agg(F.max(F.struct(*columns)).alias("c"), F.bool_or("marks").alias("ever")).select("source", "video_id", "c.*", "ever")
+
+
+def _runs(spark: SparkSession, base: str) -> dict[str, tuple[int, int]]:
+    """Of each committed run, how many items it stored and how many of these are stored nowhere since."""
+    stored = readers.read_registry(spark, f"{base}/commits", COMMIT).groupBy("run").agg(F.count_if(F.col("n_rows") > 0).alias("n"))
+    live = read_commits(spark, base).where("n_rows > 0").groupBy("run").agg(F.count("*").alias("live"))
+    return {r["run"]: (r["n"], r["live"] or 0) for r in stored.join(live, "run", "left").collect()}
+
+
+def read_processed(spark: SparkSession, base: str) -> DataFrame:
+    """The processed frames of each item as of its last commit.
+
+    Runs whose items are all current are read as they are; only of those that were replaced in part, rows meet the items' commits.
+    """
+    runs = _runs(spark, base)
+    if not any(live for _, live in runs.values()):
+        return spark.createDataFrame([], f"source string, video_id string, k string, i long, v long, run string, {', '.join(f'{c} {t}' for c, t in stages.STATE.items())}")
+    rows = spark.read.parquet(f"{base}/processed")
+    whole, part = ([r for r, (n, live) in runs.items() if live and (live == n) == all_] for all_ in (True, False))
+    current = read_commits(spark, base).where("n_rows > 0").select("source", "video_id", "run")
+    found = rows.where(F.col("run").isin(whole))
+    return found.unionByName(rows.where(F.col("run").isin(part)).join(current, ["source", "video_id", "run"], "left_semi").select(*rows.columns)) if part else found
+
+
+def vacuum(spark: SparkSession, base: str, hours: float = ORPHAN_HOURS) -> list[str]:
+    """Delete the runs of which nothing is current: replaced ones, and those that began ``hours`` ago and were never committed."""
+    runs, gone = _runs(spark, base), []
+    for name in writers.folders(spark, f"{base}/processed"):
+        run = name.removeprefix("run=")
+        begun = int(run.split("-")[0]) / 1e9
+        if (run in runs and runs[run][1] == 0) or (run not in runs and begun < time.time() - 3600 * hours):
+            writers.delete(spark, f"{base}/processed/{name}")
+            gone.append(run)
+    return gone
+
+
+def settle(spark: SparkSession, base: str) -> None:
+    """Mark what an earlier run committed and did not come to mark."""
+    open_ = registry.unprocessed(readers.read_registry(spark, f"{base}/registry", REGISTRY)).select("source", "video_id")
+    left = read_commits(spark, base).where("ever").join(open_, ["source", "video_id"], "left_semi")
+    if left.limit(1).count():
+        mark_processed(spark, base, left)
+
+
+def store(spark: SparkSession, base: str, items: DataFrame, done: DataFrame, marks: bool) -> DataFrame:
+    """Store ``done`` (source, video_id, ..., state) as a run of its own, then commit ``items``; the commit rows.
+
+    An item's last commit names the run that holds it, so a rerun replaces what was stored, a crash before the commit
+    leaves the old rows in force, and a crash behind it loses no more than the marks, which the next run sets. Replaced runs go at once,
+    others with ``vacuum``. A run's files hold many items each: a folder an item took 26 s to commit 1,500 items.
+    """
+    run = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    done.repartition("source", "video_id", F.floor(F.col("i") / FILE_FRAMES)).write.parquet(f"{base}/processed/run={run}")
+    state = [F.max(c).alias(c) for c in stages.STATE]
+    fresh = spark.read.parquet(f"{base}/processed/run={run}").groupBy("source", "video_id").agg(F.count("*").alias("n_rows"), *state)
+    rows = items.select("source", "video_id").distinct().join(fresh, ["source", "video_id"], "left")
+    rows = rows.withColumns({"run": F.lit(run), "marks": F.lit(marks), "n_rows": F.coalesce("n_rows", F.lit(0).cast("long"))})
+    rows.select(*[c.split()[0] for c in COMMIT.split(", ")]).write.mode("append").parquet(f"{base}/commits")
+    vacuum(spark, base)
+    return readers.read_registry(spark, f"{base}/commits", COMMIT).where(F.col("run") == run)
 
 
 def process_registry(spark: SparkSession, base: str, only: tuple[str, str] | None = None, override: tuple[str, str] | None = None) -> DataFrame:
-    """Run the unprocessed items of a registry through their own stages, add the results to ``processed``, and mark the items.
+    """Run the unprocessed items of a registry through their own stages, replace their results in ``processed``, and mark the items.
 
     ``only`` names one (source, video_id), which may be processed already; ``override`` is a stage's
-    (name, config) in place of every item's list, for all items. Series are keyed by ``k``, source:video_id.
+    (name, config) in place of every item's list, for all items that are not excluded, and leaves their flags. Series are keyed by ``k``,
+    source:video_id. What an earlier run found out of an item, its range or canvas, stays known.
     """
-    known = readers.read_registry(spark, f"{base}/registry", REGISTRY)
-    items = known.withColumn("k", F.concat_ws(":", "source", "video_id"))
+    settle(spark, base)
+    items = readers.read_registry(spark, f"{base}/registry", REGISTRY)
     if only is not None:
         items = registry.lookup(items, *only)
     if override is not None:
-        items = registry.override_stage(items, *override)
-    if only is not None or override is not None:
-        items = items.withColumn("processed", F.lit(False))
-    frames = spark.read.parquet(f"{base}/frames").withColumn("k", F.concat_ws(":", "source", "video_id")).select("k", "i", "v", "m")
-    done = stages.process(items, frames, ["k"])
-    done.select("k", "i", "v").write.mode("append").parquet(f"{base}/processed")
-    mark_processed(spark, base, registry.unprocessed(items))
-    return spark.read.parquet(f"{base}/processed")
+        items = registry.override_stage(items.where(~F.coalesce(F.col("exclude_video"), F.lit(False))), *override)
+    if only is None and override is None:
+        items = registry.unprocessed(items)
+    if items.limit(1).count() == 0:
+        return read_processed(spark, base)
+    # Stages run on stored recordings, so frames and references of an earlier run do not count as had.
+    known = read_commits(spark, base).select("source", "video_id", *[c for c in stages.STATE if not c.startswith("has_")])
+    todo = items.select("source", "video_id", "video_processor").join(known, ["source", "video_id"], "left")
+    done = stages.run_lists(todo, spark.read.parquet(f"{base}/frames"), ["source", "video_id"], key=F.concat_ws(":", "source", "video_id"))
+    pixel = [c for c in ("y", "x") if c in done.columns]
+    kept = done.select("source", "video_id", "k", "i", *pixel, "v", *stages.STATE)
+    committed = store(spark, base, todo, kept, marks=override is None)
+    if override is None:
+        mark_processed(spark, base, committed)
+    return read_processed(spark, base)
 
 
 def clean_up(spark: SparkSession, base: str, variations: bool = False, tags: bool = False) -> None:

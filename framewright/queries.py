@@ -751,3 +751,17 @@ def process_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     chain = F.when(F.col("k") % 3 == 0, F.array(step("temporal_median", '{"window": 11}'))).when(F.col("k") % 3 == 1, F.array(step("clean", '{"fill": 7}'), step("temporal_median", None)))
     items = rows.select("k").distinct().select("k", (F.col("k") % 4 == 0).alias("processed"), chain.otherwise(F.array(step("reference", ""))).alias("video_processor"))
     return stages.process(items, rows, ["k"]).select("k", "i", "v")
+
+
+@query
+def process_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pixel frames through lists with parameters of their own: canvases cut and smoothed, logos filled and frames sampled, masks grown."""
+    pixels = grid(spark, sf_dir)
+    box = F.when(F.col("i") % 2 == 0, F.array(F.lit(0.4), F.lit(-1.0), F.lit(7.6), F.lit(6.5)))
+    rows = pixels.select("k", "i", "y", "x", "v", (F.col("v") > 250).alias("m"), box.alias("box"), (F.col("v") > 200).alias("logo"), (F.col("i") % 5 == 0).alias("logo_removed"))
+    step = lambda name, config="{}": F.struct(F.lit(name).alias("name"), F.lit(config).alias("config"))
+    lists = F.when(F.col("k") % 3 == 0, F.array(step("canvas", '{"erosion": 1}'), step("temporal_median", '{"window": 3}')))
+    lists = lists.when(F.col("k") % 3 == 1, F.array(step("logos"), step("extract", '{"most": 7}'))).otherwise(F.array(step("masks", '{"kernel": 3}')))
+    items = rows.select("k").distinct().select("k", (F.col("k") == 7).alias("processed"), lists.alias("video_processor"), F.lit(2).cast("long").alias("start_frame_idx"))
+    done = stages.process(items, rows, ["k"])
+    return done.groupBy("k", "i").agg(F.count("*").alias("n"), F.sum(F.col("v") * (F.col("x") + 8 * F.col("y") + 1)).alias("weighted"), F.count_if("m").alias("n_masked"))

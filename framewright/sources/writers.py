@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def save_registry(df: DataFrame, path: str) -> None:
@@ -33,6 +33,22 @@ def save_registry(df: DataFrame, path: str) -> None:
     fs.delete(aside, True)
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none where it is missing."""
+    fs, place = _place(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(place) if f.isDirectory()) if fs.exists(place) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, place = _place(spark, path)
+    fs.delete(place, True)
+
+
 def write_items(df: DataFrame, path: str) -> None:
     """Rows as JSON lines, missing values left out."""
     df.write.json(path)

@@ -59,15 +59,21 @@ def to_delete(registry: DataFrame, remove_after: Column) -> DataFrame:
     return registry.where(F.coalesce(F.col("processed"), F.lit(False)) & F.coalesce(remove_after, F.lit(False)))
 
 
-def set_excluded(registry: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
-    """The exclude flag of ``changes`` (keys, exclude_video) in place of the old one."""
-    new = changes.select(*keys, F.col("exclude_video").alias("__x"))
+def last_changes(changes: DataFrame, keys: list[str], columns: list[str], order: str | None = None) -> DataFrame:
+    """One row a key: of each column the last value that is not null, by ``order``, else the largest."""
+    last = lambda c: F.max(c) if order is None else F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order)))
+    return changes.groupBy(*keys).agg(*[last(c).alias(c) for c in columns])
+
+
+def set_excluded(registry: DataFrame, changes: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+    """The exclude flag of ``changes`` (keys, exclude_video) in place of the old one; of several the last by ``order``, else a true one."""
+    new = last_changes(changes, keys, ["exclude_video"], order).withColumnRenamed("exclude_video", "__x")
     return registry.join(new, keys, "left").withColumn("exclude_video", F.coalesce("__x", "exclude_video", F.lit(False))).drop("__x")
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """Last write wins, column by column; nulls of ``new`` leave the old value."""
-    a, b = old.select(*keys, *columns), new.select(*keys, *[F.col(c).alias(f"__{c}") for c in columns])
+def upsert(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str], order: str | None = None) -> DataFrame:
+    """Last write wins, column by column; nulls of ``new`` leave the old value. Of several new rows of a key the last by ``order`` counts, else the largest value."""
+    a, b = old.select(*keys, *columns), last_changes(new, keys, columns, order).withColumnsRenamed({c: f"__{c}" for c in columns})
     return a.join(b, keys, "full_outer").select(*keys, *[F.coalesce(f"__{c}", c).alias(c) for c in columns])
 
 
@@ -86,8 +92,8 @@ def replace(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def remove_reference(df: DataFrame, keys: list[str], which: Column, index: str = "ref_idx") -> DataFrame:
-    """Without the rows that ``which`` names; later ones move up."""
-    kept = df.where(~which)
+    """Without the rows that ``which`` names; later ones move up. Where ``which`` is null, a row stays."""
+    kept = df.where(~F.coalesce(which, F.lit(False)))
     return kept.withColumn(index, (F.row_number().over(Window.partitionBy(*keys).orderBy(index)) - 1).cast("int"))
 
 
@@ -98,6 +104,15 @@ def remove_reference_at(df: DataFrame, keys: list[str], place: int, index: str =
     return remove_reference(df, keys, F.col(index) == place, index)
 
 
+def references(df: DataFrame, shown: DataFrame, keys: list[str], stand_in: Column, value: str, index: str = "ref_idx", place: int = 0) -> DataFrame:
+    """``shown`` items with their reference at a place, or ``stand_in`` where it is missing, and whether it is."""
+    own = df.where(F.col(index) == place).select(*keys, F.col(value))
+    joined = shown.select(*keys).distinct().join(own, keys, "left")
+    return joined.withColumn("missing", F.col(value).isNull()).withColumn(value, F.coalesce(value, stand_in))
+
+
+
+
 def drop_variations(df: DataFrame, index: str = "ref_idx") -> DataFrame:
     """The original reference alone."""
     return df.where(F.col(index) == 0)

@@ -181,8 +181,7 @@ SELECT vec_id, CAST(count(*) FILTER (d > 10) AS INTEGER) AS n_changed, round(max
 s AS (SELECT vec_id, label, list_transform([0, 1, 2, 3], lambda i: greatest(0, least(20, round_even(CAST(embedding[p + i] AS DOUBLE) * 40 + 10, 0)))) AS b FROM d)
 SELECT vec_id, label, CAST(greatest(0, b[3] - b[1]) * greatest(0, b[4] - b[2]) AS INTEGER) AS area FROM s
 WHERE greatest(0, b[3] - b[1]) * greatest(0, b[4] - b[2]) > 0 AND greatest(0, b[3] - b[1]) * greatest(0, b[4] - b[2]) <= 100""",
-    "udf_mask_infer": """WITH f AS (SELECT vec_id, list_transform(embedding, lambda e: CAST(floor(CAST(e AS DOUBLE) * 256) AS BIGINT)) AS f FROM embeddings)
-SELECT vec_id, CAST(len(list_filter(f, lambda v: v > CAST(list_sum(f) AS DOUBLE) / len(f))) AS INTEGER) AS n_masked FROM f""",
+    "reference_or_stand_in": """SELECT doc_id, coalesce(c.role, 'not found') AS role, c.role IS NULL AS missing FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN (SELECT conv_id, role FROM conversations WHERE turn = 2) c ON c.conv_id = d.doc_id""",
     "mcut_threshold": f"""WITH {_SCORES}, r AS (SELECT vec_id, p, lead(p) OVER w AS q, row_number() OVER w AS r FROM t WINDOW w AS (PARTITION BY vec_id ORDER BY p DESC, name))
 SELECT vec_id, (p + q) / 2 AS threshold FROM r WHERE q IS NOT NULL QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY p - q DESC, r) = 1""",
     "select_tags": f"""WITH {_SCORES}, k AS (SELECT vec_id, category, replace(name, '_', ' ') AS shown, name, p FROM t WHERE (category = 0 AND p > 0.1) OR (category = 4 AND p > 0.15)),
@@ -320,4 +319,9 @@ e AS (SELECT j.k, j.j AS i, y, x, m, v FROM j JOIN lf ON j.k = lf.k AND lf.i = C
 d AS (SELECT a.k, a.i, a.y, a.x, any_value(a.v) AS v, bool_or(b.m) AS m FROM h a JOIN h b ON a.k = b.k AND a.i = b.i AND abs(a.x - b.x) <= 1 AND abs(a.y - b.y) <= 1 WHERE a.k % 3 = 2 GROUP BY a.k, a.i, a.y, a.x),
 z AS (SELECT k, i, y, x, v, m FROM cm UNION ALL SELECT k, i, y, x, v, m FROM e UNION ALL SELECT k, i, y, x, v, m FROM d)
 SELECT k, i, count(*) AS n, CAST(sum(v * (x + 8 * y + 1)) AS BIGINT) AS weighted, count(*) FILTER (m) AS n_masked FROM z GROUP BY k, i""",
+    "probed_ends": f"""WITH {_S}, p AS (SELECT k, n, unnest(range(least(300, (n - 1) // 2 + 1))) AS j FROM (SELECT DISTINCT k, n FROM s)),
+h AS (SELECT p.k, p.n, p.j, a.hit AS fore, b.hit AS back FROM p JOIN s a ON a.k = p.k AND a.i = 2 * p.j JOIN s b ON b.k = p.k AND b.i = p.n - 1 - 2 * p.j),
+m AS (SELECT k, n, min(j) FILTER (fore) AS s, min(j) FILTER (back) AS e, count(*) AS c FROM h GROUP BY k, n),
+b AS (SELECT *, least(c, CASE WHEN s IS NULL THEN c ELSE CAST(pow(2, floor(log2(s + 1)) + 1) AS BIGINT) - 1 END) + least(c, CASE WHEN e IS NULL THEN c ELSE CAST(pow(2, floor(log2(e + 1)) + 1) AS BIGINT) - 1 END) AS n_probed FROM m)
+SELECT k, CAST(coalesce(2 * s, -1) AS BIGINT) AS start_idx, CAST(coalesce(n - 1 - 2 * e, -1) AS BIGINT) AS end_idx, n_probed FROM b""",
 }

@@ -30,30 +30,3 @@ def model_column(build: Callable[[], Model], result: str, *inputs: Column, batch
             yield pd.Series(out)
 
     return run(*inputs)
-
-
-class BrightMask:
-    """A stand-in for a segmentation model: masks the values above the frame's mean."""
-
-    def __call__(self, frames: list) -> list:
-        return [[bool(v > sum(f) / len(f)) for v in f] for f in frames]
-
-
-class LabelAbove:
-    """A stand-in for a detector: one full-frame box when the mean passes a threshold."""
-
-    def __init__(self, threshold: float, label: str = "hand") -> None:
-        self.threshold, self.label = threshold, label
-
-    def __call__(self, frames: list) -> list:
-        return [[{"label": self.label, "score": 1.0, "box": [0.0, 0.0, 1.0, 1.0]}] if sum(f) / len(f) > self.threshold else [] for f in frames]
-
-
-MODELS: dict[str, Callable[..., Model]] = {"bright_mask": BrightMask, "label_above": LabelAbove}
-
-
-def build(name: str, **params) -> Callable[[], Model]:
-    """A builder of a registered model."""
-    if name not in MODELS:
-        raise ValueError(f"unknown model {name}")
-    return lambda: MODELS[name](**params)

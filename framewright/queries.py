@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 from framewright.functions import pixels as P
 from framewright.functions import text as X
-from framewright.operators import masks, registry, series, splits, tags
+from framewright.operators import masks, probing, registry, series, splits, tags
 from framewright.plans import stages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -232,6 +232,13 @@ def first_last_hit_library(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.first_last_hit(recordings(spark, sf_dir), ["k"], stride=10, most=200, miss="all")
 
 
+@query
+def probed_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start and end by rounds of probes; series end their search at their first hit."""
+    rows = recordings(spark, sf_dir).select("k", "i", F.col("hit").alias("seen"))
+    return probing.probe_ends(rows, ["k"], lambda probed: probed.withColumn("hit", F.col("seen")), stride=2)
+
+
 def _signs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = recordings(spark, sf_dir).select("k", "i", "v")
     before = series.with_previous(rows, ["k"], "v", "before")
@@ -406,15 +413,6 @@ def box_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("vec_id", F.explode("d").alias("d")).select("vec_id", F.col("d.label").alias("label"), P.box_area(F.col("d.box")).alias("area"))
 
 
-@query
-def udf_mask_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from framewright.plans.models import build, model_column
-
-    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda e: F.floor(e.cast("double") * 256).cast("long")).alias("f"))
-    mask = model_column(build("bright_mask"), "array<boolean>", F.col("f"))
-    return rows.withColumn("m", mask).select("vec_id", F.size(F.filter("m", lambda x: x)).alias("n_masked"))
-
-
 # Tags and prompts
 
 
@@ -529,6 +527,13 @@ def pager(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.neighbours(turns, ["conv_id"])
 
 
+@query
+def reference_or_stand_in(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The viewer's reader: a document's third turn, or a stand-in."""
+    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("ref_idx"), "role")
+    return registry.references(turns, table(spark, sf_dir, "documents"), ["doc_id"], F.lit("not found"), "role", place=2)
+
+
 @query
 def clear_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("lang") == "en", F.array("source")).alias("reference_frame_tags"))

@@ -101,3 +101,35 @@ def test_removing_a_missing_reference_fails(spark):
     assert sorted(r["ref_idx"] for r in registry.remove_reference_at(df, ["k"], 1).collect()) == [0, 1]
     with pytest.raises(IndexError):
         registry.remove_reference_at(df, ["k"], 3)
+
+
+def test_nulls_and_several_changes_of_a_key(spark):
+    df = spark.createDataFrame([(1, 0, "a"), (1, 1, None), (1, 2, "b")], "k int, ref_idx int, name string")
+    left = registry.remove_reference(df, ["k"], F.col("name") == "b").collect()
+    assert sorted((r["ref_idx"], r["name"]) for r in left) == [(0, "a"), (1, None)]
+    items = spark.createDataFrame([(1, False), (2, True)], "k int, exclude_video boolean")
+    changes = spark.createDataFrame([(1, True, 1), (1, False, 2), (2, None, 3)], "k int, exclude_video boolean, at int")
+    assert sorted(map(tuple, registry.set_excluded(items, changes, ["k"], "at").collect())) == [(1, False), (2, True)]
+    assert sorted(map(tuple, registry.set_excluded(items, changes, ["k"]).collect())) == [(1, True), (2, True)]
+    new = spark.createDataFrame([(1, "x", None, 1), (1, None, 5, 2), (1, "y", 4, 3), (3, "z", None, 1)], "k int, a string, b int, at int")
+    old = spark.createDataFrame([(1, "o", 1)], "k int, a string, b int")
+    assert sorted(map(tuple, registry.upsert(old, new, ["k"], ["a", "b"], "at").collect())) == [(1, "y", 4), (3, "z", None)]
+
+
+def test_references_and_stand_ins(spark):
+    df = spark.createDataFrame([(1, 0, "a"), (2, 1, "b")], "k int, ref_idx int, image string")
+    shown = spark.createDataFrame([(1,), (2,), (3,), (3,)], "k int")
+    got = registry.references(df, shown, ["k"], F.lit("none"), "image").select("k", "image", "missing")
+    assert sorted(map(tuple, got.collect())) == [(1, "a", False), (2, "none", True), (3, "none", True)]
+
+
+def test_model_column(spark):
+    from framewright.plans.models import model_column
+
+    class Mean:
+        def __call__(self, frames):
+            return [sum(f) / len(f) for f in frames]
+
+    df = spark.createDataFrame([(1, [1.0, 3.0]), (2, [5.0])], "k int, f array<double>")
+    got = df.select("k", model_column(Mean, "double", F.col("f"), batch=1).alias("m")).collect()
+    assert sorted(map(tuple, got)) == [(1, 2.0), (2, 5.0)]

@@ -99,15 +99,18 @@ def canvas_box(box: Column, width: Column, height: Column, erode: int = 2) -> Co
     )
 
 
-def morphology(df: DataFrame, frame_keys: list[str], kernel: int, mode: str, mask: str = "m", times: int = 1) -> DataFrame:
+def morphology(df: DataFrame, frame_keys: list[str], kernel: int, mode: str, mask: str = "m", times: int = 1, placed: bool = False) -> DataFrame:
     """Dilation or erosion by a square kernel, ``times`` over; an even kernel reaches one further to the left and top.
 
+    Frames are brought together once, for all windows over rows and columns; ``placed`` says that they are already.
+
     A square kernel is one window along the rows and one along the columns, so a pixel's cost does not
     grow with the kernel's area. Pixels outside the frame, and pixels that are missing, do not count.
     """
     pick = F.max if mode == "dilate" else F.min
     lo, hi = -(kernel // 2), kernel - kernel // 2 - 1
     out = df.select(*frame_keys, "x", "y", mask)
+    out = out if placed else out.repartition(*frame_keys)
     for _ in range(times):
         for along, across in (("x", "y"), ("y", "x")):
             out = out.withColumn(mask, pick(mask).over(Window.partitionBy(*frame_keys, across).orderBy(along).rangeBetween(lo, hi)))
@@ -116,7 +119,7 @@ def morphology(df: DataFrame, frame_keys: list[str], kernel: int, mode: str, mas
 
 def opened(df: DataFrame, frame_keys: list[str], kernel: int, mask: str = "m", erode: int = 1, dilate: int = 1) -> DataFrame:
     """Erosion, then dilation, each as often as asked."""
-    return morphology(morphology(df, frame_keys, kernel, "erode", mask, erode), frame_keys, kernel, "dilate", mask, dilate)
+    return morphology(morphology(df, frame_keys, kernel, "erode", mask, erode), frame_keys, kernel, "dilate", mask, dilate, placed=True)
 
 
 def dilate_prompts(df: DataFrame, frame_keys: list[str], kernels: dict[str, int], whole: int = 5, prompt: str = "prompt", mask: str = "m") -> DataFrame:

@@ -79,6 +79,45 @@ def _window_morph(mode: str, source: str, lo: int, hi: int, frame: str = "vec_id
   FROM (SELECT {frame}, x, y, {agg}(m) OVER (PARTITION BY {frame}, y ORDER BY x RANGE BETWEEN {-lo} PRECEDING AND {hi} FOLLOWING) AS m FROM {source})"""
 
 
+def _mirror(place: str, n: int) -> str:
+    return f"CASE WHEN {place} < 0 THEN -({place}) WHEN {place} >= {n} THEN {2 * (n - 1)} - ({place}) ELSE {place} END"
+
+
+def _blur(source: str, frame: str, width: int, height: int, weights: list[int], value: str) -> str:
+    half = len(weights) // 2
+    kernel = ", ".join(f"({d - half}, {w})" for d, w in enumerate(weights))
+    same = " AND ".join(f"n.{c} = g.{c}" for c in frame.split(", "))
+    own = ", ".join(f"g.{c}" for c in frame.split(", "))
+    return f"""SELECT {own}, g.y, g.x, {value} FROM {source} g, (VALUES {kernel}) kx(d, w), (VALUES {kernel}) ky(d, w), {source} n
+  WHERE {same} AND n.x = {_mirror("g.x + kx.d", width)} AND n.y = {_mirror("g.y + ky.d", height)} GROUP BY {own}, g.y, g.x"""
+
+
+_ROUNDED = "(CAST(sum(kx.w * ky.w * {v}) AS BIGINT) + 32768) >> 16"
+_SOFT_L = (
+    _C.replace("e AS (SELECT k, i, vec_id, CAST", "e0 AS (SELECT k, i, vec_id, CAST")
+    + f""", e AS ({_blur("e0", "k, i, vec_id", 11, 2, [70, 116, 70], "[" + ", ".join(_ROUNDED.format(v=f"n.bgr[{c}]") for c in (1, 2, 3)) + "] AS bgr")})"""
+    + _L[len(_C) :]
+)
+_FULL, _FIRST, _LAST = 2**64 - 1, sum(1 << (8 * y) for y in range(8)), sum(1 << (8 * y + 7) for y in range(8))
+
+
+def _grown(mask: str) -> str:
+    """An 8 x 8 mask as one number, dilated by a kernel of three."""
+    across = f"list_transform([{mask}], lambda a: a | ((a << 1) & {_FULL - _FIRST}) | ((a >> 1) & {_FULL - _LAST}))[1]"
+    return f"list_transform([{across}], lambda b: b | ((b << 8) & {_FULL}) | (b >> 8))[1]"
+
+
+def _scaled(source: str, along: str, n: str, to: str) -> str:
+    """One direction of a bilinear change of size; ``source`` has vec_id, w, h, y, x, v."""
+    other = "y" if along == "x" else "x"
+    return f"""SELECT s.vec_id, s.w, s.h, s.w2, s.h2, s.{other}, t.o AS {along}, greatest(0, least(255, (CAST(sum(t.part * s.v) AS BIGINT) + 2097152) >> 22)) AS v FROM {source} s JOIN (
+    SELECT n, m, o, x, CAST(floor(wt / sum(wt) OVER (PARTITION BY n, m, o) * 4194304 + 0.5) AS BIGINT) AS part FROM (
+      SELECT *, greatest(1 - abs((x - (o + 0.5) * n / m + 0.5) / greatest(CAST(n AS DOUBLE) / m, 1)), 0) AS wt FROM (
+        SELECT *, unnest(range(n)) AS x FROM (SELECT *, unnest(range(m)) AS o FROM (SELECT DISTINCT CAST({n} AS BIGINT) AS n, CAST({to} AS BIGINT) AS m FROM {source})))
+      WHERE x >= greatest(floor((o + 0.5) * n / m - greatest(CAST(n AS DOUBLE) / m, 1) + 0.5), 0) AND x < least(floor((o + 0.5) * n / m + greatest(CAST(n AS DOUBLE) / m, 1) + 0.5), n))
+  ) t ON t.n = s.{n} AND t.m = s.{to} AND t.x = s.{along} GROUP BY s.vec_id, s.w, s.h, s.w2, s.h2, s.{other}, t.o"""
+
+
 SQL: dict[str, str] = {
     "scan_project": "SELECT event_id, coalesce(json_extract_string(props, '$.k'), '') AS k_text, coalesce(json_extract_string(props, '$.title'), '') AS title FROM events",
     "url_expand": """SELECT page_id, host, part, has_query FROM (
@@ -324,4 +363,25 @@ h AS (SELECT p.k, p.n, p.j, a.hit AS fore, b.hit AS back FROM p JOIN s a ON a.k
 m AS (SELECT k, n, min(j) FILTER (fore) AS s, min(j) FILTER (back) AS e, count(*) AS c FROM h GROUP BY k, n),
 b AS (SELECT *, least(c, CASE WHEN s IS NULL THEN c ELSE CAST(pow(2, floor(log2(s + 1)) + 1) AS BIGINT) - 1 END) + least(c, CASE WHEN e IS NULL THEN c ELSE CAST(pow(2, floor(log2(e + 1)) + 1) AS BIGINT) - 1 END) AS n_probed FROM m)
 SELECT k, CAST(coalesce(2 * s, -1) AS BIGINT) AS start_idx, CAST(coalesce(n - 1 - 2 * e, -1) AS BIGINT) AS end_idx, n_probed FROM b""",
+    "never_changed_blurred": f"""WITH {_G}, b AS ({_blur("g", "k, i", 8, 8, [70, 116, 70], _ROUNDED.format(v="n.v") + " AS v")}),
+d AS (SELECT k, y, x, v, lag(v) OVER (PARTITION BY k, y, x ORDER BY i) AS w FROM b)
+SELECT k, y, x, NOT bool_or(coalesce({_WRAP.format(a="v", b="w")} > 15.98, false)) AS still FROM d GROUP BY k, y, x""",
+    "blurred_pixels": f"""WITH {_G}, b AS ({_blur("g", "vec_id", 8, 8, [31, 60, 74, 60, 31], _ROUNDED.format(v="n.v") + " AS v")})
+SELECT vec_id, CAST(sum(v * (x + 8 * y + 1)) AS BIGINT) AS weighted FROM b GROUP BY vec_id""",
+    "keyframes_blurred": f"""WITH {_SOFT_L}, c AS (SELECT k, i, CAST(count(*) FILTER (known AND d > 10) >= 20 AS INTEGER) AS sign FROM dist GROUP BY k, i),
+r AS (SELECT k, i, sign, sum(sign) OVER (PARTITION BY k ORDER BY i) AS island, count(*) OVER (PARTITION BY k) AS n FROM c),
+g AS (SELECT k, island, min(i) AS lo, max(i) AS hi, any_value(n) AS n FROM r WHERE sign = 0 GROUP BY k, island)
+SELECT k, lo AS start_idx, hi - 1 AS end_idx FROM g WHERE hi - lo + 1 >= 3 AND n >= 5""",
+    "movement_mask": f"""WITH {_G}, p AS (SELECT a.k, a.i, b.i AS j, CAST(sum(CASE WHEN {_WRAP.format(a="a.v", b="b.v")} > 6.9 THEN CAST(1 AS HUGEINT) << (8 * a.y + a.x) ELSE 0 END) AS HUGEINT) AS m
+  FROM g a JOIN g b ON a.k = b.k AND a.y = b.y AND a.x = b.x AND b.i BETWEEN a.i - 30 AND a.i + 1 AND b.i <> a.i GROUP BY a.k, a.i, b.i),
+fd AS (SELECT u.k, u.i, list_reduce(list_prepend(CAST(0 AS HUGEINT), coalesce(list(m ORDER BY j) FILTER (m IS NOT NULL), CAST([] AS HUGEINT[]))),
+  lambda acc, now: {_grown(_grown(f"{_FULL} - " + _grown(f"{_FULL} - (acc | now)")))}) AS m FROM (SELECT DISTINCT k, i FROM f) u LEFT JOIN p ON p.k = u.k AND p.i = u.i GROUP BY u.k, u.i)
+SELECT k, i, CAST(len(s) AS BIGINT) AS n, CAST(coalesce(list_sum(s), 0) AS BIGINT) AS places FROM (SELECT k, i, list_filter(range(64), lambda b: (m >> CAST(b AS INTEGER)) & 1 = 1) AS s FROM fd)""",
+    "resize_pixels": f"""WITH {_G}, o AS (SELECT vec_id, 3 + vec_id % 6 AS w, 6 + vec_id % 3 AS h, y, x, v FROM g WHERE x < 3 + vec_id % 6 AND y < 6 + vec_id % 3),
+z AS (SELECT *, greatest(1, CAST(round_even(w * least(12.0::DOUBLE / w, 9.0::DOUBLE / h), 0) AS BIGINT)) AS w2, greatest(1, CAST(round_even(h * least(12.0::DOUBLE / w, 9.0::DOUBLE / h), 0) AS BIGINT)) AS h2 FROM o),
+a AS ({_scaled("z", "x", "w", "w2")}), b AS ({_scaled("a", "y", "h", "h2")}), c AS ({_scaled("b", "x", "w2", "w")}), d AS ({_scaled("c", "y", "h2", "h")}),
+pad AS (SELECT vec_id, 9 - h2 + y AS y, 12 - w2 + x AS x, v FROM b UNION ALL
+  SELECT vec_id, y, x, 7 FROM (SELECT *, unnest(range(12)) AS x FROM (SELECT *, unnest(range(9)) AS y FROM (SELECT DISTINCT vec_id, w2, h2 FROM z))) WHERE x < 12 - w2 OR y < 9 - h2)
+SELECT vec_id, count(*) AS n, CAST(sum(v * (x + 12 * y + 1)) AS BIGINT) AS weighted, 'padded' AS kind FROM pad GROUP BY vec_id
+UNION ALL SELECT vec_id, count(*), CAST(sum(v * (x + 12 * y + 1)) AS BIGINT), 'back' FROM d GROUP BY vec_id""",
 }

@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 from framewright.functions import pixels as P
 from framewright.functions import text as X
-from framewright.operators import masks, probing, registry, series, splits, tags
+from framewright.operators import filters, masks, movement, probing, registry, series, splits, tags
 from framewright.plans import stages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -770,3 +770,47 @@ def process_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = rows.select("k").distinct().select("k", (F.col("k") == 7).alias("processed"), lists.alias("video_processor"), F.lit(2).cast("long").alias("start_frame_idx"))
     done = stages.process(items, rows, ["k"])
     return done.groupBy("k", "i").agg(F.count("*").alias("n"), F.sum(F.col("v") * (F.col("x") + 8 * F.col("y") + 1)).alias("weighted"), F.count_if("m").alias("n_masked"))
+
+
+# Blur, movement and sizes
+
+
+@query
+def never_changed_blurred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return masks.never_changed(filters.blurred(grid(spark, sf_dir), ["k", "i"]), ["k"], ["y", "x"], threshold=15.98)
+
+
+@query
+def blurred_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A kernel of five, which reaches beyond both borders of narrow frames."""
+    soft = filters.blurred(grid(spark, sf_dir), ["vec_id"], size=5, sigma=1.5)
+    return soft.groupBy("vec_id").agg(F.sum(F.col("v") * (F.col("x") + 8 * F.col("y") + 1)).alias("weighted"))
+
+
+@query
+def keyframes_blurred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    soft = filters.blurred(colors(spark, sf_dir), ["k", "i"], "bgr", channels=3)
+    labs_ = soft.withColumn("lab", P.bgr_to_lab(F.col("bgr"))).drop("bgr")
+    return series.keyframes(labs_, ["k"], ["y", "x"], "lab", diff=10, changes=20, channels=True)
+
+
+@query
+def movement_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Differences in a window, each eroded and dilated into the mask."""
+    found = movement.movement_masks(grid(spark, sf_dir), ["k"], threshold=6.9)
+    return found.groupBy("k", "i").agg(F.count_if("m").alias("n"), F.sum(F.when(F.col("m"), F.col("x") + 8 * F.col("y")).otherwise(0)).alias("places"))
+
+
+def _sized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames cut to a size of their own, from 3 x 6 to 8 x 8."""
+    w, h = (3 + F.col("vec_id") % 6).cast("int"), (6 + F.col("vec_id") % 3).cast("int")
+    return grid(spark, sf_dir).select("vec_id", w.alias("w"), h.alias("h"), "y", "x", "v").where("x < w and y < h")
+
+
+@query
+def resize_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames fitted into 12 x 9 and padded, and brought back to their size."""
+    there = filters.padded(_sized(spark, sf_dir), ["vec_id"], ("w", "h"), 12, 9, fill=7, kind="bilinear")
+    back = filters.unpadded(there, ["vec_id"], ("w", "h"), 12, 9, kind="bilinear")
+    total = lambda df, kind: df.groupBy("vec_id").agg(F.count("*").alias("n"), F.sum(F.col("v") * (F.col("x") + 12 * F.col("y") + 1)).alias("weighted")).withColumn("kind", F.lit(kind))
+    return total(there, "padded").unionByName(total(back, "back"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from framewright.operators import registry, splits
 from framewright.plans import catalog
 from framewright.queries import query, recordings, table
-from framewright.sources import readers, writers
+from framewright.sources import readers, versions, writers
 from framewright.sources.scratch import scratch_path
 
 
@@ -146,7 +146,7 @@ def process_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     catalog.process_registry(spark, base, only=("youtube", "1"))
     catalog.process_registry(spark, base, override=("reference", "{}"))
     stored = catalog.read_processed(spark, base).groupBy("k").agg(F.count("*").alias("n"), F.sum("v").alias("total"))
-    flags = readers.read_registry(spark, f"{base}/registry", catalog.REGISTRY).select(F.concat_ws(":", "source", "video_id").alias("k"), "processed")
+    flags = versions.read(spark, f"{base}/registry", catalog.REGISTRY).select(F.concat_ws(":", "source", "video_id").alias("k"), "processed")
     return flags.join(stored, "k", "left")
 
 

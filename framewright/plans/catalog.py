@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from framewright.operators import registry, splits
 from framewright.plans import stages
-from framewright.sources import readers, writers
+from framewright.sources import readers, versions, writers
 
 log = logging.getLogger(__name__)
 REGISTRY = (
@@ -28,7 +28,7 @@ def register_files(spark: SparkSession, base: str, files: list[str], catalog: Da
     """Add the items of JSON-lines files to the registry under ``base``.
 
     Of equal ids the first stays, by the order of the files given and of their lines. Files that do not
-    exist are reported and left out, and so are those with another suffix.
+    exist are reported and left out, and so are those with another suffix. Jobs that register at the same time all keep their rows.
     """
     usable = []
     for f in files:
@@ -38,15 +38,17 @@ def register_files(spark: SparkSession, base: str, files: list[str], catalog: Da
             log.warning("%s is not a .jsonl file", f)
         else:
             usable.append(f)
-    known = readers.read_registry(spark, f"{base}/registry", REGISTRY)
     if not usable:
-        return known
+        return versions.read(spark, f"{base}/registry", REGISTRY)
     items = readers.read_items(spark, usable[0])
     for n, f in enumerate(usable[1:], 1):
         items = items.unionByName(readers.read_items(spark, f, n))
-    added = registry.register(items, catalog, known, order=["catalog_file", "line", "id"]).select(*COLUMNS)
-    writers.save_registry(known.unionByName(added), f"{base}/registry")
-    return readers.read_registry(spark, f"{base}/registry", REGISTRY)
+
+    def with_new(known: DataFrame) -> DataFrame:
+        return known.unionByName(registry.register(items, catalog, known, order=["catalog_file", "line", "id"]).select(*COLUMNS))
+
+    versions.update(spark, f"{base}/registry", REGISTRY, with_new)
+    return versions.read(spark, f"{base}/registry", REGISTRY)
 
 
 def mark_processed(spark: SparkSession, base: str, done: DataFrame) -> None:
@@ -57,7 +59,7 @@ def mark_processed(spark: SparkSession, base: str, done: DataFrame) -> None:
         rest = known.join(flags, ["source", "video_id"], "left")
         return rest.withColumn("processed", F.coalesce("processed", F.lit(False)) | F.coalesce("__done", F.lit(False))).select(*COLUMNS)
 
-    writers.save_registry(marked(readers.read_registry(spark, f"{base}/registry", REGISTRY)), f"{base}/registry")
+    versions.update(spark, f"{base}/registry", REGISTRY, marked)
 
 
 COMMIT = "source string, video_id string, run string, marks boolean, n_rows long, " + ", ".join(f"{c} {t}" for c, t in stages.STATE.items())
@@ -108,7 +110,7 @@ def vacuum(spark: SparkSession, base: str, hours: float = ORPHAN_HOURS) -> list[
 
 def settle(spark: SparkSession, base: str) -> None:
     """Mark what an earlier run committed and did not come to mark."""
-    open_ = registry.unprocessed(readers.read_registry(spark, f"{base}/registry", REGISTRY)).select("source", "video_id")
+    open_ = registry.unprocessed(versions.read(spark, f"{base}/registry", REGISTRY)).select("source", "video_id")
     left = read_commits(spark, base).where("ever").join(open_, ["source", "video_id"], "left_semi")
     if left.limit(1).count():
         mark_processed(spark, base, left)
@@ -140,7 +142,7 @@ def process_registry(spark: SparkSession, base: str, only: tuple[str, str] | Non
     source:video_id. What an earlier run found out of an item, its range or canvas, stays known.
     """
     settle(spark, base)
-    items = readers.read_registry(spark, f"{base}/registry", REGISTRY)
+    items = versions.read(spark, f"{base}/registry", REGISTRY)
     if only is not None:
         items = registry.lookup(items, *only)
     if override is not None:
@@ -178,7 +180,7 @@ def export_pipelines(spark: SparkSession, bases: list[str], out: str, **options)
 def export_split(spark: SparkSession, base: str, out: str, split_file: str | None = None, train: float = 0.8, evaluate: float = 0.1, seed: int = 42, only_listed: bool = False, mode: str = "errorifexists") -> None:
     """Eligible items with their frames, by split."""
     frames = spark.read.parquet(f"{base}/frames")
-    kept = registry.eligible(readers.read_registry(spark, f"{base}/registry", REGISTRY), frames, ["source", "video_id"]).select("source", "video_id")
+    kept = registry.eligible(versions.read(spark, f"{base}/registry", REGISTRY), frames, ["source", "video_id"]).select("source", "video_id")
     listed = readers.read_split_file(spark, split_file) if split_file else None
     assigned = splits.assign_split(kept, listed, ["source", "video_id"], "video_id", train, evaluate, seed, only_listed)
     splits.export_split(frames.join(assigned, ["source", "video_id"]), out, mode)
@@ -187,7 +189,7 @@ def export_split(spark: SparkSession, base: str, out: str, split_file: str | Non
 def export_folds(spark: SparkSession, base: str, out: str, n: int = 5, seed: int = 42) -> None:
     """Eligible items with their frames, once a fold."""
     frames = spark.read.parquet(f"{base}/frames")
-    kept = registry.eligible(readers.read_registry(spark, f"{base}/registry", REGISTRY), frames, ["source", "video_id"]).select("source", "video_id")
+    kept = registry.eligible(versions.read(spark, f"{base}/registry", REGISTRY), frames, ["source", "video_id"]).select("source", "video_id")
     dealt = splits.fold_sets(splits.folds(kept, "source", "video_id", n, seed), n).drop("chunk")
     splits.export_folds(frames.join(dealt, ["source", "video_id"]), out)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from framewright.operators import masks, series
 from framewright.plans import catalog, stages
-from framewright.sources import readers, writers
+from framewright.sources import versions, writers
 
 FRAMES = "k long, i long, y int, x int, v long, m boolean, hit boolean, box array<double>, logo boolean, logo_removed boolean"
 ITEMS = "k long, video_processor array<struct<name:string,config:string>>, processed boolean"
@@ -171,7 +171,7 @@ def stored(spark, base):
 
 
 def flags(spark, base):
-    return {r.video_id: r.processed for r in readers.read_registry(spark, f"{base}/registry", catalog.REGISTRY).collect()}
+    return {r.video_id: r.processed for r in versions.read(spark, f"{base}/registry", catalog.REGISTRY).collect()}
 
 
 def test_an_item_processed_twice_is_stored_once(spark, tmp_path):

@@ -3,11 +3,13 @@
 A page becomes a tree of elements. Each paragraph passes points for its length and commas to its
 container, half of them to the next ancestor, a quarter to the one after it and so on; the share of
 link text discounts them. The best container is kept together with those siblings that score near
-it or read like prose. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
-and reader comments take no part, by element and by class, id or role.
+it or read like prose; where it lies in one of several boxes of one kind, their parent stands for all. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
+and reader comments take no part, by element and by class, id or role; a menu, form or the like that
+holds most of the page's prose and its article is read after all. Hidden is what the attributes hidden, aria-hidden or
+style say, not a name.
 
 A block's white space becomes one space; blocks are joined by one line feed. Null and empty pages
-give the empty string; broken markup is closed as browsers do; plain text is one block. The text is
+give the empty string; open paragraphs, items, cells and heads end where browsers end them; plain text is one block. The text is
 never cut, and the work grows with the page's length however deep its elements nest. Rows are
 independent, so repeated rows and extra columns need no special treatment.
 """
@@ -23,12 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>])*+)(?:>|\Z)", re.S)
-_NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
-_SKIP = frozenset(
-    "script style noscript template svg math iframe object embed canvas video audio head title nav header footer aside form button input select textarea dialog menu map".split()
-)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:=\s*+(?:\"[^\"]*\"|'[^']*')?+|[^>=])*+)(?:>|\Z)", re.S)
+#: A name and, in one of three forms, a value; a quote opens a string behind an equals sign alone.
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))?)?""")
+_UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
+_SKIP = frozenset("script style noscript template svg math iframe object embed canvas video audio head title footer button input select textarea map".split())
+#: Left out as well, unless the page's article turns out to lie in one, as in a form around the page or a menu that never ends.
+_SOFT = frozenset("nav header aside form dialog menu".split())
+#: What an open head may hold; anything else ends it.
+_HEAD = frozenset("head base link meta title noscript style script template".split())
 _RAW = frozenset("script style textarea title noscript template iframe xmp".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
@@ -50,6 +55,9 @@ _CONTENT = frozenset("html body article main".split())
 _STATED = re.compile(r"(?<![A-Za-z0-9])(?:no|not|non|without|with|has|have)[_-](?:(?:left|right|top|bottom|sticky|fixed|main|primary)[_-])?[^\s_-]+", re.I)
 _READERS = re.compile(r"(?:^|[\s_-])(?:comments?|comment-?list|disqus|replies|respond)(?:$|[\s_-])", re.I)
 _HEADS = frozenset("h1 main article".split())
+#: So many boxes of one kind beside each other are parts of one text.
+_ALIKE = 3
+_TITLES = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: More characters than this outside links read like prose.
 _PROSE = 80
 #: End tags by name, searched in the page itself: lower() may change a text's length.
@@ -62,18 +70,23 @@ def main_text(html: str) -> str:
     return _read(html, wrappers)[0] if wrappers else text
 
 
-def _wrappers(parents: list[int], named: list[int], labels: dict[int, str], amount: dict[int, int], prose: set[int], heads: list[tuple[int, str]]) -> frozenset[int]:
+def _wrappers(parents: list[int], named: list[int], labels: dict[int, str], amount: dict[int, int], prose: set[int], heads: list[tuple[int, str]], soft: set[int]) -> frozenset[int]:
     """Of the elements left out by name (``labels``), those that hold more than half of the text and, with what
-    lies around them, the page's only heading, main or article, or its only prose. 0 stands for the page in ``amount``
+    lies around them, the page's only heading, main or article, or its only prose. Those left out as elements (``soft``) must
+    hold prose, and their text does not count against the others. 0 stands for the page in ``amount``
     and ``prose``, which count what belongs to each such element alone; ``named`` gives each node's innermost one.
     Nodes are numbered in page order, so the parts of a node are the numbers up to its last one."""
     inside = dict.fromkeys(labels, 0) | amount
+    plain = {node: 0 if node in soft else n for node, n in inside.items()}
+    reads = dict.fromkeys(labels, False) | dict.fromkeys(prose, True)
     for node in sorted(labels, reverse=True):  # children come after their parents
-        inside[up] = inside.get(up := named[parents[node]], 0) + inside[node]
+        up = named[parents[node]]
+        inside[up] = inside.get(up, 0) + inside[node]
+        plain[up] = plain.get(up, 0) + plain[node]
+        reads[up] = reads.get(up, False) or reads[node]
     last = list(range(len(parents)))
     for node in range(len(parents) - 1, 0, -1):
         last[parents[node]] = max(last[parents[node]], last[node])
-    total = inside.get(0, 0)
     single = sum(tag == "article" for _, tag in heads) == 1
     owners = sorted(named[node] for node, tag in heads if tag != "article" or single)
     headers = {named[node] for node, _ in heads}
@@ -82,7 +95,8 @@ def _wrappers(parents: list[int], named: list[int], labels: dict[int, str], amou
     outside, around = False, 0  # is a heading's owner, and what else, around the node at hand?
     bare = True
     for node in sorted(labels):
-        if 2 * inside[node] <= total:
+        share = inside if node in soft else plain
+        if 2 * share[node] <= share.get(0, 0) or (node in soft and not reads[node]):
             continue
         outside |= around in owning
         bare &= around not in prose and around not in headers
@@ -100,7 +114,9 @@ def _read(html: str, spared: frozenset[int]) -> tuple[str, frozenset[int]]:
     tags, parents, dropped = ["#root"], [-1], [False]
     # For each node the innermost element left out by name, 0 if none; what belongs to each alone.
     named, labels, amount, prose, heads = [0], {}, {}, set(), []
+    soft: set[int] = set()
     hard = [False]
+    classes = [""]
     stack = [0]
     # For each place of the stack: the innermost block, and the innermost open element of each name that a start tag may end.
     held, ends = [0], [{}]
@@ -131,6 +147,8 @@ def _read(html: str, spared: frozenset[int]) -> tuple[str, frozenset[int]]:
 
     def add(text: str) -> None:
         nonlocal linked
+        if tags[stack[-1]] == "head" and text.strip():
+            close(len(stack) - 1)
         if text and not spared and not links and not hard[stack[-1]]:
             own, size = named[stack[-1]], len(text.strip())
             amount[own] = amount.get(own, 0) + size
@@ -161,6 +179,9 @@ def _read(html: str, spared: frozenset[int]) -> tuple[str, frozenset[int]]:
             if (places := open_at.get(name)) and (name in _BLOCK or places[-1] > held[-1]):
                 close(places[-1])
             continue
+        if name not in _HEAD and (places := open_at.get("head")) and not open_at.get("svg"):
+            flush()
+            close(places[-1])
         if name == "br":
             add(" ")
             continue
@@ -177,11 +198,17 @@ def _read(html: str, spared: frozenset[int]) -> tuple[str, frozenset[int]]:
                 close(at)
         attributes = found[3]
         out = hard[stack[-1]] or name in _SKIP
-        label = ""
+        label = kind = ""
         if attributes and not out:
-            label = _STATED.sub(" ", " ".join(a or b or c for _, a, b, c in _NAMES.findall(attributes)))
+            values = {n.lower(): a or b or c for n, a, b, c in reversed(_ATTRIBUTE.findall(attributes))}  # the first of a name counts
+            kind = values.get("class", "")
+            label = _STATED.sub(" ", " ".join(values[n] for n in ("class", "id", "role") if n in values))
             label = label if label and _UNLIKELY.search(label) else ""
-            out = name not in _CONTENT and bool(_HIDDEN.search(attributes))
+            unseen = values.get("hidden", "false").lower() != "false" or values.get("aria-hidden", "").lower() == "true" or _UNSEEN.search(values.get("style", ""))
+            out = name not in _CONTENT and bool(unseen)
+        if not out and name in _SOFT:
+            label = label or name
+            soft.add(len(tags))
         drop = out or dropped[stack[-1]] or bool(label and name not in _CONTENT and len(tags) not in spared)
         if attributes.endswith("/") and name not in _BLOCK:
             continue
@@ -190,6 +217,7 @@ def _read(html: str, spared: frozenset[int]) -> tuple[str, frozenset[int]]:
         parents.append(stack[-1])
         dropped.append(drop)
         hard.append(out)
+        classes.append(kind)
         named.append(named[parents[node]])
         if label and not out and name not in _CONTENT:
             named[node] = node
@@ -208,22 +236,28 @@ def _read(html: str, spared: frozenset[int]) -> tuple[str, frozenset[int]]:
                 break
             pos = end.start()
     flush()
-    wrappers = _wrappers(parents, named, labels, amount, prose, heads) if labels and not spared else frozenset()
+    wrappers = _wrappers(parents, named, labels, amount, prose, heads, soft) if labels and not spared else frozenset()
     if not blocks:
         return "", wrappers
 
     # What a node passes to its container, and what lies in it, from the leaves up.
     score = [0.0] * len(tags)
+    whole = [0.0] * len(tags)
     volume = [0] * len(tags)
     link_volume = [0] * len(tags)
     for at, text, in_links in blocks:
         volume[at] += len(text)
         link_volume[at] += in_links
         points = 1 + text.count(",") + text.count("，") + min(len(text) / 100, 3)
-        score[parents[at] if tags[at] in _PARAGRAPH else at] += points * (1 - min(1.0, in_links / len(text)))
+        points *= 1 - min(1.0, in_links / len(text))
+        score[parents[at] if tags[at] in _PARAGRAPH else at] += points
+        whole[at] += points
+    children: list[list[int]] = [[] for _ in tags]
     for node in range(len(tags) - 1, 0, -1):
         up = parents[node]
+        children[up].append(node)
         score[up] += score[node] / 2
+        whole[up] += whole[node]
         volume[up] += volume[node]
         link_volume[up] += link_volume[node]
     density = [link_volume[i] / volume[i] if volume[i] else 0.0 for i in range(len(tags))]
@@ -235,13 +269,22 @@ def _read(html: str, spared: frozenset[int]) -> tuple[str, frozenset[int]]:
     while node > 0 and tags[node] != "article":
         node = parents[node]
     best = max(node, 0) or best
-    kept = {best}
+    # Boxes of one kind are parts of one text, however deep in them the best one lies.
+    alike: list[int] = []
+    node = best
+    while node > 0 and tags[best] != "article":
+        up = parents[node]
+        boxes = [c for c in children[up] if tags[c] == tags[node] and classes[c] == classes[node] and not dropped[c] and whole[c] > 0 and density[c] < 0.25]
+        if tags[node] in _BLOCK and tags[node] not in _PARAGRAPH and len(boxes) >= _ALIKE and 3 * whole[node] <= 2 * sum(whole[c] for c in boxes):
+            best, alike = (node, boxes) if tags[up] in ("#root", "html", "body") else (up, [])
+        node = up
+    kept = {best, *alike}
     if best:
         near = max(10.0, 0.2 * final[best])
-        for i in range(len(tags)):
-            if parents[i] == parents[best] and i != best and not dropped[i] and volume[i]:
+        for i in children[parents[best]]:
+            if i != best and not dropped[i] and volume[i]:
                 prose = tags[i] == "p" and volume[i] > 80 and density[i] < 0.25
-                if final[i] >= near or prose:
+                if final[i] >= near or prose or (alike and tags[i] in _TITLES):
                     kept.add(i)
     inside = [False] * len(tags)
     for i in range(len(tags)):

@@ -103,13 +103,14 @@ def plain_main_text(root):
         nodes.append([*path, len(nodes)])
         own = nodes[-1]
         tags.append(tag)
+        names.append(name)
         for child in children:
             if tag == "a":
                 walk(child, path, True)
             else:
                 walk(child, own, linked)
 
-    tags = []
+    tags, names = [], []
     walk(root, [], False)
     size = {}
     for own in nodes:
@@ -122,9 +123,17 @@ def plain_main_text(root):
             points += 0 if is_link or level < 0 else (1 + text.count(",") + min(len(text) / 100, 3)) / 2**level
         size[own[-1]] = (points * (1 - links / volume) if volume else 0.0, volume, links / volume if volume else 0.0)
     best = max(nodes, key=lambda own: (size[own[-1]][0], own[-1]))
-    kept = [best]
     if size[best[-1]][0] <= 0:
         return "\n".join(t for _, t, _ in blocks)
+    # Three boxes of one kind or more, of which none has more than two thirds: up to their parent.
+    whole = {own[-1]: sum((1 + t.count(",") + min(len(t) / 100, 3)) * (not link) for path, t, link in blocks if path[: len(own)] == own) for own in nodes}
+    path = best
+    while len(path) > 1:
+        boxes = [o for o in nodes if o[:-1] == path[:-1] and tags[o[-1]] == tags[path[-1]] and names[o[-1]] == names[path[-1]] and whole[o[-1]] > 0 and size[o[-1]][2] < 0.25]
+        if tags[path[-1]] in ("div", "section") and len(boxes) >= 3 and 3 * whole[path[-1]] <= 2 * sum(whole[o[-1]] for o in boxes):
+            best = path[:-1]
+        path = path[:-1]
+    kept = [best]
     for own in nodes:
         points, volume, density = size[own[-1]]
         if own[:-1] == best[:-1] and own != best and volume and best[:-1]:
@@ -164,3 +173,56 @@ def test_work_grows_with_the_page():
             began = time.time()
             html_text.main_text(page)
             assert time.time() - began < n / 8000
+
+
+ARTICLE = [f"Paragraph {n} of the article, with a comma, and enough words to be read as prose by anyone who reads it." for n in range(6)]
+WHOLE = "\n".join(["Title", *ARTICLE])
+INNER = "<h1>Title</h1>" + "".join(f"<p>{t}</p>" for t in ARTICLE)
+MENU = "<ul><li><a href='/a'>menu</a></li><li><a href='/b'>more</a></li></ul>"
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f"<body><div class='overflow-hidden'>{INNER}</div></body>",
+        f"<body><div style='overflow: hidden'>{INNER}</div></body>",
+        f"<body><div data-sidebar='hidden'>{INNER}</div></body>",
+        f"<body><div class='hidden-print' title='a hidden aria-hidden=true thing'>{INNER}</div></body>",
+        f"<body><div aria-hidden='false' data-hidden>{INNER}</div></body>",
+        f"<html><head><title>t</title><meta charset='utf-8'><body><div>{INNER}</div></body></html>",
+        f"<html><head><title>t</title><link href='x'><div>{INNER}</div></html>",
+        f"<body><form action='/x'><nav>{MENU}</nav><div>{INNER}</div><input name='q'></form></body>",
+        f"<body><nav>{MENU}<div>{INNER}</div></body>",
+        f"<body><nav>{MENU}<article>{INNER}</article></body>",
+        f"<body><aside><div>{INNER}</div></body>",
+        f"<body><header><h2>Site</h2></header><div class=\"c\"\">{INNER}</div></body>",
+        f"<body><div class='c' '>{INNER}</div><div id=x\" y=>end</div></body>",
+        f"<body><div class=a=b \"quoted\" x = 'y>z'>{INNER}</div></body>",
+    ],
+)
+def test_articles_in_odd_markup_are_whole(html):
+    assert main_text(html) == WHOLE
+
+
+def sections(wrap, counts=(1, 5, 2, 4, 3, 1)):
+    texts = [[f"Section {n}, paragraph {i}, with words enough to be read as prose by anyone who reads it." for i in range(c)] for n, c in enumerate(counts)]
+    return "".join(wrap("".join(f"<p>{t}</p>" for t in own)) for own in texts), "\n".join(t for own in texts for t in own)
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3, 4])
+@pytest.mark.parametrize("around", ["<div class='page'><h1>Title</h1>{}</div>", "<h1>Title</h1>{}", "<div><div class='inner'><h1>Title</h1>{}</div><div class='sidebar'><p>x, y, z</p></div></div>"])
+def test_sections_in_boxes_are_all_kept(depth, around):
+    names = ["row", "col", "text", "box"][:depth]
+    body, want = sections(lambda inner: "".join(f"<div class='{n}'>" for n in names) + inner + "</div>" * depth)
+    assert main_text("<body>" + around.format(body) + "<div class='footer'>end</div></body>") == f"Title\n{want}"
+
+
+def test_what_is_hidden_stays_out():
+    for mark in ("hidden", "hidden=''", "aria-hidden=true", "style='color: red; display : none'", "style='visibility:hidden'", "HIDDEN"):
+        assert main_text(f"<body><div>{INNER}</div><div {mark}><p>{PROSE}</p><p>{PROSE}</p></div></body>") == WHOLE
+
+
+def test_menus_forms_and_asides_beside_the_article_stay_out():
+    long = "".join(f"<p>{PROSE}</p>" for _ in range(3))
+    for name in ("nav", "form", "aside", "header", "footer", "dialog", "menu"):
+        assert main_text(f"<body><{name}>{long}</{name}><div>{INNER}</div><{name}>{long}</{name}></body>") == WHOLE

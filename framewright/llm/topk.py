@@ -4,10 +4,12 @@ A score is the sum of two partial scores: that over the half of the components w
 the table (the head), and that over the rest (the tail). Queries meet candidates block by block.
 
 Phase 1 gathers local lists: of each candidate block the k best heads of every query, with their whole
-scores, merged to k a query within a task. The k-th best of all lists is a safe cutoff. Phase 2 sends
+scores, merged to k a query within a task. The k-th best (score, id) of all lists is a safe cutoff; a pair that ties
+with its score and has a larger id is out. Phase 2 sends
 the cutoff back to all blocks. There a block is passed over if the lengths of its longest vector and
 the queries cannot reach it, and a pair goes on only if its head and the largest tail that the lengths
-of both tails allow reach it. Phase 3 resolves the tails of the remaining pairs, and no others, exactly.
+of both tails allow reach it. Phase 3 resolves the tails of the remaining pairs, and no others, exactly, and again
+gives k a query and task at most, however many scores are equal.
 
 Equal vectors are one entry that keeps its k + 1 smallest ids, as many as any query can report. Blocks
 hold ``BLOCK`` entries and there are as many parts as blocks, up to the session's shuffle width; query
@@ -105,16 +107,35 @@ def _length(x: np.ndarray) -> np.ndarray:
     return np.sqrt((x.astype(np.float64) ** 2).sum(axis=1)) * (1 + 1e-9) + 1e-6
 
 
-def best_heads(q: np.ndarray, c: np.ndarray, ok: np.ndarray, k: int) -> np.ndarray:
-    """Phase 1: whole scores int64[queries, up to k] of each query's k best heads; the lowest number where there are fewer."""
+def _largest(values: np.ndarray, k: int) -> np.ndarray:
+    """Columns of each row's k largest values; of equals the first ones, so that ties agree on the smallest ids."""
+    if k >= values.shape[1]:
+        return np.tile(np.arange(values.shape[1]), (len(values), 1))
+    cols = np.argpartition(~values, k - 1, axis=1)[:, :k]
+    least = np.take_along_axis(values, cols, axis=1).min(axis=1, keepdims=True)
+    tied = np.flatnonzero((values >= least).sum(axis=1) > k)
+    for row in tied.tolist():
+        more = np.flatnonzero(values[row] > least[row])
+        cols[row] = np.concatenate([more, np.flatnonzero(values[row] == least[row])[: k - len(more)]])
+    return cols
+
+
+def merged(score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's k best (score, id), larger scores and then smaller ids first."""
+    by = np.lexsort((ids, ~score), axis=1)[:, :k]
+    return np.take_along_axis(score, by, axis=1), np.take_along_axis(ids, by, axis=1)
+
+
+def best_heads(q: np.ndarray, c: np.ndarray, ok: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Phase 1: whole scores int64[queries, up to k] of each query's k best heads, and their columns; the lowest number where there are fewer."""
     (q_head, q_tail), (c_head, c_tail) = _halves(q), _halves(c)
     head = _product(q_head, c_head)
     lowest = np.iinfo(np.int64).min
     best = min(k, len(c))
-    cols = np.argpartition(-np.where(ok, head, lowest // 2), best - 1, axis=1)[:, :best]
+    cols = _largest(np.where(ok, head, lowest // 2), best)
     rows = np.repeat(np.arange(len(q)), best)
     score = head[rows, cols.ravel()] + _pairs(q_tail, c_tail, rows, cols.ravel())
-    return np.where(ok[rows, cols.ravel()], score, lowest).reshape(len(q), best)
+    return np.where(ok[rows, cols.ravel()], score, lowest).reshape(len(q), best), cols
 
 
 def above(q: np.ndarray, c: np.ndarray, cutoff: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
@@ -152,50 +173,80 @@ def _allowed(query_ids: np.ndarray, first: np.ndarray, ids: np.ndarray) -> np.nd
     return ok
 
 
-def _local_lists(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lowest = np.iinfo(np.int64).min
-        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+class _Held:
+    """Lists of query blocks, merged to k a query, of ``HELD`` blocks at a time."""
+
+    def __init__(self, k: int) -> None:
+        self.k, self.lists = k, {}
+
+    def put(self, key: int, qid: np.ndarray, score: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if key in self.lists:
+            _, old, old_ids = self.lists.pop(key)
+            score, ids = np.concatenate([old, score], axis=1), np.concatenate([old_ids, ids], axis=1)
+        elif len(self.lists) == HELD:
+            yield self.out(next(iter(self.lists)))
+        self.lists[key] = qid, *merged(score, ids, self.k)
 
-        def lists(key: int) -> pa.RecordBatch:
-            qid, best = held.pop(key)
-            rows, cols = np.nonzero(best > lowest)
-            return pa.RecordBatch.from_arrays([pa.array(qid[rows]), pa.array(best[rows, cols])], ["query_id", "score"])
+    def out(self, key: int) -> pa.RecordBatch:
+        qid, score, ids = self.lists.pop(key)
+        rows, cols = np.nonzero(score > np.iinfo(np.int64).min)
+        return pa.RecordBatch.from_arrays([pa.array(qid[rows]), pa.array(ids[rows, cols]), pa.array(score[rows, cols])], ["query_id", "vec_id", "score"])
 
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        for key in list(self.lists):
+            yield self.out(key)
+
+
+def _local_lists(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _Held(k)
         for batch in batches:
             for row in batch.to_pylist():
                 qid = np.array(row["q_ids"], np.int64)
                 first, ids = np.array(row["first"]), np.array(row["ids"], np.int64)
                 q, c = _matrix(row["q_matrix"], len(qid), row["dim"]), _matrix(row["matrix"], len(first) - 1, row["dim"])
-                best = best_heads(q, c, _allowed(qid, first, ids), k)
-                if row["block"] in held:
-                    best = np.concatenate([held.pop(row["block"])[1], best], axis=1)
-                    best = -np.sort(-best, axis=1)[:, :k] if best.shape[1] > k else best
-                elif len(held) == HELD:
-                    yield lists(next(iter(held)))
-                held[row["block"]] = qid, best
-        for key in list(held):
-            yield lists(key)
+                score, cols = best_heads(q, c, _allowed(qid, first, ids), k)
+                # An entry's smallest id but the query's own.
+                own = ids[first[cols]]
+                other = ids[np.minimum(first[cols] + 1, first[cols + 1] - 1)]
+                yield from held.put(row["block"], qid, score, np.where(own == qid[:, None], other, own))
+        yield from held.rest()
 
     return run
 
 
-def _above():
+def _listed(rows: np.ndarray, score: np.ndarray, ids: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs as lists of up to k a row, padded with the lowest number."""
+    by = np.lexsort((ids, ~score, rows))
+    rows, score, ids = rows[by], score[by], ids[by]
+    begin = np.searchsorted(rows, np.arange(n))
+    at = np.arange(len(rows)) - begin[rows]
+    out, out_ids = np.full((n, k), np.iinfo(np.int64).min), np.zeros((n, k), np.int64)
+    kept = at < k
+    out[rows[kept], at[kept]], out_ids[rows[kept], at[kept]] = score[kept], ids[kept]
+    return out, out_ids
+
+
+def _above(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lowest = np.iinfo(np.int64).min
+        limits = np.iinfo(np.int64)
+        held = _Held(k)
         for batch in batches:
             for row in batch.to_pylist():
                 qid = np.array(row["q_ids"], np.int64)
-                cutoff = np.array([lowest if t is None else t for t in row["cutoffs"]], np.int64)
+                cutoff = np.array([limits.min if t is None else t["score"] for t in row["cutoffs"]], np.int64)
+                last = np.array([limits.max if t is None else t["vec_id"] for t in row["cutoffs"]], np.int64)
                 first, ids = np.array(row["first"]), np.array(row["ids"], np.int64)
                 rows, cols, score, _ = above(_matrix(row["q_matrix"], len(qid), row["dim"]), _matrix(row["matrix"], len(first) - 1, row["dim"]), cutoff)
+                # What only ties with the cutoff must not have a larger id; an entry's ids ascend.
+                open_ = (score > cutoff[rows]) | (ids[first[cols]] <= last[rows])
+                rows, cols, score = rows[open_], cols[open_], score[open_]
                 count = np.diff(first)[cols]
                 at = np.repeat(first[cols] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-                query, found = np.repeat(qid[rows], count), ids[at]
-                other = query != found
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(query[other]), pa.array(found[other]), pa.array(np.repeat(score, count)[other])], ["query_id", "vec_id", "score"]
-                )
+                rows, score, found = np.repeat(rows, count), np.repeat(score, count), ids[at]
+                other = qid[rows] != found
+                yield from held.put(row["block"], qid, *_listed(rows[other], score[other], found[other], len(qid), k))
+        yield from held.rest()
 
     return run
 
@@ -220,7 +271,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     entries = materialize(entries, "topk-entries")
     width = max(1, min(parts(spark), -(-entries.count() // BLOCK)))
     order = by_energy(entries)
-    blocks = materialize(entries.select("ids", "v").repartition(width).mapInArrow(_pack(BLOCK, order), _PACKED), "topk-blocks")
+    blocks = materialize(entries.select("ids", "v").repartition(width).sortWithinPartitions(F.get("ids", F.lit(0))).mapInArrow(_pack(BLOCK, order), _PACKED), "topk-blocks")
     asked = queries.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull()).select("vec_id", "v").dropDuplicates(["vec_id", "v"])
     asked = materialize(asked, "topk-queries")
     n_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
@@ -232,9 +283,10 @@ def search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         everywhere = query_blocks.withColumn("q_part", F.explode(F.sequence(F.lit(0), F.lit(width - 1))))
         return everywhere.hint("shuffle_hash").join(blocks, (F.col("q_part") == F.col("part")) & (F.col("q_dim") == F.col("dim")))
 
-    lists = meet(packed).select("block", "dim", "q_ids", "q_matrix", "first", "ids", "matrix").mapInArrow(_local_lists(k), "query_id long, score long")
-    top = lists.withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score")))).where(F.col("r") <= k)
-    cutoff = top.groupBy("query_id").agg(F.when(F.count("*") == k, F.min("score")).alias("cutoff"))
+    lists = meet(packed).select("block", "dim", "q_ids", "q_matrix", "first", "ids", "matrix").mapInArrow(_local_lists(k), "query_id long, vec_id long, score long")
+    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    top = lists.withColumn("r", F.row_number().over(ranked)).where(F.col("r") <= k)
+    cutoff = top.groupBy("query_id").agg(F.max(F.when(F.col("r") == k, F.struct("score", "vec_id"))).alias("cutoff"))
     # Cutoffs ride with their query block, in the order of its ids.
     keyed = packed.select("block", F.posexplode("q_ids").alias("i", "query_id"))
     carried = (
@@ -244,8 +296,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     )
     found = (
         meet(packed.join(carried, "block"))
-        .select("dim", "q_ids", "q_matrix", "cutoffs", "first", "ids", "matrix")
-        .mapInArrow(_above(), "query_id long, vec_id long, score long")
+        .select("block", "dim", "q_ids", "q_matrix", "cutoffs", "first", "ids", "matrix")
+        .mapInArrow(_above(k), "query_id long, vec_id long, score long")
     )
-    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

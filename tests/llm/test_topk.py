@@ -80,7 +80,39 @@ def test_local_lists_give_a_safe_cutoff():
     rng = np.random.default_rng(2)
     q, c = rng.integers(-300, 300, (20, 9)), rng.integers(-300, 300, (500, 9))
     ok = rng.random((20, 500)) < 0.9
-    best = topk.best_heads(q, c, ok, 5)
+    best, cols = topk.best_heads(q, c, ok, 5)
     full = np.where(ok, q @ c.T, np.iinfo(np.int64).min)
     assert (best.min(axis=1) <= np.sort(full, axis=1)[:, -5]).all()
-    assert all(x in full[i] for i, row in enumerate(best) for x in row)
+    assert (np.take_along_axis(full, cols, axis=1) == best).all()
+
+
+def met(q, c, ids, cutoffs, k):
+    """Rows that one task makes of two query blocks against one candidate block, with and without a cutoff."""
+    import pyarrow as pa
+
+    row = {"dim": q.shape[1], "q_ids": list(range(-len(q), 0)), "q_matrix": q.astype(np.int64).tobytes(), "cutoffs": cutoffs, "first": list(range(len(c) + 1)), "ids": ids, "matrix": c.astype(np.int64).tobytes()}
+    batch = pa.RecordBatch.from_pylist([row | {"block": b} for b in (1, 2)])
+    lists = [r for out in topk._local_lists(k)(iter([batch])) for r in out.to_pylist()]
+    return lists, [r for out in topk._above(k)(iter([batch])) for r in out.to_pylist()]
+
+
+def test_equal_scores_give_k_rows_a_query_and_task():
+    k, n = 5, 4096
+    rng = np.random.default_rng(5)
+    ids = sorted(rng.choice(10**6, n, replace=False).tolist())
+    zero = np.zeros((64, 8), np.int64)
+    zero[:, 0] = 7
+    other = np.zeros((n, 8), np.int64)
+    other[:, 5] = 9
+    sparse = (rng.random((n, 8)) < 0.1).astype(np.int64)
+    for c in (other, sparse):
+        for cutoffs in ([None] * 64, [{"score": 0, "vec_id": ids[k - 1]}] * 64):
+            lists, found = met(zero, c, ids, cutoffs, k)
+            assert len(lists) == len(found) == 2 * 64 * k
+            want = sorted(range(n), key=lambda i: (-(zero[0] @ c[i]), ids[i]))[:k]
+            for out in (found, lists if c is other else found):
+                assert sorted(r["vec_id"] for r in out if r["query_id"] == -1) == sorted([ids[i] for i in want] * 2)
+
+
+def test_mostly_equal_scores(spark):
+    run(spark, [(i, [1.0, 0.0, 0.0] if i % 5 == 0 else [0.0, float(i % 2), 0.0], "", "") for i in range(600)])

@@ -179,7 +179,7 @@ def _secrets_sql() -> str:
 
     quote = lambda p: p.replace("'", "''")
     shaped = "regexp_full_match(s.v, '[A-Za-z0-9+/]{40}') AND regexp_matches(s.v, '[A-Z]') AND regexp_matches(s.v, '[a-z]') AND regexp_matches(s.v, '[0-9]')"
-    kinds = [(S.ASSIGN, "length(s.v) >= 8", 2), (S.ACCESS, "true", 0), (S.HEX, "true", 0), (S.BARE, shaped, 0), (S.IDENT, "true", 0), (S.ENDPOINT, "true", 0)]
+    kinds = [(S.ASSIGN, "length(s.v) >= 8", 2), (S.ACCESS, "true", 0), (S.HEX, "true", 0), (r"[A-Za-z0-9+/]{40,}", shaped, 0), (S.IDENT, "true", 0), (S.ENDPOINT, "true", 0)]
     parts = []
     for i, (pattern, keep, group) in enumerate(kinds):
         p = quote(pattern)

@@ -10,7 +10,7 @@ Scopes never cross documents, so the join needs no shuffle and a hot source cost
 
 The join searches the ordered starts and ends of the other parts by halving, running sums and maxima go
 by doubling, and every pattern is anchored, so a document of n characters and m matches takes about
-n + m log m steps. The scheme of an endpoint may have up to 64 digits and signs behind its last letter.
+n + m log m steps.
 
 Null and empty texts have no spans. Rows are independent: repeated rows, null ids and extra columns
 need no special treatment. Places are code points, ends exclusive.
@@ -28,12 +28,10 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 IDENT = r"""(?i)(?:user(?:name)?|login|account|client_?id|access_?key_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@_.-]{3,}"""
-#: The SQL twin's search for keys; it misses a key that stands beside '=', '_' or '-'.
-BARE = r"[A-Za-z0-9+/=_-]{40,}"
 KEY = r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/])"
 ENDPOINT = r"""[A-Za-z][A-Za-z0-9+.-]*://[A-Za-z0-9][^\s"'<>]*"""
-#: The same from its signs on: the scheme's letters are read backwards from there, so that no run of letters is tried twice.
-ENDPOINT_TAIL = r"""(?<=[A-Za-z][0-9+.-]{0,64})://[A-Za-z0-9][^\s"'<>]*"""
+#: The same from the start of a run of a scheme's characters, of which group 1 is what comes before its first letter: so each run is tried once.
+ENDPOINT_RUN = r"""(?<![A-Za-z0-9+.-])([0-9+.-]*+)[A-Za-z][A-Za-z0-9+.-]*+://[A-Za-z0-9][^\s"'<>]*"""
 KINDS = ("assign", "access", "hex", "key", "ident", "endpoint")
 SCOPE = 256
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
@@ -81,14 +79,11 @@ def _spans(text: Column, pattern: str, kind: int, keep: Callable[[Column], Colum
 
 
 def _endpoints(text: Column, kind: int) -> Column:
-    """Spans of ``ENDPOINT``: the scheme is the end of the gap before each of the tails."""
-    tails = F.transform(F.regexp_extract_all(text, F.lit(ENDPOINT_TAIL), F.lit(0)), F.char_length)
-    gaps = F.transform(
-        F.split(text, ENDPOINT_TAIL, -1),
-        lambda g: F.struct(F.char_length(g).alias("all"), F.char_length(F.regexp_extract(F.reverse(g), "^[A-Za-z0-9+.-]*[A-Za-z]", 0)).alias("scheme")),
-    )
-    split = lambda x: F.struct((x["t"] + x["g"]["scheme"]).alias("m"), F.when(x["t"].isNotNull(), x["g"]["all"] - x["g"]["scheme"]).otherwise(x["g"]["all"]).alias("g"))
-    parts = F.transform(F.arrays_zip(tails.alias("t"), gaps.alias("g")), split)
+    """Spans of ``ENDPOINT``."""
+    lengths = lambda group: F.transform(F.regexp_extract_all(text, F.lit(ENDPOINT_RUN), F.lit(group)), F.char_length)
+    gaps = F.transform(F.split(text, ENDPOINT_RUN, -1), F.char_length)
+    split = lambda x: F.struct((x["all"] - x["lead"]).alias("m"), (x["g"] + F.coalesce(x["lead"], F.lit(0))).alias("g"))
+    parts = F.transform(F.arrays_zip(lengths(0).alias("all"), lengths(1).alias("lead"), gaps.alias("g")), split)
     return F.when(text.contains("://"), _placed(parts, kind)).otherwise(F.array().cast(_SPANS))
 
 

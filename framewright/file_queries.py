@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from framewright.operators import registry, splits
 from framewright.plans import catalog
 from framewright.queries import query, recordings, table
-from framewright.sources import readers, versions, writers
+from framewright.sources import layout, readers, versions, writers
 from framewright.sources.scratch import scratch_path
 
 
@@ -174,3 +174,18 @@ def pipelines_export(spark: SparkSession, sf_dir: str) -> DataFrame:
         frames.write.parquet(f"{base}/frames")
     catalog.export_pipelines(spark, bases, out)
     return spark.read.parquet(out).select("source", F.col("video_id").cast("string").alias("video_id"), "split", "n_chars")
+
+
+@query
+def items_by_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and their turns in buckets by item: eligible items and their counts without an exchange, then one item's rows out of one bucket."""
+    path = scratch_path(spark, "buckets")
+    name = f"b{path[-12:]}"
+    docs = table(spark, sf_dir, "documents").select("source", F.col("doc_id").cast("string").alias("video_id"), (F.col("lang") == "en").alias("exclude_video"))
+    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("frame_no"), "role", F.encode("text", "UTF-8").alias("blob"))
+    frames = turns.join(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id").select("source", F.col("doc_id").cast("string").alias("video_id"), "frame_no", "role", "blob")
+    known = layout.write_by_item(docs, f"{name}_items", f"{path}/items", 16)
+    meta, pixels = layout.write_frames_by_item(frames, name, f"{path}/frames", 16)
+    counted = registry.frame_counts(registry.eligible(known, meta, [layout.KEY]), meta, [layout.KEY]).select(layout.KEY, "n_frames")
+    one = layout.lookup_by_item(pixels, "src3", "3").select(layout.KEY, F.octet_length("blob").cast("long").alias("n_frames"))
+    return counted.unionByName(one)

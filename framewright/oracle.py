@@ -384,4 +384,6 @@ pad AS (SELECT vec_id, 9 - h2 + y AS y, 12 - w2 + x AS x, v FROM b UNION ALL
   SELECT vec_id, y, x, 7 FROM (SELECT *, unnest(range(12)) AS x FROM (SELECT *, unnest(range(9)) AS y FROM (SELECT DISTINCT vec_id, w2, h2 FROM z))) WHERE x < 12 - w2 OR y < 9 - h2)
 SELECT vec_id, count(*) AS n, CAST(sum(v * (x + 12 * y + 1)) AS BIGINT) AS weighted, 'padded' AS kind FROM pad GROUP BY vec_id
 UNION ALL SELECT vec_id, count(*), CAST(sum(v * (x + 12 * y + 1)) AS BIGINT), 'back' FROM d GROUP BY vec_id""",
+    "items_by_bucket": """SELECT concat(source, ':', doc_id) AS video_key, count(*) AS n_frames FROM documents JOIN conversations ON conv_id = doc_id WHERE lang <> 'en' GROUP BY source, doc_id
+UNION ALL SELECT concat(source, ':', doc_id), strlen(c.text) FROM documents d JOIN conversations c ON conv_id = doc_id WHERE doc_id = 3 AND source = 'src3'""",
 }

@@ -25,6 +25,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -229,10 +230,11 @@ def sample_labels(labels: DataFrame, documents: DataFrame, usable: Column, max_t
     return taken.join(F.broadcast(counts), "toxic").select("doc_id", "toxic", (F.col("n") / F.least(F.col("n"), limit)).alias("stands_for"))
 
 
-def examples_of(documents: DataFrame, drawn: DataFrame, text_col: str = "text") -> DataFrame:
+def examples_of(documents: DataFrame, drawn: DataFrame, text_col: str = "text", max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> DataFrame:
     """(doc_id, toxic, stands_for, text): one row for each different text and label of the bounded sample ``drawn``.
 
-    Repeated rows of a doc_id are one row before anything is counted; texts are told apart by a 128-bit hash.
+    Repeated rows of a doc_id are one row before anything is counted; texts are told apart by a 128-bit hash. A doc_id may have
+    very many texts, so texts are bounded once more, by their hashes; those that are drawn stand for all.
     """
     # Broadcast: the sample is bounded by the two parameters.
     labelled = documents.select("doc_id", F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(drawn), "doc_id")
@@ -240,7 +242,12 @@ def examples_of(documents: DataFrame, drawn: DataFrame, text_col: str = "text")
     # A doc_id whose rows differ in text spreads what it stands for over them.
     texts = F.count("*").over(Window.partitionBy("doc_id"))
     once = once.withColumn("stands_for", F.col("stands_for") / texts)
-    return once.groupBy("node", "toxic").agg(F.min("doc_id").alias("doc_id"), F.sum("stands_for").alias("stands_for"), F.first("text").alias("text")).drop("node")
+    once = once.groupBy("node", "toxic").agg(F.min("doc_id").alias("doc_id"), F.sum("stands_for").alias("stands_for"), F.first("text").alias("text"))
+    counts = once.groupBy("toxic").agg(F.count("*").alias("n"))
+    limit = {1: max_toxic, 0: max_clean}
+    taken = reduce(DataFrame.unionByName, (once.where(F.col("toxic") == t).orderBy("node", "doc_id").limit(n) for t, n in limit.items()))
+    share = F.col("n") / F.least("n", F.when(F.col("toxic") == 1, max_toxic).otherwise(max_clean))
+    return taken.join(F.broadcast(counts), "toxic").select("doc_id", "toxic", (F.col("stands_for") * share).alias("stands_for"), "text")
 
 
 def with_terms(documents: DataFrame, text_col: str, vocabulary: list[tuple[str, int]]) -> DataFrame:
@@ -278,7 +285,7 @@ def fit(documents: DataFrame, labels: DataFrame, usable: Column, text_col: str =
     ids = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     with tidy(documents.sparkSession):
         drawn = materialize(sample_labels(labels, ids, usable, max_toxic, max_clean), "toxicity-labels")
-        examples = materialize(examples_of(ids, drawn), "toxicity-examples")
+        examples = materialize(examples_of(ids, drawn, "text", max_toxic, max_clean), "toxicity-examples")
         vocabulary = learn_terms(examples)
         features = materialize(with_terms(documents, text_col, vocabulary), "toxicity-features", keep=True)
         if not vocabulary:

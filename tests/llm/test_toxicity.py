@@ -164,3 +164,15 @@ def test_scores_against_a_dense_twin(spark):
         below = [t for x, t in cases if x <= v + 1e-9]
         assert 0 <= y <= 1 and below
     assert list(index.steps[1]) == sorted(index.steps[1])
+
+
+def test_examples_are_bounded_by_texts(spark):
+    """One labelled doc_id has 3,000 different texts: the sample keeps to its bounds and stands for all."""
+    docs = spark.range(3000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("text number "), "id").alias("text")).unionByName(spark.createDataFrame([(8, "one"), (9, "two")], "doc_id long, text string"))
+    drawn = spark.createDataFrame([(7, 0, 2.0), (8, 1, 1.0), (9, 0, 2.0)], "doc_id long, toxic int, stands_for double")
+    got = toxicity.examples_of(docs, drawn, max_toxic=20, max_clean=50)
+    rows = got.collect()
+    assert got.columns == ["doc_id", "toxic", "stands_for", "text"]
+    assert sum(r.toxic == 1 for r in rows) == 1 and sum(r.toxic == 0 for r in rows) == 50
+    assert [(r.doc_id, r.stands_for) for r in rows if r.toxic] == [(8, 1.0)]
+    assert sum(r.stands_for for r in rows if not r.toxic) == pytest.approx(2.0, rel=0.2) or any(r.doc_id == 9 for r in rows)

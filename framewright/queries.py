@@ -42,7 +42,7 @@ def recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(k, i, vec_id, embedding): embeddings as ordered frames of their label."""
-    return series.indexed(table(spark, sf_dir, "embeddings").withColumnRenamed("label", "k"), ["k"], ["vec_id"])
+    return series.indexed(table(spark, sf_dir, "embeddings").withColumnRenamed("label", "k"), ["k"], ["vec_id"], lot=F.floor(F.col("vec_id") / 4096))
 
 
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,8 @@ The files go to the folder that the cluster shares; they hold what Spark derives
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from framewright.plans import catalog
 from framewright.queries import query, recordings, table
 from framewright.sources import layout, readers, versions, writers
 from framewright.sources.scratch import scratch_path
+from framewright.streaming import arrivals, ordered
 
 
 def _items(spark: SparkSession, sf_dir: str) -> str:
@@ -189,3 +192,24 @@ def items_by_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = registry.frame_counts(registry.eligible(known, meta, [layout.KEY]), meta, [layout.KEY]).select(layout.KEY, "n_frames")
     one = layout.lookup_by_item(pixels, "src3", "3").select(layout.KEY, F.octet_length("blob").cast("long").alias("n_frames"))
     return counted.unionByName(one)
+
+
+def _streamed(spark: SparkSession, rows: DataFrame, operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What a stream makes of rows (k, i, v, m) that arrive in three lots, in no order."""
+    path, schema = scratch_path(spark, "stream"), "k long, i long, v long, m boolean"
+    for n in range(3):
+        rows.where(F.pmod(F.xxhash64("k", "i"), F.lit(3)) == n).write.mode("append").parquet(f"{path}/in")
+        ordered.drain(operator(arrivals.read_arrivals(spark, f"{path}/in", schema)), f"{path}/out", f"{path}/checkpoint")
+    return spark.read.parquet(f"{path}/out")
+
+
+@query
+def stream_clean_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed(spark, recordings(spark, sf_dir).select("k", "i", "v", "m"), ordered.clean_fill_ordered).select("k", "i", F.col("v").alias("clean_v"))
+
+
+@query
+def stream_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = recordings(spark, sf_dir).select("k", "i", "v")
+    ends = rows.groupBy("k").agg((F.max("i") + 1).alias("i")).select("k", "i", F.lit(0).cast("long").alias("v"), F.lit(True).alias("m"))
+    return _streamed(spark, rows.withColumn("m", F.lit(False)).unionByName(ends), ordered.median_ordered).select("k", "i", F.col("v").alias("median_v"))

@@ -387,3 +387,5 @@ UNION ALL SELECT vec_id, count(*), CAST(sum(v * (x + 12 * y + 1)) AS BIGINT), 'b
     "items_by_bucket": """SELECT concat(source, ':', doc_id) AS video_key, count(*) AS n_frames FROM documents JOIN conversations ON conv_id = doc_id WHERE lang <> 'en' GROUP BY source, doc_id
 UNION ALL SELECT concat(source, ':', doc_id), strlen(c.text) FROM documents d JOIN conversations c ON conv_id = doc_id WHERE doc_id = 3 AND source = 'src3'""",
 }
+SQL["stream_clean_fill"] = SQL["last_clean_fill"]
+SQL["stream_median"] = f"WITH {_S} SELECT k, i, median_v FROM ({_median('s', 'v')})"

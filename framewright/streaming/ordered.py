@@ -155,3 +155,19 @@ def register_stream(items: DataFrame, late: str = "7 days") -> DataFrame:
     """
     known = items.where((F.col("video_id") != "") & F.col("video_id").isNotNull()).withColumn("arrived", F.col("arrived").cast("timestamp"))
     return known.withWatermark("arrived", late).dropDuplicatesWithinWatermark(["source", "video_id"]).withColumns({"processed": F.lit(False), "exclude_video": F.lit(False)})
+
+
+def drain(stream: DataFrame, out: str, checkpoint: str, seconds: int = 3600) -> None:
+    """One micro-batch over all that has come, appended to a Parquet folder; the next call goes on where it ended."""
+    spark, name = stream.sparkSession, "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append").trigger(once=True).start()
+        try:
+            if not query.awaitTermination(seconds):
+                raise TimeoutError(out)
+        finally:
+            query.stop()
+    finally:
+        spark.conf.set(name, before)

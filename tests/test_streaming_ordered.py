@@ -12,15 +12,6 @@ from framewright.streaming.arrivals import read_arrivals
 SCHEMA = "k long, i long, v long, m boolean"
 
 
-@pytest.fixture
-def rocksdb(spark):
-    name = "spark.sql.streaming.stateStore.providerClass"
-    old = spark.conf.get(name)
-    spark.conf.set(name, ordered.ROCKSDB)
-    yield
-    spark.conf.set(name, old)
-
-
 def recordings(seed=3):
     rng = random.Random(seed)
     return [(k, i, rng.randrange(256), rng.random() < 0.4) for k, n in enumerate([1, 2, 11, 12, 13, 30]) for i in range(n)]
@@ -32,11 +23,7 @@ def arrive(spark, src, rows):
 
 def run(df, tmp_path):
     """One micro-batch over what has come, taken up from the last one's checkpoint."""
-    q = df.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).outputMode("append").trigger(once=True).start()
-    try:
-        assert q.awaitTermination(60)
-    finally:
-        q.stop()
+    ordered.drain(df, str(tmp_path / "out"), str(tmp_path / "cp"), seconds=60)
 
 
 def found(spark, tmp_path):
@@ -49,7 +36,7 @@ def shuffled(rows, parts, seed=1):
     return [rows[n::parts] for n in range(parts)]
 
 
-def test_clean_fill(spark, rocksdb, tmp_path):
+def test_clean_fill(spark, tmp_path):
     rows, src = recordings(), str(tmp_path / "in")
     for lot in shuffled(rows, 3):
         arrive(spark, src, lot)
@@ -58,7 +45,7 @@ def test_clean_fill(spark, rocksdb, tmp_path):
     assert sorted(map(tuple, found(spark, tmp_path).collect())) == sorted(map(tuple, want.collect()))
 
 
-def test_median(spark, rocksdb, tmp_path):
+def test_median(spark, tmp_path):
     rows = [(k, i, v, False) for k, i, v, _ in recordings()]
     ends = [(k, max(i for kk, i, *_ in rows if kk == k) + 1, 0, True) for k in {r[0] for r in rows}]
     src = str(tmp_path / "in")
@@ -71,7 +58,7 @@ def test_median(spark, rocksdb, tmp_path):
         ordered.median_ordered(spark.createDataFrame(rows, SCHEMA), window=4)
 
 
-def test_a_gap_is_given_up(spark, rocksdb, tmp_path):
+def test_a_gap_is_given_up(spark, tmp_path):
     src = str(tmp_path / "in")
     for lot in ([(1, 0, 5, False), (1, 3, 7, True), (1, 4, 8, False)], [(2, 0, 1, False)], [(1, 1, 9, False)]):  # the last one is too late
         arrive(spark, src, lot)
@@ -79,7 +66,7 @@ def test_a_gap_is_given_up(spark, rocksdb, tmp_path):
     assert sorted(map(tuple, found(spark, tmp_path).where("k = 1").collect())) == [(1, 0, 5), (1, 3, 5), (1, 4, 8)]
 
 
-def test_registration(spark, rocksdb, tmp_path):
+def test_registration(spark, tmp_path):
     src, schema = str(tmp_path / "in"), "source string, video_id string, title string, arrived timestamp"
     first = [("y", "a", "1", "2024-01-01 00:00:00"), ("y", "a", "1", "2024-01-01 00:00:01"), ("y", "", "2", "2024-01-01 00:00:00"), ("y", None, "2", "2024-01-01 00:00:00")]
     for rows in (first, [("y", "a", "1", "2024-01-02 00:00:00"), ("z", "a", "3", "2024-01-02 00:00:00")]):

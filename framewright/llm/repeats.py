@@ -26,7 +26,8 @@ No group above the bound is ever gathered, and none is left out.
 Texts are bytes of UTF-8; matches never cross documents. Equal texts are worked on once, removed wholly
 if they have ``LENGTH`` bytes or more, and their digest is handed to all their rows. Null and empty texts
 have no bytes; repeated rows and rows without ids are documents like others. An empty table gives no
-rows. Extra columns are ignored. Hashes of 64 bits name anchors, surroundings and texts.
+rows. Extra columns are ignored. Hashes of 64 bits name anchors, surroundings and texts. Long texts are
+looked at in pieces and their surroundings sent in lots, so beside a text a task holds an entry an anchor.
 """
 
 from __future__ import annotations
@@ -45,6 +46,8 @@ LENGTH = 200
 GRAM = 50
 BOUND = 4096
 SLICE = 1 << 20
+#: Bytes of a text whose windows are looked at together, and places of a text whose surroundings are sent together.
+PIECE, LOT = 1 << 21, 4096
 #: Entries that a task gathers before it deals them out.
 DEAL = 400_000
 _POSITION = np.uint64((1 << 24) - 1)
@@ -62,30 +65,35 @@ def window_minimum(values: np.ndarray, width: int) -> np.ndarray:
     return out if n == width else np.minimum(out[: n - width], out[width - n :])
 
 
-def anchors(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(document, place, key, bytes before, bytes after, hash of the surroundings) of the anchors of documents end to end."""
+def anchors(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int = GRAM, piece: int = PIECE) -> tuple[np.ndarray, ...]:
+    """(document, place, key, bytes before, bytes after, hash of the surroundings) of the anchors of documents end to end.
+
+    Windows are looked at in pieces, each with the bytes that its anchors' surroundings reach, so what is held beside the bytes
+    themselves is one entry an anchor.
+    """
     none = np.zeros(0, np.int64)
     if len(data) < length:
         return none, none, none.astype(np.uint64), none, none, none.astype(np.uint64)
-    prefix = _rolling.prefix(data)
-    key = _rolling.grams(prefix, gram)
-    found = []
     # Positions ride in the low bits, so pieces stay under 2**24 grams; windows overlap between pieces.
-    width, step = length - gram + 1, 1 << 23
-    n = len(data) - length + 1
-    doc_end = np.repeat(ends, np.diff(np.concatenate([[0], ends])))
-    for a in range(0, n, step):
-        b = min(n, a + step)
-        packed = (key[a : b + width - 1] & ~_POSITION) | np.arange(b + width - 1 - a, dtype=np.uint64)
-        low = window_minimum(packed, width)
-        inside = np.arange(a, b) + length <= doc_end[a:b]
-        found.append(a + np.unique((low[inside] & _POSITION).astype(np.int64)))
-    at = np.unique(np.concatenate(found))
+    width, n = length - gram + 1, len(data) - length + 1
     start = np.concatenate([[0], ends[:-1]])
-    doc = np.searchsorted(ends, at, "right")
-    before = np.minimum(at - start[doc], length - gram)
-    after = np.minimum(ends[doc] - at, length)
-    return doc, at - start[doc], key[at], before, after, _rolling.spans(prefix, at - before, at + after)
+    found, places = [], []
+    for a in range(0, n, piece):
+        b = min(n, a + piece)
+        low = max(0, a - length + gram)
+        prefix = _rolling.prefix(data[low : b + 2 * length])
+        key = _rolling.grams(prefix, gram)
+        packed = (key[a - low : b - low + width - 1] & ~_POSITION) | np.arange(b + width - 1 - a, dtype=np.uint64)
+        least = window_minimum(packed, width)
+        doc_end = np.repeat(ends, np.diff(np.clip(np.concatenate([[0], ends]), a, b)))
+        at = a + np.unique((least[np.arange(a, b) + length <= doc_end] & _POSITION).astype(np.int64))
+        doc = np.searchsorted(ends, at, "right")
+        before = np.minimum(at - start[doc], length - gram)
+        after = np.minimum(ends[doc] - at, length)
+        places.append(at)
+        found.append((doc, at - start[doc], key[at - low], before, after, _rolling.spans(prefix, at - before - low, at + after - low)))
+    once = np.unique(np.concatenate(places), return_index=True)[1]
+    return tuple(np.concatenate(x)[once] for x in zip(*found, strict=True))
 
 
 def merge_spans(node: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -332,12 +340,12 @@ def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     names = [c.split()[0] for c in _MEMBER.split(", ")]
     for batch in batches:
         for node, asks, text in zip(*batch.columns, strict=True):
-            own, b = node.as_py(), text.as_py()
-            rows = []
-            for x in asks.as_py():
-                p = x["pos"]
-                rows.append((x["key"].to_bytes(8, "little", signed=True), x["n"], 0, LENGTH - GRAM, own, p, b[max(0, p - LENGTH + GRAM) : p][::-1], b[p : p + LENGTH]))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
+            own, b = node.as_py(), memoryview(text.as_buffer())
+            for i in range(0, len(asks.values), LOT):
+                pos, key, n = (c.to_pylist() for c in asks.values.slice(i, LOT).flatten())
+                sides = [[bytes(b[max(0, p - LENGTH + GRAM) : p])[::-1] for p in pos], [bytes(b[p : p + LENGTH]) for p in pos]]
+                columns = [[k.to_bytes(8, "little", signed=True) for k in key], n, [0] * len(pos), [LENGTH - GRAM] * len(pos), [own] * len(pos), pos, *sides]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, int, int, list[tuple]]]:
@@ -487,12 +495,11 @@ def report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound:
             sizes = []
             for spans_, text in zip(batch.column(1), batch.column(2), strict=True):
                 raw = memoryview(text.as_buffer())
-                lists = spans_.as_py() or []
                 at, gone, n = 0, 0, 0
                 sha = hashlib.sha256()
-                if lists:
-                    s = np.array([(x["start"], x["end"]) for x in lists], np.int64)
-                    _, start, end = merge_spans(np.zeros(len(s), np.int64), s[:, 0], s[:, 1])
+                if spans_.is_valid and len(spans_.values):
+                    first, last = (c.to_numpy().astype(np.int64) for c in spans_.values.flatten())
+                    _, start, end = merge_spans(np.zeros(len(first), np.int64), first, last)
                     for a, z in zip(start.tolist(), end.tolist(), strict=True):
                         sha.update(raw[at:a])
                         at, gone, n = z, gone + z - a, n + 1

@@ -3,6 +3,7 @@ from collections import Counter
 
 import pytest
 
+from framewright.llm import repeats
 from framewright.llm.repeats import Surroundings, anchors, merge_spans, repeat_groups, repeat_offsets, report
 
 from .helpers import documents, frame
@@ -129,3 +130,36 @@ def test_copies_of_one_text_in_many_rows(spark):
     rows += [rows[3]] * 300 + [(5000 + i, rows[-1][1], "en", "s", 1, "", 1, "") for i in range(300)]
     got = Counter(tuple(r) for r in report(frame(spark, rows)).collect())
     assert got == Counter((row[0], *b) for row, b in zip(rows, brute([r[1] for r in rows]), strict=True))
+
+
+def test_anchors_by_pieces():
+    """Pieces of any size give the anchors of the whole, edges of documents and empty ones included."""
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    data = rng.integers(97, 100, 5000).astype(np.uint8)
+    data[3000:3400] = data[500:900]
+    ends = np.array([0, 150, 700, 700, 2400, 2650, 5000])
+    whole = repeats.anchors(data, ends)
+    for piece in (1, 37, 300, 1024):
+        assert all((a == b).all() for a, b in zip(repeats.anchors(data, ends, piece=piece), whole, strict=True))
+    again = repeats.anchors(data[700:2400], np.array([1700]))
+    own = whole[0] == 4
+    assert all((a == b[own]).all() for a, b in zip(again[1:], whole[1:], strict=True))
+
+
+def test_memory_of_anchors_does_not_follow_the_text():
+    """40 MB take some three bytes a byte beside the text, not thirty-eight."""
+    import subprocess
+    import sys
+
+    code = """
+import resource, sys
+import numpy as np
+from framewright.llm import repeats
+data = np.random.default_rng(1).integers(97, 122, int(sys.argv[1]) << 20, dtype=np.uint8)
+repeats.anchors(data, np.array([len(data)]))
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+    small, large = (int(subprocess.run([sys.executable, "-c", code, n], capture_output=True, text=True, check=True, cwd=str(__import__("pathlib").Path(__file__).parents[2])).stdout) for n in ("4", "40"))
+    assert large - small < 36 * 5

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from framewright.operators import registry, splits
 from framewright.plans import catalog
-from framewright.queries import query, recordings, table
+from framewright.queries import colors, query, recordings, table
 from framewright.sources import layout, readers, versions, writers
 from framewright.sources.scratch import scratch_path
 from framewright.streaming import arrivals, ordered
@@ -213,3 +213,16 @@ def stream_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = recordings(spark, sf_dir).select("k", "i", "v")
     ends = rows.groupBy("k").agg((F.max("i") + 1).alias("i")).select("k", "i", F.lit(0).cast("long").alias("v"), F.lit(True).alias("m"))
     return _streamed(spark, rows.withColumn("m", F.lit(False)).unionByName(ends), ordered.median_ordered).select("k", "i", F.col("v").alias("median_v"))
+
+
+@query
+def stills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each label's brightest pixels, written as an image file and decoded again."""
+    path = scratch_path(spark, "stills")
+    top = F.array(*(F.max(F.element_at("bgr", c)) for c in (1, 2, 3)))
+    frames = colors(spark, sf_dir).groupBy("k", "y", "x").agg(top.alias("bgr")).select(F.lit("label").alias("source"), F.concat(F.lit("v"), "k").alias("video_id"), "y", "x", "bgr")
+    writers.write_stills(writers.bitmaps(frames, ["source", "video_id"]), path)
+    digits = F.hex("data")
+    byte = lambda i: F.conv(F.substr(digits, 2 * i + 1, F.lit(2)), 16, 10).cast("long") * (i + 1)
+    places = F.sequence(F.lit(0), F.octet_length("data") - 1)
+    return readers.read_stills(spark, path).select("source", "video_id", "width", "height", F.aggregate(F.transform(places, byte), F.lit(0).cast("long"), lambda a, b: a + b).alias("weighted"))

@@ -389,3 +389,6 @@ UNION ALL SELECT concat(source, ':', doc_id), strlen(c.text) FROM documents d JO
 }
 SQL["stream_clean_fill"] = SQL["last_clean_fill"]
 SQL["stream_median"] = f"WITH {_S} SELECT k, i, median_v FROM ({_median('s', 'v')})"
+SQL["stills"] = f"""WITH {_C}, t AS (SELECT k, y, x, max(bgr[1]) AS b, max(bgr[2]) AS g, max(bgr[3]) AS r FROM e GROUP BY k, y, x)
+SELECT 'label' AS source, concat('v', k) AS video_id, CAST(11 AS INTEGER) AS width, CAST(2 AS INTEGER) AS height,
+  CAST(sum(b * (3 * (11 * y + x) + 1) + g * (3 * (11 * y + x) + 2) + r * (3 * (11 * y + x) + 3)) AS BIGINT) AS weighted FROM t GROUP BY k"""

@@ -59,8 +59,7 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
 def read_stills(spark: SparkSession, path: str) -> DataFrame:
     """Decoded images (BGR bytes) with the source and video that their folders name; unreadable files are dropped."""
     images = spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", True).load(path).select("image.*")
-    parts = F.split("origin", "/")
-    return images.withColumns({"source": F.element_at(parts, -3), "video_id": F.element_at(parts, -2)})
+    return images.withColumns({"source": _folder(F.col("origin"), 2), "video_id": _folder(F.col("origin"), 1)})
 
 
 def _folder(path: Column, up: int) -> Column:

@@ -2,7 +2,7 @@ import json
 import struct
 import zlib
 
-from framewright.sources import readers
+from framewright.sources import readers, writers
 
 
 def png(path, pixels):
@@ -43,3 +43,12 @@ def test_split_files_and_registries(spark, tmp_path):
     assert sorted(map(tuple, readers.read_split_file(spark, str(path)).collect())) == [("youtube", "v1", "train"), ("youtube", "v2", "test")]
     path.write_text(json.dumps({"youtube": {"v1": {"title": "t"}}}, indent=1))
     assert [tuple(r) for r in readers.read_registry_json(spark, str(path)).collect()] == [("youtube", "v1", '{"title":"t"}')]
+
+
+def test_bitmaps_of_any_width(spark, tmp_path):
+    rows = [("s", f"v{w}", y, x, [(7 * x + y) % 256, 10 + y, 255 - x]) for w in (1, 2, 3, 4, 5) for y in range(3) for x in range(w)]
+    frames = spark.createDataFrame(rows, "source string, video_id string, y int, x int, bgr array<int>").repartition(3)
+    writers.write_stills(writers.bitmaps(frames, ["source", "video_id"]), str(tmp_path / "out"))
+    got = {r["video_id"]: (r["width"], r["height"], bytes(r["data"])) for r in readers.read_stills(spark, str(tmp_path / "out")).collect()}
+    for w in (1, 2, 3, 4, 5):
+        assert got[f"v{w}"] == (w, 3, bytes(b for _, v, _, _, p in sorted(rows, key=lambda r: (r[2], r[3])) if v == f"v{w}" for b in p))

@@ -125,6 +125,11 @@ def store(spark: SparkSession, base: str, items: DataFrame, done: DataFrame, mar
     """
     run = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     done.repartition("source", "video_id", F.floor(F.col("i") / FILE_FRAMES)).write.parquet(f"{base}/processed/run={run}")
+    return commit(spark, base, run, items, marks)
+
+
+def commit(spark: SparkSession, base: str, run: str, items: DataFrame, marks: bool) -> DataFrame:
+    """Commit rows of ``items`` for a run whose data is stored; an item without rows is committed with none."""
     state = [F.max(c).alias(c) for c in stages.STATE]
     fresh = spark.read.parquet(f"{base}/processed/run={run}").groupBy("source", "video_id").agg(F.count("*").alias("n_rows"), *state)
     rows = items.select("source", "video_id").distinct().join(fresh, ["source", "video_id"], "left")
@@ -196,7 +201,7 @@ def export_folds(spark: SparkSession, base: str, out: str, n: int = 5, seed: int
 
 def main(args: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Registry jobs")
-    parser.add_argument("job", choices=["register", "process", "clean-up", "export-split", "export-folds"])
+    parser.add_argument("job", choices=["register", "process", "vacuum", "clean-up", "export-split", "export-folds"])
     parser.add_argument("--base", required=True)
     parser.add_argument("--files", nargs="*", default=[])
     parser.add_argument("--catalog", help="Parquet table of url, id, title, license, channel, channel_id")
@@ -215,6 +220,8 @@ def main(args: list[str] | None = None) -> None:
         register_files(spark, o.base, o.files, spark.read.parquet(o.catalog))
     elif o.job == "process":
         process_registry(spark, o.base, tuple(o.only) if o.only else None, tuple(o.override) if o.override else None)
+    elif o.job == "vacuum":
+        log.info("deleted runs: %s", ", ".join(vacuum(spark, o.base)) or "none")
     elif o.job == "clean-up":
         clean_up(spark, o.base, o.variations, o.tags)
     elif o.job == "export-split":

@@ -19,10 +19,10 @@ from framewright.streaming import arrivals, ordered
 
 
 def _items(spark: SparkSession, sf_dir: str) -> str:
-    """The documents as a catalog of JSON lines; its path."""
+    """The documents as a catalog of JSON lines, in the order of their ids whatever files and partitions they come from; its path."""
     path = f"{scratch_path(spark, 'items')}.jsonl"
     step = lambda n: F.struct(n.alias("name"), F.lit("{}").alias("config"))
-    docs = table(spark, sf_dir, "documents").select(
+    docs = table(spark, sf_dir, "documents").orderBy("doc_id").select(
         F.lit("youtube").alias("source"),
         F.col("doc_id").cast("string").alias("url"),
         F.array(step(F.col("lang")), step(F.when(F.col("doc_id") % 3 != 0, F.col("source")))).alias("video_processor"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framewright.functions.pixels import box_area, color_distance, rounded_box, threshold_mask
+from framewright.operators.series import last_seen, next_seen
 
 
 def mask_or(df: DataFrame, frame_keys: list[str], mask: str = "m") -> DataFrame:
@@ -201,9 +202,8 @@ def remove_logos(pixels: DataFrame, masks: DataFrame, keys: list[str], value: st
     own = todo.join(mask_or(masks, place), place, "left").withColumn("any_m", F.coalesce("any_m", F.lit(False)))
     marked = own_or_majority(own, [*keys, "y", "x"], "any_m", "__m")
     clean = F.when(~F.col("__m"), F.col(value))
-    order = Window.partitionBy(*keys, "y", "x").orderBy("i")
-    before = F.last(clean, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first(clean, ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
+    pixel = [*keys, "y", "x"]
+    before, after = last_seen(clean, pixel), next_seen(clean, pixel)
     filled = marked.withColumns({"__f": before, "__b": after}).withColumn(value, F.coalesce("__f", "__b", value)).withColumn("logo_removed", F.lit(True))
     return filled.select(*pixels.columns).unionByName(pixels.where(F.coalesce(F.col("logo_removed"), F.lit(False))))
 

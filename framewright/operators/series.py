@@ -72,6 +72,19 @@ def _later(keys: list[str]) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(F.desc("__b")).rowsBetween(Window.unboundedPreceding, -1)
 
 
+def last_seen(value: Column, keys: list[str]) -> Column:
+    """The last value up to here that is not null."""
+    return F.last(value, ignorenulls=True).over(_ordered(keys).rowsBetween(Window.unboundedPreceding, 0))
+
+
+def next_seen(value: Column, keys: list[str]) -> Column:
+    """The next value from here on that is not null.
+
+    It is the last one seen from behind: a frame up to a series' end is gone through anew for every row, one from its start is carried along.
+    """
+    return F.last(value, ignorenulls=True).over(_by(keys).orderBy(F.desc("i")).rowsBetween(Window.unboundedPreceding, 0))
+
+
 def temporal_median(df: DataFrame, keys: list[str], value: str = "v", window: int = 11, into: str = "median_v", own_window: Column | None = None, bucket: int = BUCKET) -> DataFrame:
     """Median over a window that shrinks evenly towards both ends, so the first and last value stay.
 
@@ -98,13 +111,11 @@ def last_clean_fill(df: DataFrame, keys: list[str], value: str = "v", masked: st
     """
     clean = F.when(~F.col(masked), F.col(value))
     if bucket is None:
-        last = F.last(clean, ignorenulls=True).over(_ordered(keys).rowsBetween(Window.unboundedPreceding, 0))
-        return df.withColumn(into, F.coalesce(last, F.lit(0) if seed is None else seed))
+        return df.withColumn(into, F.coalesce(last_seen(clean, keys), F.lit(0) if seed is None else seed))
     ends = carried(df, keys, {"__end": F.max_by(clean, F.when(clean.isNotNull(), F.col("i")))}, bucket)
     before = ends.select(*keys, "__b", F.last("__end", ignorenulls=True).over(_earlier(keys)).alias("__before")).where(F.col("__before").isNotNull())
-    rows, order = bucketed(df, keys, 0, 0, bucket)
-    last = F.last(clean, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    filled = rows.withColumn("__last", last).join(before, [*keys, "__b"], "left")
+    rows, _ = bucketed(df, keys, 0, 0, bucket)
+    filled = rows.withColumn("__last", last_seen(clean, [*keys, "__b"])).join(before, [*keys, "__b"], "left")
     return filled.withColumn(into, F.coalesce("__last", "__before", F.lit(0) if seed is None else seed)).select(*df.columns, into)
 
 
@@ -270,9 +281,8 @@ def clean_neighbours(df: DataFrame, keys: list[str], value: str = "v", masked: s
         *keys, "__b", F.last("__last", ignorenulls=True).over(_earlier(keys)).alias("__before"), F.last("__first", ignorenulls=True).over(_later(keys)).alias("__after"),
         F.max("__top").over(_by(keys)).alias("__end"),
     )
-    rows, order = bucketed(df, keys, 0, 0, bucket)
-    ahead = F.last(clean, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    behind = F.first(clean, ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
+    rows, _ = bucketed(df, keys, 0, 0, bucket)
+    ahead, behind = last_seen(clean, [*keys, "__b"]), next_seen(clean, [*keys, "__b"])
     staged = rows.select("*", ahead.alias("__f"), behind.alias("__n")).join(around, [*keys, "__b"])
     return staged.select(
         *df.columns,

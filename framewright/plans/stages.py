@@ -205,10 +205,7 @@ def _logos(df: DataFrame, on: Column, p: Params) -> DataFrame:
     enough = F.count_if("__m").over(w) >= F.floor((F.count("__m").over(w) + 1) / 2)
     joined = marked.withColumn("__m", F.col("__open") & (F.col("__m") | enough))
     clean = F.when(~F.col("__m") & F.col("__open"), F.col("v"))
-    order = w.orderBy("i")
-    before = F.last(clean, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first(clean, ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
-    filled = joined.withColumns({"__f": before, "__b": after})
+    filled = joined.withColumns({"__f": series.last_seen(clean, _pixel(df)), "__b": series.next_seen(clean, _pixel(df))})
     value = F.when(F.col("__open"), F.coalesce("__f", "__b", "v")).otherwise(F.col("v"))
     return filled.withColumns({"v": value, "logo_removed": F.col("__open") | F.coalesce("logo_removed", F.lit(False))}).drop("__open", "__m", "__f", "__b")
 

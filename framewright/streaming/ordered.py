@@ -18,6 +18,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _OUT = "k long, i long, v long"
+#: Places of a series whose waiting frames are one entry of its state.
+LOT = 256
 
 
 class _Ordered(StatefulProcessor):
@@ -29,7 +31,7 @@ class _Ordered(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.next = handle.getValueState("next", "i long")
-        self.waiting = handle.getMapState("waiting", "i long", "v long, m boolean")
+        self.waiting = handle.getMapState("lots", "lot long", "i array<long>, v array<long>, m array<boolean>")
         self.carried = handle.getValueState("carried", "a array<long>, b array<long>")
 
     def begin(self) -> tuple[list, list]:
@@ -44,7 +46,7 @@ class _Ordered(StatefulProcessor):
         for part in rows:
             for i, v, m in zip(part["i"].tolist(), part["v"].tolist(), part["m"].tolist(), strict=True):
                 # The first of a place counts; places that were passed are late.
-                if i >= at and i not in fresh and not self.waiting.containsKey((i,)):
+                if i >= at and i not in fresh:
                     fresh[i] = (v, m)
         yield from self._go(key, at, fresh)
         if not list(self.handle.listTimers()) and self._waits():
@@ -56,27 +58,40 @@ class _Ordered(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         left = [k[0] for k in self.waiting.keys()]
         if left:
-            yield from self._go(key, min(left), {})
+            yield from self._go(key, min(self._lot(min(left))), {})
             if self._waits():
                 self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.patience)
 
+    def _lot(self, lot: int) -> dict[int, tuple[int, bool]]:
+        """The frames of a lot that wait."""
+        if not self.waiting.containsKey((lot,)):
+            return {}
+        return {int(i): (int(v), bool(m)) for i, v, m in zip(*self.waiting.getValue((lot,)), strict=True)}
+
     def _go(self, key, at: int, fresh: dict[int, tuple[int, bool]]) -> Iterator[pd.DataFrame]:
         """All frames from ``at`` on that follow without a gap."""
         kept = self.carried.get() if self.carried.exists() else None
         state = self.begin() if kept is None else ([int(x) for x in kept[0]], [int(x) for x in kept[1]])
         out: list[tuple[int, int]] = []
+        # Each lot is read once and written once, however many of its frames come or go.
+        lots: dict[int, dict[int, tuple[int, bool]]] = {}
+        for i, frame in fresh.items():
+            if i // LOT not in lots:
+                lots[i // LOT] = self._lot(i // LOT)
+            lots[i // LOT].setdefault(i, frame)
         while True:
-            if at in fresh:
-                v, m = fresh.pop(at)
-            elif self.waiting.containsKey((at,)):
-                v, m = self.waiting.getValue((at,))
-                self.waiting.removeKey((at,))
-            else:
+            if at // LOT not in lots:
+                lots[at // LOT] = self._lot(at // LOT)
+            if at not in lots[at // LOT]:
                 break
-            out += self.step(state, at, int(v), bool(m))
+            out += self.step(state, at, *lots[at // LOT].pop(at))
             at += 1
-        for i, held in fresh.items():
-            self.waiting.updateValue((i,), held)
+        for lot, frames in lots.items():
+            if frames:
+                places = sorted(frames)
+                self.waiting.updateValue((lot,), (places, [frames[i][0] for i in places], [frames[i][1] for i in places]))
+            else:
+                self.waiting.removeKey((lot,))
         self.next.update((at,))
         self.carried.update(state)
         if out:

@@ -197,8 +197,11 @@ def items_by_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _streamed(spark: SparkSession, rows: DataFrame, operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """What a stream makes of rows (k, i, v, m) that arrive in three lots, in no order."""
     path, schema = scratch_path(spark, "stream"), "k long, i long, v long, m boolean"
+    # Placed once: each lot would else index all recordings anew.
+    rows.select("k", "i", "v", "m").write.parquet(f"{path}/rows")
+    placed = spark.read.schema(schema).parquet(f"{path}/rows")
     for n in range(3):
-        rows.where(F.pmod(F.xxhash64("k", "i"), F.lit(3)) == n).write.mode("append").parquet(f"{path}/in")
+        placed.where(F.pmod(F.xxhash64("k", "i"), F.lit(3)) == n).write.mode("append").parquet(f"{path}/in")
         ordered.drain(operator(arrivals.read_arrivals(spark, f"{path}/in", schema)), f"{path}/out", f"{path}/checkpoint")
     return spark.read.parquet(f"{path}/out")
 

@@ -19,7 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from framewright.operators import masks, registry, series
+from framewright.sources.scratch import scratch_path
 
+#: Rows of an item that one task takes; longer items are the work of several.
+LONG = 1 << 16
 STATE = {
     "start_frame_idx": "long", "end_frame_idx": "long", "canvas_detected": "boolean", "canvas_coordinates": "array<int>", "has_frames": "boolean", "has_reference": "boolean",
     "split_x": "int", "tags": "array<string>",
@@ -40,21 +43,26 @@ def stage(name: str, done: str = "false", **defaults) -> Callable[[Stage], Stage
 
 
 class Params:
-    """A stage's parameters: columns, an item's JSON values in place of the defaults; ``top`` is a number's largest value among the items."""
+    """A stage's parameters: columns, an item's own values in place of the defaults; ``top`` is a number's largest value among the items."""
 
-    def __init__(self, defaults: dict, config: Column | None = None, tops: dict | None = None) -> None:
-        self._defaults, self._config, self._tops = defaults, config, tops or {}
+    def __init__(self, defaults: dict, own: dict[str, Column] | None = None, tops: dict | None = None) -> None:
+        self._defaults, self._own, self._tops = defaults, own or {}, tops or {}
 
     def __getitem__(self, name: str) -> Column:
         default = F.lit(self._defaults[name])
-        if self._config is None:
-            return default
-        return F.coalesce(F.get_json_object(self._config, f"$.{name}").try_cast(_TYPES[type(self._defaults[name])]), default)
+        return F.coalesce(self._own[name], default) if name in self._own else default
 
     def top(self, name: str) -> float:
         return max(self._defaults[name], self._tops.get(name) or self._defaults[name])
 
 
+def _parsed(steps: Column, names: set[str]) -> Column:
+    """A list with the parameters of the stages ``names`` in place of its JSON, which is read once an item instead of once a pixel."""
+    params = {f"{n}_{p}": (n, p, _TYPES[type(v)]) for n in sorted(names) for p, v in STAGES[n][1].items()}
+    own = lambda s: [F.when(s["name"] == n, F.get_json_object(s["config"], f"$.{p}").try_cast(t)).alias(c) for c, (n, p, t) in params.items()]
+    return F.transform(steps, lambda s: F.struct(s["name"].alias("name"), *own(s)))
+
+
 @dataclass
 class Chain:
     """Stages by name for all frames, with parameters that replace defaults key by key."""
@@ -79,12 +87,27 @@ def _with_state(df: DataFrame) -> DataFrame:
     return df.withColumns({c: (F.col(c) if c in df.columns else F.lit(None)).cast(t) for c, t in STATE.items()})
 
 
-def run_lists(items: DataFrame, frames: DataFrame, keys: list[str], column: str = "video_processor", key: Column | None = None) -> DataFrame:
+def _long_items(frames: DataFrame, keys: list[str], long: int) -> DataFrame | None:
+    """(keys, __parts) of the longest items of more than ``long`` rows, None without any.
+
+    They are fewer than the shuffle has tasks, which bounds what comes to the driver and the broadcast; items behind them hold less than a task's share.
+    """
+    most = int(frames.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = frames.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > long)
+    found = counted.orderBy(F.desc("__n"), *keys).limit(most).select(*keys, F.ceil(F.col("__n") / long).cast("int").alias("__parts"))
+    rows = found.collect()
+    return frames.sparkSession.createDataFrame(rows, found.schema) if rows else None
+
+
+def run_lists(items: DataFrame, frames: DataFrame, keys: list[str], column: str = "video_processor", key: Column | None = None, long: int = LONG) -> DataFrame:
     """``frames`` of ``items`` with the items' state, each put through its own item's list of stages.
 
     ``key`` makes k where the keys are other columns. A stage's config is a JSON object of parameters; what is missing or no JSON stands for the defaults. A first job looks at the lists
     alone: how long they are, which stages stand at each place, and the largest numbers among their parameters. A list with an
     unknown stage raises ValueError.
+
+    Items of more than ``long`` rows are dealt in parts: what their stages need to know of the whole item is aggregated from the
+    rows stored so far and broadcast. Without such items there is one plan with one scan, and nothing is stored.
     """
     todo = items.select(*keys, F.col(column).alias("__list"), *[c for c in STATE if c in items.columns]).dropDuplicates(keys)
     numbers = sorted({n for _, d, _ in STAGES.values() for n, v in d.items() if type(v) in (int, float)})
@@ -93,8 +116,15 @@ def run_lists(items: DataFrame, frames: DataFrame, keys: list[str], column: str
     for row in used:
         if row["name"] not in STAGES:
             raise ValueError(f"unknown stage {row['name']}")
-    todo = _with_state(todo).withColumn("__had_frames", F.col("has_frames"))
-    df = frames.select(*[c for c in frames.columns if c not in STATE]).join(todo, keys)
+    todo = _with_state(todo).withColumns({"__had_frames": F.col("has_frames"), "__list": _parsed(F.col("__list"), {row["name"] for row in used})})
+    df = frames.select(*[c for c in frames.columns if c not in STATE])
+    found = _long_items(df, keys, long) if used else None
+    if found is not None:
+        parts = F.coalesce("__parts", F.lit(1))
+        dealt = lambda d: d.join(F.broadcast(found), keys, "left").withColumn("__parts", parts)
+        df = dealt(df).withColumn("__part", F.pmod(F.col("i"), F.col("__parts")).cast("int"))
+        todo = dealt(todo).withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1))).drop("__parts")
+    df = df.join(todo, keys if found is None else [*keys, "__part"])
     if key is not None:
         df = df.withColumn("k", key)
     for row in sorted(used, key=lambda r: (r["place"], r["name"])):
@@ -103,8 +133,9 @@ def run_lists(items: DataFrame, frames: DataFrame, keys: list[str], column: str
         on = F.coalesce(step["name"] == row["name"], F.lit(False))
         on = on & ~F.coalesce(F.expr(done), F.lit(False))
         tops = {n: int(row[n]) if isinstance(defaults.get(n), int) else row[n] for n in numbers if row[n] is not None}
-        df = f(df.withColumns({"__on": on, "__config": step["config"]}), F.col("__on"), Params(defaults, F.col("__config"), tops)).drop("__on", "__config")
-    return df.drop("__list", "__had_frames")
+        own = {f"__p_{n}": step[f"{row['name']}_{n}"] for n in defaults}
+        df = f(df.withColumns({"__on": on, **own}), F.col("__on"), Params(defaults, {n: F.col(f"__p_{n}") for n in defaults}, tops)).drop("__on", *own)
+    return df.drop("__list", "__had_frames", "__parts", "__part")
 
 
 def process(items: DataFrame, frames: DataFrame, keys: list[str], column: str = "video_processor") -> DataFrame:
@@ -130,6 +161,24 @@ def _item() -> Window:
     return Window.partitionBy("k")
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back, for what would evaluate it twice."""
+    path = scratch_path(df.sparkSession, "stages")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _with_facts(df: DataFrame, facts: dict[str, Column], more: dict[str, Column] | None = None) -> DataFrame:
+    """``df`` and aggregates over each item's rows, and what follows from them (``more``): a window, or for long items a broadcast of one row an item."""
+    windows, more = {n: c.over(_item()) for n, c in facts.items()}, more or {}
+    if "__parts" not in df.columns:
+        return df.withColumns(windows).withColumns(more)
+    rows = _stored(df)
+    long, short = rows.where("__parts > 1"), rows.where("__parts = 1")
+    known = long.groupBy("k").agg(*[c.alias(n) for n, c in facts.items()]).withColumns(more)
+    return long.join(F.broadcast(known), "k").select(*df.columns, *facts, *more).unionByName(short.withColumns(windows).withColumns(more))
+
+
 def _when(on: Column, new: Column, old: str) -> Column:
     return F.when(on, new).otherwise(F.col(old))
 
@@ -137,38 +186,38 @@ def _when(on: Column, new: Column, old: str) -> Column:
 @stage("range", done="start_frame_idx is not null and end_frame_idx is not null", frame_steps=30, max_frames_to_consider=300)
 def _range(df: DataFrame, on: Column, p: Params) -> DataFrame:
     """Start and end of an item: the first hits of a probe from either end, -1 without."""
-    back = F.max("i").over(_item()) - F.col("i")
     probed = lambda place: F.col("hit") & (place % p["frame_steps"] == 0) & (place / p["frame_steps"] < p["max_frames_to_consider"])
-    placed = df.withColumn("__back", back)
-    start = F.min(F.when(probed(F.col("i")), F.col("i"))).over(_item())
-    end = F.max(F.when(probed(F.col("__back")), F.col("i"))).over(_item())
+    placed = _with_facts(df, {"__last": F.max("i")}).withColumn("__back", F.col("__last") - F.col("i"))
+    start, end = F.min(F.when(probed(F.col("i")), F.col("i"))), F.max(F.when(probed(F.col("__back")), F.col("i")))
     none = F.lit(-1).cast("long")
-    found = placed.withColumns({"start_frame_idx": _when(on, F.coalesce(start, none), "start_frame_idx"), "end_frame_idx": _when(on, F.coalesce(end, none), "end_frame_idx")})
-    return found.drop("__back")
+    found = _with_facts(placed, {"__start": start, "__end": end})
+    found = found.withColumns({"start_frame_idx": _when(on, F.coalesce("__start", none), "start_frame_idx"), "end_frame_idx": _when(on, F.coalesce("__end", none), "end_frame_idx")})
+    return found.drop("__last", "__back", "__start", "__end")
 
 
 @stage("canvas", done="canvas_detected", erosion=2)
 def _canvas(df: DataFrame, on: Column, p: Params) -> DataFrame:
     """Frames cut to the canvas of the start frame; items without one stay as they are."""
     at = F.greatest(F.coalesce("start_frame_idx", F.lit(0).cast("long")), F.lit(0).cast("long"))
-    box = F.first(F.when(F.col("i") == at, F.col("box")), ignorenulls=True).over(_item())
-    size = lambda c: (F.max(c).over(_item()) + 1)
-    seen = df.withColumns({"__box": masks.canvas_box(box, size("x"), size("y"), p["erosion"]), "__cut": on & box.isNotNull()})
+    box = F.first(F.when(F.col("i") == at, F.col("box")), ignorenulls=True)
+    facts = {"__first": box, "__right": F.max("x"), "__low": F.max("y"), "__erosion": F.max(p["erosion"])}
+    found = masks.canvas_box(F.col("__first"), F.col("__right") + 1, F.col("__low") + 1, F.col("__erosion"))
+    seen = _with_facts(df, facts, {"__box": found}).withColumn("__cut", on & F.col("__first").isNotNull())
     corner = lambda n: F.element_at("__box", n)
     inside = (F.col("x") >= corner(1)) & (F.col("x") < corner(3)) & (F.col("y") >= corner(2)) & (F.col("y") < corner(4))
     kept = seen.where(~F.col("__cut") | inside)
     moved = {c: _when(F.col("__cut"), (F.col(c) - corner(n)).cast(df.schema[c].dataType), c) for c, n in (("x", 1), ("y", 2))}
     state = {"canvas_coordinates": _when(F.col("__cut"), F.col("__box"), "canvas_coordinates"), "canvas_detected": F.col("__cut") | F.coalesce("canvas_detected", F.lit(False))}
-    return kept.withColumns(moved | state).drop("__box", "__cut")
+    return kept.withColumns(moved | state).drop("__first", "__right", "__low", "__erosion", "__box", "__cut")
 
 
 @stage("extract", done="has_frames", most=1000)
 def _extract(df: DataFrame, on: Column, p: Params) -> DataFrame:
     """Evenly sampled frames of the item's range, or of all of it, placed anew; an item whose range was not found has none."""
     known = F.col("start_frame_idx").isNotNull() & F.col("end_frame_idx").isNotNull()
-    last, n = F.max("i").over(_item()), F.max("i").over(_item()) + 1
+    last, n = F.col("__last"), F.col("__last") + 1
     start, end = F.when(known, F.col("start_frame_idx")).otherwise(0), F.when(known, F.col("end_frame_idx")).otherwise(last)
-    spans = df.withColumns({"__a": start, "__z": end, "__n": F.least(n, p["most"].cast("long"))})
+    spans = _with_facts(df, {"__last": F.max("i")}).withColumns({"__a": start, "__z": end, "__n": F.least(n, p["most"].cast("long"))})
     # The samples that fall on a place: their numbers j have place(j) = i, place(j) being the first place at or behind start + j * step.
     step = F.try_divide((F.col("__z") - F.col("__a")).cast("double"), (F.col("__n") - 1).cast("double"))
     place = lambda j: F.when(F.col("__n") == 1, F.col("__a")).when(j == F.col("__n") - 1, F.col("__z")).otherwise(F.ceil(F.col("__a") + j * F.coalesce(step, F.lit(0.0))))
@@ -178,7 +227,7 @@ def _extract(df: DataFrame, on: Column, p: Params) -> DataFrame:
     near = F.when(inside & (first <= final), F.sequence(first.cast("long"), final.cast("long"))).otherwise(F.array().cast("array<bigint>"))
     numbers = F.filter(near, lambda j: place(j) == F.col("i"))
     out = spans.withColumn("__j", F.explode(F.when(on, numbers).otherwise(F.array(F.col("i")))))
-    return out.withColumns({"i": _when(on, F.col("__j"), "i"), "has_frames": on | F.coalesce("has_frames", F.lit(False))}).drop("__a", "__z", "__n", "__j")
+    return out.withColumns({"i": _when(on, F.col("__j"), "i"), "has_frames": on | F.coalesce("has_frames", F.lit(False))}).drop("__last", "__a", "__z", "__n", "__j")
 
 
 @stage("temporal_median", done="__had_frames", window=11)
@@ -191,8 +240,9 @@ def _median(df: DataFrame, on: Column, p: Params) -> DataFrame:
 
 @stage("clean", fill=0)
 def _clean(df: DataFrame, on: Column, p: Params) -> DataFrame:
-    # By pixel, in one window: carrying bucket states would evaluate all stages before this one twice.
-    done = series.last_clean_fill(df, _pixel(df), seed=p["fill"].cast("long"), into="__v", bucket=None)
+    # By pixel, in one window: carrying bucket states would evaluate all stages before this one twice. Long items are stored before.
+    long = "__parts" in df.columns
+    done = series.last_clean_fill(_stored(df) if long else df, _pixel(df), seed=p["fill"].cast("long"), into="__v", bucket=series.BUCKET if long else None)
     return done.withColumn("v", _when(on, F.col("__v"), "v")).drop("__v")
 
 
@@ -214,7 +264,8 @@ def _logos(df: DataFrame, on: Column, p: Params) -> DataFrame:
 def _masks(df: DataFrame, on: Column, p: Params) -> DataFrame:
     """Masks grown by a square kernel, each item by its own."""
     top = int(p.top("kernel"))
-    out, reach = df.withColumn("__k", p["kernel"]), top // 2 + 1
+    # Frames of long items are brought together once for both windows; others are together already.
+    out, reach = (df.repartition("k", "i") if "__parts" in df.columns else df).withColumn("__k", p["kernel"]), top // 2 + 1
     for along, across in (("x", "y"), ("y", "x")):
         order = Window.partitionBy("k", "i", across).orderBy(along).rangeBetween(-reach, reach)
         near = F.collect_list(F.when(F.col("m"), F.col(along))).over(order)
@@ -263,7 +314,7 @@ def _keyframes(df: DataFrame, on: Column, p: Params) -> DataFrame:
 @stage("reference", done="has_reference")
 def _reference(df: DataFrame, on: Column, p: Params) -> DataFrame:
     """The last frame alone."""
-    kept = df.withColumn("__last", F.max("i").over(_item())).where(~on | (F.col("i") == F.col("__last"))).drop("__last")
+    kept = _with_facts(df, {"__last": F.max("i")}).where(~on | (F.col("i") == F.col("__last"))).drop("__last")
     return kept.withColumn("has_reference", on | F.coalesce("has_reference", F.lit(False)))
 
 

@@ -228,3 +228,32 @@ def test_an_item_that_loses_its_frames(spark, tmp_path):
     spark.createDataFrame([("youtube", "2", 0, 5, False)], "source string, video_id string, i long, v long, m boolean").write.mode("overwrite").parquet(f"{base}/frames")
     catalog.process_registry(spark, base, only=("youtube", "1"))
     assert stored(spark, base) == {"2": [0, 10, 20]}
+
+
+def test_long_items_are_the_work_of_several_tasks(spark):
+    """One item holds all rows: its canvas and its range are known without bringing it into one task."""
+    n = 300_000
+    frames = spark.range(n).select(F.lit(1).cast("long").alias("k"), F.col("id").alias("i"), F.lit(3).alias("y"), F.lit(3).alias("x"), F.col("id").alias("v"), F.lit(False).alias("m"), F.array(*map(F.lit, (0.0, 0.0, 4.0, 4.0))).alias("box"))
+    items = items_of(spark, {1: [("canvas", {"erosion": 0}), ("extract", {"most": n})]}, start_frame_idx=0, end_frame_idx=n - 1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = stages.run_lists(items, frames, ["k"]).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.sum("i").alias("total")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert (sum(r.n for r in parts), sum(r.total for r in parts)) == (n, n * (n - 1) // 2)
+    assert max(r.n for r in parts) < n
+
+
+@pytest.mark.parametrize("long", [100])
+def test_long_items_have_the_results_of_short_ones(spark, long):
+    """Items of 490, 210 and 35 rows, of which two are long."""
+    few = {1: 14, 2: 6, 3: 1}
+    df = pixels(spark).where(F.col("i") < F.element_at(F.create_map(*[F.lit(x).cast("long") for kv in few.items() for x in kv]), F.col("k")))
+    steps = [
+        [("canvas", {"erosion": 1}), ("temporal_median", {"window": 3}), ("reference", None)], [("logos", None), ("extract", {"most": 4}), ("clean", {"fill": 5})],
+        [("masks", {"kernel": 3}), ("range", {"frame_steps": 2}), ("extract", {"most": 5})], [("split", None), ("keyframes", {"changes": 5})],
+    ]
+    columns = [*KEY, "y", "x", "v", "m", "logo_removed", *stages.STATE]
+    for turn in range(3):
+        items = items_of(spark, {k: steps[(k + turn) % 4] for k in few}, start_frame_idx=0 if turn % 2 else None)
+        same(stages.run_lists(items, df, ["k"], long=long), stages.run_lists(items, df, ["k"], long=10**6), columns)

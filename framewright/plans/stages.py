@@ -124,7 +124,8 @@ def run_lists(items: DataFrame, frames: DataFrame, keys: list[str], column: str
         dealt = lambda d: d.join(F.broadcast(found), keys, "left").withColumn("__parts", parts)
         df = dealt(df).withColumn("__part", F.pmod(F.col("i"), F.col("__parts")).cast("int"))
         todo = dealt(todo).withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1))).drop("__parts")
-    df = df.join(todo, keys if found is None else [*keys, "__part"])
+    # The hint keeps frames from being broadcast: their files may be small where their rows are many.
+    df = df.join(todo.hint("merge"), keys if found is None else [*keys, "__part"])
     if key is not None:
         df = df.withColumn("k", key)
     for row in sorted(used, key=lambda r: (r["place"], r["name"])):

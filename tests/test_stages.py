@@ -257,3 +257,11 @@ def test_long_items_have_the_results_of_short_ones(spark, long):
     for turn in range(3):
         items = items_of(spark, {k: steps[(k + turn) % 4] for k in few}, start_frame_idx=0 if turn % 2 else None)
         same(stages.run_lists(items, df, ["k"], long=long), stages.run_lists(items, df, ["k"], long=10**6), columns)
+
+
+def test_frames_are_not_broadcast(spark, tmp_path):
+    """Files of frames may be far smaller than what is known of the items."""
+    spark.range(1000).select((F.col("id") % 4).alias("k"), F.floor(F.col("id") / 4).alias("i"), F.lit(1).cast("long").alias("v"), F.lit(False).alias("m")).write.parquet(str(tmp_path / "frames"))
+    items = spark.range(100_000).select(F.col("id").alias("k"), F.lit(False).alias("processed"), F.array(F.struct(F.lit("clean").alias("name"), F.lit(None).cast("string").alias("config"))).alias("video_processor"))
+    plan = stages.process(items, spark.read.parquet(str(tmp_path / "frames")), ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan
